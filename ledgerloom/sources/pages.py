@@ -12,8 +12,7 @@ from ledgerloom.fixed_values import QUERY_TERMS, RAW_COLUMNS, SOURCE_TAG
 from ledgerloom.functions import join_list
 
 # The parts of a study that are read; the file may hold more, or less.
-STUDY_SCHEMA = T._parse_datatype_string(
-    """
+STUDY_SCHEMA = """
     protocolSection struct<
       identificationModule: struct<nctId: string, briefTitle: string>,
       statusModule: struct<
@@ -26,8 +25,7 @@ STUDY_SCHEMA = T._parse_datatype_string(
       descriptionModule: struct<briefSummary: string>,
       sponsorCollaboratorsModule: struct<leadSponsor: struct<name: string>>,
       conditionsModule: struct<conditions: array<string>>>
-    """
-)
+"""
 
 # A study read as text keeps every field it came with.
 PAGE_SCHEMA = "studies array<string>, nextPageToken string"
