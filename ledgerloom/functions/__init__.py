@@ -20,8 +20,7 @@ from ledgerloom.functions.text import (
     clipped,
     fill_layout,
     search_text,
-    term_vector,
-    vector_norm,
+    term_buckets,
 )
 
 __all__ = [
@@ -40,8 +39,7 @@ __all__ = [
     "search_text",
     "similarity_percent",
     "study_link",
-    "term_vector",
+    "term_buckets",
     "timestamp_of",
-    "vector_norm",
     "yes_no",
 ]

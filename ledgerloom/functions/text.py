@@ -35,33 +35,14 @@ def search_text(
 
 
 def term_buckets(text: Column | str, dims: int) -> Column:
-    """Bucket number of every word (runs of a-z in the lower-cased text)."""
+    """Bucket number, as text, of every word (runs of a-z in the lower-cased text)."""
     words = F.filter(F.split(F.lower(_col(text)), "[^a-z]+"), lambda w: w != "")
     return F.transform(
         words,
-        lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dims).cast("int"),
+        lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dims).cast("string"),
     )
 
 
-def term_counts(buckets: Column | str, dims: int) -> Column:
-    """Occurrences per bucket, 0 .. dims-1, counted inside the row (no shuffle)."""
-    b = _col(buckets)
-    return F.array(*[(F.size(b) - F.size(F.array_remove(b, i))).cast("double") for i in range(dims)])
-
-
-def vector_norm(vector: Column | str) -> Column:
-    return F.sqrt(
-        F.aggregate(_col(vector), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    )
-
-
-def term_vector(counts: Column | str) -> Column:
-    """Counts scaled to length 1; an all-zero vector stays as it is."""
-    c = _col(counts)
-    norm = vector_norm(c)
-    return F.transform(c, lambda x: F.coalesce(F.try_divide(x, norm), F.lit(0.0)).cast("float"))
-
-
 def fill_layout(layout: str, values: Mapping[str, Column]) -> Column:
     """Text from a layout with ``{name}`` places; NULL values become ''."""
     parts: list[Column] = []

@@ -16,14 +16,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.feature import BucketedRandomProjectionLSH, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions import clipped, search_text, term_vector
-from ledgerloom.functions.text import term_buckets, term_counts
+from ledgerloom.functions import clipped, search_text, term_buckets
 from ledgerloom.operators.sizing import fits_broadcast
 from ledgerloom.session import written
 
@@ -59,6 +58,12 @@ def corpus_texts(
     return kept.withColumn(text, search_text(columns, summary, summary_chars))
 
 
+def _unit_length(df: DataFrame, source: str, out: str, dtype: str) -> DataFrame:
+    """Adds an ML vector column scaled to length 1 as an array; zero vectors stay zero."""
+    scaled = Normalizer(p=2.0, inputCol=source, outputCol="_scaled").transform(df)
+    return scaled.withColumn(out, vector_to_array("_scaled", dtype)).drop("_scaled")
+
+
 def embed(
     df: DataFrame,
     text: str = "document",
@@ -69,18 +74,19 @@ def embed(
 ) -> DataFrame:
     """Adds a vector per text.
 
-    Without an encoder: hashed word counts scaled to length 1, computed inside the
-    row by Spark functions. It matches words, not meaning. With one: ``encoder()``
+    Without an encoder: hashed word counts scaled to length 1, counted row by row
+    (no shuffle, no Python). It matches words, not meaning. With one: ``encoder()``
     is called once per Python worker and returns a function from a list of texts to
     a matrix; texts go to it in batches of ``batch_size``.
     """
     if encoder is None:
-        return (
+        counter = CountVectorizerModel.from_vocabulary(
+            [str(i) for i in range(dims)], inputCol="_buckets", outputCol="_counts"
+        )
+        counted = counter.transform(
             df.withColumn("_buckets", term_buckets(F.coalesce(text, F.lit("")), dims))
-            .withColumn("_counts", term_counts("_buckets", dims))
-            .withColumn(vector, term_vector("_counts"))
-            .drop("_buckets", "_counts")
         )
+        return _unit_length(counted, "_counts", vector, "float32").drop("_buckets", "_counts")
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -339,13 +345,13 @@ class BucketHash:
 
     def buckets(self, df: DataFrame, vector: str = "embedding") -> DataFrame:
         """Adds ``buckets``: one bucket number per table, for the unit vectors."""
-        norm = F.sqrt(
-            F.aggregate(F.col(vector), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-        )
-        unit = F.transform(vector, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm), F.lit(0.0)))
-        hashed = self.model.transform(df.withColumn("_unit", array_to_vector(unit)))
+        plain = df.withColumn("_plain", array_to_vector(F.col(vector).cast("array<double>")))
+        unit = Normalizer(p=2.0, inputCol="_plain", outputCol="_unit").transform(plain)
+        hashed = self.model.transform(unit)
         numbers = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(self.tables)]
-        return hashed.withColumn("buckets", F.array(*numbers)).drop("_unit", "_hashes")
+        return hashed.withColumn("buckets", F.array(*numbers)).drop(
+            "_plain", "_unit", "_hashes"
+        )
 
 
 def bucket_hash(
