@@ -17,7 +17,7 @@ from ledgerloom.operators import context as ctx
 from ledgerloom.operators import vectors as vec
 from ledgerloom.functions import search_text, similarity_percent
 from ledgerloom.plans.ask import build_items, retrieve
-from ledgerloom.session import scratch_path, written
+from ledgerloom.session import scratch_path, spread, written
 from ledgerloom.sinks.tables import append_runs, read_runs, rebuild_items, run_rows
 
 
@@ -43,7 +43,7 @@ def search_texts(spark, d):
 
 
 def embed_text(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     return _entries(vec.embed(docs, text="text"), "doc_id")
 
 

@@ -6,12 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.normalise import normalise
+from ledgerloom.session import written
 
 DAY_1, DAY_2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 
 
+# Columns in use, per given table; a known schema saves a pass over the file footers.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def trial_view(
@@ -42,7 +56,7 @@ def trial_view(
         )
     )
     key = F.col("o_orderkey")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.col("o_orderdate").cast("date").cast("string")
     joined = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(per_order, key == F.col("l_orderkey"), "left")
@@ -65,10 +79,10 @@ def trial_view(
         .when(F.col("o_orderpriority") == "5-LOW", "PHASE2, PHASE3")
         .alias("phase"),
         F.when(key % 97 == 0, None)
-        .when(key % 5 == 0, F.date_format("o_orderdate", "yyyy-MM"))
+        .when(key % 5 == 0, F.substring(day, 1, 7))
         .otherwise(day)
         .alias("start_date"),
-        F.date_format("last_ship", "yyyy-MM-dd").alias("completion_date"),
+        F.col("last_ship").cast("date").cast("string").alias("completion_date"),
         day.alias("last_update_date"),
         F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "Observational")
         .otherwise("Interventional")
@@ -125,8 +139,12 @@ def raw_days(
 def silver_days(
     spark: SparkSession, sf_dir: str, conditions: bool = True, summary: bool = True
 ) -> tuple[DataFrame, DataFrame]:
+    """F2 cleaned and stored, as a table and its next delivery are."""
     first, second = raw_days(spark, sf_dir, conditions, summary)
-    return normalise(first, DAY_1), normalise(second, DAY_2)
+    return (
+        written(normalise(first, DAY_1), "day-1"),
+        written(normalise(second, DAY_2), "day-2"),
+    )
 
 
 def study_pages(raw: DataFrame, page_rows: int = 1000) -> DataFrame:

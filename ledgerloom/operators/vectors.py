@@ -10,12 +10,15 @@ rank the same on any partitioning. A zero vector has similarity 0 to everything.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.ml.feature import BucketedRandomProjectionLSH, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -26,6 +29,9 @@ from ledgerloom.functions import clipped, search_text, term_buckets
 from ledgerloom.operators.sizing import fits_broadcast
 from ledgerloom.session import written
 
+# Executors need no copy of this package: what tasks run is sent along with them.
+register_pickle_by_value(sys.modules[__name__])
+
 # Queries one block may hold: with 1,024 dimensions, 128 MB of doubles.
 BLOCK_QUERIES = 16_384
 # Vectors one group of the blocked search may hold.
@@ -141,8 +147,7 @@ def collection_info(items: DataFrame, vector: str = "embedding") -> DataFrame:
 # -- scoring inside a task ------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class _Block:
+class _Block(NamedTuple):
     """Queries of one block: ids, unit vectors and, for bucket search, bucket numbers."""
 
     ids: np.ndarray
@@ -284,11 +289,11 @@ def top_k(
 
 def _scan_with_block(queries: DataFrame, items: DataFrame, head: pa.Table, k: int) -> DataFrame:
     schema = _hit_schema(queries, items)
-    shared = queries.sparkSession.sparkContext.broadcast(_block_of(head))
+    shared = queries.sparkSession.sparkContext.broadcast(tuple(_block_of(head)))
     query_type = head.schema.field("query_id").type
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, best, id_type = shared.value, _Best(k), None
+        block, best, id_type = _Block(*shared.value), _Best(k), None
         for batch in batches:
             id_type = batch.schema.field("id").type
             if batch.num_rows and len(block.ids):
@@ -418,7 +423,7 @@ def bucket_top_k(
             for t, b in enumerate(row):
                 wanted.setdefault((t, int(b)), []).append(q)
     shared = queries.sparkSession.sparkContext.broadcast(
-        (block, {key: np.array(qs) for key, qs in wanted.items()})
+        (tuple(block), {key: np.array(qs) for key, qs in wanted.items()})
     )
     query_type = head.schema.field("query_id").type
 
@@ -433,7 +438,8 @@ def bucket_top_k(
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (block, wanted), best, id_type = shared.value, _Best(k), None
+        (parts, wanted), best, id_type = shared.value, _Best(k), None
+        block = _Block(*parts)
         for batch in batches:
             id_type = batch.schema.field("id").type
             if not batch.num_rows:
