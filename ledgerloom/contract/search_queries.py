@@ -22,9 +22,13 @@ from ledgerloom.sinks.tables import append_runs, read_runs, rebuild_items, run_r
 
 
 def _entries(df, key, vector="embedding"):
-    """Non-zero places of every vector, rounded."""
+    """Non-zero places of every vector, rounded.
+
+    The outer form of explode: the plain one makes Spark test the array for emptiness
+    first, which would compute every vector twice.
+    """
     return (
-        df.select(key, F.posexplode(vector).alias("bucket", "weight"))
+        df.select(key, F.posexplode_outer(vector).alias("bucket", "weight"))
         .filter("weight <> 0")
         .withColumn("weight", F.round(F.col("weight").cast("double"), 6))
     )
@@ -156,7 +160,7 @@ def run_log(spark, d):
     """One logged row per question, appended and read back."""
     items = _items(spark, d)
     questions = question_view(spark, d)
-    records = retrieve(questions, items)
+    records = written(retrieve(questions, items), "records")
     path = scratch_path(spark, "runs")
     rows = run_rows(
         questions,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import clipped, label_or_unknown, study_link
@@ -91,9 +91,11 @@ def keyword_or_all(
         .orderBy(F.col("_hit").desc(), key)
         .limit(n)
     )
-    # at most n rows from here on
-    found = lead.agg(F.max("_hit").alias("_found"))
-    return lead.join(F.broadcast(found), F.col("_hit") == F.col("_found")).drop("_hit", "_found")
+    # the window runs over the n rows that are left
+    found = F.max("_hit").over(Window.partitionBy())
+    return (
+        lead.withColumn("_found", found).filter(F.col("_hit") == F.col("_found")).drop("_hit", "_found")
+    )
 
 
 def display_cards(

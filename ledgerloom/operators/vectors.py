@@ -18,6 +18,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.ml.feature import BucketedRandomProjectionLSH, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -177,6 +178,7 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
 
 
 def _block_of(table: pa.Table, with_buckets: bool = False) -> _Block:
+    table = _complete(table, "query_id")
     buckets = None
     if with_buckets:
         buckets = _matrix(table.column("buckets")).astype("int64")
@@ -252,10 +254,14 @@ def _ranked(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _vectors(df: DataFrame, key: str, vector: str, name: str, *more: str) -> DataFrame:
-    return df.select(F.col(key).alias(name), F.col(vector).alias("embedding"), *more).filter(
-        F.col("embedding").isNotNull() & F.col(name).isNotNull()
-    )
+def _vectors(df: DataFrame, key: str, vector: str, name: str) -> DataFrame:
+    return df.select(F.col(key).alias(name), F.col(vector).alias("embedding"))
+
+
+def _complete(rows, name: str = "id"):
+    """Rows with an id and a vector. Tested here and not by a filter in the query, for
+    which Spark would compute a vector that is not stored a second time."""
+    return rows.filter(pc.and_(pc.is_valid(rows.column(name)), pc.is_valid(rows.column("embedding"))))
 
 
 # -- exact search ---------------------------------------------------------------------
@@ -275,7 +281,9 @@ def top_k(
 
     Up to ``block_queries`` queries are sent to the tasks as one block, and the items
     stay where they are. More queries than that never pass through the driver: both
-    sides are cut into bounded pieces that meet pairwise in a cogroup.
+    sides are cut into bounded pieces that meet pairwise in a cogroup. Scoring a pair
+    of pieces takes far longer than shipping it, so the copies made for that do not
+    decide the run time.
     """
     queries = _vectors(queries, query_id, vector, "query_id")
     items = _vectors(items, item_id, vector, "id")
@@ -296,6 +304,7 @@ def _scan_with_block(queries: DataFrame, items: DataFrame, head: pa.Table, k: in
         block, best, id_type = _Block(*shared.value), _Best(k), None
         for batch in batches:
             id_type = batch.schema.field("id").type
+            batch = _complete(batch)
             if batch.num_rows and len(block.ids):
                 unit = _unit_rows(_matrix(batch.column("embedding")))
                 _score_all(best, block, unit, batch.column("id").to_numpy(zero_copy_only=False))
@@ -322,8 +331,8 @@ def _blocked(
     right = spread(queries, "_block", blocks, "query_id", "_chunk", chunks)
 
     def score(chunk: pa.Table, block_table: pa.Table) -> pa.Table:
-        block, best = _block_of(block_table), _Best(k)
-        if chunk.num_rows and block_table.num_rows:
+        chunk, block, best = _complete(chunk), _block_of(block_table), _Best(k)
+        if chunk.num_rows and len(block.ids):
             _score_all(
                 best, block, _unit_rows(_matrix(chunk.column("embedding"))), chunk.column("id").to_numpy()
             )
@@ -387,7 +396,7 @@ def bucket_index(
     queries fall in. A bucket with very many items is just many rows of one shard,
     which Spark reads in as many tasks as its files need.
     """
-    hashed = hashes.buckets(_vectors(items, item_id, vector, "id"))
+    hashed = hashes.buckets(_vectors(items, item_id, vector, "id").dropna())
     return hashed.select(
         "id", "embedding", "buckets", F.posexplode("buckets").alias("table_no", "bucket")
     ).withColumn("shard", F.pmod("bucket", F.lit(SHARDS)).cast("int"))
@@ -411,7 +420,7 @@ def bucket_top_k(
     A pair sharing several buckets is scored in the first of them only, so nothing
     has to be made distinct afterwards. A query may get fewer than k hits here.
     """
-    queries = hashes.buckets(_vectors(queries, query_id, vector, "query_id"))
+    queries = hashes.buckets(_vectors(queries, query_id, vector, "query_id").dropna())
     head = queries.limit(block_queries + 1).toArrow()
     if head.num_rows > block_queries:
         raise ValueError(f"bucket_top_k takes up to {block_queries} queries at a time")
@@ -442,6 +451,7 @@ def bucket_top_k(
         block = _Block(*parts)
         for batch in batches:
             id_type = batch.schema.field("id").type
+            batch = _complete(batch)
             if not batch.num_rows:
                 continue
             unit = _unit_rows(_matrix(batch.column("embedding")))

@@ -136,3 +136,12 @@ def test_items_fill_in_missing_values(spark):
     )
     m = vec.item_rows(df).first().metadata
     assert (m.brief_title, m.enrollment_count, m.is_recruiting) == ("", 0, False)
+
+
+def test_missing_vectors_and_ids_are_left_out(spark, data):
+    _, queries, m, q = data
+    more = spark.createDataFrame([(None, [9.0] * 8), (999, None)], "id bigint, embedding array<float>")
+    items = frame(spark, m, "id").unionByName(more).coalesce(1)
+    asked = queries.unionByName(spark.createDataFrame([(77, None)], "query_id bigint, embedding array<float>"))
+    assert hits(vec.top_k(asked, items, 5)) == brute(m, q, 5)
+    assert hits(vec.top_k(asked, items, 5, block_queries=4, chunk_vectors=60)) == brute(m, q, 5)
