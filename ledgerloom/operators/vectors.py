@@ -239,6 +239,24 @@ def _score_all(best: _Best, block: _Block, unit: np.ndarray, ids: np.ndarray) ->
         best.add_scores(scores, ids[i : i + step])
 
 
+def _score_bucket(
+    best: _Best,
+    block: _Block,
+    qs: np.ndarray,
+    unit: np.ndarray,
+    buckets: np.ndarray,
+    ids: np.ndarray,
+    table_no: int,
+) -> None:
+    """Items and queries of one bucket; pairs that met in an earlier table are skipped."""
+    step = max(1, SCORE_CELLS // max(1, len(qs)))
+    for i in range(0, len(ids), step):
+        scores = np.round(block.unit[qs] @ unit[i : i + step].T, PLACES) + 0.0
+        mine, theirs = block.buckets[qs][:, None, :table_no], buckets[i : i + step][None, :, :table_no]
+        scores[(mine == theirs).any(axis=2)] = -np.inf
+        best.add_scores(scores, ids[i : i + step], qs)
+
+
 def _hit_schema(queries: DataFrame, items: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -414,6 +432,7 @@ def bucket_top_k(
     query_id: str = "query_id",
     vector: str = "embedding",
     block_queries: int = BLOCK_QUERIES,
+    chunk_vectors: int = CHUNK_VECTORS,
 ) -> DataFrame:
     """(query_id, id, cosine, rank) among items sharing a bucket with the query.
 
@@ -422,8 +441,68 @@ def bucket_top_k(
     """
     queries = hashes.buckets(_vectors(queries, query_id, vector, "query_id").dropna())
     head = queries.limit(block_queries + 1).toArrow()
-    if head.num_rows > block_queries:
-        raise ValueError(f"bucket_top_k takes up to {block_queries} queries at a time")
+    if head.num_rows <= block_queries:
+        return _ranked(_scan_buckets(queries, index, head, k), k)
+    return _ranked(_blocked_buckets(queries, index, k, block_queries, chunk_vectors), k)
+
+
+def _blocked_buckets(
+    queries: DataFrame, index: DataFrame, k: int, block_queries: int, chunk_vectors: int
+) -> DataFrame:
+    """Every bucket in bounded pieces; a bucket with very many items gets more of them."""
+    schema = _hit_schema(queries, index)
+    place = ["table_no", "bucket"]
+    queries = queries.select("*", F.posexplode("buckets").alias(*place))
+    index = index.select("id", "embedding", "buckets", *place)
+    sizes = index.groupBy(place).agg(F.count(F.lit(1)).alias("_items")).join(
+        queries.groupBy(place).agg(F.count(F.lit(1)).alias("_queries")), place
+    )
+    # hashed pieces vary in size, so aim at half of what a piece may hold
+    pieces = written(
+        sizes.select(
+            *place,
+            F.ceil(F.col("_items") * 2 / chunk_vectors).cast("int").alias("_chunks"),
+            F.ceil(F.col("_queries") * 2 / block_queries).cast("int").alias("_blocks"),
+        ),
+        "bucket-pieces",
+    )
+    if fits_broadcast(pieces):
+        pieces = F.broadcast(pieces)
+
+    def spread(df: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        return (
+            df.join(pieces, place)
+            .withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
+            .drop(own_n, other_n)
+        )
+
+    def score(chunk: pa.Table, block_table: pa.Table) -> pa.Table:
+        best = _Best(k)
+        id_type, query_type = chunk.schema.field("id").type, block_table.schema.field("query_id").type
+        block = _block_of(block_table, with_buckets=block_table.num_rows > 0)
+        if chunk.num_rows and len(block.ids):
+            _score_bucket(
+                best,
+                block,
+                np.arange(len(block.ids)),
+                _unit_rows(_matrix(chunk.column("embedding"))),
+                _matrix(chunk.column("buckets")).astype("int64"),
+                chunk.column("id").to_numpy(),
+                chunk.column("table_no")[0].as_py(),
+            )
+        return best.rows(block, id_type, query_type)
+
+    keys = [*place, "_chunk", "_block"]
+    return (
+        spread(index, "id", "_chunk", "_chunks", "_block", "_blocks")
+        .groupBy(keys)
+        .cogroup(spread(queries, "query_id", "_block", "_blocks", "_chunk", "_chunks").groupBy(keys))
+        .applyInArrow(score, schema)
+    )
+
+
+def _scan_buckets(queries: DataFrame, index: DataFrame, head: pa.Table, k: int) -> DataFrame:
     schema = _hit_schema(queries, index)
     block = _block_of(head, with_buckets=head.num_rows > 0)
     wanted: dict[tuple[int, int], list[int]] = {}
@@ -465,17 +544,11 @@ def bucket_top_k(
                 if qs is None:
                     continue
                 rows = np.nonzero(first.ravel() == c)[0]
-                step = max(1, SCORE_CELLS // len(qs))
-                for i in range(0, len(rows), step):
-                    part = rows[i : i + step]
-                    scores = np.round(block.unit[qs] @ unit[part].T, PLACES) + 0.0
-                    seen = (block.buckets[qs][:, None, :t] == buckets[part][None, :, :t]).any(axis=2)
-                    scores[seen] = -np.inf
-                    best.add_scores(scores, ids[part], qs)
+                _score_bucket(best, block, qs, unit[rows], buckets[rows], ids[rows], int(t))
         if id_type is not None:
             yield from best.rows(block, id_type, query_type).to_batches()
 
-    return _ranked(candidates.mapInArrow(scan, schema), k)
+    return candidates.mapInArrow(scan, schema)
 
 
 def approx_top_k(
@@ -500,6 +573,7 @@ def approx_top_k(
     if index is None:
         index = bucket_index(items, hashes, item_id, vector)
     found = written(bucket_top_k(queries, index, hashes, k, query_id, vector), "bucket-hits")
+    # fewer than k: too few items share a bucket with the query
     counts = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
     full = counts.filter(F.col("_n") >= k).select("query_id")
     short = queries.withColumnRenamed(query_id, "query_id").join(full, "query_id", "left_anti")

@@ -36,11 +36,12 @@ def load_silver(
 ) -> LoadResult:
     """Clean, check, keep the newest copies, then create or merge the silver table.
 
-    The cleaned rows are written once and read from there by the rule check, the
-    merge and its statistics. A critical failure raises before the table is touched.
+    ``bronze`` is a stored table: the rule check reads the few columns it needs, then
+    the newest copies are written once, to be measured and merged from there. A critical
+    failure raises before anything is written.
     """
     spark = bronze.sparkSession
-    clean = written(normalise(bronze, run_ts, carry=("ingestion_ts",)), "clean")
+    clean = normalise(bronze, run_ts, carry=("ingestion_ts",))
     report = run_rules(clean, rules)
     gate(report)
     newest = dedupe_latest(clean, key)

@@ -85,6 +85,8 @@ def test_bucket_search_finds_only_true_neighbours_and_fills_up(spark, data):
         near = [b for _, b in sorted(ranked_all[a]) if any(x == y for x, y in zip(mine, tables[b]))]
         want += [(a, b, i) for i, b in enumerate(near[:k], 1)]
     assert hits(vec.bucket_top_k(queries, index, hashes, k)) == sorted(want)
+    blocked = vec.bucket_top_k(queries, index, hashes, k, block_queries=4, chunk_vectors=30)
+    assert hits(blocked) == sorted(want)
 
     full = vec.approx_top_k(queries, items, k, index=index, hashes=hashes)
     counts = {r.query_id: r["count"] for r in full.groupBy("query_id").count().collect()}
