@@ -156,11 +156,11 @@ class _Block(NamedTuple):
     buckets: np.ndarray | None = None
 
 
-def _matrix(column) -> np.ndarray:
-    """List column (no NULL rows) to a matrix of doubles."""
+def _matrix(column, dtype: str = "float64") -> np.ndarray:
+    """List column (no NULL rows) to a matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    values = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(dtype)
     n = len(column)
     if n == 0:
         return values.reshape(0, 0)
@@ -181,7 +181,7 @@ def _block_of(table: pa.Table, with_buckets: bool = False) -> _Block:
     table = _complete(table, "query_id")
     buckets = None
     if with_buckets:
-        buckets = _matrix(table.column("buckets")).astype("int64")
+        buckets = _matrix(table.column("buckets"), "int64")
     return _Block(
         table.column("query_id").to_numpy(),
         _unit_rows(_matrix(table.column("embedding"))),
@@ -190,18 +190,31 @@ def _block_of(table: pa.Table, with_buckets: bool = False) -> _Block:
 
 
 class _Best:
-    """The k best (query, id) seen so far, kept as flat arrays."""
+    """The k best (query, id) seen so far, as flat arrays, and rows not yet compared."""
+
+    PENDING = 50_000
 
     def __init__(self, k: int) -> None:
         self.k = k
         self.q = np.empty(0, dtype="int64")
         self.score = np.empty(0)
         self.id = np.empty(0, dtype=object)
+        self._pending: list[tuple] = []
+        self._waiting = 0
 
     def add(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        q = np.concatenate([self.q, q])
-        score = np.concatenate([self.score, score])
-        ids = np.concatenate([self.id, ids])
+        self._pending.append((q, score, ids))
+        self._waiting += len(q)
+        if self._waiting > max(self.PENDING, len(self.q)):
+            self.compact()
+
+    def compact(self) -> None:
+        """Compares the waiting rows with the kept ones."""
+        if not self._pending:
+            return
+        parts = [(self.q, self.score, self.id), *self._pending]
+        q, score, ids = (np.concatenate(column) for column in zip(*parts))
+        self._pending, self._waiting = [], 0
         order = np.argsort(ids, kind="stable")
         order = order[np.lexsort((-score[order], q[order]))]
         q, score, ids = q[order], score[order], ids[order]
@@ -223,6 +236,7 @@ class _Best:
         self.add(q if q_of_row is None else q_of_row[q], scores[q, v], ids[v])
 
     def rows(self, block: _Block, id_type: pa.DataType, query_type: pa.DataType) -> pa.Table:
+        self.compact()
         return pa.table(
             {
                 "query_id": pa.array(block.ids[self.q].tolist(), type=query_type),
@@ -374,13 +388,17 @@ class BucketHash:
 
     model: object
     tables: int
+    width: int
 
     def buckets(self, df: DataFrame, vector: str = "embedding") -> DataFrame:
         """Adds ``buckets``: one bucket number per table, for the unit vectors."""
         plain = df.withColumn("_plain", array_to_vector(F.col(vector).cast("array<double>")))
         unit = Normalizer(p=2.0, inputCol="_plain", outputCol="_unit").transform(plain)
         hashed = self.model.transform(unit)
-        numbers = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(self.tables)]
+        parts = [vector_to_array(F.col("_hashes")[i])[0].cast("bigint") for i in range(self.tables * self.width)]
+        numbers = [
+            F.xxhash64(*parts[t * self.width : (t + 1) * self.width]) for t in range(self.tables)
+        ]
         return hashed.withColumn("buckets", F.array(*numbers)).drop(
             "_plain", "_unit", "_hashes"
         )
@@ -389,17 +407,31 @@ class BucketHash:
 def bucket_hash(
     items: DataFrame,
     vector: str = "embedding",
-    tables: int = 4,
-    bucket_length: float = 0.7,
+    tables: int = 8,
+    width: int = 2,
+    bucket_length: float | None = None,
     seed: int = 17,
 ) -> BucketHash:
-    """Hash functions for the items' dimension; the data itself is not read."""
+    """Hash functions for the items' dimension; of the data one row is read.
+
+    A bucket of a table is a cell of ``width`` random projections: more width makes
+    smaller buckets (take more for larger collections, whose nearest vectors are
+    nearer), more tables find more of the neighbours. The default length is two standard
+    deviations of a projected unit vector.
+    """
+    one = items.filter(F.col(vector).isNotNull()).limit(1)
+    one = written(one.select(F.col(vector).cast("array<double>").alias("_v")), "one-vector")
+    if bucket_length is None:
+        first = one.first()
+        bucket_length = 2.0 / (len(first["_v"]) ** 0.5 if first else 1.0)
     lsh = BucketedRandomProjectionLSH(
-        inputCol="_unit", outputCol="_hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
+        inputCol="_unit",
+        outputCol="_hashes",
+        bucketLength=bucket_length,
+        numHashTables=tables * width,
+        seed=seed,
     )
-    sample = items.filter(F.col(vector).isNotNull()).limit(1)
-    sample = sample.select(array_to_vector(F.col(vector).cast("array<double>")).alias("_unit"))
-    return BucketHash(lsh.fit(sample), tables)
+    return BucketHash(lsh.fit(one.select(array_to_vector("_v").alias("_unit"))), tables, width)
 
 
 SHARDS = 64
@@ -415,8 +447,9 @@ def bucket_index(
     which Spark reads in as many tasks as its files need.
     """
     hashed = hashes.buckets(_vectors(items, item_id, vector, "id").dropna())
+    # the outer form: Spark does not compute the buckets once more to test for emptiness
     return hashed.select(
-        "id", "embedding", "buckets", F.posexplode("buckets").alias("table_no", "bucket")
+        "id", "embedding", "buckets", F.posexplode_outer("buckets").alias("table_no", "bucket")
     ).withColumn("shard", F.pmod("bucket", F.lit(SHARDS)).cast("int"))
 
 
@@ -487,7 +520,7 @@ def _blocked_buckets(
                 block,
                 np.arange(len(block.ids)),
                 _unit_rows(_matrix(chunk.column("embedding"))),
-                _matrix(chunk.column("buckets")).astype("int64"),
+                _matrix(chunk.column("buckets"), "int64"),
                 chunk.column("id").to_numpy(),
                 chunk.column("table_no")[0].as_py(),
             )
@@ -534,7 +567,7 @@ def _scan_buckets(queries: DataFrame, index: DataFrame, head: pa.Table, k: int)
             if not batch.num_rows:
                 continue
             unit = _unit_rows(_matrix(batch.column("embedding")))
-            buckets = _matrix(batch.column("buckets")).astype("int64")
+            buckets = _matrix(batch.column("buckets"), "int64")
             table_no = batch.column("table_no").to_numpy()
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             own = np.take_along_axis(buckets, table_no[:, None].astype("int64"), axis=1)[:, 0]
@@ -558,8 +591,9 @@ def approx_top_k(
     query_id: str = "query_id",
     item_id: str = "id",
     vector: str = "embedding",
-    tables: int = 4,
-    bucket_length: float = 0.7,
+    tables: int = 8,
+    width: int = 2,
+    bucket_length: float | None = None,
     seed: int = 17,
     index: DataFrame | None = None,
     hashes: BucketHash | None = None,
@@ -569,7 +603,7 @@ def approx_top_k(
     Give a stored ``index`` with its ``hashes`` to search without hashing the items.
     """
     if hashes is None:
-        hashes = bucket_hash(items, vector, tables, bucket_length, seed)
+        hashes = bucket_hash(items, vector, tables, width, bucket_length, seed)
     if index is None:
         index = bucket_index(items, hashes, item_id, vector)
     found = written(bucket_top_k(queries, index, hashes, k, query_id, vector), "bucket-hits")

@@ -59,16 +59,18 @@ def test_blocked_search_equals_brute_force(data):
 def test_small_score_steps_change_nothing(data, monkeypatch):
     items, queries, m, q = data
     monkeypatch.setattr(vec, "SCORE_CELLS", 200)
+    monkeypatch.setattr(vec._Best, "PENDING", 15)
     best = vec._Best(10)
     block = vec._Block(np.arange(len(q)), vec._unit_rows(q.astype("float64")))
     vec._score_all(best, block, vec._unit_rows(m.astype("float64")), np.arange(len(m)).astype(object))
+    best.compact()
     pairs = sorted(zip(best.q.tolist(), best.id.tolist()))
     assert pairs == sorted((a, b) for a, b, _ in brute(m, q, 10))
 
 
 def test_bucket_search_finds_only_true_neighbours_and_fills_up(spark, data):
     items, queries, m, q = data
-    hashes = vec.bucket_hash(items, tables=3, bucket_length=0.5)
+    hashes = vec.bucket_hash(items, tables=4, width=2)
     path = scratch_path(spark, "test-index")
     vec.write_bucket_index(vec.bucket_index(items, hashes), path)
     index = spark.read.parquet(path)
