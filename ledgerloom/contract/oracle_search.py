@@ -235,6 +235,7 @@ ORACLE: dict[str, str] = {
     "citation_check": f"""{_asked(10)} select query_id, 3 as cited, 2 as supported, round(2 / 3, 4) as supported_share
         from records group by query_id""",
     "incremental_reembed": f"""{BOTH}, {merged_cte()}, silver as (select * from merged), {_CORPUS}, {_counts('corpus', 'nct_id', 'document')}
-        select nct_id as id, count(*) as places, round(sum(round(cast(weight as double), 6)), 3) as weight_sum
+        select nct_id as id, count(*) as places, 
+          cast(sum(cast(round(round(cast(weight as double), 6) * 1000000) as bigint)) as bigint) as weight_millionths
         from weights group by 1""",
 }

@@ -197,7 +197,9 @@ def incremental_reembed(spark, d):
     feed = cdc.change_feed(cdc.pair_changes(target, delta), SILVER_COLUMNS)
     items = vec.reembed_changed(build_items(target), feed)
     return _entries(items, "id").groupBy("id").agg(
-        F.count(F.lit(1)).alias("places"), F.round(F.sum("weight"), 3).alias("weight_sum")
+        F.count("weight").alias("places"),
+        # whole millionths: a sum of doubles would depend on their order
+        F.sum(F.round(F.col("weight") * 1_000_000).cast("bigint")).alias("weight_millionths"),
     )
 
 
