@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import token_files
+from ledgerloom.llm import decontaminate, exact_topk, substring_dedup, token_files, url_filter
 
 QUERIES = {
+    "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op4_exact_topk": exact_topk.op4_exact_topk,
     "op5_token_files": token_files.op5_token_files,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op8_url_filter": url_filter.op8_url_filter,
+}
+ORACLE = {
+    "op1_decontaminate": decontaminate.OP1_SQL,
+    "op4_exact_topk": exact_topk.OP4_SQL,
+    "op6_substring_dedup": substring_dedup.OP6_SQL,
+    "op8_url_filter": url_filter.OP8_SQL,
 }
-ORACLE: dict[str, str] = {}
