@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, exact_topk, substring_dedup, token_files, url_filter
+from ledgerloom.llm import decontaminate, exact_topk, ngram_join, substring_dedup, token_files, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_exact_topk": exact_topk.op4_exact_topk,
     "op5_token_files": token_files.op5_token_files,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,

@@ -147,6 +147,24 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - before, counts)
 
 
+def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    """An Arrow column of lists of the given lengths."""
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values))
+
+
+def grouped(keys: np.ndarray, owners: np.ndarray, values: np.ndarray, n_keys: int):
+    """Values ordered by key and owner.
+
+    Returns the owners of each key end to end, how many values each of them has there, the
+    values, and for each key the number of owners and of values.
+    """
+    order = np.lexsort((owners, keys))
+    keys, owners, values = keys[order], owners[order], values[order]
+    new = np.flatnonzero(np.r_[True, (owners[1:] != owners[:-1]) | (keys[1:] != keys[:-1])]) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.r_[new, len(keys)]).astype(np.int32)
+    return owners[new], counts, values, np.bincount(keys[new], minlength=n_keys), np.bincount(keys, minlength=n_keys)
+
+
 class PieceCache:
     """Ids of byte pieces by their hash, as flat arrays; forgets all when it is full."""
 
