@@ -42,55 +42,68 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def _zipped(array: str, other: str, by: int, how) -> Column:
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once; Spark would repeat it at each mention."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _zipped(array: Column, other: Column, by: int, how) -> Column:
     """``how`` of each element and the one of ``other`` that stands ``by`` places on."""
     return F.zip_with(array, F.slice(other, F.lit(by + 1), F.size(other)), how)
 
 
-def _grams(df: DataFrame, size: int) -> DataFrame:
-    """Column ``gram``: a hash of every ``size`` consecutive elements of ``hashed``.
+def grams(hashed: Column, size: int) -> Column:
+    """A hash of every ``size`` consecutive elements.
 
     Built from hashes of 2, 4, 8 ... elements, so the work per word grows with log(size).
     """
-    df, parts, width = df.withColumn("__p1", F.col("hashed")), {1: "__p1"}, 1
-    while 2 * width <= size:
-        name = f"__p{2 * width}"
-        df = df.withColumn(name, _zipped(parts[width], parts[width], width, lambda a, b: F.xxhash64(a, b)))
-        parts[2 * width], width = name, 2 * width
-    df, done = df.withColumn("gram", F.col(parts[width])), width
-    while done < size:
+
+    def combine(a, b):
+        return F.xxhash64(a, b)
+
+    def finish(gram: Column, done: int, parts: dict) -> Column:
+        if done == size:
+            return F.slice(gram, F.lit(1), F.greatest(F.size(hashed) - F.lit(size - 1), F.lit(0)))
         width = max(w for w in parts if w <= size - done)
-        df = df.withColumn("gram", _zipped("gram", parts[width], done, lambda a, b: F.xxhash64(a, b)))
-        done += width
-    whole = F.greatest(F.size("hashed") - F.lit(size - 1), F.lit(0))
-    return df.withColumn("gram", F.slice("gram", F.lit(1), whole)).drop(*parts.values())
+        return _bound(_zipped(gram, parts[width], done, combine), lambda g: finish(g, done + width, parts))
+
+    def grow(parts: dict) -> Column:
+        width = max(parts)
+        if 2 * width > size:
+            return finish(parts[width], width, parts)
+        return _bound(_zipped(parts[width], parts[width], width, combine), lambda p: grow({**parts, 2 * width: p}))
 
+    return grow({1: hashed})
 
-def _over_windows(df: DataFrame, column: str, width: int, how) -> DataFrame:
-    """``how`` (least or greatest) over each element and the ``width - 1`` next ones."""
-    done = 1
-    while done < width:
-        by = min(done, width - done)
-        df = df.withColumn(column, _zipped(column, column, by, lambda a, b: how(a, b)))
-        done += by
-    return df
 
+def _over_windows(values: Column, width: int, how, use, done: int = 1) -> Column:
+    """``use`` of ``how`` (least or greatest) over each element and its ``width - 1`` next ones."""
+    if done == width:
+        return use(values)
+    by = min(done, width - done)
+    step = _zipped(values, values, by, lambda a, b: how(a, b))
+    return _bound(step, lambda v: _over_windows(v, width, how, use, done + by))
 
-def fingerprints(df: DataFrame, passage: int = PASSAGE_WORDS, gram: int = GRAM_WORDS) -> DataFrame:
-    """Column ``prints``: a k-gram's hash where it is the least of some window, else null.
 
-    ``df`` has ``hashed``. Texts with fewer words than a passage get no fingerprints.
+def fingerprints(hashed: Column, passage: int = PASSAGE_WORDS, gram: int = GRAM_WORDS) -> Column:
+    """A k-gram's hash where it is the least of some window, else null, for every k-gram.
+
+    Texts with fewer words than a passage get an empty array.
     """
     width = passage - gram + 1
-    df = _grams(df, gram)
-    df = _over_windows(df.withColumn("lowest", F.col("gram")), "lowest", width, F.least)
-    windows = F.greatest(F.size("gram") - F.lit(width - 1), F.lit(0))
-    # each window's least hash, moved to the places that the window covers
     filler = F.array_repeat(F.lit(None).cast("long"), width - 1)
-    df = df.withColumn("lowest", F.concat(filler, F.slice("lowest", F.lit(1), windows)))
-    df = _over_windows(df, "lowest", width, F.greatest)
-    prints = F.zip_with("gram", "lowest", lambda g, least: F.when(g == least, g))
-    return df.withColumn("prints", F.when(windows > 0, prints).otherwise(F.array().cast("array<long>"))).drop("gram", "lowest")
+
+    def kept(g: Column) -> Column:
+        windows = F.greatest(F.size(g) - F.lit(width - 1), F.lit(0))
+
+        def raise_(lowest: Column) -> Column:
+            # each window's least hash, moved to the places that the window covers
+            placed = F.concat(filler, F.slice(lowest, F.lit(1), windows))
+            return _bound(placed, lambda p: _over_windows(p, width, F.greatest, lambda top: F.zip_with(g, top, lambda a, b: F.when(a == b, a))))
+
+        return _over_windows(g, width, F.least, raise_)
+
+    return F.when(F.size(hashed) < passage, F.array().cast("array<long>")).otherwise(_bound(grams(hashed, gram), kept))
 
 
 def _hashed(words: Column) -> Column:
@@ -107,10 +120,9 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, passage: int) -> Da
 def _lookup(docs: DataFrame, items: DataFrame, passage: int, gram: int, length: int) -> tuple[DataFrame, DataFrame]:
     """Printed documents (an array ``prints``) and items (rows) for passages of ``length`` words."""
     own = items.filter(F.col("length") == length).select("item", _hashed(F.col("words")).alias("hashed"))
-    if length == passage:
-        docs, own = fingerprints(docs, passage, gram), fingerprints(own, passage, gram)
-    else:
-        docs, own = (_grams(x, length).withColumnRenamed("gram", "prints") for x in (docs, own))
+    hashed = F.col("hashed")
+    prints = fingerprints(hashed, passage, gram) if length == passage else grams(hashed, length)
+    docs, own = docs.withColumn("prints", prints).drop("hashed"), own.withColumn("prints", prints)
     rows = own.select("item", F.posexplode("prints").alias("item_at", "print")).filter("print is not null")
     return docs, rows
 
@@ -130,9 +142,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, passage: int = PAS
         rows = rows.withColumn("is_print", F.lit(True))
         # the last row of a document stands for the document itself and meets no item
         marked = F.concat("prints", F.array(F.lit(None).cast("long")))
-        spread = printed.select("doc_id", "text_hash", "n_words", F.size("prints").alias("last"), F.posexplode(marked).alias("doc_at", "print"))
-        spread = spread.filter("print is not null or doc_at = last").select(
-            "doc_id", "text_hash", "n_words", "doc_at", (F.col("doc_at") == F.col("last")).alias("whole"),
+        taken = F.when(F.col("n_words") < length, 0).otherwise(F.col("n_words") - (gram if length == passage else length) + 1)
+        spread = printed.select("doc_id", "text_hash", "n_words", F.posexplode(marked).alias("doc_at", "print")).withColumn("whole", F.col("doc_at") == taken)
+        spread = spread.filter("print is not null or whole").select(
+            "doc_id", "text_hash", "n_words", "doc_at", "whole",
             F.coalesce("print", F.xxhash64("text_hash", "doc_id")).alias("print"),
         )
         met = spread.join(small(rows), (spread["print"] == rows["print"]) & (spread["whole"] != rows["is_print"]), "left")
