@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, exact_topk, ngram_join, substring_dedup, token_files, url_filter
+from ledgerloom.llm import decontaminate, exact_topk, ngram_join, substring_dedup, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_token_files": token_files.op5_token_files,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.OP1_SQL,
