@@ -2,15 +2,29 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import decontaminate, exact_topk, ngram_join, substring_dedup, token_files, toxicity, url_filter
+from ledgerloom.llm import (
+    decontaminate,
+    exact_topk,
+    language_id,
+    licences,
+    ngram_join,
+    piece_transducer,
+    substring_dedup,
+    token_files,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_licences": licences.op2_licences,
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_exact_topk": exact_topk.op4_exact_topk,
     "op5_token_files": token_files.op5_token_files,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
+    "op7_language_id": language_id.op7_language_id,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_sentencepiece": piece_transducer.op9_sentencepiece,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 ORACLE = {

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +27,14 @@ def tasks_for(df: DataFrame, amount: int, each: int) -> int:
     """Number of partitions of about ``each`` units, as many as the session has at least."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, -(-amount // each))
+
+
+class Shared:
+    """An object that every task can read; its class travels with it."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self.held.value)

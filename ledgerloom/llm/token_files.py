@@ -117,7 +117,8 @@ class Encoder:
         """First and last row, ids end to end with end ids, and the length of each text."""
         for first, last, data, starts in ws.blocks(texts):
             data, begins, ends = _pieces(data, starts)
-            ids, counts = self.cache.encode(data, begins, ends, self._new)
+            raw = data.tobytes()
+            ids, counts = self.cache.encode(ws.hashes(data, begins, ends), lambda at: self._new([raw[a:b] for a, b in zip(begins[at].tolist(), ends[at].tolist())]))  # noqa: B023
             before = np.r_[0, np.cumsum(counts)][np.searchsorted(begins, starts)]
             yield first, last, np.insert(ids, before[1:], self.end_id).astype(self.dtype), np.diff(before) + 1
 

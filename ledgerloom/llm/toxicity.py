@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import wordscan as ws
-from ledgerloom.llm.tables import small, table
+from ledgerloom.llm.tables import Shared, small, table
 from ledgerloom.session import written
 
 EXAMPLES = 4096
@@ -253,7 +253,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     index = Examples(kept, label, stands_for, totals.get(1, 0) / every if every else 0.0, len(terms))
     if len(label):
         index.calibrate(np.array([index.vote(*index.nearest(t, w, neighbours, i)) if len(t) else index.share for i, (t, w) in enumerate(kept)]))
-    shared = [spark.sparkContext.broadcast(x) for x in (index, idf, near["doc_id"].to_numpy())]
+    shared = [Shared(spark, x) for x in (index, idf, near["doc_id"].to_numpy())]
     return vectors.mapInArrow(_score(*shared, neighbours), "doc_id long, text_hash long, score double, evidence array<struct<example: long, label: int, cosine: double>>").withColumnRenamed("doc_id", id_col)
 
 

@@ -123,6 +123,14 @@ def hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(_U))
 
 
+def code_hashes(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the code points from each begin to its end."""
+    up, down = _BYTES(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, _U)
+    np.cumsum(mix(codes.astype(_U) + _U(1)) * up[: len(codes)], out=sums[1:])
+    return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(_U))
+
+
 def window_hashes(words: np.ndarray, size: int, which: int = 1) -> np.ndarray:
     """Rabin-Karp hash of every ``size`` consecutive word hashes; ``which`` of two bases."""
     n = len(words)
@@ -194,18 +202,16 @@ class PieceCache:
         self.counts = np.r_[self.counts, counts][order]
         self.ids = np.r_[self.ids, ids.astype(np.uint32)]
 
-    def encode(self, data, begins, ends, encoder) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, keys: np.ndarray, encoder) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces end to end, and the number of ids of each piece.
 
-        ``encoder`` takes a list of bytes and returns counts and flat ids; it is asked
-        once for each piece that the cache doesn't hold.
+        ``keys``: a hash of each piece. ``encoder`` gets the places of those pieces that the
+        cache doesn't hold, each once, and returns their counts and flat ids.
         """
-        keys, first, back = np.unique(hashes(data, begins, ends), return_index=True, return_inverse=True)
+        keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
         missing = np.flatnonzero(self.find(keys) < 0)
         if len(missing):
-            raw = data.tobytes()
-            b, e = begins[first[missing]].tolist(), ends[first[missing]].tolist()
-            counts, ids = encoder([raw[x:y] for x, y in zip(b, e)])
+            counts, ids = encoder(first[missing])
             if len(self.keys) + len(missing) > self.most:  # what this block needs stays
                 known = self.find(keys)
                 keep = known[known >= 0]
