@@ -1,7 +1,8 @@
-"""The numbered queries of this folder and their SQL."""
+"""The numbered queries of this folder, the pipeline, and their SQL."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ledgerloom.llm import (
     decontaminate,
     exact_topk,
@@ -16,6 +17,7 @@ from ledgerloom.llm import (
 )
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op2_licences": licences.op2_licences,
     "op3_ngram_join": ngram_join.op3_ngram_join,
