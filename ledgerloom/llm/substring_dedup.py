@@ -34,10 +34,6 @@ NULL_ID = (1 << 63) - 1
 _DEALT = "bucket int, flagged boolean, doc_ids array<long>, counts array<int>, hashes array<long>"
 
 
-def _lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values))
-
-
 def _windows_of(texts: pa.Array, window: int):
     """First row, last row, word begins, words before each text, and each text's windows."""
     for first, last, data, starts in ws.blocks(texts):
@@ -48,17 +44,6 @@ def _windows_of(texts: pa.Array, window: int):
         yield first, last, data, starts, begins, before, counts, places, word
 
 
-def _grouped(hashes, docs, keys, n_keys):
-    """Hashes ordered by key and document: per key the documents, counts and hashes."""
-    order = np.lexsort((docs, keys))
-    hashes, docs, keys = hashes[order], docs[order], keys[order]
-    new = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])]) if len(docs) else np.zeros(0, np.int64)
-    counts = np.diff(np.r_[new, len(docs)])
-    per_key = np.bincount(keys[new], minlength=n_keys)
-    rows = np.bincount(keys, minlength=n_keys)
-    return docs[new], counts.astype(np.int32), hashes, per_key, rows
-
-
 def _first_and_later(hashes, docs):
     """Ordered by hash and document: which rows are of the hash's smallest document, which of a
     larger one, and which repeat the row before."""
@@ -70,6 +55,20 @@ def _first_and_later(hashes, docs):
     return order, new, (d > least) & ~again
 
 
+def _part(docs: np.ndarray, n: int) -> np.ndarray:
+    return (ws.mix(docs.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
+
+
+def _by_key(keys, docs, hashes, n: int, flagged: bool) -> pa.RecordBatch:
+    """One row per key: its documents, how many hashes each has there, and the hashes."""
+    ids, counts, flat, per_key, per_row = ws.grouped(keys, docs, hashes, n)
+    some = per_key > 0
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.flatnonzero(some).astype(np.int32)), pa.array(np.full(some.sum(), flagged)), ws.lists(ids, per_key[some]), ws.lists(counts, per_key[some]), ws.lists(flat.view(np.int64), per_row[some])],
+        names=["bucket", "flagged", "doc_ids", "counts", "hashes"],
+    )
+
+
 def _deal(window: int, n_buckets: int):
     """A task's windows by bucket; those already known to repeat are flagged."""
 
@@ -78,19 +77,9 @@ def _deal(window: int, n_buckets: int):
         order, new, later = _first_and_later(hashes, docs)
         keep, known = order[new], order[later]
         bucket = (other[keep] % np.uint64(n_buckets)).astype(np.int64)
-        ids, counts, flat, per_key, per_row = _grouped(hashes[keep], docs[keep], bucket, n_buckets)
-        some = per_key > 0
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.flatnonzero(some).astype(np.int32)), pa.array(np.zeros(some.sum(), bool)), _lists(ids, per_key[some]), _lists(counts, per_key[some]), _lists(flat.view(np.int64), per_row[some])],
-            names=["bucket", "flagged", "doc_ids", "counts", "hashes"],
-        )
+        yield _by_key(bucket, docs[keep], hashes[keep], n_buckets, flagged=False)
         if len(known):
-            ids, counts, flat, _, _ = _grouped(hashes[known], docs[known], np.zeros(len(known), np.int64), 1)
-            ones = np.ones(len(ids), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((ws.mix(ids.astype(np.uint64)) % np.uint64(n_buckets)).astype(np.int32)), pa.array(ones.astype(bool)), _lists(ids, ones), _lists(counts, ones), _lists(flat.view(np.int64), counts)],
-                names=["bucket", "flagged", "doc_ids", "counts", "hashes"],
-            )
+            yield _by_key(_part(docs[known], n_buckets), docs[known], hashes[known], n_buckets, flagged=True)
 
     def deal(batches):
         held, size = [], 0
@@ -110,32 +99,62 @@ def _deal(window: int, n_buckets: int):
     return deal
 
 
-def _find_repeats(batches):
-    """Per bucket (the rows come ordered by it): the windows of all but the first document."""
+def _row(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a row and the document of each."""
+    docs, counts, hashes = (batch.column(j)[i].values.to_numpy() for j in (2, 3, 4))
+    return hashes.view(np.uint64), np.repeat(docs, counts)
 
-    def rows(held):
-        hashes = np.concatenate([h for h, _ in held])
-        docs = np.concatenate([d for _, d in held])
-        order, _, later = _first_and_later(hashes, docs)
-        found = order[later]
-        if len(found):
-            ids, counts, flat, _, _ = _grouped(hashes[found], docs[found], np.zeros(len(found), np.int64), 1)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), _lists(flat, counts)], names=["doc_id", "hashes"])
 
+def _each_key(batches, use):
+    """``use(hashes, docs)`` for each key; rows come ordered by it."""
     held, current = [], None
     for batch in batches:
-        for i, (bucket, flagged) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            ids = batch.column(2)[i].values.to_numpy()
-            if flagged:
-                yield pa.RecordBatch.from_arrays([pa.array(ids), batch.column(4).slice(i, 1)], names=["doc_id", "hashes"])
-                continue
-            if bucket != current and held:
-                yield from rows(held)
+        for i, key in enumerate(batch.column(0).to_pylist()):
+            if key != current and held:
+                yield from use(*(np.concatenate(x) for x in zip(*held)))
                 held = []
-            current = bucket
-            held.append((batch.column(4)[i].values.to_numpy(), np.repeat(ids, batch.column(3)[i].values.to_numpy())))
+            current = key
+            held.append(_row(batch, i))
     if held:
-        yield from rows(held)
+        yield from use(*(np.concatenate(x) for x in zip(*held)))
+
+
+def _find_repeats(n_parts: int):
+    """Per bucket the windows of all but the first document, dealt to parts by document."""
+
+    def repeats(hashes, docs):
+        order, _, later = _first_and_later(hashes, docs)
+        found = order[later]
+        if len(found):
+            yield _by_key(_part(docs[found], n_parts), docs[found], hashes[found], n_parts, flagged=True)
+
+    def find(batches):
+        counted = []
+
+        def split():
+            for batch in batches:
+                flagged = batch.column(1).to_numpy(zero_copy_only=False)
+                if flagged.any():  # dealt by document already
+                    counted.append(batch.filter(pa.array(flagged)))
+                yield batch.filter(pa.array(~flagged))
+
+        for out in _each_key(split(), repeats):
+            yield from counted
+            counted.clear()
+            yield out
+        yield from counted
+
+    return find
+
+
+def _gather(batches):
+    """Per part, ordered by it: one row per document with all its repeated windows."""
+
+    def rows(hashes, docs):
+        ids, counts, flat, _, _ = ws.grouped(np.zeros(len(docs), np.int64), docs, hashes, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), ws.lists(flat.view(np.int64), counts)], names=["doc_id", "__hits"])
+
+    yield from _each_key(batches, rows)
 
 
 def _cut(window: int, text_at: int, hits_at: int, names: list[str]):
@@ -194,8 +213,8 @@ def remove_repeated_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_
     chars = keyed.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_buckets = tasks_for(docs, chars, BUCKET_CHARS)
     dealt = keyed.mapInArrow(_deal(window, n_buckets), _DEALT)
-    repeats = dealt.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_find_repeats, "doc_id long, hashes array<long>")
-    hits = repeats.groupBy("doc_id").agg(F.flatten(F.collect_list("hashes")).alias("__hits"))
+    repeats = dealt.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_find_repeats(n_buckets), _DEALT)
+    hits = repeats.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_gather, "doc_id long, __hits array<long>")
     # the other columns travel as one struct, under names that can't clash
     rest = [c for c in docs.columns if c != text_col]
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__rest"), F.col(text_col).alias("__text"), key.alias("__key"))
