@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import written
 from ledgerloom.contract.views import (
     DAY_1,
     DAY_2,
@@ -59,8 +60,8 @@ def record_fingerprint(spark, d):
 
 
 def stream_columns(spark, d):
-    out = normalise_stream(trial_view(spark, d, summary=False), arrival_ts=F.lit(DAY_2).cast("timestamp"))
-    out = as_text(out.drop("brief_summary"))
+    out = normalise_stream(trial_view(spark, d), arrival_ts=F.lit(DAY_2).cast("timestamp"))
+    out = as_text(out)
     return out.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("ingestion_ts", "_silver_ts")}
     )
@@ -223,9 +224,9 @@ def duplicate_count(spark, d):
 
 
 def dedupe_latest_query(spark, d):
-    first, second = raw_days(spark, d, conditions=False, summary=False)
+    first, second = raw_days(spark, d)
     clean = normalise(first.unionByName(second), DAY_2, carry=("ingestion_ts",))
-    return as_text(dedupe_latest(clean)).drop("conditions", "brief_summary")
+    return as_text(dedupe_latest(clean))
 
 
 def cdc_merge_frame(spark, d, update_columns=None, **parts):
@@ -238,17 +239,29 @@ def cdc_merge(spark, d):
 
 
 def cdc_merge_wide(spark, d):
-    return as_text(cdc_merge_frame(spark, d, WIDE_UPDATE_COLUMNS, summary=False)).drop("brief_summary")
+    return as_text(cdc_merge_frame(spark, d, WIDE_UPDATE_COLUMNS))
 
 
 def cdc_merge_narrow(spark, d):
-    return as_text(cdc_merge_frame(spark, d, NARROW_UPDATE_COLUMNS, summary=False)).drop("brief_summary")
+    return as_text(cdc_merge_frame(spark, d, NARROW_UPDATE_COLUMNS))
 
 
 def cdc_change_feed(spark, d):
-    target, delta = silver_days(spark, d, conditions=False, summary=False)
+    target, delta = silver_days(spark, d)
     feed = cdc.change_feed(cdc.pair_changes(target, delta), SILVER_COLUMNS)
-    return as_text(feed).drop("conditions", "brief_summary")
+    return as_text(feed)
+
+
+def cdc_merge_late(spark, d):
+    """The first delivery, the same again two days on, then a changed one of the day between."""
+    raw, _ = raw_days(spark, d)
+    late = raw.withColumn("overall_status", F.lit("withdrawn"))
+    table = None
+    for rows, day in ((raw, DAY_1), (raw, "2024-01-03 00:00:00"), (late, DAY_2)):
+        arrived = rows.withColumn("ingestion_ts", F.lit(day))
+        delta = written(normalise(arrived, day, carry=("ingestion_ts",)), "late-delta")
+        table = delta if table is None else cdc.merge_changes(table, delta, order_by="ingestion_ts")
+    return as_text(table).withColumn("ingestion_ts", F.col("ingestion_ts").cast("string"))
 
 
 def cdc_stats(spark, d):
@@ -346,6 +359,7 @@ QUERIES: dict[str, Query] = {
     "cdc_merge_wide": cdc_merge_wide,
     "cdc_merge_narrow": cdc_merge_narrow,
     "cdc_change_feed": cdc_change_feed,
+    "cdc_merge_late": cdc_merge_late,
     "cdc_stats": cdc_stats,
     "updated_rows": updated_rows,
     "facet_search": facet_search,

@@ -10,7 +10,7 @@ from ledgerloom.contract.views import DAY_1, DAY_2, raw_days, study_pages, trial
 from ledgerloom.operators import gold
 from ledgerloom.operators.normalise import normalise
 from ledgerloom.plans.medallion import load_silver, refresh_gold
-from ledgerloom.session import scratch_path
+from ledgerloom.session import scratch_path, written
 from ledgerloom.sinks.bronze import land_bronze, since
 from ledgerloom.sinks.snapshots import read_snapshot
 from ledgerloom.sources.pages import (
@@ -22,9 +22,9 @@ from ledgerloom.sources.pages import (
     with_ingest_metadata,
 )
 from ledgerloom.sources.tables import scan_path
-from ledgerloom.streaming.bronze import evolve_schema, stream_bronze
+from ledgerloom.streaming.bronze import evolve_schema, fit, stream_bronze
 from ledgerloom.streaming.merge import stream_merge
-from ledgerloom.streaming.silver import run_to_end, stream_silver, write_stream
+from ledgerloom.streaming.silver import run_to_end, stream_silver, write_stream, write_with_expectations
 
 FLAT = (
     "nct_id",
@@ -88,46 +88,65 @@ def condition_arrays(spark, d):
     return gold.exploded_analytics(flat, labels="condition_list", distinct_labels=True)
 
 
+def _with_raw(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("raw_json", F.to_json(F.struct(*raw.columns)))
+
+
 def bronze_append(spark, d):
     """Two deliveries appended to the raw table; only the later one is read back whole."""
     path = scratch_path(spark, "bronze")
-    for raw in raw_days(spark, d, summary=False):
-        land_bronze(raw.withColumn("raw_json", F.to_json(F.struct("nct_id", "phase"))), path)
+    for raw in raw_days(spark, d):
+        land_bronze(_with_raw(raw), path)
     bronze = scan_path(spark, path)
-    totals = bronze.groupBy(F.col("ingestion_date").cast("string").alias("ingestion_date")).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum("enrollment_count").alias("total_enrollment"),
-        F.count("raw_json").alias("with_raw"),
-    )
-    later = since(bronze, "2024-01-01").agg(
-        F.lit("later").alias("ingestion_date"),
+    totals = (
         F.count(F.lit(1)).alias("row_count"),
         F.sum("enrollment_count").alias("total_enrollment"),
         F.count("raw_json").alias("with_raw"),
+        F.sum(F.length("brief_summary")).alias("summary_chars"),
+        F.sum(F.length(F.get_json_object("raw_json", "$.brief_summary"))).alias("raw_summary_chars"),
+        F.sum(F.length(F.get_json_object("raw_json", "$.conditions"))).alias("raw_condition_chars"),
     )
-    return totals.unionAll(later)
+    by_day = bronze.groupBy(F.col("ingestion_date").cast("string").alias("ingestion_date")).agg(*totals)
+    later = since(bronze, DAY_1).agg(F.lit("later").alias("ingestion_date"), *totals)
+    return by_day.unionAll(later)
 
 
-def _two_loads(spark, d, **parts):
+def _two_loads(spark, d):
     bronze, base = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    for raw, ts in zip(raw_days(spark, d, **parts), (DAY_1, DAY_2)):
-        land_bronze(raw.withColumn("raw_json", F.lit(None).cast("string")), bronze)
-        # the second load reads both deliveries and keeps the newest copies
-        load_silver(scan_path(spark, bronze), base, ts)
+    seen = None
+    for raw, ts in zip(raw_days(spark, d), (DAY_1, DAY_2)):
+        land_bronze(_with_raw(raw), bronze)
+        # each load reads what has arrived since the one before
+        load_silver(since(scan_path(spark, bronze), seen), base, ts)
+        seen = ts
     return read_snapshot(spark, base)
 
 
 def silver_load(spark, d):
     """Two loads into the clean table: create, then merge."""
-    return as_text(_two_loads(spark, d, summary=False)).drop("brief_summary")
+    return as_text(_two_loads(spark, d)).drop("ingestion_ts")
 
 
 def gold_refresh(spark, d):
     """The four summary tables written, and their row counts."""
-    silver = _two_loads(spark, d, summary=False)
+    silver = _two_loads(spark, d)
     return refresh_gold(spark, silver, scratch_path(spark, "gold"), DAY_2)
 
 
+def page_quarantine(spark, d):
+    """Pages of which every third is cut off: what is read of each term, and what is set aside."""
+    path, broken = scratch_path(spark, "broken-pages"), scratch_path(spark, "quarantine")
+    pages = study_pages(trial_view(spark, d))
+    text = F.to_json(F.struct("studies"))
+    cut = F.when(F.col("page") % 3 == 0, F.substring(text, 1, F.floor(F.length(text) / 2).cast("int"))).otherwise(text)
+    pages.select("query_term", cut.alias("value")).write.partitionBy("query_term").text(path)
+    studies = flatten_studies(read_pages(spark, path, broken=broken))
+    read = studies.groupBy("query_term").agg(F.count(F.lit(1)).alias("studies_read"), F.lit(0).cast("bigint").alias("broken_pages"))
+    aside = spark.read.parquet(broken).select(F.regexp_extract("_source_file", "query_term=([^/]*)/", 1).alias("query_term"))
+    lost = aside.groupBy("query_term").agg(F.lit(0).cast("bigint").alias("studies_read"), F.count(F.lit(1)).alias("broken_pages"))
+    return read.unionAll(lost).groupBy("query_term").agg(F.sum("studies_read").alias("studies_read"), F.sum("broken_pages").alias("broken_pages"))
+
+
 def _flat_json(raw: DataFrame) -> DataFrame:
     return raw.select(*FLAT, "ingestion_ts", "source")
 
@@ -151,19 +170,75 @@ def stream_gold(spark, d):
     return gold.status_summary(silver, duration=None, rounded=False)
 
 
-def stream_cdc(spark, d):
-    """Two deliveries landed one after the other, each folded in by a triggered run."""
-    landing, base = scratch_path(spark, "landing"), scratch_path(spark, "stream-merge")
-    checkpoint = scratch_path(spark, "checkpoint")
+def _stream_in(spark, base, *deliveries):
+    """Deliveries landed one after the other, each folded in by a triggered run."""
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "checkpoint")
 
     def prepare(batch):
         return normalise(batch, F.col("ingestion_ts").cast("timestamp"), carry=("ingestion_ts",))
 
-    for raw in raw_days(spark, d, summary=False):
+    for raw in deliveries:
         _land_json(_flat_json(raw), landing)
         bronze = stream_bronze(spark, landing, raw_schema())
-        run_to_end(stream_merge(bronze, base, checkpoint, prepare, order_by="ingestion_ts"))
-    return as_text(read_snapshot(spark, base).drop("ingestion_ts", "brief_summary"))
+        run_to_end(stream_merge(bronze, base, checkpoint, prepare))
+    return as_text(read_snapshot(spark, base).drop("ingestion_ts"))
+
+
+def stream_cdc(spark, d):
+    """Two deliveries through the stream."""
+    return _stream_in(spark, scratch_path(spark, "stream-merge"), *raw_days(spark, d))
+
+
+def stream_cdc_existing(spark, d):
+    """A batch load makes the table; a stream that starts on it brings the second delivery."""
+    base = scratch_path(spark, "stream-merge")
+    first, second = raw_days(spark, d)
+    load_silver(written(first, "first-delivery"), base, DAY_1)
+    return _stream_in(spark, base, second)
+
+
+def stream_expectation_counts(spark, d):
+    """Rows that break a rule, per rule, and what is kept and set aside."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "expected")
+    counts, aside = scratch_path(spark, "counts"), scratch_path(spark, "set-aside")
+    raw = trial_view(spark, d)
+    key = F.substring("nct_id", 4, 8).cast("bigint")
+    dirty = raw.withColumns(
+        {
+            "nct_id": F.when(key % 11 == 0, F.substring("nct_id", 4, 8)).otherwise(F.col("nct_id")),
+            "brief_title": F.when(key % 13 == 0, "none").otherwise(F.col("brief_title")),
+        }
+    )
+    _land_json(_flat_json(dirty), landing)
+    bronze = stream_bronze(spark, landing, raw_schema(), max_files_per_trigger=1)
+    run_to_end(write_with_expectations(bronze, out, scratch_path(spark, "checkpoint"), counts, aside))
+    found = spark.read.parquet(counts).groupBy("rule").agg(F.sum("failed_rows").alias("row_count"))
+    kept, broken = (spark.read.parquet(p).select(F.lit(n).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("row_count")) for n, p in (("kept", out), ("set_aside", aside)))
+    return found.unionAll(kept).unionAll(broken)
+
+
+def stream_type_widening(spark, d):
+    """A count that comes as text, and a field within a struct, in the second delivery."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "widened")
+    location, checkpoint = scratch_path(spark, "schema"), scratch_path(spark, "checkpoint")
+    first, second = raw_days(spark, d)
+    approx = F.when(F.col("query_term") == "BUILDING", F.concat("enrollment_count", F.lit(" approx")))
+    kept = None
+    for raw in (
+        first.select("nct_id", "enrollment_count", F.struct("query_term").alias("site")),
+        second.select("nct_id", F.coalesce(approx, F.col("enrollment_count").cast("string")).alias("enrollment_count"), F.struct("query_term", "study_type").alias("site")),
+    ):
+        _land_json(raw, landing)
+        schema = evolve_schema(spark, landing, location)
+        kept = kept or schema
+        run_to_end(write_stream(fit(stream_bronze(spark, landing, schema), kept), out, checkpoint))
+    stored = scan_path(spark, out, merge_schema=True)
+    return stored.groupBy(F.col("site.query_term").alias("query_term")).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum("enrollment_count").alias("total_enrollment"),
+        F.count(F.element_at("_rescued", "enrollment_count")).alias("rescued"),
+        F.count("site.study_type").alias("with_study_type"),
+    )
 
 
 def stream_schema_widening(spark, d):
@@ -199,5 +274,9 @@ QUERIES = {
     "stream_silver": stream_silver_query,
     "stream_gold": stream_gold,
     "stream_cdc": stream_cdc,
+    "stream_cdc_existing": stream_cdc_existing,
+    "stream_expectation_counts": stream_expectation_counts,
+    "stream_type_widening": stream_type_widening,
+    "page_quarantine": page_quarantine,
     "stream_schema_widening": stream_schema_widening,
 }

@@ -237,8 +237,8 @@ ORACLE: dict[str, str] = {
             coalesce(cast(completion_date as varchar), '') || '|' || coalesce(lead_sponsor, '')) as hash_5_null_kept
         from silver""",
     "stream_columns": f"""with {_TRIAL}, {_clean('silver', 'trial', DAY_1, ', source, ingestion_ts')}
-        select {_out(('brief_summary', 'conditions', 'created_on', 'updated_on', '_update_count', '_record_hash'))},
-        conditions, source, ingestion_ts,
+        select {_out(('created_on', 'updated_on', '_update_count', '_record_hash'))},
+        source, ingestion_ts,
         md5(concat_ws('|', nct_id, overall_status, cast(enrollment_count as varchar),
             cast(completion_date as varchar))) as _record_hash,
         '{DAY_2} 00:00:00' as _silver_ts from silver""",
@@ -307,19 +307,21 @@ ORACLE: dict[str, str] = {
     "dedupe_latest": f"""with {_TRIAL}, {_DAYS},
         both_days as (select * from day_1 union all by name select * from day_2),
         {_clean('silver', 'both_days', DAY_2, ', ingestion_ts')}
-        select {_out(('conditions', 'brief_summary'))}, ingestion_ts from silver
+        select {_out()}, ingestion_ts from silver
         qualify row_number() over (partition by nct_id order by ingestion_ts desc, last_update_date desc nulls last,
           _record_hash desc) = 1""",
     "cdc_merge": _merge(),
-    "cdc_merge_wide": _merge(_WIDE, ("brief_summary",)),
-    "cdc_merge_narrow": _merge(_NARROW, ("brief_summary",)),
+    "cdc_merge_wide": _merge(_WIDE),
+    "cdc_merge_narrow": _merge(_NARROW),
     "cdc_change_feed": f"""{BOTH}, {merged_cte()}
-        select {_out(('conditions', 'brief_summary'))},
+        select {_out()},
           case action when 'inserted' then 'insert' else 'update_postimage' end as _change_type
         from merged where action in ('inserted', 'updated')
         union all
-        select {_out(('conditions', 'brief_summary'), 'o.')}, 'update_preimage' from {_PAIRS}
+        select {_out((), 'o.')}, 'update_preimage' from {_PAIRS}
         where o._record_hash <> n._record_hash""",
+    "cdc_merge_late": f"""with {_TRIAL}, {_DAYS}, {_clean('silver', 'day_1', DAY_1)}
+        select {_out()}, '2024-01-03 00:00:00' as ingestion_ts from silver""",
     "cdc_stats": f"{BOTH} select {_ACTION} as action, count(*) as row_count from {_PAIRS} group by 1",
     "updated_rows": f"""{BOTH} select count(*) as updated_records from old o join fresh n on o.nct_id = n.nct_id
         where o._record_hash <> n._record_hash""",

@@ -18,7 +18,7 @@ _FLAT = """nct_id, brief_title, overall_status, phase, start_date, completion_da
   study_type, enrollment_count, conditions, brief_summary, lead_sponsor"""
 
 # The newest delivery wins in the merged table; a stream has the same columns.
-_MERGED = f"{BOTH}, {merged_cte()} select {_out(('brief_summary',))} from merged"
+_MERGED = f"{BOTH}, {merged_cte()} select {_out()} from merged"
 
 
 def _counts(source: str, key: str, text: str) -> str:
@@ -141,10 +141,13 @@ ORACLE: dict[str, str] = {
     "page_terms": f"""{RAW} select query_term, count(*) as row_count, count(conditions) as with_conditions,
         cast(sum(enrollment_count) as bigint) as total_enrollment from trial group by query_term""",
     "condition_arrays": f"{SILVER} {_CONDITIONS}",
-    "bronze_append": f"""{BOTH_RAW}, both_days as (select * from day_1 union all by name select * from day_2)
-        select substr(ingestion_ts, 1, 10) as ingestion_date, count(*) as row_count,
-          cast(sum(enrollment_count) as bigint) as total_enrollment, count(*) as with_raw from both_days group by 1
-        union all select 'later', count(*), cast(sum(enrollment_count) as bigint), count(*) from day_2""",
+    "bronze_append": f"""{BOTH_RAW}, both_days as (select * from day_1 union all by name select * from day_2),
+        labelled as (select substr(ingestion_ts, 1, 10) as ingestion_date, * exclude (ingestion_ts) from both_days
+          union all by name select 'later' as ingestion_date, * exclude (ingestion_ts) from day_2)
+        select ingestion_date, count(*) as row_count, cast(sum(enrollment_count) as bigint) as total_enrollment,
+          count(*) as with_raw, cast(sum(length(brief_summary)) as bigint) as summary_chars,
+          cast(sum(length(brief_summary)) as bigint) as raw_summary_chars,
+          cast(sum(length(conditions)) as bigint) as raw_condition_chars from labelled group by 1""",
     "silver_load": _MERGED,
     "gold_refresh": f"""{BOTH}, {merged_cte()}
         select 'trial_status_summary' as table_name, count(*) as row_count
@@ -163,6 +166,26 @@ ORACLE: dict[str, str] = {
         avg(enrollment_count) as avg_enrollment, cast(sum(enrollment_count) as bigint) as total_enrollment,
         count(distinct lead_sponsor) as unique_sponsors from silver group by all""",
     "stream_cdc": _MERGED,
+    "stream_cdc_existing": _MERGED,
+    "stream_expectation_counts": f"""{RAW}, marked as (
+          select cast(substr(nct_id, 4) as bigint) % 11 <> 0 as has_id, cast(substr(nct_id, 4) as bigint) % 13 <> 0 as has_title,
+            coalesce(enrollment_count >= 0, true) as positive from trial)
+        select 'valid_nct_id' as rule, count(*) filter (where not has_id) as row_count from marked
+        union all select 'has_title', count(*) filter (where not has_title) from marked
+        union all select 'positive_enrollment', count(*) filter (where not positive) from marked
+        union all select 'kept', count(*) from marked where has_id and has_title
+        union all select 'set_aside', count(*) from marked where not (has_id and has_title)""",
+    "stream_type_widening": f"""{BOTH_RAW}, landed as (
+          select query_term, enrollment_count, false as late from day_1
+          union all select query_term, enrollment_count, true from day_2)
+        select query_term, count(*) as row_count,
+          cast(sum(enrollment_count) filter (where not (late and query_term = 'BUILDING')) as bigint) as total_enrollment,
+          count(enrollment_count) filter (where late and query_term = 'BUILDING') as rescued,
+          count(*) filter (where late) as with_study_type from landed group by 1""",
+    "page_quarantine": f"""{RAW}, pages as (
+          select query_term, floor(cast(substr(nct_id, 4) as bigint) / 1000) as page, count(*) as studies from trial group by all)
+        select query_term, cast(coalesce(sum(studies) filter (where page % 3 <> 0), 0) as bigint) as studies_read,
+          count(*) filter (where page % 3 = 0) as broken_pages from pages group by 1""",
     "stream_schema_widening": f"""{BOTH_RAW} select * from (
         select cast(null as varchar) as registry_note, count(*) as row_count,
           cast(sum(enrollment_count) as bigint) as total_enrollment, count(*) as with_source_file from day_1

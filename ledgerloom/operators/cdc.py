@@ -39,7 +39,8 @@ def pair_changes(
 
     ``action`` is inserted, updated, unchanged or target_only. The delta must hold
     one row per key (see ``dedupe_latest``). With ``order_by`` an incoming row older
-    than the stored one is left alone, so late files cannot revert a record.
+    than the newest delivery of its key is left alone, so late files cannot revert a record.
+    Rows of a null key match nothing; they are kept out of the join.
 
     strategy 'shuffle': one full outer join, both sides shuffled on the key.
     strategy 'broadcast': the target is not shuffled at all; it takes the delta by a
@@ -48,7 +49,7 @@ def pair_changes(
     """
     if strategy == "auto":
         strategy = "broadcast" if fits_broadcast(delta, broadcast_bytes) else "shuffle"
-    old, new = _side(target, _old), _side(delta, _new)
+    old, new = _side(target.filter(F.col(key).isNotNull()), _old), _side(delta.filter(F.col(key).isNotNull()), _new)
     same_key = F.col(_old(key)) == F.col(_new(key))
     if strategy == "shuffle":
         paired = old.join(new, same_key, "full_outer")
@@ -63,6 +64,10 @@ def pair_changes(
     else:
         raise ValueError(f"unknown strategy: {strategy}")
 
+    # rows without a key would all meet in one task of the join
+    for side, name in ((target, _old), (delta, _new)):
+        paired = paired.unionByName(_side(side.filter(F.col(key).isNull()), name), allowMissingColumns=True)
+
     changed = F.col(_old(hash_column)) != F.col(_new(hash_column))
     if order_by is not None:
         before, now = F.col(_old(order_by)), F.col(_new(order_by))
@@ -99,17 +104,26 @@ def apply_pairs(
     key: str = "nct_id",
     update_columns: Sequence[str] | None = None,
     keep_action: bool = False,
+    order_by: str | None = None,
 ) -> DataFrame:
     """The table after the merge.
 
     ``update_columns`` lists what an update overwrites; by default every column but
-    the key and the audit columns. Created-at is always kept.
+    the key and the audit columns. Created-at is always kept. ``order_by`` moves on to the
+    newest value that was delivered, also by a record that changes nothing else.
     """
     taken = _taken(columns, key, update_columns)
+
+    def unchanged(c: str) -> Column:
+        return F.greatest(_old(c), _new(c)) if c == order_by else F.col(_old(c))
+
+    def updated(c: str) -> Column:
+        return F.col(_new(c)) if c == order_by else _after_update(c, taken)
+
     merged = [
         F.when(F.col("action") == "inserted", F.col(_new(c)))
-        .when(F.col("action") == "updated", _after_update(c, taken))
-        .otherwise(F.col(_old(c)))
+        .when(F.col("action") == "updated", updated(c))
+        .otherwise(unchanged(c))
         .alias(c)
         for c in columns
     ]
@@ -130,7 +144,14 @@ def merge_changes(
     pairs = pair_changes(
         target, delta.select(*columns), key, order_by, strategy, broadcast_bytes=broadcast_bytes
     )
-    return apply_pairs(pairs, columns, key, update_columns)
+    return apply_pairs(pairs, columns, key, update_columns, order_by=order_by)
+
+
+def with_order(target: DataFrame, delta: DataFrame, order_by: str | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the same columns; a table that has no ``order_by`` yet gets an empty one."""
+    if order_by is not None and order_by in delta.columns and order_by not in target.columns:
+        target = target.withColumn(order_by, F.lit(None).cast(delta.schema[order_by].dataType))
+    return target, delta.select(*target.columns)
 
 
 def change_feed(

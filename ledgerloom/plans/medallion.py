@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.operators import gold
-from ledgerloom.operators.cdc import apply_pairs, merge_stats, pair_changes
+from ledgerloom.operators.cdc import apply_pairs, merge_stats, pair_changes, with_order
 from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise
 from ledgerloom.operators.quality import SILVER_RULES, Rule, gate, run_rules
-from ledgerloom.session import written
-from ledgerloom.sinks.snapshots import read_snapshot, versions, write_snapshot
+from ledgerloom.session import stored, written
+from ledgerloom.sinks.snapshots import update_snapshot, versions, write_snapshot
 from ledgerloom.sinks.tables import refresh_table, table_counts
 
 
@@ -30,15 +30,17 @@ def load_silver(
     run_ts: str,
     rules: Sequence[Rule] = SILVER_RULES,
     update_columns: Sequence[str] | None = None,
-    order_by: str | None = None,
+    order_by: str | None = "ingestion_ts",
     key: str = "nct_id",
     strategy: str = "auto",
 ) -> LoadResult:
     """Clean, check, keep the newest copies, then create or merge the silver table.
 
-    ``bronze`` is a stored table: the rule check reads the few columns it needs, then
-    the newest copies are written once, to be measured and merged from there. A critical
-    failure raises before anything is written.
+    ``bronze`` is a stored table, or its arrivals since the last load (``sinks.bronze.since``):
+    the rule check reads the few columns it needs, then the newest copies are written once,
+    to be measured and merged from there. A critical failure raises before anything is
+    written. ``order_by`` is kept in the table and guards it against late deliveries.
+    Only the buckets of the keys that were delivered are rewritten.
     """
     spark = bronze.sparkSession
     clean = normalise(bronze, run_ts, carry=("ingestion_ts",))
@@ -49,13 +51,22 @@ def load_silver(
         newest = newest.drop("ingestion_ts")
     known = versions(spark, base)
     if not known:
-        write_snapshot(newest, base, 1)
+        write_snapshot(newest, base, 1, key)
         return LoadResult(1, report, None)
-    target = read_snapshot(spark, base, known[-1])
-    delta = written(newest, "delta")
-    pairs = pair_changes(target, delta.select(*target.columns), key, order_by, strategy)
-    write_snapshot(apply_pairs(pairs, target.columns, key, update_columns), base, known[-1] + 1)
-    return LoadResult(known[-1] + 1, report, merge_stats(pairs))
+    counted: list[DataFrame] = []
+
+    def merge(target: DataFrame, delta: DataFrame) -> DataFrame:
+        target, delta = with_order(target, delta, order_by)
+        # stored once with its actions: the counts and the table come from there
+        pairs = pair_changes(target, delta, key, order_by, strategy)
+        merged = written(apply_pairs(pairs, target.columns, key, update_columns, keep_action=True, order_by=order_by), "merged")
+        counted.append(merged)
+        return merged.drop("action")
+
+    with stored(newest, "delta") as delta:
+        update_snapshot(spark, base, known[-1], known[-1] + 1, delta, merge, key)
+    # of the buckets that were touched; the records of the others were not delivered
+    return LoadResult(known[-1] + 1, report, merge_stats(counted[0]))
 
 
 GOLD_TABLES = {

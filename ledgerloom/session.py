@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -46,6 +47,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ledgerloom/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def stored(df, name: str):
+    """``written`` for the time of a block; the table is removed after it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df, name: str):
     """The rows of ``df`` as a table in the shared folder; cuts the lineage there."""
     spark = df.sparkSession

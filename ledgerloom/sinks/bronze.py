@@ -31,6 +31,15 @@ def land_bronze(df: DataFrame, path: str, mode: str = "append") -> bool:
     return True
 
 
-def since(df: DataFrame, last_date: str | None) -> DataFrame:
-    """Arrivals after a date; prunes the partitions of the landing table."""
-    return df if last_date is None else df.filter(F.col("ingestion_date") > F.lit(last_date).cast("date"))
+def since(df: DataFrame, last_ts: str | None, overlap_seconds: int = 0) -> DataFrame:
+    """Arrivals after a time; prunes the partitions of the landing table.
+
+    Later deliveries of the same day are read, and so are rows without an arrival time.
+    ``overlap_seconds`` goes back further, for deliveries that land out of order: a merge
+    with ``order_by`` takes rows that it has seen as no change.
+    """
+    if last_ts is None:
+        return df
+    start = F.expr(f"timestamp'{last_ts}' - make_interval(0, 0, 0, 0, 0, 0, {int(overlap_seconds)})")
+    day, arrival = F.col("ingestion_date"), timestamp_of("ingestion_ts")
+    return df.filter(day.isNull() | ((day >= start.cast("date")) & (arrival > start)))

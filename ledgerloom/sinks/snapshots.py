@@ -1,49 +1,148 @@
-"""A table as numbered snapshots in a folder.
+"""A table as numbered snapshots in a folder, rewritten by key buckets.
 
-Parquet cannot be updated in place and must not be overwritten while it is read. A
-merge therefore writes ``version=N+1`` beside ``version=N``. A snapshot counts once
-Spark has committed it (its ``_SUCCESS`` marker), so a lost job leaves the table as
-it was. Where a table format with row-level MERGE is at hand, use
-``merge_into_table``: it rewrites only the files that change.
+Parquet cannot be updated in place and must not be overwritten while it is read. Rows are
+kept in folders by a hash of their key (``data/<write>/bucket=K``), and a version is a small
+table of which folder holds each bucket. A merge writes the buckets that its delta touches
+and a new version that names the others where they are; their files stay as they are. A
+version counts once Spark has committed it (its ``_SUCCESS`` marker), so a lost job leaves
+the table as it was.
+
+A version written for a micro-batch carries the stream's and the batch's name; only a
+repeat of that batch replaces it. Other writers fail if the number is taken. Where a table
+format with row-level MERGE is at hand, use ``merge_into_table``.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.cdc import _taken
 
+BUCKETS = 64
+_FOLDER = re.compile(r"version=(\d+)(?:\.([\w-]+)\.(\d+))?/")
+
+
+class Version(NamedTuple):
+    number: int
+    stream: str | None
+    batch: int | None
+    path: str
+
+
+def _file_system(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def committed(spark: SparkSession, base: str) -> list[Version]:
+    """Committed versions, oldest first."""
+    files, pattern = _file_system(spark, f"{base}/version=*/_SUCCESS")
+    found = []
+    for status in files.globStatus(pattern) or []:
+        path = status.getPath().toString()
+        number, stream, batch = _FOLDER.search(path).groups()
+        found.append(Version(int(number), stream, None if batch is None else int(batch), path.removesuffix("/_SUCCESS")))
+    return sorted(found, key=lambda v: v.number)
+
 
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Committed snapshot numbers, oldest first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/version=*/_SUCCESS")
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(
-        int(re.search(r"version=(\d+)", f.getPath().toString()).group(1)) for f in (found or [])
-    )
+    return [v.number for v in committed(spark, base)]
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[dict[int, str | None], str]:
+    """The folder of every bucket, None for one without rows, and the table's schema."""
+    rows = spark.read.schema("bucket int, path string, schema string").parquet(path).collect()  # one per bucket
+    return {r["bucket"]: r["path"] for r in rows}, rows[0]["schema"]
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def read_snapshot(spark: SparkSession, base: str, version: int | None = None, touched: Sequence[int] | None = None) -> DataFrame | None:
+    """The given or the newest snapshot, or some of its buckets; None if there is none yet."""
+    known = {v.number: v for v in committed(spark, base)}
+    if not known:
+        return None
+    path = known[max(known) if version is None else version].path
+    folders, schema = _manifest(spark, path)
+    wanted = [folders[b] for b in (folders if touched is None else touched) if folders[b]]
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*wanted)
+
+
+def _write_buckets(df: DataFrame, base: str, key: str | None, buckets: int) -> dict[int, str]:
+    """Rows by bucket under a folder of their own; gives the folders that were written."""
+    spark, root = df.sparkSession, f"{base}/data/{uuid.uuid4().hex}"
+    if key is None:
+        df.write.parquet(f"{root}/bucket=0")
+        return {0: f"{root}/bucket=0"}
+    placed = df.withColumn("bucket", bucket_of(key, buckets))
+    placed.repartition("bucket").write.partitionBy("bucket").parquet(root)
+    files, pattern = _file_system(spark, f"{root}/bucket=*")
+    names = [s.getPath().getName() for s in files.globStatus(pattern) or []]
+    return {int(n.removeprefix("bucket=")): f"{root}/{n}" for n in names}
+
+
+def _publish(df: DataFrame, base: str, version: int, folders: dict[int, str | None], stream: str | None, batch: int | None) -> None:
+    spark = df.sparkSession
+    schema = df._jdf.schema().toDDL()
+    rows = spark.createDataFrame([(b, p, schema) for b, p in sorted(folders.items())], "bucket int, path string, schema string")
+    name = f"version={version:09d}" + (f".{stream}.{batch}" if stream is not None else "")
+    if stream is None and version in versions(spark, base):
+        raise FileExistsError(f"version {version} of {base} is taken")
+    # a repeat of the same micro-batch replaces its own version only
+    rows.coalesce(1).write.mode("errorifexists" if stream is None else "overwrite").parquet(f"{base}/{name}")
+
+
+def write_snapshot(df: DataFrame, base: str, version: int, key: str | None = None, buckets: int = BUCKETS, stream: str | None = None, batch: int | None = None) -> None:
+    """Writes a whole snapshot, by buckets of ``key`` if one is given."""
+    folders: dict[int, str | None] = dict.fromkeys(range(buckets if key else 1))
+    folders.update(_write_buckets(df, base, key, buckets))
+    _publish(df, base, version, folders, stream, batch)
 
 
-def version_path(base: str, version: int) -> str:
-    return f"{base}/version={version:09d}"
+def update_snapshot(spark: SparkSession, base: str, from_version: int, version: int, delta: DataFrame, merge, key: str, stream: str | None = None, batch: int | None = None) -> None:
+    """Writes ``version``: ``merge(target, delta)`` in the buckets that ``delta`` touches.
 
+    All other buckets are taken over from ``from_version`` without being read. ``delta`` is
+    stored rows: it is read for its buckets and for the merge.
+    """
+    path = {v.number: v for v in committed(spark, base)}[from_version].path
+    folders, _ = _manifest(spark, path)
+    if len(folders) == 1 and BUCKETS != 1:  # a table that was written without a key
+        write_snapshot(merge(read_snapshot(spark, base, from_version), delta), base, version, key, stream=stream, batch=batch)
+        return
+    rows = delta.select(bucket_of(key, len(folders)).alias("bucket")).distinct().collect()  # at most one per bucket
+    touched = sorted(r["bucket"] for r in rows)
+    merged = merge(read_snapshot(spark, base, from_version, touched), delta)
+    folders.update(_write_buckets(merged, base, key, len(folders)))
+    _publish(merged, base, version, folders, stream, batch)
 
-def read_snapshot(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
-    """The given or the newest snapshot; None if there is none yet."""
-    if version is None:
-        known = versions(spark, base)
-        if not known:
-            return None
-        version = known[-1]
-    return spark.read.parquet(version_path(base, version))
 
+def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> int:
+    """Removes all but the newest ``keep`` versions, and data that no kept version names.
 
-def write_snapshot(df: DataFrame, base: str, version: int) -> None:
-    """Writes one snapshot; repeating a number replaces that snapshot only."""
-    df.write.mode("overwrite").parquet(version_path(base, version))
+    For a time without writers: data of a version that isn't committed yet is named by none.
+    """
+    known = committed(spark, base)
+    used = {p for v in known[-keep:] for p in _manifest(spark, v.path)[0].values() if p}
+    files, pattern = _file_system(spark, f"{base}/data/*/bucket=*")
+    names = {re.search(r"data/.*$", p)[0] for p in used}
+    gone = [s.getPath() for s in files.globStatus(pattern) or [] if re.search(r"data/.*$", s.getPath().toString())[0] not in names]
+    for v in known[:-keep]:
+        files.delete(_file_system(spark, v.path)[1], True)
+    for path in gone:
+        files.delete(path, True)
+    return len(gone)
 
 
 def merge_into_table(
@@ -51,15 +150,20 @@ def merge_into_table(
     table: str,
     key: str = "nct_id",
     update_columns: Sequence[str] | None = None,
+    order_by: str | None = None,
 ) -> None:
     """The same upsert as MERGE, for catalogs whose tables support it."""
     taken = _taken(delta.columns, key, update_columns)
     assignments = {c: F.col(f"incoming.{c}") for c in sorted(taken)}
     assignments["_update_count"] = F.col(f"{table}._update_count") + 1
+    changed = f"{table}._record_hash <> incoming._record_hash"
+    if order_by is not None:
+        assignments[order_by] = F.col(f"incoming.{order_by}")
+        changed += f" and ({table}.{order_by} is null or incoming.{order_by} >= {table}.{order_by})"
     (
         delta.alias("incoming")
         .mergeInto(table, F.expr(f"{table}.{key} = incoming.{key}"))
-        .whenMatched(F.expr(f"{table}._record_hash <> incoming._record_hash"))
+        .whenMatched(F.expr(changed))
         .update(assignments)
         .whenNotMatched()
         .insertAll()

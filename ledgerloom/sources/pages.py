@@ -59,14 +59,38 @@ def raw_schema() -> T.StructType:
     )
 
 
-def read_pages(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame:
+BROKEN = "_broken_page"
+
+
+def page_rows(reader, path: str | Sequence[str], multi_line: bool = False, fail: bool = False, more: str = "") -> DataFrame:
+    """Parsed pages, and the text of those that do not parse (``_broken_page``).
+
+    ``reader``: ``spark.read`` or ``spark.readStream``. One page per line by default, so large
+    files split; ``multi_line`` reads files that are one page each. ``fail`` stops at the
+    first broken page instead.
+    """
+    reader = reader.schema(f"{PAGE_SCHEMA}, {BROKEN} string{more}").option("multiLine", multi_line)
+    reader = reader.option("mode", "FAILFAST" if fail else "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN)
+    return reader.json(path)
+
+
+def broken_pages(pages: DataFrame) -> DataFrame:
+    """The pages that did not parse: their text and their file."""
+    # the parsed column is named so that Spark parses the page at all
+    rows = pages.select(BROKEN, F.col("_metadata.file_path").alias("_source_file"), F.col("studies").isNull().alias("unread"))
+    return rows.filter(F.col("unread") & F.col(BROKEN).isNotNull()).drop("unread")
+
+
+def read_pages(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False, broken: str | None = None, fail: bool = False) -> DataFrame:
     """One row per study: its text (``raw_json``) and its fields (``study``).
 
-    One page per line by default, so large files split; ``multi_line`` reads files
-    that are one page each. A page without studies gives no rows.
+    A page without studies gives no rows. A page that does not parse gives none either: name
+    a folder as ``broken`` to have such pages appended there, or ask to ``fail``.
     """
-    pages = spark.read.schema(PAGE_SCHEMA).option("multiLine", multi_line).json(path)
-    return explode_pages(pages)
+    pages = page_rows(spark.read, path, multi_line, fail)
+    if broken is not None:
+        broken_pages(pages).write.mode("append").parquet(broken)
+    return explode_pages(pages.drop(BROKEN))
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
@@ -122,10 +146,5 @@ def read_terms(
     One read over all terms; the term comes from the folder name.
     """
     paths = [f"{root}/query_term={t}" if folders is None else folders[t] for t in terms]
-    pages = (
-        spark.read.schema(PAGE_SCHEMA + ", query_term string")
-        .option("multiLine", multi_line)
-        .option("basePath", root)
-        .json(paths)
-    )
-    return explode_pages(pages)
+    pages = page_rows(spark.read.option("basePath", root), paths, multi_line, more=", query_term string")
+    return explode_pages(pages.drop(BROKEN))

@@ -7,10 +7,15 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.cdc import merge_changes
+from ledgerloom.operators.cdc import merge_changes, with_order
 from ledgerloom.operators.dedupe import NEWEST_FIRST, dedupe_latest
-from ledgerloom.session import written
-from ledgerloom.sinks.snapshots import read_snapshot, write_snapshot
+from ledgerloom.session import stored
+from ledgerloom.sinks.snapshots import committed, drop_old_versions, update_snapshot, write_snapshot
+
+
+def _stream_name(batch: DataFrame) -> str:
+    """The query's lasting id; a lost checkpoint makes a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
 def merge_batch(
@@ -18,28 +23,41 @@ def merge_batch(
     prepare: Callable[[DataFrame], DataFrame],
     key: str = "nct_id",
     update_columns: Sequence[str] | None = None,
-    order_by: str | None = None,
+    order_by: str | None = "ingestion_ts",
     newest_first: Sequence[str] = NEWEST_FIRST,
     strategy: str = "auto",
+    keep: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: newest copy per key, then upsert.
 
-    Micro-batch N reads snapshot N and writes snapshot N + 1. A batch that Spark runs
-    again after a failure reads and writes the same two, so its changes count once.
+    A micro-batch is merged into the newest version, whoever wrote it, and its own version
+    carries the stream's and the batch's name. If Spark runs a batch again, it starts from
+    the version before its own and replaces that one, so its changes count once. Only
+    buckets with changes are rewritten; ``keep`` removes all but so many versions.
     ``prepare`` maps the raw batch to silver columns plus those of ``newest_first``.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, stream = batch.sparkSession, _stream_name(batch)
+        known = committed(spark, base)
+        own = [v for v in known if (v.stream, v.batch) == (stream, batch_id)]
+        if own and own[-1] != known[-1]:
+            return  # done, and others have gone on from it
+        before = [v.number for v in known if not own or v.number < own[-1].number]
+        version = own[-1].number if own else (before[-1] + 1 if before else 1)
         newest = dedupe_latest(prepare(batch), key, newest_first)
-        target = read_snapshot(spark, base, batch_id) if batch_id > 0 else None
-        if target is None:
-            write_snapshot(newest, base, batch_id + 1)
+        if not before:
+            write_snapshot(newest, base, version, key, stream=stream, batch=batch_id)
             return
-        # read twice by the merge, so it is computed once and measured on disk
-        delta = written(newest, "delta")
-        merged = merge_changes(target, delta, key, update_columns, order_by, strategy)
-        write_snapshot(merged, base, batch_id + 1)
+        # read for its buckets and by the merge, so it is computed once and measured on disk
+        with stored(newest, "delta") as delta:
+            update_snapshot(
+                spark, base, before[-1], version, delta,
+                lambda target, rows: merge_changes(*with_order(target, rows, order_by), key, update_columns, order_by, strategy),
+                key, stream, batch_id,
+            )
+        if keep is not None:
+            drop_old_versions(spark, base, max(2, keep))
 
     return fold
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators.normalise import normalise_stream
-from ledgerloom.operators.quality import STREAM_DROP_RULES, STREAM_WARN_RULES, expect
+from ledgerloom.operators.quality import STREAM_DROP_RULES, STREAM_WARN_RULES, expect, quarantine
+from ledgerloom.session import stored
 
 
 def stream_silver(
@@ -36,6 +38,33 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def write_with_expectations(
+    bronze: DataFrame,
+    path: str,
+    checkpoint: str,
+    counts: str,
+    set_aside: str,
+    drop=STREAM_DROP_RULES,
+    warn=STREAM_WARN_RULES,
+) -> StreamingQuery:
+    """The stream's clean rows, the rows that a drop rule sets aside, and counts per batch.
+
+    All three are written by batch id, so a repeated batch replaces its own rows, and the
+    counts of every batch are kept: rule, ``failed_rows`` and ``rows_in``.
+    """
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        with stored(normalise_stream(batch), "expected") as rows:
+            kept, broken = quarantine(rows, drop)
+            kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            broken.write.mode("overwrite").parquet(f"{set_aside}/batch={batch_id}")
+            failed = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.count_if(~r.holds).alias("failed_rows")) for r in (*drop, *warn)])
+            found = rows.agg(F.count(F.lit(1)).alias("rows_in"), failed.alias("failed")).select("rows_in", F.inline("failed"))
+            found.write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
+
+    return bronze.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def run_to_end(query: StreamingQuery) -> StreamingQuery:
     """Waits for a triggered run and raises what it raised."""
     query.awaitTermination()
@@ -45,7 +74,8 @@ def run_to_end(query: StreamingQuery) -> StreamingQuery:
 
 
 def expectation_counts(query: StreamingQuery, observation: str = "silver_expectations") -> dict[str, int]:
-    """Expectation counts of a finished run, over its recent micro-batches."""
+    """Expectation counts of a finished run, over the micro-batches that Spark still keeps
+    (100 by default); ``write_with_expectations`` stores those of all."""
     totals: dict[str, int] = {}
     for progress in query.recentProgress:
         row = (progress.observedMetrics or {}).get(observation)

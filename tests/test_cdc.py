@@ -9,7 +9,7 @@ from ledgerloom.fixed_values import WIDE_UPDATE_COLUMNS
 from ledgerloom.operators import cdc
 from ledgerloom.operators.sizing import fits_broadcast, measured_bytes
 from ledgerloom.operators.normalise import normalise
-from ledgerloom.sinks.snapshots import read_snapshot, versions, write_snapshot
+from ledgerloom.sinks.snapshots import drop_old_versions, read_snapshot, versions, write_snapshot
 from ledgerloom.session import scratch_path
 from ledgerloom.streaming.merge import merge_batch
 from ledgerloom.plans.medallion import load_silver, refresh_gold
@@ -126,6 +126,61 @@ def test_repeated_micro_batch_counts_once(spark):
     assert versions(spark, base) == [1, 2]
 
 
+def test_equal_redelivery_moves_the_sequence_on(spark):
+    deltas = [
+        silver(spark, ts, record("NCT1", status, ingestion_ts=ts), record(None, ingestion_ts=ts), carry=("ingestion_ts",))
+        for ts, status in ((T1, "RECRUITING"), (T3, "RECRUITING"), (T2, "SUSPENDED"))
+    ]
+    for strategy in ("shuffle", "broadcast"):
+        table = deltas[0]
+        for delta in deltas[1:]:
+            table = cdc.merge_changes(table, delta, order_by="ingestion_ts", strategy=strategy)
+        got = [(r.nct_id, r.overall_status, str(r.ingestion_ts), r._update_count) for r in table.collect()]
+        assert ("NCT1", "RECRUITING", T3, 0) in got and len(got) == 4
+
+
+def _prepare(batch):
+    return normalise(batch, F.col("ingestion_ts").cast("timestamp"), carry=("ingestion_ts",))
+
+
+def test_a_stream_goes_on_from_an_existing_table(spark):
+    base = scratch_path(spark, "test-existing")
+    load_silver(raw(spark, *[record(f"NCT{i}", ingestion_ts=T1) for i in range(5)]), base, T1)
+    fold = merge_batch(base, _prepare)
+    batch = raw(spark, record("NCT1", "COMPLETED", ingestion_ts=T2), record("NCT9", ingestion_ts=T2))
+    for _ in range(2):
+        fold(batch, 0)
+        got = {r.nct_id: (r.overall_status, r._update_count) for r in read_snapshot(spark, base).collect()}
+        assert len(got) == 6 and got["NCT1"] == ("COMPLETED", 1) and got["NCT0"] == ("RECRUITING", 0)
+    # another writer goes on; the same batch once more changes nothing
+    load_silver(raw(spark, record("NCT1", "SUSPENDED", ingestion_ts=T3)), base, T3)
+    fold(batch, 0)
+    assert {r.nct_id: r.overall_status for r in read_snapshot(spark, base).collect()}["NCT1"] == "SUSPENDED"
+    assert versions(spark, base) == [1, 2, 3]
+
+
+def test_untouched_buckets_keep_their_files(spark):
+    base = scratch_path(spark, "test-buckets")
+    load_silver(raw(spark, *[record(f"NCT{i}", ingestion_ts=T1) for i in range(200)]), base, T1)
+    before = set(read_snapshot(spark, base).inputFiles())
+    result = load_silver(raw(spark, record("NCT7", "COMPLETED", ingestion_ts=T2)), base, T2)
+    after = set(read_snapshot(spark, base).inputFiles())
+    assert len(before - after) == len(after - before) == 1 and len(after) > 20
+    assert {r.action: r.row_count for r in result.stats.collect()}["updated"] == 1
+    assert read_snapshot(spark, base).count() == 200
+    load_silver(raw(spark, record("NCT8", "COMPLETED", ingestion_ts=T3)), base, T3)
+    gone = drop_old_versions(spark, base, 1)
+    assert gone == 2 and versions(spark, base) == [3] and read_snapshot(spark, base).count() == 200
+
+
+def test_a_taken_version_is_not_replaced(spark):
+    base = scratch_path(spark, "test-taken")
+    write_snapshot(spark.range(3), base, 1)
+    with pytest.raises(FileExistsError):
+        write_snapshot(spark.range(5), base, 1)
+    assert read_snapshot(spark, base).count() == 3
+
+
 def test_load_and_gate(spark):
     base = scratch_path(spark, "test-load")
     assert load_silver(raw(spark, record("NCT1", ingestion_ts=T1)), base, T1).version == 1

@@ -4,14 +4,29 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.session import scratch_path
-from ledgerloom.sinks.bronze import land_bronze
+from ledgerloom.sinks.bronze import land_bronze, since
 from ledgerloom.sources.pages import flatten_studies, raw_schema, read_pages, with_ingest_metadata
 from ledgerloom.sources.tables import create_namespaces, preview, scan_path, scan_table, table_exists
-from ledgerloom.streaming.bronze import evolve_schema, load_schema, stream_bronze, stream_pages
+from ledgerloom.streaming.bronze import (
+    evolve_schema,
+    fit,
+    load_schema,
+    stream_broken_pages,
+    stream_bronze,
+    stream_pages,
+    widen,
+)
 from ledgerloom.streaming.merge import stream_merge
-from ledgerloom.streaming.silver import expectation_counts, run_to_end, stream_silver, write_stream
+from ledgerloom.streaming.silver import (
+    expectation_counts,
+    run_to_end,
+    stream_silver,
+    write_stream,
+    write_with_expectations,
+)
 from ledgerloom.operators.normalise import normalise, normalise_stream
 from ledgerloom.sinks.snapshots import read_snapshot
 from tests.test_cdc import T1, T2, record
@@ -122,3 +137,64 @@ def test_schema_grows_once_per_new_field(spark):
     put(spark, landing, "b.json", '{"nct_id": "NCT2", "added": "x"}')
     assert evolve_schema(spark, landing, stored).fieldNames() == ["n", "nct_id", "added"]
     assert load_schema(spark, stored)[1] == 2
+
+
+def test_since_reads_later_rows_of_the_same_day(spark):
+    path = scratch_path(spark, "test-since")
+    rows = [record(f"NCT{i}", ingestion_ts=ts) for i, ts in enumerate((T1, "2024-01-01 09:00:00", T2, None))]
+    land_bronze(raw(spark, *rows), path)
+    bronze = scan_path(spark, path)
+    assert {r.nct_id for r in since(bronze, T1).collect()} == {"NCT1", "NCT2", "NCT3"}
+    assert {r.nct_id for r in since(bronze, T2, overlap_seconds=16 * 3600).collect()} == {"NCT1", "NCT2", "NCT3"}
+    assert since(bronze, None).count() == 4
+
+
+@pytest.mark.parametrize("pretty", [False, True])
+def test_broken_pages_are_set_aside(spark, pretty):
+    path, aside = scratch_path(spark, "test-broken"), scratch_path(spark, "test-aside")
+    good = json.dumps({"studies": [FULL]}, indent=2 if pretty else None)
+    put(spark, path, "good.json", good)
+    put(spark, path, "cut.json", good[: len(good) // 2])
+    assert read_pages(spark, path, multi_line=pretty, broken=aside).count() == 1
+    assert [r._source_file.rsplit("/", 1)[1] for r in spark.read.parquet(aside).collect()] == ["cut.json"]
+    with pytest.raises(Exception):
+        read_pages(spark, path, multi_line=pretty, fail=True).collect()
+    out = scratch_path(spark, "out")
+    run_to_end(write_stream(stream_broken_pages(spark, path, multi_line=pretty), out, scratch_path(spark, "cp")))
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_counts_of_every_batch_are_kept(spark):
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "out")
+    counts, aside = scratch_path(spark, "counts"), scratch_path(spark, "aside")
+    for i in range(8):
+        _lines(spark, landing, f"{i}.json", record(f"NCT{i}" if i % 2 else "bad", ingestion_ts=T1))
+    bronze = stream_bronze(spark, landing, raw_schema(), max_files_per_trigger=1)
+    run_to_end(write_with_expectations(bronze, out, scratch_path(spark, "cp"), counts, aside))
+    stored = spark.read.parquet(counts).filter("rule = 'valid_nct_id'").collect()
+    assert len(stored) == 8 and sum(r.failed_rows for r in stored) == 4 == spark.read.parquet(aside).count()
+    assert spark.read.parquet(out).count() == 4
+
+
+def test_types_widen_by_their_parts():
+    kind = T.StructType.fromDDL
+    known = kind("n bigint, o struct<a: bigint>, l array<struct<x: bigint>>, s string")
+    seen = kind("n double, o struct<a: string, b: string>, l array<struct<y: string>>, t string")
+    assert widen(known, seen) == kind("n double, o struct<a: string, b: string>, l array<struct<x: bigint, y: string>>, s string, t string")
+
+
+def test_values_that_do_not_fit_are_rescued(spark):
+    df = spark.createDataFrame([("7", 1.0), ("12 approx", 2.5), (None, None)], "n string, m double")
+    got = [(r.n, r.m, r._rescued) for r in fit(df, T.StructType.fromDDL("n bigint, m bigint")).collect()]
+    assert got == [(7, 1, None), (None, None, {"n": "12 approx", "m": "2.5"}), (None, None, None)]
+
+
+def test_schema_pass_reads_new_files_only(spark):
+    landing, stored = scratch_path(spark, "landing"), scratch_path(spark, "schema")
+    put(spark, landing, "a.json", '{"nct_id": "NCT1"}')
+    evolve_schema(spark, landing, stored)
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/a.json")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(p, 1_600_000_000_000, -1)
+    assert evolve_schema(spark, landing, stored).fieldNames() == ["nct_id"]
+    put(spark, landing, "b.json", '{"more": 1}')
+    assert evolve_schema(spark, landing, stored).fieldNames() == ["nct_id", "more"]
