@@ -76,13 +76,9 @@ def unparsed_values(spark, d):
 
 def value_profile(spark, d):
     raw = trial_view(spark, d, conditions=False, summary=False)
-    parts = [
-        gold.value_profile(raw, c, keep_null=c != "lead_sponsor", count_name="row_count").select(
-            F.lit(c).alias("column_name"), F.col(c).alias("value"), "row_count"
-        )
-        for c in ("overall_status", "phase", "lead_sponsor")
-    ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return gold.value_profiles(
+        raw, {"overall_status": True, "phase": True, "lead_sponsor": False}, count_name="row_count"
+    )
 
 
 def status_summary(spark, d):
@@ -183,6 +179,28 @@ def rule_report(spark, d):
     return report.drop("reason")
 
 
+def dirty_silver(spark, d):
+    """Clean records of which some lost their id, its form, their title, dates' order or sign."""
+    key = F.substring("nct_id", 4, 8).cast("bigint")
+    return silver_view(spark, d, conditions=False, summary=False).withColumns(
+        {
+            "nct_id": F.when(key % 17 == 0, None).when(key % 19 == 0, F.substring("nct_id", 4, 8)).otherwise(F.col("nct_id")),
+            "brief_title": F.when(key % 23 == 0, "short").when(key % 29 == 0, None).otherwise(F.col("brief_title")),
+            "completion_date": F.when(key % 31 == 0, F.date_sub("start_date", 1)).otherwise(F.col("completion_date")),
+        }
+    )
+
+
+def rule_report_dirty(spark, d):
+    return quality.run_rules(dirty_silver(spark, d)).drop("reason")
+
+
+def expect_drop_dirty(spark, d):
+    """The stream's own drop rules, on records that break them."""
+    kept = quality.expect(dirty_silver(spark, d))
+    return kept.select("nct_id", "brief_title", "overall_status")
+
+
 def rule_report_alt(spark, d):
     silver = silver_view(spark, d, conditions=False, summary=False)
     return quality.run_rules(silver, quality.COMPACT_RULES).drop("reason")
@@ -350,6 +368,8 @@ QUERIES: dict[str, Query] = {
     "silver_counts": silver_counts,
     "rule_report": rule_report,
     "rule_report_alt": rule_report_alt,
+    "rule_report_dirty": rule_report_dirty,
+    "expect_drop_dirty": expect_drop_dirty,
     "quarantine": quarantine,
     "expect_drop": expect_drop,
     "raw_validation": raw_validation,

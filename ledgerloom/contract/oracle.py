@@ -160,18 +160,26 @@ _RULES_ALT = (
 )
 
 
-def _report(rules) -> str:
+def _report(rules, source: str = SILVER) -> str:
     parts = [
         f"""select '{name}' as rule, {str(critical).lower()} as is_critical,
             count(*) filter (where {cond}) as passing_rows, count(*) as total from silver"""
         for name, critical, cond in rules
     ]
-    return f"""{SILVER} select rule, passing_rows = total as passed, is_critical, passing_rows,
+    return f"""{source} select rule, passing_rows = total as passed, is_critical, passing_rows,
         total - passing_rows as failing_rows,
         coalesce(round(passing_rows / nullif(total, 0) * 100, 2), 0.0) as pass_rate
         from ({' union all '.join(parts)})"""
 
 
+_DIRTY = f"""with {_TRIAL}, {_clean('kept', 'trial', DAY_1)}, numbered as (
+  select *, cast(substr(nct_id, 4) as bigint) as n from kept),
+silver as (
+  select * exclude (n) replace (
+    case when n % 17 = 0 then null when n % 19 = 0 then substr(nct_id, 4) else nct_id end as nct_id,
+    case when n % 23 = 0 then 'short' when n % 29 = 0 then null else brief_title end as brief_title,
+    case when n % 31 = 0 then start_date - 1 else completion_date end as completion_date) from numbered)"""
+
 _BOARD = """select lead_sponsor, count(*) as total_trials,
   count(*) filter (where is_recruiting) as recruiting_trials,
   count(*) filter (where is_completed) as completed_trials,
@@ -294,6 +302,9 @@ ORACLE: dict[str, str] = {
         count(*) filter (where _update_count > 0) as updated from merged""",
     "rule_report": _report(_RULES),
     "rule_report_alt": _report(_RULES_ALT),
+    "rule_report_dirty": _report(_RULES, _DIRTY),
+    "expect_drop_dirty": f"""{_DIRTY} select nct_id, brief_title, overall_status from silver
+        where starts_with(nct_id, 'NCT') and length(brief_title) > 5""",
     "quarantine": f"""{SILVER} select nct_id, concat_ws(',',
         {', '.join(f"case when coalesce({c}, false) then null else '{n}' end" for n, _, c in _RULES)}) as failed_rules
         from silver""",

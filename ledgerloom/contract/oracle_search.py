@@ -229,6 +229,17 @@ ORACLE: dict[str, str] = {
     "rag_prompt": f"""{_asked(8)} select q.query_id, 'Question: ' || question || chr(10) || chr(10) ||
         'Relevant trials:' || chr(10) || coalesce(context, '') as prompt
         from questions q left join ({_context(_MATCH_ENTRY)}) c on q.query_id = c.query_id""",
+    "ask_prompts": f"""{_asked(10)}, full_context as ({_context(_FULL_ENTRY)}), tracked_context as ({_context(_TRACKED_ENTRY)})
+        select 'full' as form, q.query_id,
+          'Please answer this clinical research question using the trial data below.' || chr(10) || chr(10) ||
+          'QUESTION: ' || question || chr(10) || chr(10) ||
+          'RELEVANT TRIALS FROM OUR DATABASE:' || chr(10) || coalesce(context, '') || chr(10) || chr(10) ||
+          'Please provide a clear, cited answer.' as prompt
+          from questions q left join full_context c on q.query_id = c.query_id
+        union all select 'tracked', q.query_id, 'Question: ' || question || chr(10) || chr(10) || 'Trials:' || chr(10) || coalesce(context, '')
+          from questions q left join tracked_context c on q.query_id = c.query_id""",
+    "corpus_with_long_summaries": f"""{SILVER} select nct_id, coalesce(brief_title, '') || ' | ' || coalesce(conditions, '') || ' | ' ||
+        substr(brief_summary, 1, 400) as document from silver where length(brief_summary) > 10""",
     "keyword_context": f"""{SILVER} select 1 as query_id, array_to_string(list(
         'NCT ID: ' || nct_id || chr(10) || 'Title: ' || brief_title || chr(10) ||
         'Status: ' || overall_status || ' | Phase: ' || coalesce(phase, '') || chr(10) ||

@@ -16,8 +16,8 @@ from ledgerloom.operators import cdc, search
 from ledgerloom.operators import context as ctx
 from ledgerloom.operators import vectors as vec
 from ledgerloom.functions import search_text, similarity_percent
-from ledgerloom.plans.ask import build_items, retrieve
-from ledgerloom.session import scratch_path, spread, written
+from ledgerloom.plans.ask import ask, build_items, retrieve
+from ledgerloom.session import scratch_path, written
 from ledgerloom.sinks.tables import append_runs, read_runs, rebuild_items, run_rows
 
 
@@ -47,7 +47,7 @@ def search_texts(spark, d):
 
 
 def embed_text(spark, d):
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return _entries(vec.embed(docs, text="text"), "doc_id")
 
 
@@ -149,7 +149,23 @@ def retrieval_tags(spark, d):
 
 
 def retrieval_eval(spark, d):
-    return ctx.evaluate(_records(spark, d, 5))
+    return ctx.evaluate(_records(spark, d, 5), questions=question_view(spark, d))
+
+
+def ask_prompts(spark, d):
+    """Questions to prompts of the full and of the tracked form, in one run each."""
+    items, questions = _items(spark, d), question_view(spark, d)
+    forms = (("full", ctx.FULL_FORM), ("tracked", ctx.TRACKED_FORM))
+    parts = [ask(questions, items, form=form).prompts.select(F.lit(name).alias("form"), "query_id", "prompt") for name, form in forms]
+    return parts[0].unionAll(parts[1])
+
+
+def corpus_with_long_summaries(spark, d):
+    """The short text form, of records whose summary is longer than a few characters."""
+    silver = silver_view(spark, d)
+    columns = ("brief_title", "conditions")
+    kept = vec.corpus_texts(silver, columns=columns, summary_chars=400, min_summary_chars=10)
+    return kept.select("nct_id", "document")
 
 
 def run_comparison(spark, d):
@@ -220,6 +236,8 @@ QUERIES = {
     "retrieval_metrics": retrieval_metrics,
     "retrieval_tags": retrieval_tags,
     "retrieval_eval": retrieval_eval,
+    "ask_prompts": ask_prompts,
+    "corpus_with_long_summaries": corpus_with_long_summaries,
     "run_comparison": run_comparison,
     "run_log": run_log,
     "citation_check": citation_check,

@@ -23,6 +23,21 @@ def value_profile(
     return df.groupBy(column).agg(_rows().alias(count_name))
 
 
+def value_profiles(
+    df: DataFrame, columns: Mapping[str, bool], count_name: str = "count"
+) -> DataFrame:
+    """(column_name, value, count) of several text columns in one pass.
+
+    ``columns``: name to whether missing values count as a value.
+    """
+    cells = [
+        F.when(F.lit(keep_null) | F.col(c).isNotNull(), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")))
+        for c, keep_null in columns.items()
+    ]
+    each = df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+    return each.groupBy("cell.column_name", "cell.value").agg(_rows().alias(count_name))
+
+
 def distribution(
     df: DataFrame, column: str, unknown: str | None = None, count_name: str = "count"
 ) -> DataFrame:

@@ -359,8 +359,9 @@ def _blocked(
             other, F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))
         )
 
-    left = spread(items, "_chunk", chunks, "id", "_block", blocks)
-    right = spread(queries, "_block", blocks, "query_id", "_chunk", chunks)
+    # rows without an id can't be hits; they would all fall in one piece
+    left = spread(items.dropna(subset=["id"]), "_chunk", chunks, "id", "_block", blocks)
+    right = spread(queries.dropna(subset=["query_id"]), "_block", blocks, "query_id", "_chunk", chunks)
 
     def score(chunk: pa.Table, block_table: pa.Table) -> pa.Table:
         chunk, block, best = _complete(chunk), _block_of(block_table), _Best(k)
@@ -453,8 +454,20 @@ def bucket_index(
     ).withColumn("shard", F.pmod("bucket", F.lit(SHARDS)).cast("int"))
 
 
-def write_bucket_index(index: DataFrame, path: str) -> None:
-    index.write.mode("overwrite").partitionBy("table_no", "shard").parquet(path)
+SHARD_FILE_ROWS = 1_000_000
+
+
+def write_bucket_index(index: DataFrame, path: str, rows: int | None = None) -> None:
+    """One file per shard, more of them for every million rows that a shard holds on average.
+
+    ``rows``: the number of index rows, counted if not given.
+    """
+    if rows is None:
+        rows = index.select("id").count()
+    files = max(1, -(-rows // (SHARDS * SHARD_FILE_ROWS)))
+    part = F.pmod(F.xxhash64("id"), F.lit(files))
+    dealt = index.repartition("table_no", "shard", part)
+    dealt.write.mode("overwrite").partitionBy("table_no", "shard").parquet(path)
 
 
 def bucket_top_k(
@@ -571,12 +584,16 @@ def _scan_buckets(queries: DataFrame, index: DataFrame, head: pa.Table, k: int)
             table_no = batch.column("table_no").to_numpy()
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             own = np.take_along_axis(buckets, table_no[:, None].astype("int64"), axis=1)[:, 0]
-            cells, first = np.unique(np.stack([table_no, own], axis=1), axis=0, return_inverse=True)
-            for c, (t, b) in enumerate(cells):
+            # sorted by cell once, so a cell's rows are a slice however many cells there are
+            order = np.lexsort((own, table_no))
+            cells = np.stack([table_no[order], own[order]], axis=1)
+            starts = np.flatnonzero(np.r_[True, (cells[1:] != cells[:-1]).any(1)])
+            for start, end in zip(starts, [*starts[1:], len(order)]):
+                t, b = cells[start]
                 qs = wanted.get((int(t), int(b)))
                 if qs is None:
                     continue
-                rows = np.nonzero(first.ravel() == c)[0]
+                rows = order[start:end]
                 _score_bucket(best, block, qs, unit[rows], buckets[rows], ids[rows], int(t))
         if id_type is not None:
             yield from best.rows(block, id_type, query_type).to_batches()

@@ -66,12 +66,3 @@ def written(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df):
-    """Rows over all cores, where the input has fewer files than the cluster has cores.
-
-    For costly row-wise work on a few files. Inputs of many files are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -47,15 +47,15 @@ def run_rows(
     top_k: int,
     run_name: str,
 ) -> DataFrame:
-    """One row per question: parameters, measures, tags and the context it was given.
+    """One row per question: parameters, measures, tags and the context it was given, if any.
 
     ``collection_size`` is the one-row frame of ``collection_info``.
     """
     size = F.broadcast(collection_size.select("collection_size", F.lit(True).alias("_one")))
     return (
-        questions.join(metrics, "query_id")
-        .join(tags.drop("query"), "query_id")
-        .join(contexts, "query_id")
+        questions.join(metrics, "query_id", "left")
+        .join(tags.drop("query"), "query_id", "left")
+        .join(contexts, "query_id", "left")
         .withColumn("_one", F.lit(True))
         .join(size, "_one")
         .select(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import context as ctx
+from ledgerloom.sinks.tables import run_rows
 from ledgerloom.operators import gold, search
 
 COLUMNS = "nct_id string, brief_title string, conditions string, brief_summary string, overall_status string, phase string"
@@ -116,6 +117,21 @@ def test_prompt_of_a_question_without_hits(spark, records):
     assert p.prompt == "Question: any?\n\nTrials:\n"
 
 
+def test_a_question_without_hits_counts(spark, records):
+    questions = spark.createDataFrame([(1, "one"), (2, "two"), (3, "no hits")], "query_id int, question string")
+    tags = {r.query_id: r for r in ctx.run_tags(questions, records).collect()}
+    assert tags[3].recruiting_found is False and tags[3].high_confidence is False
+    metrics = ctx.retrieval_metrics(records)
+    lines = {r.query: r for r in ctx.compare_runs(questions, metrics).collect()}
+    assert lines["no hits"].top1_similarity == 0 and lines["Averages"].top1_similarity == 23.3
+    scores = ctx.evaluate(records, questions=questions).first()
+    assert (scores.queries_tested, scores.avg_top1_similarity) == (3, 23.3)
+    contexts = ctx.build_context(records)
+    size = spark.createDataFrame([(5,)], "collection_size long")
+    rows = {r.query_id: r for r in run_rows(questions, metrics, ctx.run_tags(questions, records), contexts, size, "e", 10, "run").collect()}
+    assert len(rows) == 3 and rows["3"].top1_similarity is None and rows["3"].recruiting_found is False
+
+
 @pytest.mark.parametrize(
     "answer, cited, supported, share",
     [

@@ -149,3 +149,15 @@ def test_missing_vectors_and_ids_are_left_out(spark, data):
     asked = queries.unionByName(spark.createDataFrame([(77, None)], "query_id bigint, embedding array<float>"))
     assert hits(vec.top_k(asked, items, 5)) == brute(m, q, 5)
     assert hits(vec.top_k(asked, items, 5, block_queries=4, chunk_vectors=60)) == brute(m, q, 5)
+
+
+def test_index_files_are_bounded(spark, data):
+    """However many tasks write it, the index has one file per shard that has rows."""
+    items = data[0]
+    hashes = vec.bucket_hash(items)
+    path = scratch_path(spark, "test-index")
+    index = vec.bucket_index(items.repartition(7), hashes)
+    vec.write_bucket_index(index, path)
+    stored = spark.read.parquet(path)
+    shards = stored.select("table_no", "shard").distinct().count()
+    assert len(stored.inputFiles()) == shards and stored.count() == index.count()
