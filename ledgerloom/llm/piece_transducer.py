@@ -37,9 +37,11 @@ from ledgerloom.llm import wordscan as ws
 from ledgerloom.llm.tables import Shared, table
 
 SPACE = 0x2581
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 19
 DENSE_CHARS = 256
-GROUP_CELLS = 1 << 18
+GROUP_CELLS = 1 << 17
+CACHED_PARTS = 600_000
+CACHED_PAIRS = 1_000_000
 
 _U = np.uint64
 
@@ -112,11 +114,14 @@ class PieceModel:
 
     def _tabulate(self) -> None:
         """Edges of common characters as a table; the space symbol takes its last column."""
-        self.dense = np.full((len(self.ends), DENSE_CHARS + 1), -1, np.int32)
         nodes, codes = np.divmod(self.edge_keys, 1 << 21)
         columns = self._column(codes)
         common = columns >= 0
-        self.dense[nodes[common], columns[common]] = self.edge_to[common]
+        inner = np.unique(nodes[common])
+        self.row = np.zeros(len(self.ends), np.int32)  # row 0: no edges
+        self.row[inner] = np.arange(1, len(inner) + 1)
+        self.dense = np.full((len(inner) + 1, DENSE_CHARS + 1), -1, np.int32)
+        self.dense[self.row[nodes[common]], columns[common]] = self.edge_to[common]
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "dense"}
@@ -132,7 +137,7 @@ class PieceModel:
 
     def step(self, nodes: np.ndarray, codes: np.ndarray, columns: np.ndarray) -> np.ndarray:
         """The next trie nodes, -1 where there is no edge."""
-        out = self.dense[nodes, columns]
+        out = self.dense[self.row[nodes], columns]
         rare = np.flatnonzero(columns < 0)
         if len(rare):
             keys = nodes[rare].astype(np.int64) * (1 << 21) + codes[rare]
@@ -246,7 +251,7 @@ class PieceModel:
 class PairCache:
     """Answers of ``compatible`` by pair, as sorted arrays; forgets all when it is full."""
 
-    def __init__(self, model: PieceModel, most: int = 3_000_000):
+    def __init__(self, model: PieceModel, most: int = CACHED_PAIRS):
         self.model, self.most = model, most
         self.keys, self.good = np.zeros(0, np.int64), np.zeros(0, bool)
 
@@ -274,7 +279,7 @@ class Transducer:
     """Composes inputs with a model and takes shortest paths; keeps the ids of parts."""
 
     def __init__(self, model: PieceModel):
-        self.model, self.pairs, self.cache = model, PairCache(model), ws.PieceCache()
+        self.model, self.pairs, self.cache = model, PairCache(model), ws.PieceCache(CACHED_PARTS)
 
     def normalised(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Code points of the normalised texts end to end, and each text's start."""
@@ -459,18 +464,31 @@ def _valid(text: bytes) -> bytes:
     return text
 
 
-def _encode(model):
+def _returns(decoder: Decoder, ids, before, codes, starts) -> list[bool]:
+    """Whether the ids of each text decode to its normalised text."""
+    text = codes.astype("<u4").tobytes().decode("utf-32-le").replace(chr(SPACE), " ")
+    wanted = [text[a + (decoder.prefix and b > a) : b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
+    return [_valid(x).decode() == y for x, y in zip(decoder.decode(ids, before), wanted)]
+
+
+def _encode(model, check: bool):
+    @ws.released
     def encode(batches):
         transducer = Transducer(model.value)
+        decoder = Decoder(transducer.model) if check else None
         for batch in batches:
             for first, last, data, starts in ws.blocks(batch.column(1), BLOCK_CHARS):
-                ids, before, _, _ = transducer.encode(data, starts)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), ws.lists(ids.astype(np.int32), np.diff(before))], names=["key", "ids"])
+                ids, before, codes, places = transducer.encode(data, starts)
+                columns = [batch.column(0).slice(first, last - first), ws.lists(ids.astype(np.int32), np.diff(before))]
+                if check:
+                    columns.append(pa.array(_returns(decoder, ids, before, codes, places), pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "ids", "returns"][: len(columns)])
 
     return encode
 
 
 def _decode(shared):
+    @ws.released
     def decode(batches):
         decoder = shared.value
         for batch in batches:
@@ -493,12 +511,17 @@ def _unkeyed(df: DataFrame, columns: list[str], out: str) -> DataFrame:
     return df.select(*[F.col(f"key.`{c}`") for c in columns], F.col(df.columns[1]).alias(out))
 
 
-def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of ``text_col`` in its place, as the array column ``ids_col``."""
+def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", check_col: str | None = None) -> DataFrame:
+    """``docs`` with the ids of ``text_col`` in its place, as the array column ``ids_col``.
+
+    ``check_col`` adds whether the ids, decoded again, give the normalised text.
+    """
     model = Shared(docs.sparkSession, PieceModel(model_path))
     keyed = _keyed(docs, text_col, ids_col)
-    done = keyed.mapInArrow(_encode(model), f"key {keyed.schema['key'].dataType.simpleString()}, ids array<int>")
-    return _unkeyed(done, [c for c in docs.columns if c not in (text_col, ids_col)], ids_col)
+    schema = f"key {keyed.schema['key'].dataType.simpleString()}, ids array<int>" + (", returns boolean" if check_col else "")
+    done = keyed.mapInArrow(_encode(model, check_col is not None), schema)
+    kept = [c for c in docs.columns if c not in (text_col, ids_col, check_col)]
+    return done.select(*[F.col(f"key.`{c}`") for c in kept], F.col("ids").alias(ids_col), *([F.col("returns").alias(check_col)] if check_col else []))
 
 
 def decode_pieces(encoded: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -513,8 +536,6 @@ def op9_sentencepiece(spark, d):
     """Ids of every whole text, and whether they decode to the text."""
     import public_tokenizers
 
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, d, "documents").select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    encoded = encode_pieces(docs, path).withColumn("kept", F.col("ids"))
-    decoded = decode_pieces(encoded, path)
-    return decoded.select("doc_id", F.col("kept").alias("ids"), F.size("kept").cast("long").alias("n_ids"), (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"))
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), check_col="round_trip")
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import pickle
 
 from pyspark import cloudpickle
@@ -29,6 +30,20 @@ def tasks_for(df: DataFrame, amount: int, each: int) -> int:
     return max(least, -(-amount // each))
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextlib.contextmanager
+def text_batches(spark: SparkSession, most: int = 8 << 20):
+    """Smaller Arrow batches for what runs within the block: rows that hold whole texts."""
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+
+
 class Shared:
     """An object that every task can read; its class travels with it."""
 

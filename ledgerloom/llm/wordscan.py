@@ -9,12 +9,14 @@ Hashes are polynomials modulo 2**64 over random byte values, taken from prefix s
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 _U = np.uint64
 _GROW = 1 << 16
@@ -173,6 +175,22 @@ def grouped(keys: np.ndarray, owners: np.ndarray, values: np.ndarray, n_keys: in
     return owners[new], counts, values, np.bincount(keys[new], minlength=n_keys), np.bincount(keys, minlength=n_keys)
 
 
+def released(task):
+    """A task that gives back what it has freed, as Spark goes on to use its Python process."""
+
+    @functools.wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 class PieceCache:
     """Ids of byte pieces by their hash, as flat arrays; forgets all when it is full."""
 

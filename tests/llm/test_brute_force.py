@@ -370,6 +370,7 @@ def test_pieces(spark, small_dir, odd_docs, no_docs):
     docs = odd_docs.select("doc_id", "text", "class").union(spark.createDataFrame([(100 + i, t, "c") for i, t in enumerate(hard)], "doc_id long, text string, class string"))
     docs = docs.union(spark.read.parquet(f"{small_dir}/documents.parquet").selectExpr("doc_id + 1000", "text", "lang"))
     encoded = piece_transducer.encode_pieces(docs, PIECES)
+    assert {r.round_trip for r in piece_transducer.encode_pieces(docs, PIECES, check_col="round_trip").collect()} == {True}
     assert encoded.columns == ["doc_id", "class", "ids"]
     want = Counter((i, tuple(sp.encode(t or ""))) for i, t in _rows(docs))
     assert Counter((r.doc_id, tuple(r.ids)) for r in encoded.collect()) == want
