@@ -11,7 +11,8 @@
 4. The examples' unit vectors form an inverted index of ``BLOCK`` consecutive examples a
    block, with the largest weight of every term in every block. A search takes blocks in
    order of their largest possible cosine and stops when no further block can reach the
-   k-th neighbour, so the k nearest examples are exact (ties to the earlier example).
+   k-th neighbour, so the k nearest examples are exact (ties to the earlier example;
+   examples stand in order of their heaviest term, which keeps the bounds low).
 5. The neighbours' labels are voted by cosine, each example for the labelled rows that it
    stands for, together with ``PRIOR_VOTES`` votes of the label's overall share. A
    logistic curve fitted on the examples' own votes, each without itself, turns votes into
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import wordscan as ws
-from ledgerloom.llm.tables import Shared, small, table
+from ledgerloom.llm.tables import Shared, small, table, tasks_for, text_batches
 from ledgerloom.session import written
 
 EXAMPLES = 4096
@@ -40,6 +41,7 @@ RATIO = 3.0
 LEAST_CHI2 = 40.0
 LEAST_DOCS = 5
 MOST_TERMS = 1024
+COUNTED_TERMS = 1_000_000
 BLOCK = 64
 NEIGHBOURS = 15
 PRIOR_VOTES = 0.25
@@ -65,6 +67,7 @@ def _terms(texts: pa.Array):
         yield first, np.concatenate(found), np.concatenate(rows)
 
 
+@ws.released
 def _count_by_label(batches):
     """Documents with each term, by label, summed within a task."""
 
@@ -83,7 +86,7 @@ def _count_by_label(batches):
             new = np.r_[True, (terms[1:] != terms[:-1]) | (rows[1:] != rows[:-1])] if len(terms) else np.zeros(0, bool)
             held.append((terms[new], labels[first + rows[new]]))
             size += new.sum()
-        if size > 4_000_000:
+        if size > COUNTED_TERMS:
             yield out(held)
             held, size = [], 0
     if held:
@@ -93,6 +96,7 @@ def _count_by_label(batches):
 def _count_terms(known: np.ndarray):
     """Each text's terms among ``known`` (their places) and how often it has them."""
 
+    @ws.released
     def count(batches):
         for batch in batches:
             n = batch.num_rows
@@ -131,15 +135,14 @@ class Examples:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosine above 0, and the cosines."""
-        bound = weights @ self.most[terms]
+        bound, first = weights @ self.most[terms], terms.astype(np.int64) * self.blocks
         found, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
         for b in np.argsort(-bound, kind="stable"):
             if bound[b] <= 0 or (len(found) == k and bound[b] < least - 1e-12):
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights):
-                x, y = self.begin[t * self.blocks + b], self.begin[t * self.blocks + b + 1]
-                scores[self.example[x:y] - b * BLOCK] += w * self.weight[x:y]
+            x, y = self.begin[first + b], self.begin[first + b + 1]
+            own = ws.ragged(x, y - x)
+            scores = np.bincount(self.example[own] - b * BLOCK, self.weight[own] * np.repeat(weights, y - x), BLOCK)
             at = np.flatnonzero(scores > 0)
             scores, at = scores[at], at + b * BLOCK
             scores, at = scores[at != without], at[at != without]
@@ -182,7 +185,22 @@ def unit_vector(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple
     return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
 
 
+def _docs_with(n_terms: int):
+    """How many of a task's texts have each term."""
+
+    @ws.released
+    def count(batches):
+        total = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=n_terms)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"term": at.astype(np.int32), "n": total[at]})
+
+    return count
+
+
 def _score(index, idf, example_ids, k: int):
+    @ws.released
     def score(batches):
         examples, weights_of, ids, seen = index.value, idf.value, example_ids.value, {}
         plain = float(examples.probability(np.array([examples.share]))[0]) if len(examples.labels) else examples.share
@@ -236,25 +254,30 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     texts = own.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("long").alias("label"))
     counts = texts.mapInArrow(_count_by_label, "term long, ones long, zeros long").groupBy("term").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-    terms = choose_terms(counts, sizes.get(1, 0), sizes.get(0, 0)) if len(sizes) == 2 else np.zeros(0, _U)
-    vectors = written(own.mapInArrow(_count_terms(terms), "doc_id long, text_hash long, terms array<int>, counts array<int>"), "term-counts")
+    with text_batches(spark):
+        terms = choose_terms(counts, sizes.get(1, 0), sizes.get(0, 0)) if len(sizes) == 2 else np.zeros(0, _U)
+        vectors = written(own.mapInArrow(_count_terms(terms), "doc_id long, text_hash long, terms array<int>, counts array<int>"), "term-counts")
     n_docs = vectors.count()
-    per_term = vectors.select(F.explode("terms").alias("term")).groupBy("term").count().collect()  # at most MOST_TERMS
+    per_term = vectors.select("terms").mapInArrow(_docs_with(len(terms)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # at most MOST_TERMS
     idf = np.full(len(terms), np.log(1 + n_docs) + 1)
     for row in per_term:
-        idf[row["term"]] = np.log((1 + n_docs) / (1 + row["count"])) + 1
+        idf[row["term"]] = np.log((1 + n_docs) / (1 + row["n"])) + 1
 
     # at most 2 * examples rows, each with at most MOST_TERMS terms
     near = vectors.join(F.broadcast(chosen), "doc_id").orderBy("label", F.xxhash64("doc_id"), "doc_id", "text_hash").limit(2 * examples).toArrow()
-    label = near["label"].to_numpy().astype(np.float64)
     kept = [unit_vector(t.values.to_numpy(), c.values.to_numpy(), idf) for t, c in zip(near["terms"].combine_chunks(), near["counts"].combine_chunks())]
+    # examples of the same heaviest term share blocks, which keeps the blocks' bounds low
+    order = np.argsort([t[w.argmax()] if len(t) else -1 for t, w in kept], kind="stable").astype(np.int64)
+    kept = [kept[i] for i in order]
+    label, ids = near["label"].to_numpy().astype(np.float64)[order], near["doc_id"].to_numpy()[order]
     stands_for = np.array([totals[x] / sizes[x] for x in label.astype(int)], np.float64)
     every = sum(totals.values())
     index = Examples(kept, label, stands_for, totals.get(1, 0) / every if every else 0.0, len(terms))
     if len(label):
         index.calibrate(np.array([index.vote(*index.nearest(t, w, neighbours, i)) if len(t) else index.share for i, (t, w) in enumerate(kept)]))
-    shared = [Shared(spark, x) for x in (index, idf, near["doc_id"].to_numpy())]
-    return vectors.mapInArrow(_score(*shared, neighbours), "doc_id long, text_hash long, score double, evidence array<struct<example: long, label: int, cosine: double>>").withColumnRenamed("doc_id", id_col)
+    shared = [Shared(spark, x) for x in (index, idf, ids)]
+    dealt = vectors.repartition(tasks_for(docs, n_docs, 4096))
+    return dealt.mapInArrow(_score(*shared, neighbours), "doc_id long, text_hash long, score double, evidence array<struct<example: long, label: int, cosine: double>>").withColumnRenamed("doc_id", id_col)
 
 
 def _fold(id_col: str, folds: int) -> Column:
