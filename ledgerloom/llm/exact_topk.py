@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import wordscan as ws
 from ledgerloom.llm.tables import table
 
 QUERY_ROWS = 1024
@@ -98,6 +99,7 @@ class Reader:
 def _search(k: int, rounds):
     """Rows come ordered by (dims, query block, group), queries before candidates."""
 
+    @ws.released
     def search(batches):
         key, queries, reader, held, size = None, [], None, [], 0
 

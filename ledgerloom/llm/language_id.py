@@ -155,6 +155,7 @@ class Network:
 def _sample_windows(window: int, per_doc: int):
     """Windows spread evenly over each text, with the text's label."""
 
+    @ws.released
     def sample(batches):
         for batch in batches:
             languages, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -203,6 +204,7 @@ def document_probabilities(network: Network, texts: pa.Array, window: int = WIND
 
 
 def _label(network, languages: list[str]):
+    @ws.released
     def label(batches):
         model = network.value
         for batch in batches:

@@ -119,6 +119,7 @@ class Templates:
 
 
 def _count(templates):
+    @ws.released
     def count(batches):
         own = templates.value
         total, n = np.zeros(len(own.known), np.int64), 0
@@ -136,6 +137,7 @@ def _count(templates):
 def _compare(templates):
     """Per file: its best line's template and cosine, and those of the whole file."""
 
+    @ws.released
     def compare(batches):
         own = templates.value
         names = pa.array([*own.names, None], pa.string())

@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm import wordscan as ws
-from ledgerloom.llm.tables import table, tasks_for
+from ledgerloom.llm.tables import table, tasks_for, text_batches
+from ledgerloom.session import written
 
-CHUNK_WINDOWS = 1_500_000
-BUCKET_CHARS = 16 << 20
+CHUNK_WINDOWS = 1_000_000
+BUCKET_CHARS = 12 << 20
 NULL_ID = (1 << 63) - 1
 
 _DEALT = "bucket int, flagged boolean, doc_ids array<long>, counts array<int>, hashes array<long>"
@@ -81,6 +82,7 @@ def _deal(window: int, n_buckets: int):
         if len(known):
             yield _by_key(_part(docs[known], n_buckets), docs[known], hashes[known], n_buckets, flagged=True)
 
+    @ws.released
     def deal(batches):
         held, size = [], 0
         for batch in batches:
@@ -128,6 +130,7 @@ def _find_repeats(n_parts: int):
         if len(found):
             yield _by_key(_part(docs[found], n_parts), docs[found], hashes[found], n_parts, flagged=True)
 
+    @ws.released
     def find(batches):
         counted = []
 
@@ -147,6 +150,7 @@ def _find_repeats(n_parts: int):
     return find
 
 
+@ws.released
 def _gather(batches):
     """Per part, ordered by it: one row per document with all its repeated windows."""
 
@@ -160,6 +164,7 @@ def _gather(batches):
 def _cut(window: int, text_at: int, hits_at: int, names: list[str]):
     """Texts without the covered words, the counts and the removed intervals (in words)."""
 
+    @ws.released
     def cut(batches):
         for batch in batches:
             hits = batch.column(hits_at)
@@ -212,9 +217,11 @@ def remove_repeated_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_
     keyed = docs.select(key.alias("doc_id"), F.col(text_col).alias("text"))
     chars = keyed.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_buckets = tasks_for(docs, chars, BUCKET_CHARS)
-    dealt = keyed.mapInArrow(_deal(window, n_buckets), _DEALT)
-    repeats = dealt.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_find_repeats(n_buckets), _DEALT)
-    hits = repeats.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_gather, "doc_id long, __hits array<long>")
+    with text_batches(docs.sparkSession):
+        dealt = keyed.mapInArrow(_deal(window, n_buckets), _DEALT)
+        repeats = dealt.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_find_repeats(n_buckets), _DEALT)
+        gathered = repeats.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_gather, "doc_id long, __hits array<long>")
+        hits = written(gathered, "repeats")
     # the other columns travel as one struct, under names that can't clash
     rest = [c for c in docs.columns if c != text_col]
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__rest"), F.col(text_col).alias("__text"), key.alias("__key"))

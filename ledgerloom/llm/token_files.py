@@ -124,6 +124,7 @@ class Encoder:
 
 
 def _shard_writer(folder: str, tokenizer: str, end_id: int):
+    @ws.released
     def write(batches):
         store, base = pafs.FileSystem.from_uri(folder)
         shard = TaskContext.get().partitionId()
@@ -191,6 +192,7 @@ READ_DOCS = 4096
 def _read(uri: str, columns, fields: list[str]):
     """A task that gives ``columns(doc offsets, ids)`` for blocks of a shard's documents."""
 
+    @ws.released
     def read(batches):
         for batch in batches:
             for row in batch.to_pylist():
