@@ -15,18 +15,22 @@ as a rare one.
 Steps, each over all rows:
 
 1. One pass over the texts: set size and a hash of the whole set (texts of equal sets are
-   one class from here on), and tokens that repeat within a task's chunk, summed over the
-   chunks. A token of frequency f is missed only if it never repeats in a chunk and is
-   under-counted by one per chunk at most. The ``MOST_FREQUENT`` first of them are sent to
-   all tasks; this orders the tokens and is no matter of right or wrong.
+   one class from here on), and how many texts of different sets each task's chunk has of
+   every token; tokens are cut to 32 bits within their bucket and summed there. The
+   ``MOST_FREQUENT`` first of those with ``LEAST_COUNT`` or more are sent to all tasks. This
+   orders the tokens and is no matter of right or wrong.
 2. A second pass: index keys of every class, dealt to buckets. Short posting lists give
    all their pairs, long ones the pairs with a few pivots, and are kept.
-3. Pairs are verified on whole texts: rows are dealt by the first of a pair, salted, and
-   read in order, so a task holds one set at a time.
+3. Pairs are compared by parity bitmaps first: bits set an odd number of times by the
+   tokens. The bits in which two maps differ are at most the tokens in which the sets do,
+   so no pair at the threshold is lost. What is left is verified on whole texts: rows are
+   dealt by the first of a pair, salted, and read in order, so a task holds one set at a
+   time.
 4. Components of the links. A long list whose members are all in one component is done.
-   Of others, all members outside the list's largest component are paired with all
-   members of other components, verified, and the components joined. No link between
-   components is lost.
+   Of others, all members outside the list's largest component are compared by bitmap with
+   all members of other components, in bounded pieces. Of each member and component the
+   first ``4`` possible partners are verified and components joined; lists in which there
+   were more, and none of those given has linked, are taken again with ``64 ...`` of them.
 
 Classes are named by a 64-bit hash of their set; with n different sets about
 n**2 / 2**65 of them are expected to share a name.
@@ -45,10 +49,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import wordscan as ws
-from ledgerloom.llm.tables import small, table, tasks_for
+from ledgerloom.llm.tables import small, table, tasks_for, text_batches
 from ledgerloom.session import written
 
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 1_000_000
 MOST_FREQUENT = 1 << 20
 LEAST_COUNT = 8
 FREQUENT_LEVEL = 6  # floor(log2(count)): from 64 documents on
@@ -56,8 +60,10 @@ SMALL_SET = 32
 SHORT_LIST = 24
 PIVOTS = 2
 LIST_PART = 1024
+OUTSIDE_PIECE = 256
+LIST_PIECE = 512
 PAIRS_PER_GROUP = 128
-BUCKET_CHARS = 24 << 20
+BUCKET_CHARS = 12 << 20
 
 _U = np.uint64
 
@@ -84,36 +90,95 @@ def class_of(tokens: np.ndarray) -> int:
     return int(ws.mix(ws.mix(tokens ^ _U(0x9E3779B97F4A7C15)).sum(dtype=_U, keepdims=True) + _U(len(tokens))).view(np.int64)[0])
 
 
-def _scan(width: int):
-    """Per text its size and class; per chunk the tokens that repeat in it."""
-    names = ["doc_id", "n", "class", "tokens", "counts"]
+def short_token(tokens: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of a token and its lower 32 bits, as one number."""
+    bucket = ws.mix(tokens) % _U(n_buckets)
+    return ((bucket << _U(32)) | (tokens & _U(0xFFFFFFFF))).view(np.int64)
 
-    def repeated(sets):
-        tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
-        often = counts > 1
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), ws.lists(tokens[often].view(np.int64), np.array([often.sum()])), ws.lists(counts[often].astype(np.int32), np.array([often.sum()]))], names=names)
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """A parity bitmap of at least two bits per token, as 64-bit words."""
+    bits = 256
+    while bits < 2 * len(tokens):
+        bits *= 2
+    odd = np.bincount((ws.mix(tokens ^ _U(0x5BD1E995)) & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def may_link(bits: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, threshold: tuple[int, int]) -> np.ndarray:
+    """Which of ``others`` (rows of equal length) the bitmaps don't rule out."""
+    top, whole = threshold
+    width = min(bits.shape[0], others.shape[1])
+    while bits.shape[0] > width:
+        bits = bits[: bits.shape[0] // 2] ^ bits[bits.shape[0] // 2 :]
+    while others.shape[1] > width:
+        half = others.shape[1] // 2
+        others = others[:, :half] ^ others[:, half:]
+    apart = np.bitwise_count((others ^ bits).view(_U)).sum(1, dtype=np.int64)
+    # both <= (size + other - apart) / 2, and whole * both >= top * (size + other - both)
+    return (whole + top) * (size + sizes - apart) >= 2 * top * (size + sizes)
+
+
+def _scan(width: int, n_buckets: int):
+    """Per text its size and class; per chunk and bucket the tokens and their counts."""
+    names = ["doc_id", "n", "class", "bits", "bucket", "tokens", "counts"]
+    map_type = pa.list_(pa.int64())
+
+    def summed(sets):
+        tokens, counts = np.unique(short_token(np.concatenate(sets), n_buckets), return_counts=True)
+        bucket = tokens >> 32
+        per_bucket = np.bincount(bucket, minlength=n_buckets)
+        some = np.flatnonzero(per_bucket)
+        none = pa.nulls(len(some), pa.int64())
+        low = (tokens & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(some), map_type), pa.array(some.astype(np.int32)), ws.lists(low, per_bucket[some]), ws.lists(np.minimum(counts, 32767).astype(np.int16), per_bucket[some])], names=names)
+
+    @ws.released
     def scan(batches):
         held, seen, size = [], set(), 0
         for batch in batches:
             for first, last, sets in shingle_sets(batch.column(1), width):
                 classes = [class_of(s) if len(s) else None for s in sets]
                 n = last - first
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.int32()))], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.array([bitmap(s) for s in sets], map_type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int16()))], names=names)
                 for c, s in zip(classes, sets):
                     if c is not None and c not in seen:
                         seen.add(c)
                         held.append(s)
                         size += len(s)
                 if size >= CHUNK_TOKENS:
-                    yield from repeated(held)
+                    yield from summed(held)
                     held, seen, size = [], set(), 0
         if held:
-            yield from repeated(held)
+            yield from summed(held)
 
     return scan
 
 
+@ws.released
+def _frequent(batches):
+    """Per bucket, ordered by it: the tokens of ``LEAST_COUNT`` texts or more."""
+
+    def out(bucket, tokens, counts):
+        tokens, back = np.unique(np.concatenate(tokens), return_inverse=True)
+        totals = np.bincount(back, np.concatenate(counts), len(tokens)).astype(np.int64)
+        often = totals >= LEAST_COUNT
+        key = (np.int64(bucket) << 32) | tokens[often].view(np.uint32).astype(np.int64)
+        return pa.RecordBatch.from_pydict({"token": key, "count": totals[often]})
+
+    current, tokens, counts = None, [], []
+    for batch in batches:
+        for i, bucket in enumerate(batch.column(0).to_pylist()):
+            if bucket != current and tokens:
+                yield out(current, tokens, counts)
+                tokens, counts = [], []
+            current = bucket
+            tokens.append(batch.column(1)[i].values.to_numpy())
+            counts.append(batch.column(2)[i].values.to_numpy())
+    if tokens:
+        yield out(current, tokens, counts)
+
+
 def _units_needed(n: int, threshold: tuple[int, int]) -> int:
     top, whole = threshold
     return n - -(-top * n // whole) + 1
@@ -177,6 +242,7 @@ def _post(width: int, threshold: tuple[int, int], n_buckets: int, frequent):
         own = np.array([sizes[c] for c in classes.tolist()], np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(some).astype(np.int32)), ws.lists(classes, per_key[some]), ws.lists(own, per_key[some]), ws.lists(counts, per_key[some]), ws.lists(flat.view(np.int64), per_row[some])], names=names)
 
+    @ws.released
     def post(batches):
         known, level = frequent.value
         held, seen, size = [], set(), 0
@@ -191,8 +257,9 @@ def _post(width: int, threshold: tuple[int, int], n_buckets: int, frequent):
                     seen.add(c)
                     levels = np.zeros(len(s), np.int8)
                     if len(known):
-                        at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                        levels = np.where(known[at] == s, level[at], 0)
+                        short = short_token(s, n_buckets)
+                        at = np.minimum(np.searchsorted(known, short), len(known) - 1)
+                        levels = np.where(known[at] == short, level[at], 0)
                     keys = index_keys(s, levels, threshold)
                     held.append((keys, c, len(s)))
                     size += len(keys)
@@ -208,7 +275,7 @@ def _post(width: int, threshold: tuple[int, int], n_buckets: int, frequent):
 def _pair_up(threshold: tuple[int, int]):
     """Candidate pairs of every key's list; long lists are kept beside their pivots' pairs."""
     top, whole = threshold
-    names = ["a", "b", "key", "classes", "sizes"]
+    names = ["a", "b", "key", "classes"]
 
     def rows(held):
         keys, classes, sizes = (np.concatenate(x) for x in zip(*held))
@@ -234,14 +301,15 @@ def _pair_up(threshold: tuple[int, int]):
         n = len(pairs)
         if n:
             empty = pa.nulls(n, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(n, pa.int64()), empty, empty], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(n, pa.int64()), empty], names=names)
         kept = length > SHORT_LIST
         if kept.any():
             cut = np.flatnonzero(kept & (rank % LIST_PART == 0))
             counts = np.minimum(length[cut] - rank[cut], LIST_PART)
             n = len(cut)
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(keys[cut].view(np.int64)), ws.lists(classes[kept], counts), ws.lists(sizes[kept], counts)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(keys[cut].view(np.int64)), ws.lists(classes[kept], counts)], names=names)
 
+    @ws.released
     def pair_up(batches):
         held, current = [], None
         for batch in batches:
@@ -262,6 +330,7 @@ def _verify(width: int, threshold: tuple[int, int]):
     """Rows come ordered by (a, salt, side): the text of ``a``, then those of its partners."""
     top, whole = threshold
 
+    @ws.released
     def verify(batches):
         group, own = None, None
         for batch in batches:
@@ -286,6 +355,29 @@ def _verify(width: int, threshold: tuple[int, int]):
     return verify
 
 
+def _prune(threshold: tuple[int, int]):
+    """The pairs whose bitmaps don't rule them out."""
+
+    @ws.released
+    def prune(batches):
+        for batch in batches:
+            n_a, n_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            keep = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                a, b = batch.column(4)[i].values.to_numpy(), batch.column(5)[i].values.to_numpy()
+                keep[i] = may_link(a, n_a[i], b[None, :], np.array([n_b[i]]), threshold)[0]
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return prune
+
+
+def possible(pairs: DataFrame, named: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) that may be similar enough by their bitmaps."""
+    first, second = (named.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in ("a", "b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return both.mapInArrow(_prune(threshold), "a long, b long")
+
+
 def verified(pairs: DataFrame, named: DataFrame, docs: DataFrame, width: int, threshold: tuple[int, int]) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar enough.
 
@@ -296,7 +388,7 @@ def verified(pairs: DataFrame, named: DataFrame, docs: DataFrame, width: int, th
     sized = per_group.select("a", salts.alias("salts"))
     partners = pairs.join(sized, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("side"), F.col("b").alias("class"))
     own = sized.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("a").alias("class"))
-    members = written(partners.union(own).join(named, "class").select("a", "salt", "side", "class", "doc_id"), "members")
+    members = written(partners.union(own).join(named.select("class", "doc_id"), "class").select("a", "salt", "side", "class", "doc_id"), "members")
     texts = docs.join(small(members), "doc_id").select("a", "salt", "side", "class", "text")
     n = members.count()
     dealt = texts.repartition(tasks_for(docs, n, 4096), "a", "salt").sortWithinPartitions("a", "salt", "side")
@@ -317,19 +409,67 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(lists: DataFrame, labels: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs of members of different components, of lists that have more than one."""
-    top, whole = threshold
-    members = lists.select("key", F.explode(F.arrays_zip("classes", "sizes")).alias("m")).select("key", F.col("m.classes").alias("class"), F.col("m.sizes").alias("size"))
+def _compare_across(threshold: tuple[int, int], most: int):
+    """Rows come ordered by (key, chunk, part, side): members outside the largest component,
+    then a part of the list. Gives of each of the first and each other component the first
+    ``most`` possible partners, and whether there were more."""
+
+    @ws.released
+    def compare(batches):
+        group, outside = None, []
+        for batch in batches:
+            key, chunk, part, side, classes, labels, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            ids = np.stack([key, chunk, part, side], axis=1)
+            cuts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]).any(1)]) if len(ids) else []
+            for a, b in zip(cuts, [*cuts[1:], len(ids)]):
+                if group != tuple(ids[a, :3]):
+                    group, outside = tuple(ids[a, :3]), []
+                bits = [batch.column(7)[i].values.to_numpy() for i in range(a, b)]
+                if side[a] == 0:
+                    outside += zip(classes[a:b].tolist(), labels[a:b].tolist(), sizes[a:b].tolist(), bits)
+                    continue
+                widths = np.array([len(x) for x in bits])
+                found = []
+                for width in np.unique(widths):
+                    rows = a + np.flatnonzero(widths == width)
+                    maps = np.stack([bits[i - a] for i in rows])
+                    for c, label, size, own in outside:
+                        there = rows[may_link(own, size, maps, sizes[rows], threshold) & (labels[rows] != label)]
+                        if len(there):
+                            found.append((np.full(len(there), c), classes[there], labels[there]))
+                if not found:
+                    continue
+                x, y, label = (np.concatenate(z) for z in zip(*found))
+                order = np.lexsort((ws.mix(x.view(_U) ^ y.view(_U)), label, x))
+                x, y, label = x[order], y[order], label[order]
+                new = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (label[1:] != label[:-1])])
+                lengths = np.diff(np.r_[new, len(x)])
+                rank = np.arange(len(x)) - np.repeat(new, lengths)
+                keep = rank < most
+                x, y, more = x[keep], y[keep], np.repeat(lengths > most, lengths)[keep]
+                yield pa.RecordBatch.from_pydict({"key": np.full(len(x), group[0]), "a": np.minimum(x, y), "b": np.maximum(x, y), "more": more})
+
+    return compare
+
+
+def _across(lists: DataFrame, labels: DataFrame, named: DataFrame, threshold: tuple[int, int], most: int) -> DataFrame:
+    """Possible pairs of members of different components, of lists that have more than one."""
+    members = lists.select("key", F.explode("classes").alias("class"))
     placed = members.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     counts = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("labels")).filter("labels > 1")
-    placed = written(placed.join(small(mixed.select("key", "largest")), "key"), "mixed-lists")
-    other = placed.filter("label <> largest").select("key", F.col("class").alias("c"), F.col("label").alias("l"), F.col("size").alias("s"))
-    apart = (F.col("l") != F.col("label")) & (whole * F.least("s", "size") >= top * F.greatest("s", "size"))
-    # two outside the largest component meet once
-    once = (F.col("label") == F.col("largest")) | (F.col("c") < F.col("class"))
-    return placed.join(other, "key").filter(apart & once).select(F.least("c", "class").alias("a"), F.greatest("c", "class").alias("b")).distinct()
+    mixed = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("in_largest")).filter(F.col("all") > F.col("in_largest"))
+    chunks = F.ceil((F.col("all") - F.col("in_largest")) / OUTSIDE_PIECE).cast("int")
+    parts = F.ceil(F.col("all") / LIST_PIECE).cast("int")
+    sized = mixed.select("key", "largest", chunks.alias("chunks"), parts.alias("parts"))
+    mapped = placed.join(small(sized), "key").join(named.select("class", "n", "bits"), "class")
+    spread, each = F.xxhash64("class"), (lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
+    columns = ("key", "chunk", "part", "side", "class", "label", "n", "bits")
+    outside = mapped.filter("label <> largest").withColumn("chunk", F.pmod(spread, "chunks").cast("int")).withColumn("part", each("parts")).withColumn("side", F.lit(0))
+    listed = mapped.withColumn("part", F.pmod(spread, "parts").cast("int")).withColumn("chunk", each("chunks")).withColumn("side", F.lit(1))
+    rows = outside.select(*columns).union(listed.select(*columns))
+    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(n, "key", "chunk", "part").sortWithinPartitions("key", "chunk", "part", "side")
+    return dealt.mapInArrow(_compare_across(threshold, most), "key long, a long, b long, more boolean")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -337,29 +477,43 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     reach. ``threshold``: a fraction, as two whole numbers."""
     spark = docs.sparkSession
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    scanned = written(own.mapInArrow(_scan(width), "doc_id long, n long, class long, tokens array<long>, counts array<int>"), "shingles")
-    sized = scanned.filter("tokens is null").select("doc_id", "n", "class")
-    named = written(sized.filter("class is not null and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id")), "classes")
-
-    counts = scanned.filter("tokens is not null").select(F.explode(F.arrays_zip("tokens", "counts")).alias("t")).groupBy("t.tokens").agg(F.sum("t.counts").alias("count"))
-    top = counts.filter(F.col("count") >= LEAST_COUNT).orderBy(F.desc("count"), "tokens").limit(MOST_FREQUENT).toPandas()
-    tokens = top["tokens"].to_numpy(np.int64).view(_U)
-    level = np.floor(np.log2(np.maximum(top["count"].to_numpy(np.float64), 1))).astype(np.int8)
-    order = np.argsort(tokens)
-    frequent = spark.sparkContext.broadcast((tokens[order], level[order]))
-
-    total = sized.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    n_buckets = tasks_for(docs, 6 * total, BUCKET_CHARS)
-    posted = own.filter("doc_id is not null").mapInArrow(_post(width, threshold, n_buckets, frequent), "bucket int, classes array<long>, sizes array<int>, counts array<int>, keys array<long>")
-    paired = written(posted.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_pair_up(threshold), "a long, b long, key long, classes array<long>, sizes array<long>"), "pairs")
-    pairs = written(paired.filter("a is not null").select("a", "b").distinct(), "distinct-pairs")
-    links = written(verified(pairs, named, own, width, threshold), "links")
-    labels = components(links)
-    across = written(_across(paired.filter("key is not null"), labels, threshold).join(pairs, ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        links = written(links.union(verified(across, named, own, width, threshold)), "links")
-        labels = components(links)
-    frequent.unpersist()
+    with text_batches(spark):
+        chars = own.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+        n_buckets = tasks_for(docs, chars, BUCKET_CHARS)
+        scanned = written(own.mapInArrow(_scan(width, n_buckets), "doc_id long, n long, class long, bits array<long>, bucket int, tokens array<int>, counts array<short>"), "shingles")
+        sized = scanned.filter("tokens is null").select("doc_id", "n", "class")
+        named = written(scanned.filter("tokens is null").filter("class is not null and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
+
+        chunks = scanned.filter("tokens is not null").select("bucket", "tokens", "counts")
+        counts = chunks.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_frequent, "token long, count long")
+        top = counts.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT).toPandas()
+        tokens = top["token"].to_numpy(np.int64)
+        level = np.floor(np.log2(np.maximum(top["count"].to_numpy(np.float64), 1))).astype(np.int8)
+        order = np.argsort(tokens)
+        frequent = spark.sparkContext.broadcast((tokens[order], level[order]))
+
+        posted = own.filter("doc_id is not null").mapInArrow(_post(width, threshold, n_buckets, frequent), "bucket int, classes array<long>, sizes array<int>, counts array<int>, keys array<long>")
+        paired = written(posted.repartition(n_buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_pair_up(threshold), "a long, b long, key long, classes array<long>"), "pairs")
+        pairs = written(paired.filter("a is not null").select("a", "b").distinct(), "distinct-pairs")
+        tried = written(possible(pairs, named, threshold), "possible")
+        links = written(verified(tried, named, own, width, threshold), "links")
+        labels, most = components(links), 4
+        lists = paired.filter("key is not null").select("key", "classes")
+        while not lists.isEmpty():
+            across = written(_across(lists, labels, named, threshold, most), "across")
+            new = written(across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "untried")
+            if not new.isEmpty():
+                tried = tried.union(new)
+                links = links.union(written(verified(new, named, own, width, threshold), "links"))
+                labels = components(links)
+            # where all possible partners were given, or one of them has linked, nothing is left
+            cut = across.filter("more").select("key", "a", "b")
+            for side in ("a", "b"):
+                found = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+                cut = cut.join(found, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+            left = cut.filter("label_a <> label_b").select("key").distinct()
+            lists, most = written(lists.join(left, "key", "left_semi"), "lists-left"), most * 16
+        frequent.unpersist()
 
     least = named.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
     smallest = least.groupBy("label").agg(F.min("doc_id").alias("component_id"))
