@@ -455,13 +455,18 @@ def _compare_across(threshold: tuple[int, int], most: int):
 def _across(lists: DataFrame, labels: DataFrame, named: DataFrame, threshold: tuple[int, int], most: int) -> DataFrame:
     """Possible pairs of members of different components, of lists that have more than one."""
     members = lists.select("key", F.explode("classes").alias("class"))
-    placed = members.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
-    counts = placed.groupBy("key", "label").agg(F.count("*").alias("n"))
+
+    def with_labels(rows: DataFrame) -> DataFrame:
+        return rows.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
+
+    counts = with_labels(members).groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("in_largest")).filter(F.col("all") > F.col("in_largest"))
     chunks = F.ceil((F.col("all") - F.col("in_largest")) / OUTSIDE_PIECE).cast("int")
     parts = F.ceil(F.col("all") / LIST_PIECE).cast("int")
     sized = mixed.select("key", "largest", chunks.alias("chunks"), parts.alias("parts"))
-    mapped = placed.join(small(sized), "key").join(named.select("class", "n", "bits"), "class")
+    # mixed lists are picked before their members are spread out
+    picked = lists.join(small(sized), "key").select("key", "largest", "chunks", "parts", F.explode("classes").alias("class"))
+    mapped = with_labels(picked).join(named.select("class", "n", "bits"), "class")
     spread, each = F.xxhash64("class"), (lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     columns = ("key", "chunk", "part", "side", "class", "label", "n", "bits")
     outside = mapped.filter("label <> largest").withColumn("chunk", F.pmod(spread, "chunks").cast("int")).withColumn("part", each("parts")).withColumn("side", F.lit(0))
