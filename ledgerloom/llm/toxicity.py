@@ -1,31 +1,38 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
-
-1. Labelled rows: of each label at most ``examples`` rows, those of the smallest id hashes.
-   This is the documented bound of what is fitted; the share of each label is counted over
-   all labelled rows.
-2. Terms: words and their beginnings of ``PREFIXES`` bytes. Among the examples' terms
-   those are kept whose document share differs between the labels by ``RATIO`` and with a
-   chi-square of ``LEAST_CHI2``, at most ``MOST_TERMS``.
-3. One pass over all whole texts turns each into its counts of these terms. Document
-   frequencies are counted over all documents.
-4. The examples' unit vectors form an inverted index of ``BLOCK`` consecutive examples a
-   block, with the largest weight of every term in every block. A search takes blocks in
-   order of their largest possible cosine and stops when no further block can reach the
-   k-th neighbour, so the k nearest examples are exact (ties to the earlier example;
-   examples stand in order of their heaviest term, which keeps the bounds low).
+"""Toxicity by nearest labelled examples under exact weighted TF-IDF cosine.
+
+1. Labelled rows: of each label at most ``examples`` ids, those of the smallest hashes; then
+   their distinct texts, at most ``examples`` of each label. This is the documented bound of
+   what is fitted; the share of each label is counted over all labelled rows.
+2. Terms: words and their beginnings of ``PREFIXES`` bytes, all those of the examples. None
+   is left out: how far a term tells the labels apart only adds to its weight, and a term
+   that tells nothing keeps ``BASE_WEIGHT`` of its TF-IDF.
+3. Document frequencies are counted over all documents in one pass over their whole texts.
+4. The examples' unit vectors stand in an inverted index: postings of the rarer terms, a
+   dense matrix of those that over ``DENSE_SHARE`` of the examples have. A text is held
+   against all examples in single precision; those that can be among the nearest within
+   the error of that (``MARGIN``) are scored again exactly, so the k nearest are exact
+   (ties to the earlier example).
 5. The neighbours' labels are voted by cosine, each example for the labelled rows that it
    stands for, together with ``PRIOR_VOTES`` votes of the label's overall share. A
-   logistic curve fitted on the examples' own votes, each without itself, turns votes into
+   logistic curve fitted on the examples' own votes, each without its own id, turns votes into
    probabilities. The neighbours are given as evidence.
 
-Defined results: a null or empty text, or one without terms, gets the score of the overall
-share; rows without a label or of null id are no examples; several labels of one document
-each count; without both labels among the examples every score is the overall share (0
-without labels); rows of the same id are scored one by one; an empty table gives no rows.
+Texts are read twice and nothing of their size is written. The index grows with the
+examples' texts; the driver and every task hold it.
+
+Defined results: a null or empty text, or one that shares no term with any example, gets the
+score of the overall share; rows without a label or of null id are no examples; several
+labels of one document each count, the same label of it once; rows of the same id and text
+are one example, different texts of one id are several; no document is held against
+examples of its own id, as those were not when the curve was fitted; without both labels among the
+examples every score is the overall share (0 without labels); rows of the same id are
+scored one by one; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,12 +44,12 @@ from ledgerloom.session import written
 
 EXAMPLES = 4096
 PREFIXES = (4, 5, 6)
-RATIO = 3.0
-LEAST_CHI2 = 40.0
-LEAST_DOCS = 5
-MOST_TERMS = 1024
-COUNTED_TERMS = 1_000_000
-BLOCK = 64
+BASE_WEIGHT = 0.2
+HALF_CHI2 = 40.0
+DENSE_SHARE = 0.1
+DENSE_TERMS = 2048
+MARGIN = 2e-4
+TOGETHER = 64
 NEIGHBOURS = 15
 PRIOR_VOTES = 0.25
 
@@ -67,90 +74,104 @@ def _terms(texts: pa.Array):
         yield first, np.concatenate(found), np.concatenate(rows)
 
 
-@ws.released
-def _count_by_label(batches):
-    """Documents with each term, by label, summed within a task."""
+class Vocabulary:
+    """The places of known terms, sorted hashes, by their first bits."""
 
-    def out(held):
-        terms, labels = (np.concatenate(x) for x in zip(*held))
-        every, back = np.unique(terms, return_inverse=True)
-        ones = np.bincount(back, labels, len(every)).astype(np.int64)
-        return pa.RecordBatch.from_pydict({"term": every.view(np.int64), "ones": ones, "zeros": np.bincount(back, minlength=len(every)) - ones})
-
-    held, size = [], 0
-    for batch in batches:
-        labels = batch.column(1).to_numpy()
-        for first, terms, rows in _terms(batch.column(0)):
-            order = np.lexsort((terms, rows))
-            terms, rows = terms[order], rows[order]
-            new = np.r_[True, (terms[1:] != terms[:-1]) | (rows[1:] != rows[:-1])] if len(terms) else np.zeros(0, bool)
-            held.append((terms[new], labels[first + rows[new]]))
-            size += new.sum()
-        if size > COUNTED_TERMS:
-            yield out(held)
-            held, size = [], 0
-    if held:
-        yield out(held)
+    def __init__(self, terms: np.ndarray):
+        self.size, bits = len(terms), min(22, max(1, len(terms).bit_length()))
+        self.terms, self.shift = np.r_[terms, ~_U(0)], _U(64 - bits)
+        self.first = np.searchsorted(terms, np.arange(1 << bits).astype(_U) << self.shift).astype(np.int32)
 
+    def find(self, terms: np.ndarray) -> np.ndarray:
+        """The place of each term, -1 if it is not known."""
+        found, open_ = np.full(len(terms), -1), np.arange(len(terms))
+        at = self.first[terms >> self.shift]
+        while len(open_):
+            held = self.terms[at]
+            same = (held == terms) & (at < self.size)
+            found[open_[same]] = at[same]
+            on = held < terms
+            open_, at, terms = open_[on], at[on] + 1, terms[on]
+        return found
 
-def _count_terms(known: np.ndarray):
-    """Each text's terms among ``known`` (their places) and how often it has them."""
+    def bags(self, texts: pa.Array):
+        """Per block: the row, place and count of each known term of each text, in order."""
+        for first, terms, rows in _terms(texts):
+            at = self.find(terms)
+            hit = at >= 0
+            every, counts = np.unique(rows[hit] * max(1, self.size) + at[hit], return_counts=True)
+            yield first + every // max(1, self.size), every % max(1, self.size), counts
 
-    @ws.released
-    def count(batches):
-        for batch in batches:
-            n = batch.num_rows
-            keys = [np.zeros(0, np.int64)]
-            for first, terms, rows in _terms(batch.column(2)):
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, terms), len(known) - 1)
-                    hit = known[at] == terms
-                    keys.append((first + rows[hit]) * len(known) + at[hit])
-            every, counts = np.unique(np.concatenate(keys), return_counts=True)
-            per_row = np.bincount(every // max(1, len(known)), minlength=n)
-            places = (every % max(1, len(known))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ws.lists(places, per_row), ws.lists(counts.astype(np.int32), per_row)], names=["doc_id", "text_hash", "terms", "counts"])
 
-    return count
+@ws.released
+def _bags_of_examples(batches):
+    """The distinct terms of each text and how often it has them."""
+    for batch in batches:
+        keys, counts, sizes = [np.zeros(0, _U)], [np.zeros(0, np.int32)], np.zeros(batch.num_rows, np.int64)
+        for first, terms, rows in _terms(batch.column(3)):
+            order = np.lexsort((terms, rows))
+            terms, rows = terms[order], rows[order]
+            new = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (rows[1:] != rows[:-1])]) if len(terms) else np.zeros(0, np.int64)
+            keys.append(terms[new])
+            counts.append(np.diff(np.r_[new, len(terms)]).astype(np.int32))
+            sizes += np.bincount(first + rows[new], minlength=batch.num_rows)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], ws.lists(np.concatenate(keys).view(np.int64), sizes), ws.lists(np.concatenate(counts), sizes)], names=["doc_id", "label", "text_hash", "terms", "counts"])
 
 
 class Examples:
-    """A block-max inverted index of labelled unit vectors."""
+    """An inverted index of labelled unit vectors."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, stands_for: np.ndarray, share: float, n_terms: int):
         self.labels, self.stands_for, self.share = labels, stands_for, share
-        blocks = -(-len(vectors) // BLOCK)
-        example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors])
-        terms = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-        order = np.lexsort((example, terms))
-        self.example, self.weight = example[order], weights[order]
-        # where the postings of (term, block) begin, and the largest weight there
-        cell = terms[order] * blocks + self.example // BLOCK
-        self.begin = np.searchsorted(cell, np.arange(n_terms * blocks + 1)).reshape(-1)
-        self.most = np.zeros(n_terms * blocks)
-        np.maximum.at(self.most, cell, self.weight)
-        self.most = self.most.reshape(n_terms, blocks)
-        self.blocks, self.slope, self.offset = blocks, 1.0, 0.0
+        sizes = np.array([len(t) for t, _ in vectors], np.int64)
+        self.ends = np.r_[0, np.cumsum(sizes)]
+        self.terms = np.concatenate([t.astype(np.int32) for t, _ in vectors] or [np.zeros(0, np.int32)])
+        self.weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), sizes)
+        have = np.bincount(self.terms, minlength=n_terms)
+        often = np.argsort(-have, kind="stable")[:DENSE_TERMS]
+        often = often[have[often] > DENSE_SHARE * len(vectors)]
+        self.column = np.full(n_terms, -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        column = self.column[self.terms]
+        self.dense = np.zeros((len(often), len(vectors)), np.float32)
+        self.dense[column[column >= 0], example[column >= 0]] = self.weights[column >= 0]
+        rare = np.flatnonzero(column < 0)
+        rare = rare[np.argsort(self.terms[rare], kind="stable")]
+        self.example, self.weight = example[rare], self.weights[rare].astype(np.float32)
+        self.begin = np.r_[0, np.cumsum(np.where(self.column < 0, have, 0))]
+        self.n_terms, self.slope, self.offset = n_terms, 1.0, 0.0
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosine above 0, and the cosines."""
-        bound, first = weights @ self.most[terms], terms.astype(np.int64) * self.blocks
-        found, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(found) == k and bound[b] < least - 1e-12):
-                break
-            x, y = self.begin[first + b], self.begin[first + b + 1]
-            own = ws.ragged(x, y - x)
-            scores = np.bincount(self.example[own] - b * BLOCK, self.weight[own] * np.repeat(weights, y - x), BLOCK)
-            at = np.flatnonzero(scores > 0)
-            scores, at = scores[at], at + b * BLOCK
-            scores, at = scores[at != without], at[at != without]
-            found, cosines = np.r_[found, at], np.r_[cosines, np.round(scores, 12)]
-            order = np.lexsort((found, -cosines))[:k]
-            found, cosines = found[order], cosines[order]
-            least = cosines[-1] if len(cosines) else 0.0
-        return found, cosines
+        return next(self.nearest_of(np.r_[0, len(terms)], terms, weights, k, [[without] if without >= 0 else []]))
+
+    def nearest_of(self, ends: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, without=None):
+        """``nearest`` of many vectors, end to end; vector i lies from ``ends[i]`` to ``ends[i + 1]``
+        and is not held against the examples ``without[i]``."""
+        n, whole = len(self.labels), np.zeros(self.n_terms)
+        column = self.column[terms]
+        for a in range(0, len(ends) - 1, TOGETHER):
+            b = min(len(ends) - 1, a + TOGETHER)
+            inside = np.flatnonzero(column[ends[a] : ends[b]] >= 0) + ends[a]
+            asked = np.zeros((b - a, len(self.dense)), np.float32)
+            asked[np.searchsorted(ends[a : b + 1], inside, "right") - 1, column[inside]] = weights[inside]
+            cosines = asked @ self.dense
+            for i in range(a, b):
+                own, w = terms[ends[i] : ends[i + 1]], weights[ends[i] : ends[i + 1]]
+                rare = column[ends[i] : ends[i + 1]] < 0
+                x, counts = self.begin[own[rare]], self.begin[own[rare] + 1] - self.begin[own[rare]]
+                at = ws.ragged(x, counts)
+                about = cosines[i - a] + np.bincount(self.example[at], self.weight[at] * np.repeat(w[rare], counts), n)
+                if without is not None and len(without[i]):
+                    about[without[i]] = 0
+                least = np.partition(about, n - k)[n - k] if n > k else 0.0
+                found = np.flatnonzero((about > 0) & (about >= least - MARGIN))
+                whole[own] = w
+                exact = np.array([whole[self.terms[x:y]] @ self.weights[x:y] for x, y in zip(self.ends[found], self.ends[found + 1])]).round(12)
+                whole[own] = 0
+                order = np.lexsort((found, -exact))[:k]
+                yield found[order], exact[order]
 
     def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
         weight = cosines**2 * self.stands_for[found]
@@ -180,65 +201,119 @@ class Examples:
             self.slope, self.offset = beta
 
 
-def unit_vector(terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    weights = (1 + np.log(counts)) * idf[terms]
-    return terms, weights / np.sqrt((weights**2).sum()) if len(terms) else weights
+def unit_vectors(rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """The weights of the terms of ``n`` texts, each text's of length 1."""
+    weights = (1 + np.log(counts)) * weight[terms]
+    return weights / np.sqrt(np.bincount(rows, weights**2, n))[rows]
+
 
+def same_id(ids: pa.Array, example_ids: np.ndarray) -> list[np.ndarray]:
+    """The examples of each id."""
+    order = np.argsort(example_ids, kind="stable")
+    asked, held = ids.fill_null(0).to_numpy(zero_copy_only=False), example_ids[order]
+    ends = np.where(ids.is_valid().to_numpy(zero_copy_only=False), np.searchsorted(held, asked, "right"), 0)
+    return [order[a:b] for a, b in zip(np.searchsorted(held, asked), ends)]
 
-def _docs_with(n_terms: int):
-    """How many of a task's texts have each term."""
+
+def _docs_with(vocabulary):
+    """How many of a task's texts have each term, and (term -1) how many texts there are."""
 
     @ws.released
     def count(batches):
-        total = np.zeros(n_terms, np.int64)
+        known, n = vocabulary.value, 0
+        total = np.zeros(known.size, np.int64)
         for batch in batches:
-            total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=n_terms)
+            n += batch.num_rows
+            for _, terms, _ in known.bags(batch.column(0)):
+                total += np.bincount(terms, minlength=known.size)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"term": at.astype(np.int32), "n": total[at]})
+        yield pa.RecordBatch.from_pydict({"term": np.r_[-1, at].astype(np.int32), "n": np.r_[n, total[at]]})
 
     return count
 
 
-def _score(index, idf, example_ids, k: int):
+class Model:
+    """What the tasks build the index from: it travels packed, a tenth of the index."""
+
+    def __init__(self, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, weight: np.ndarray, labels: np.ndarray, stands_for: np.ndarray, share: float):
+        # terms of a text stand in order, so their steps are small
+        self.packed = [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (np.diff(rows, prepend=0), np.diff(terms, prepend=0), counts)]
+        self.weight, self.labels, self.stands_for, self.share = weight, labels, stands_for, share
+        self.slope, self.offset = 1.0, 0.0
+
+    def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ends of the examples' vectors, their terms and weights."""
+        rows, terms, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
+        rows, terms = np.cumsum(rows), np.cumsum(terms)
+        return np.searchsorted(rows, np.arange(len(self.labels) + 1)), terms, unit_vectors(rows, terms, counts, self.weight, len(self.labels))
+
+    def index(self) -> Examples:
+        ends, terms, weights = self.vectors()
+        index = Examples([(terms[a:b], weights[a:b]) for a, b in zip(ends, ends[1:])], self.labels, self.stands_for, self.share, len(self.weight))
+        index.slope, index.offset = self.slope, self.offset
+        return index
+
+
+def _score(vocabulary, model, example_ids, k: int):
     @ws.released
     def score(batches):
-        examples, weights_of, ids, seen = index.value, idf.value, example_ids.value, {}
+        known, ids, built = vocabulary.value, example_ids.value, model.value
+        examples, weights_of = built.index(), built.weight
         plain = float(examples.probability(np.array([examples.share]))[0]) if len(examples.labels) else examples.share
+        kind = pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())])
         for batch in batches:
-            scores, evidence = [], []
-            terms, counts = batch.column(2), batch.column(3)
-            for i in range(batch.num_rows):
-                t, c = terms[i].values.to_numpy(), counts[i].values.to_numpy()
-                if not len(t) or not len(examples.labels):
-                    scores.append(plain)
-                    evidence.append([])
-                    continue
-                key = (t.tobytes(), c.tobytes())
-                if key not in seen:
-                    if len(seen) > 20_000:
-                        seen.clear()
-                    found, cosines = examples.nearest(*unit_vector(t, c, weights_of), k)
-                    p = float(examples.probability(np.array([examples.vote(found, cosines)]))[0])
-                    seen[key] = p, [{"example": int(ids[f]), "label": int(examples.labels[f]), "cosine": float(s)} for f, s in zip(found, cosines)]
-                p, near = seen[key]
-                scores.append(p)
-                evidence.append(near)
-            kind = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64()), pa.array(evidence, kind)], names=["doc_id", "text_hash", "score", "evidence"])
+            scores, sizes, near = np.full(batch.num_rows, plain), np.zeros(batch.num_rows, np.int64), [(np.zeros(0, np.int64), np.zeros(0))]
+            without = same_id(batch.column(0), ids)
+            for rows, terms, counts in known.bags(batch.column(2)) if len(examples.labels) else ():
+                some, rows = np.unique(rows, return_inverse=True)
+                weights = unit_vectors(rows, terms, counts, weights_of, len(some))
+                for i, (found, cosines) in zip(some, examples.nearest_of(np.searchsorted(rows, np.arange(len(some) + 1)), terms, weights, k, [without[i] for i in some])):
+                    scores[i] = examples.probability(np.array([examples.vote(found, cosines)]))[0]
+                    sizes[i] = len(found)
+                    near.append((found, cosines))
+            found, cosines = (np.concatenate(x) for x in zip(*near))
+            parts = [pa.array(ids[found], pa.int64()) if len(ids) else pa.array([], pa.int64()), pa.array(examples.labels[found].astype(np.int32), pa.int32()), pa.array(cosines, pa.float64())]
+            evidence = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.StructArray.from_arrays(parts, fields=list(kind)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64()), evidence], names=["doc_id", "text_hash", "score", "evidence"])
 
     return score
 
 
-def choose_terms(counts: DataFrame, n_ones: int, n_zeros: int) -> np.ndarray:
-    """The hashes of the terms that tell the labels apart, sorted. ``counts``: term, ones, zeros."""
-    a, b = F.col("ones").cast("double"), F.col("zeros").cast("double")
-    n = float(n_ones + n_zeros)
-    share_1, share_0 = (a + 0.5) / (n_ones + 1.0), (b + 0.5) / (n_zeros + 1.0)
-    chi2 = n * (a * n_zeros - b * n_ones) ** 2 / (float(max(n_ones, 1)) * max(n_zeros, 1) * (a + b) * (n - a - b + 1e-9))
-    apart = F.greatest(share_1 / share_0, share_0 / share_1)
-    kept = counts.withColumn("chi2", chi2).filter((a + b >= LEAST_DOCS) & (apart >= RATIO) & (F.col("chi2") >= LEAST_CHI2))
-    top = kept.orderBy(F.desc("chi2"), "term").limit(MOST_TERMS).select("term").toPandas()
-    return np.sort(top["term"].to_numpy(np.int64).view(_U))
+def _own_votes(model, example_ids, k: int):
+    """Each example's vote without its own id."""
+
+    @ws.released
+    def vote(batches):
+        index, ids = None, example_ids.value
+        for batch in batches:
+            if index is None:
+                index, (ends, terms, weights) = model.value.index(), model.value.vectors()
+            at = batch.column(0).to_numpy()
+            sizes = ends[at + 1] - ends[at]
+            own = ws.ragged(ends[at], sizes)
+            found = index.nearest_of(np.r_[0, np.cumsum(sizes)], terms[own], weights[own], k, same_id(pa.array(ids[at]), ids))
+            yield pa.RecordBatch.from_pydict({"example": at, "vote": np.array([index.vote(*x) if len(x[0]) else index.share for x in found])})
+
+    return vote
+
+
+def label_weight(ones: np.ndarray, zeros: np.ndarray, n_ones: int, n_zeros: int) -> np.ndarray:
+    """A weight above 0 of each term, from the examples of either label that have it."""
+    a, b, n = ones.astype(np.float64), zeros.astype(np.float64), float(n_ones + n_zeros)
+    apart = np.abs(np.log((a + 0.5) / (n_ones + 1.0)) - np.log((b + 0.5) / (n_zeros + 1.0)))
+    chi2 = n * (a * n_zeros - b * n_ones) ** 2 / (float(max(n_ones, 1)) * max(n_zeros, 1) * (a + b) * np.maximum(n - a - b, 1e-9))
+    return BASE_WEIGHT + apart * (chi2 / (chi2 + HALF_CHI2)) ** 2
+
+
+def choose_examples(own: DataFrame, known: DataFrame, examples: int) -> DataFrame:
+    """doc_id, label, text_hash and text of the examples, at most ``examples`` of each label."""
+
+    def first(df, *order):
+        by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", *order)
+        return df.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= examples).drop("rank")
+
+    joined = own.join(F.broadcast(first(known)), "doc_id").select("doc_id", "label", "text_hash", "text")
+    return joined.orderBy("label", F.xxhash64("doc_id"), "doc_id", "text_hash").limit(2 * examples)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = EXAMPLES, neighbours: int = NEIGHBOURS) -> DataFrame:
@@ -248,36 +323,49 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
     known = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter("doc_id is not null and label in (0, 1)")
     totals = dict(known.groupBy("label").count().collect())
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = written(known.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= examples).drop("rank"), "examples")
-    sizes = dict(chosen.groupBy("label").count().collect())
+    every = sum(totals.values())
+    share = totals.get(1, 0) / every if every else 0.0
 
-    texts = own.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("long").alias("label"))
-    counts = texts.mapInArrow(_count_by_label, "term long, ones long, zeros long").groupBy("term").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     with text_batches(spark):
-        terms = choose_terms(counts, sizes.get(1, 0), sizes.get(0, 0)) if len(sizes) == 2 else np.zeros(0, _U)
-        vectors = written(own.mapInArrow(_count_terms(terms), "doc_id long, text_hash long, terms array<int>, counts array<int>"), "term-counts")
-    n_docs = vectors.count()
-    per_term = vectors.select("terms").mapInArrow(_docs_with(len(terms)), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # at most MOST_TERMS
-    idf = np.full(len(terms), np.log(1 + n_docs) + 1)
-    for row in per_term:
-        idf[row["term"]] = np.log((1 + n_docs) / (1 + row["n"])) + 1
-
-    # at most 2 * examples rows, each with at most MOST_TERMS terms
-    near = vectors.join(F.broadcast(chosen), "doc_id").orderBy("label", F.xxhash64("doc_id"), "doc_id", "text_hash").limit(2 * examples).toArrow()
-    kept = [unit_vector(t.values.to_numpy(), c.values.to_numpy(), idf) for t, c in zip(near["terms"].combine_chunks(), near["counts"].combine_chunks())]
-    # examples of the same heaviest term share blocks, which keeps the blocks' bounds low
-    order = np.argsort([t[w.argmax()] if len(t) else -1 for t, w in kept], kind="stable").astype(np.int64)
-    kept = [kept[i] for i in order]
-    label, ids = near["label"].to_numpy().astype(np.float64)[order], near["doc_id"].to_numpy()[order]
-    stands_for = np.array([totals[x] / sizes[x] for x in label.astype(int)], np.float64)
-    every = sum(totals.values())
-    index = Examples(kept, label, stands_for, totals.get(1, 0) / every if every else 0.0, len(terms))
+        texts = written(choose_examples(own, known, examples).mapInArrow(_bags_of_examples, "doc_id long, label int, text_hash long, terms array<long>, counts array<int>"), "examples")
+    # at most 2 * examples rows
+    near = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash", "label").toArrow()
+    label, ids = near["label"].to_numpy().astype(np.int64), near["doc_id"].to_numpy()
+    sizes = np.bincount(label, minlength=2)
+    bags = near["terms"].combine_chunks()
+    rows = np.repeat(np.arange(len(label)), bags.value_lengths().to_numpy().astype(np.int64)) if len(label) else np.zeros(0, np.int64)
+    terms = bags.flatten().to_numpy().view(_U) if len(label) else np.zeros(0, _U)
+    counts = near["counts"].combine_chunks().flatten().to_numpy() if len(label) else np.zeros(0, np.int64)
+    if sizes.min() == 0:  # nothing to tell apart
+        label, ids, rows, terms, counts = (x[:0] for x in (label, ids, rows, terms, counts))
+    del near, bags
+    hashes = np.unique(terms)
+    terms = np.searchsorted(hashes, terms).astype(np.int32)
+    vocabulary = Shared(spark, Vocabulary(hashes))
+
+    with text_batches(spark):
+        per_term = own.select("text").mapInArrow(_docs_with(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # one row a term
+    at, n = per_term["term"].to_numpy(), per_term["n"].to_numpy()
+    n_docs, docs_with = int(n[at < 0].sum()), np.zeros(len(hashes))
+    docs_with[at[at >= 0]] = n[at >= 0]
+    ones = np.bincount(terms[label[rows] == 1], minlength=len(hashes))
+    weight = label_weight(ones, np.bincount(terms, minlength=len(hashes)) - ones, *(int(x) for x in sizes[::-1]))
+    weight *= np.log((1 + n_docs) / (1 + docs_with)) + 1
+
+    # terms of a text in order, as a search wants them
+    order = np.argsort(rows * max(1, len(hashes)) + terms)
+    stands_for = np.array([totals[x] / sizes[x] for x in label], np.float64)
+    model = Model(rows, terms[order], counts[order], weight, label.astype(np.float64), stands_for, share)
+    del rows, terms, counts, order
     if len(label):
-        index.calibrate(np.array([index.vote(*index.nearest(t, w, neighbours, i)) if len(t) else index.share for i, (t, w) in enumerate(kept)]))
-    shared = [Shared(spark, x) for x in (index, idf, ids)]
-    dealt = vectors.repartition(tasks_for(docs, n_docs, 4096))
-    return dealt.mapInArrow(_score(*shared, neighbours), "doc_id long, text_hash long, score double, evidence array<struct<example: long, label: int, cosine: double>>").withColumnRenamed("doc_id", id_col)
+        asked = spark.range(0, len(label), 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        votes = asked.mapInArrow(_own_votes(Shared(spark, model), Shared(spark, ids), neighbours), "example long, vote double").toArrow().sort_by("example")
+        curve = Examples([], model.labels, stands_for, share, 0)
+        curve.calibrate(votes["vote"].to_numpy())
+        model.slope, model.offset = float(curve.slope), float(curve.offset)
+    shared = vocabulary, Shared(spark, model), Shared(spark, ids)
+    scored = own.mapInArrow(_score(*shared, neighbours), "doc_id long, text_hash long, score double, evidence array<struct<example: long, label: int, cosine: double>>")
+    return scored.withColumnRenamed("doc_id", id_col)
 
 
 def _fold(id_col: str, folds: int) -> Column:
@@ -287,7 +375,8 @@ def _fold(id_col: str, folds: int) -> Column:
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, **options) -> DataFrame:
     """``docs`` without those of a score of ``least`` or more, all columns kept."""
     bad = score_toxicity(docs, labels, id_col, text_col, **options).filter(F.col("score") >= least)
-    bad = bad.select(F.col(id_col).alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct()
+    bad = bad.select(F.col(id_col).alias("__bad_id"), F.col("text_hash").alias("__bad_hash"))
+    bad = written(bad.distinct(), "toxic")
     same = docs[id_col].eqNullSafe(F.col("__bad_id")) & (F.xxhash64(docs[text_col]) == F.col("__bad_hash"))
     return docs.join(small(bad), same, "left_anti")
 

@@ -428,3 +428,38 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert len(odd) == odd_docs.count() and all(0 <= r.score < 0.5 for r in odd)
     assert toxicity.score_toxicity(no_docs, known).count() == 0
     assert {r.score for r in toxicity.score_toxicity(odd_docs, known.limit(0)).collect()} == {0.0}
+
+
+def test_texts_without_telling_terms_are_searched(spark):
+    """Few labels tell no term apart; the nearest example is found by all terms all the same."""
+    rows = [(i, " ".join(f"t{i}x{j}" for j in range(8)) + " shared words") for i in range(20)]
+    rows += [(100 + i, text.replace("shared words", "")) for i, text in rows[:20]]
+    docs = spark.createDataFrame([*rows, (300, "nothing of theirs")], "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(20)], "doc_id long, toxic int")
+    found = {r.doc_id: r for r in toxicity.score_toxicity(docs, known).collect()}
+    for i in range(20):
+        best = max(found[100 + i].evidence, key=lambda e: e.cosine)
+        assert (best.example, best.label) == (i, int(i % 4 == 0)) and best.cosine > 0.5
+        assert (found[100 + i].score >= 0.5) == (i % 4 == 0)
+    assert found[300].evidence == []
+
+
+def test_cosines_are_those_of_all_terms(spark):
+    """Against brute force: words and beginnings, idf of all documents, weights of the labels."""
+    rng = np.random.default_rng(8)
+    words = [f"{a}{b}" for a in ("stem", "root", "leafage", "x") for b in range(30)]
+    texts = {i: " ".join(rng.choice(words, int(rng.integers(1, 40)))) for i in range(90)}
+    labels = {i: int(rng.random() < 0.4) for i in range(60)}
+    bags = {i: Counter(x for w in t.split() for x in [w, *[(k, w[:k]) for k in toxicity.PREFIXES if len(w) >= k]]) for i, t in texts.items()}
+    known = sorted({t for i in labels for t in bags[i]}, key=str)
+    have = lambda ids: np.array([sum(t in bags[i] for i in ids) for t in known])
+    ones, zeros = ([i for i, x in labels.items() if x == y] for y in (1, 0))
+    weight = toxicity.label_weight(have(ones), have(zeros), len(ones), len(zeros)) * (np.log(91 / (1 + have(texts))) + 1)
+    vectors = np.array([[1 + math.log(bags[i][t]) if bags[i][t] else 0 for t in known] for i in texts]) * weight
+    vectors /= np.maximum(np.sqrt((vectors**2).sum(1)), 1e-12)[:, None]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    scored = toxicity.score_toxicity(docs, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), neighbours=7)
+    for r in scored.collect():
+        want = np.sort([vectors[i] @ vectors[r.doc_id] for i in range(60) if i != r.doc_id])[::-1][:7]
+        assert np.allclose([e.cosine for e in r.evidence], want[want > 0])
+        assert all(abs(vectors[e.example] @ vectors[r.doc_id] - e.cosine) < 1e-9 for e in r.evidence)
