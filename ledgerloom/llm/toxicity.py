@@ -312,8 +312,12 @@ def choose_examples(own: DataFrame, known: DataFrame, examples: int) -> DataFram
         by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", *order)
         return df.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= examples).drop("rank")
 
-    joined = own.join(F.broadcast(first(known)), "doc_id").select("doc_id", "label", "text_hash", "text")
-    return joined.orderBy("label", F.xxhash64("doc_id"), "doc_id", "text_hash").limit(2 * examples)
+    chosen = F.broadcast(first(known.distinct()))
+    pairs = own.select("doc_id", "text_hash").join(chosen, "doc_id").distinct()
+    # at most 2 * examples rows of three numbers
+    kept = F.broadcast(written(first(pairs, "text_hash"), "chosen"))
+    same = own.join(kept, ["doc_id", "text_hash"]).select("doc_id", "label", "text_hash", "text")
+    return same.groupBy("doc_id", "label", "text_hash").agg(F.first("text").alias("text"))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = EXAMPLES, neighbours: int = NEIGHBOURS) -> DataFrame:

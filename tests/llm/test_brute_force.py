@@ -463,3 +463,16 @@ def test_cosines_are_those_of_all_terms(spark):
         want = np.sort([vectors[i] @ vectors[r.doc_id] for i in range(60) if i != r.doc_id])[::-1][:7]
         assert np.allclose([e.cosine for e in r.evidence], want[want > 0])
         assert all(abs(vectors[e.example] @ vectors[r.doc_id] - e.cosine) < 1e-9 for e in r.evidence)
+
+
+def test_repeated_rows_crowd_out_no_example(spark):
+    """One labelled id with more rows than the bound, and every row twice: both labels stay."""
+    rows = [(i, f"{'vile nasty' if i % 2 else 'kind gentle'} w{i}") for i in range(16)] * 2
+    rows += [(0, f"kind gentle copy{i}") for i in range(40)] + [(50, "vile nasty"), (51, "kind gentle")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, i % 2) for i in range(16)] * 3, "doc_id long, toxic int")
+    found = toxicity.score_toxicity(docs, known, examples=8).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: r.score >= 0.5 for r in found if r.doc_id >= 50} == {50: True, 51: False}
+    near = next(r.evidence for r in found if r.doc_id == 50)
+    assert {e.label for e in near if e.cosine > 0.5} == {1} and len({e.example for e in near if e.label}) == len([e for e in near if e.label])
