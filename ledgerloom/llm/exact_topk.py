@@ -47,7 +47,6 @@ class Reader:
 
     def _resolve(self, q: int, ids: np.ndarray, candidates: np.ndarray, open_: np.ndarray) -> None:
         rows = np.flatnonzero(open_)
-        rows = rows[ids[rows] != self.ids[q]]
         found = np.r_[self.best[q][0], ids[rows]]
         scores = np.r_[self.best[q][1], candidates[rows] @ self.queries[q]]
         order = np.lexsort((found, -scores))[: self.k]
@@ -71,9 +70,11 @@ class Reader:
             weights = np.hstack([np.maximum(self.queries[active], 0), np.minimum(self.queries[active], 0)]).astype(kind)
             upper = weights @ np.hstack([np.maximum(candidates, up), np.minimum(candidates, down)]).T.astype(kind)
             lower = weights @ np.hstack([np.where(candidates >= up, candidates, low), np.where(candidates <= down, candidates, high)]).T.astype(kind)
-            # one more than k: the query's own row may be among them
-            reach = np.maximum(np.partition(lower, n - 1 - k, axis=1)[:, n - 1 - k], self.least[active])
-            open_ = upper >= reach[:, None]
+            # rows of the query's own id, however many, take no part
+            own = self.ids[active][:, None] == ids
+            lower[own] = -np.inf
+            reach = np.maximum(np.partition(lower, n - k, axis=1)[:, n - k], self.least[active])
+            open_ = (upper >= reach[:, None]) & ~own
             few = open_.sum(1) <= 8 * k
             for i in np.flatnonzero(few):
                 self._resolve(active[i], ids, candidates, open_[i])
@@ -82,10 +83,11 @@ class Reader:
         for a in range(0, len(active), 256):
             part = active[a : a + 256]
             scores = self.queries[part].astype(kind) @ candidates.T.astype(kind)
-            reach = self.least[part]
+            reach, own = self.least[part], self.ids[part][:, None] == ids
+            scores[own] = -np.inf
             if n > k:
-                reach = np.maximum(np.partition(scores, n - 1 - k, axis=1)[:, n - 1 - k], reach)
-            open_ = scores >= reach[:, None]
+                reach = np.maximum(np.partition(scores, n - k, axis=1)[:, n - k], reach)
+            open_ = (scores >= reach[:, None]) & ~own
             for i in np.flatnonzero(open_.any(1)):
                 self._resolve(part[i], ids, candidates, open_[i])
 

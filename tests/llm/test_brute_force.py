@@ -211,6 +211,22 @@ def test_bounds_lose_nothing(rounds):
         assert found.tolist() == [i for _, i in want]
 
 
+@pytest.mark.parametrize("rounds", [(), exact_topk.ROUNDS, (0.9,)])
+def test_many_rows_of_a_query_id_hide_no_neighbour(rounds):
+    """A third of the rows have the query's id and the highest scores."""
+    rng = np.random.default_rng(3)
+    rows = rng.integers(-60, 60, (600, 8)).astype(float)
+    ids = np.arange(600)
+    ids[::3] = 0
+    rows[::3] = 60 * np.sign(rows[0]) + rng.integers(0, 2, (200, 8))
+    reader = exact_topk.Reader(np.array([0, 0, 1]), rows[[0, 3, 1]], 10, rounds)
+    for a in range(0, 600, 200):
+        reader.read(ids[a : a + 200], rows[a : a + 200])
+    for q, x, (found, _) in zip([0, 0, 1], rows[[0, 3, 1]], reader.best):
+        want = sorted((-s, i) for i, s in zip(ids, rows @ x) if i != q)[:10]
+        assert found.tolist() == [i for _, i in want]
+
+
 # -- op5 ---------------------------------------------------------------------
 
 
