@@ -6,6 +6,7 @@ import corpus_pipeline
 from ledgerloom.llm import (
     decontaminate,
     exact_topk,
+    fill_in_middle,
     language_id,
     licences,
     ngram_join,
@@ -28,10 +29,12 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_sentencepiece": piece_transducer.op9_sentencepiece,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op4_exact_topk": exact_topk.OP4_SQL,
     "op6_substring_dedup": substring_dedup.OP6_SQL,
     "op8_url_filter": url_filter.OP8_SQL,
+    "op11_fill_in_middle": fill_in_middle.OP11_SQL,
 }

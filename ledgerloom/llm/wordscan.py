@@ -157,9 +157,14 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - before, counts)
 
 
-def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+def lists_of(values: pa.Array, counts: np.ndarray) -> pa.ListArray:
     """An Arrow column of lists of the given lengths."""
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), values)
+
+
+def lists(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    """``lists_of`` numpy values."""
+    return lists_of(pa.array(values), counts)
 
 
 def grouped(keys: np.ndarray, owners: np.ndarray, values: np.ndarray, n_keys: int):
