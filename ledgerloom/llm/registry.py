@@ -10,6 +10,7 @@ from ledgerloom.llm import (
     language_id,
     licences,
     ngram_join,
+    periodic_runs,
     piece_transducer,
     substring_dedup,
     token_files,
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_sentencepiece": piece_transducer.op9_sentencepiece,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.OP1_SQL,
