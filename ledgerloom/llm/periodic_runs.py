@@ -46,11 +46,7 @@ _first = itemgetter(0)
 
 def word_numbers(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A number of each word, equal for equal words only."""
-    sizes = ends - begins
-    packed = np.ascontiguousarray(data[ws.ragged(begins, sizes)])
-    offsets = np.r_[0, np.cumsum(sizes)]
-    held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
-    return held.dictionary_encode().indices.to_numpy().astype(np.int64)
+    return ws.packed(data, begins, ends).dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
 def _heads(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ from ledgerloom.llm import (
     exact_topk,
     fill_in_middle,
     language_id,
+    lattice_lm,
     licences,
     ngram_join,
     periodic_runs,
@@ -32,6 +33,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_lattice_lm": lattice_lm.op13_lattice_lm,
 }
 ORACLE = {
     "op1_decontaminate": decontaminate.OP1_SQL,

@@ -150,6 +150,14 @@ def words(data: np.ndarray, starts: np.ndarray, separator: np.ndarray) -> tuple[
     return begins, ends, np.searchsorted(begins, starts)
 
 
+def packed(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """An Arrow column of the bytes from each begin to its end."""
+    sizes = ends - begins
+    held = np.ascontiguousarray(data[ragged(begins, sizes)])
+    offsets = np.r_[0, np.cumsum(sizes)].astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+
+
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The indices of all pieces ``starts[i] .. starts[i] + counts[i]``, end to end."""
     total = int(counts.sum())
