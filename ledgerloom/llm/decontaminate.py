@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.tables import small, table
+from ledgerloom.llm.tables import small, table, without_texts
 from ledgerloom.session import written
 
 PASSAGE_WORDS = 13
@@ -190,9 +190,7 @@ def contaminated(n_words: str = "n_words", n_hit: str = "n_hit") -> Column:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated ones, all columns kept."""
     bad = find_contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options).filter(contaminated())
-    bad = bad.select(F.col(id_col).alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct()
-    same = docs[id_col].eqNullSafe(F.col("__bad_id")) & (F.xxhash64(docs[text_col]) == F.col("__bad_hash"))
-    return docs.join(small(bad), same, "left_anti")
+    return without_texts(docs, bad.select(F.col(f"`{id_col}`").alias("id"), "text_hash"), id_col, text_col)
 
 
 def op1_decontaminate(spark, d):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.sizing import fits_broadcast
+from ledgerloom.session import written
 
 # Largest side that the driver gathers for a broadcast.
 BROADCAST_BYTES = 32 << 20
@@ -24,6 +25,15 @@ def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
+def without_texts(docs: DataFrame, bad: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows of an id and text of ``bad`` (id, text_hash), all columns kept."""
+    taken = {c.lower() for c in docs.columns}
+    free = [next(n for n in (f"{'_' * k}{name}" for k in range(len(taken) + 1)) if n not in taken) for name in ("bad_id", "bad_hash")]
+    bad = written(bad.select(F.col("id").alias(free[0]), F.col("text_hash").alias(free[1])).distinct(), "dropped")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(free[0])) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(free[1]))
+    return docs.join(small(bad), same, "left_anti")
+
+
 def tasks_for(df: DataFrame, amount: int, each: int) -> int:
     """Number of partitions of about ``each`` units, as many as the session has at least."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
