@@ -135,7 +135,20 @@ label_hits as (
   from centroids c cross join items i qualify rank <= 10
 )"""
 
+_FIFTIETHS = """
+items as (select vec_id as id, cast(embedding as double[]) as v from embeddings),
+scored as (
+  select q.id as query_id, i.id, round(list_dot_product(q.v, i.v) /
+      (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(i.v, i.v))), 10) + 0.0 as cosine
+  from items q cross join items i where q.id % 50 = 0
+)"""
+
 ORACLE: dict[str, str] = {
+    "vector_top_k_pivots": f"""with {_FIFTIETHS} select query_id, id, round(cosine * 100, 1) + 0.0 as similarity,
+        cast(row_number() over (partition by query_id order by cosine desc, id) as integer) as rank
+        from scored qualify rank <= 10""",
+    "vector_recall_ivf": """select count(*) filter (where vec_id % 50 = 0) as queries, true as recall_reached,
+        count(embedding) as coded from embeddings""",
     "page_flatten": f"""{RAW} select {_FLAT}, 'orders' as query_term, ingestion_ts, source, nct_id as raw_id
         from trial""",
     "page_terms": f"""{RAW} select query_term, count(*) as row_count, count(conditions) as with_conditions,

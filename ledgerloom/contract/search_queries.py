@@ -12,7 +12,7 @@ from ledgerloom.contract.views import (
     table,
 )
 from ledgerloom.fixed_values import SILVER_COLUMNS
-from ledgerloom.operators import cdc, search
+from ledgerloom.operators import cdc, inverted, pivots, search
 from ledgerloom.operators import context as ctx
 from ledgerloom.operators import vectors as vec
 from ledgerloom.functions import search_text, similarity_percent
@@ -93,6 +93,44 @@ def vector_top_k_lsh(spark, d):
     )
 
 
+def _asked_and_stored(spark, d):
+    """Every fiftieth vector as a query, and all vectors."""
+    vectors = table(spark, d, "embeddings").withColumnRenamed("vec_id", "id")
+    return vectors.filter("id % 50 = 0").withColumnRenamed("id", "query_id"), vectors
+
+
+def _ivf_hits(spark, d):
+    """Hits by inverted lists, with the number of coded vectors."""
+    queries, vectors = _asked_and_stored(spark, d)
+    lists = inverted.fit_lists(vectors)
+    path = scratch_path(spark, "inverted-lists")
+    inverted.write_lists(inverted.code_items(vectors, lists), path, vectors.count())
+    stored = spark.read.parquet(path)
+    return inverted.ivf_top_k(queries, stored, lists), stored
+
+
+def vector_top_k_ivf(spark, d):
+    """Search of inverted lists of coded vectors, re-ranked by whole vectors."""
+    found, _ = _ivf_hits(spark, d)
+    return found.select("query_id", "id", "rank", similarity_percent("cosine").alias("similarity"))
+
+
+def vector_recall_ivf(spark, d):
+    """One row: queries, coded vectors, and whether nine tenths of the exact hits are found."""
+    found, stored = _ivf_hits(spark, d)
+    queries, vectors = _asked_and_stored(spark, d)
+    shares = vec.recall(found, pivots.pivot_top_k(queries, vectors))
+    counts = stored.agg(F.count("code").alias("coded"))
+    return shares.agg(F.count(F.lit(1)).alias("queries"), (F.avg("recall") >= 0.9).alias("recall_reached")).join(counts)
+
+
+def vector_top_k_pivots(spark, d):
+    """Exact hits of every fiftieth vector; queries meet only cells that can hold neighbours."""
+    queries, vectors = _asked_and_stored(spark, d)
+    found = pivots.pivot_top_k(queries, vectors)
+    return found.select("query_id", "id", "rank", similarity_percent("cosine").alias("similarity"))
+
+
 def _items(spark, d):
     return written(build_items(silver_view(spark, d)), "items")
 
@@ -227,6 +265,9 @@ QUERIES = {
     "vector_top_k": vector_top_k,
     "label_precision": label_precision,
     "vector_top_k_lsh": vector_top_k_lsh,
+    "vector_top_k_ivf": vector_top_k_ivf,
+    "vector_recall_ivf": vector_recall_ivf,
+    "vector_top_k_pivots": vector_top_k_pivots,
     "retrieved_records": retrieved_records,
     "keyword_vs_semantic": keyword_vs_semantic,
     "rag_context": rag_context,
