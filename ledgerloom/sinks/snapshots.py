@@ -124,7 +124,8 @@ def update_snapshot(spark: SparkSession, base: str, from_version: int, version:
     rows = delta.select(bucket_of(key, len(folders)).alias("bucket")).distinct().collect()  # at most one per bucket
     touched = sorted(r["bucket"] for r in rows)
     merged = merge(read_snapshot(spark, base, from_version, touched), delta)
-    folders.update(_write_buckets(merged, base, key, len(folders)))
+    # a merge may leave nothing in a bucket
+    folders.update({**dict.fromkeys(touched), **_write_buckets(merged, base, key, len(folders))})
     _publish(merged, base, version, folders, stream, batch)
 
 
