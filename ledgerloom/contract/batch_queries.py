@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import written
+from ledgerloom.session import scratch_path, written
 from ledgerloom.contract.views import (
     DAY_1,
     DAY_2,
@@ -22,7 +22,7 @@ from ledgerloom.fixed_values import (
     WIDE_UPDATE_COLUMNS,
 )
 from ledgerloom.functions import fingerprint
-from ledgerloom.operators import cdc, gold, quality, search
+from ledgerloom.operators import cdc, gold, incremental, quality, search
 from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise, normalise_stream, unparsed_counts
 
@@ -345,7 +345,45 @@ def listing_page(spark, d):
     return search.display_cards(search.first_rows(hits, 20))
 
 
+# -- summaries kept up to date ----------------------------------------------------------
+
+
+def _kept_up(spark, d, summary):
+    """The summary of the first delivery, brought up to date by the second one's change feed."""
+    target, delta = silver_days(spark, d)
+    feed = written(cdc.change_feed(cdc.pair_changes(target, delta), SILVER_COLUMNS), "feed")
+    base = scratch_path(spark, "summary")
+    incremental.start_state(target, summary, base)
+    incremental.update_state(spark, feed, summary, base, 2)
+    return incremental.read_summary(spark, summary, base)
+
+
+def incremental_status(spark, d):
+    return _kept_up(spark, d, incremental.STATUS)
+
+
+def incremental_leaderboard(spark, d):
+    return _kept_up(spark, d, incremental.BOARD)
+
+
+def incremental_conditions(spark, d):
+    return _kept_up(spark, d, incremental.CONDITIONS)
+
+
+def incremental_yearly(spark, d):
+    return _kept_up(spark, d, incremental.years(1996, 2000))
+
+
+def incremental_kpis(spark, d):
+    return _kept_up(spark, d, incremental.KPIS)
+
+
 QUERIES: dict[str, Query] = {
+    "incremental_status": incremental_status,
+    "incremental_leaderboard": incremental_leaderboard,
+    "incremental_conditions": incremental_conditions,
+    "incremental_yearly": incremental_yearly,
+    "incremental_kpis": incremental_kpis,
     "silver_normalise": silver_normalise,
     "record_fingerprint": record_fingerprint,
     "stream_columns": stream_columns,

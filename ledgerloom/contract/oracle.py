@@ -197,6 +197,15 @@ _STATUS = """select overall_status, phase, study_type, count(*) as trial_count,
   round(avg(duration_days), 0) as avg_duration_days
   from silver group by all"""
 
+_YEARS = """select cast(year(start_date) as integer) as start_year, count(*) as trials_started,
+  count(*) filter (where is_interventional) as interventional_trials,
+  cast(sum(enrollment_count) as bigint) as total_enrollment,
+  round(avg(enrollment_count), 0) as avg_enrollment
+  from silver where year(start_date) between 1996 and 2000 group by 1"""
+
+# The table after both deliveries.
+_UP_TO_DATE = f"{BOTH}, {merged_cte()}, silver as (select * from merged)"
+
 _CONDITIONS = """select condition, count(*) as trial_count,
   count(*) filter (where is_recruiting) as recruiting_now,
   cast(sum(enrollment_count) as bigint) as total_patients_enrolled,
@@ -276,11 +285,12 @@ ORACLE: dict[str, str] = {
         from silver where lead_sponsor is not null group by lead_sponsor
         order by total_trials desc, lead_sponsor limit 10""",
     "condition_analytics": f"{SILVER} {_CONDITIONS}",
-    "yearly_trend": f"""{SILVER} select cast(year(start_date) as integer) as start_year, count(*) as trials_started,
-        count(*) filter (where is_interventional) as interventional_trials,
-        cast(sum(enrollment_count) as bigint) as total_enrollment,
-        round(avg(enrollment_count), 0) as avg_enrollment
-        from silver where year(start_date) between 1996 and 2000 group by 1""",
+    "yearly_trend": f"{SILVER} {_YEARS}",
+    "incremental_status": f"{_UP_TO_DATE} {_STATUS}",
+    "incremental_leaderboard": f"{_UP_TO_DATE} {_BOARD}",
+    "incremental_conditions": f"{_UP_TO_DATE} {_CONDITIONS}",
+    "incremental_yearly": f"{_UP_TO_DATE} {_YEARS}",
+    "incremental_kpis": f"{_UP_TO_DATE} {_kpis('count(distinct lead_sponsor)')}",
     "chart_sponsors": f"""{SILVER} select lead_sponsor, total_trials, recruiting_trials, completion_rate
         from ({_BOARD}) order by total_trials desc, lead_sponsor limit 10""",
     "chart_conditions": f"""{SILVER} select condition, trial_count, recruiting_now

@@ -209,7 +209,13 @@ BOARD = Summary(
     {"recruiting_trials": "is_recruiting", "completed_trials": "is_completed", "interventional_trials": "is_interventional"},
 )
 CONDITIONS = Summary(("condition",), _conditions, explode_labels, ("enrollment_count",), {"recruiting_now": "is_recruiting"})
-YEARS = Summary(("start_year",), _years, _started(2000, 2025), ("enrollment_count",), {"interventional_trials": "is_interventional"})
+
+
+def years(first: int = 2000, last: int = 2025) -> Summary:
+    return Summary(("start_year",), _years, _started(first, last), ("enrollment_count",), {"interventional_trials": "is_interventional"})
+
+
+YEARS = years()
 KPIS = Summary(
     (), _kpis, lambda df: df.withColumn("lead_sponsor", F.nullif(F.trim("lead_sponsor"), F.lit(""))), ("enrollment_count", "duration_days"),
     {"recruiting_now": "is_recruiting", "completed_trials": "is_completed"}, "lead_sponsor",
