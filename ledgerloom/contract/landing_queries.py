@@ -197,26 +197,44 @@ def stream_cdc_existing(spark, d):
     return _stream_in(spark, base, second)
 
 
-def stream_expectation_counts(spark, d):
-    """Rows that break a rule, per rule, and what is kept and set aside."""
-    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "expected")
-    counts, aside = scratch_path(spark, "counts"), scratch_path(spark, "set-aside")
-    raw = trial_view(spark, d)
+def _with_flaws(raw: DataFrame) -> DataFrame:
+    """Some records with a broken key, some with hardly a title."""
     key = F.substring("nct_id", 4, 8).cast("bigint")
-    dirty = raw.withColumns(
+    return raw.withColumns(
         {
             "nct_id": F.when(key % 11 == 0, F.substring("nct_id", 4, 8)).otherwise(F.col("nct_id")),
             "brief_title": F.when(key % 13 == 0, "none").otherwise(F.col("brief_title")),
         }
     )
-    _land_json(_flat_json(dirty), landing)
-    bronze = stream_bronze(spark, landing, raw_schema(), max_files_per_trigger=1)
-    run_to_end(write_with_expectations(bronze, out, scratch_path(spark, "checkpoint"), counts, aside))
+
+
+def _expectations_met(spark, out, counts, aside):
     found = spark.read.parquet(counts).groupBy("rule").agg(F.sum("failed_rows").alias("row_count"))
     kept, broken = (spark.read.parquet(p).select(F.lit(n).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("row_count")) for n, p in (("kept", out), ("set_aside", aside)))
     return found.unionAll(kept).unionAll(broken)
 
 
+def stream_expectation_counts(spark, d):
+    """Rows that break a rule, per rule, and what is kept and set aside."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "expected")
+    counts, aside = scratch_path(spark, "counts"), scratch_path(spark, "set-aside")
+    _land_json(_flat_json(_with_flaws(trial_view(spark, d))), landing)
+    bronze = stream_bronze(spark, landing, raw_schema(), max_files_per_trigger=1)
+    run_to_end(write_with_expectations(bronze, out, scratch_path(spark, "checkpoint"), counts, aside))
+    return _expectations_met(spark, out, counts, aside)
+
+
+def stream_restart_counts(spark, d):
+    """Two streams without a common checkpoint write to the same outputs, a delivery each."""
+    out, counts, aside = (scratch_path(spark, x) for x in ("expected", "counts", "set-aside"))
+    for raw in raw_days(spark, d):
+        landing = scratch_path(spark, "landing")
+        _land_json(_flat_json(_with_flaws(raw)), landing)
+        bronze = stream_bronze(spark, landing, raw_schema())
+        run_to_end(write_with_expectations(bronze, out, scratch_path(spark, "checkpoint"), counts, aside))
+    return _expectations_met(spark, out, counts, aside)
+
+
 def stream_type_widening(spark, d):
     """A count that comes as text, and a field within a struct, in the second delivery."""
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "widened")
@@ -276,6 +294,7 @@ QUERIES = {
     "stream_cdc": stream_cdc,
     "stream_cdc_existing": stream_cdc_existing,
     "stream_expectation_counts": stream_expectation_counts,
+    "stream_restart_counts": stream_restart_counts,
     "stream_type_widening": stream_type_widening,
     "page_quarantine": page_quarantine,
     "stream_schema_widening": stream_schema_widening,

@@ -135,6 +135,15 @@ label_hits as (
   from centroids c cross join items i qualify rank <= 10
 )"""
 
+_EXPECTED = """marked as (
+  select cast(substr(nct_id, 4) as bigint) % 11 <> 0 as has_id, cast(substr(nct_id, 4) as bigint) % 13 <> 0 as has_title,
+    coalesce(enrollment_count >= 0, true) as positive from landed)
+select 'valid_nct_id' as rule, count(*) filter (where not has_id) as row_count from marked
+union all select 'has_title', count(*) filter (where not has_title) from marked
+union all select 'positive_enrollment', count(*) filter (where not positive) from marked
+union all select 'kept', count(*) from marked where has_id and has_title
+union all select 'set_aside', count(*) from marked where not (has_id and has_title)"""
+
 _FIFTIETHS = """
 items as (select vec_id as id, cast(embedding as double[]) as v from embeddings),
 scored as (
@@ -180,14 +189,8 @@ ORACLE: dict[str, str] = {
         count(distinct lead_sponsor) as unique_sponsors from silver group by all""",
     "stream_cdc": _MERGED,
     "stream_cdc_existing": _MERGED,
-    "stream_expectation_counts": f"""{RAW}, marked as (
-          select cast(substr(nct_id, 4) as bigint) % 11 <> 0 as has_id, cast(substr(nct_id, 4) as bigint) % 13 <> 0 as has_title,
-            coalesce(enrollment_count >= 0, true) as positive from trial)
-        select 'valid_nct_id' as rule, count(*) filter (where not has_id) as row_count from marked
-        union all select 'has_title', count(*) filter (where not has_title) from marked
-        union all select 'positive_enrollment', count(*) filter (where not positive) from marked
-        union all select 'kept', count(*) from marked where has_id and has_title
-        union all select 'set_aside', count(*) from marked where not (has_id and has_title)""",
+    "stream_expectation_counts": f"{RAW}, landed as (select * from trial), {_EXPECTED}",
+    "stream_restart_counts": f"{BOTH_RAW}, landed as (select * from day_1 union all select * from day_2), {_EXPECTED}",
     "stream_type_widening": f"""{BOTH_RAW}, landed as (
           select query_term, enrollment_count, false as late from day_1
           union all select query_term, enrollment_count, true from day_2)

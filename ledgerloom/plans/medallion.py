@@ -13,7 +13,7 @@ from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise
 from ledgerloom.operators.quality import SILVER_RULES, Rule, gate, run_rules
 from ledgerloom.session import stored, written
-from ledgerloom.sinks.snapshots import update_snapshot, versions, write_snapshot
+from ledgerloom.sinks.snapshots import update_snapshot, versions, with_retries, write_snapshot
 from ledgerloom.sinks.tables import refresh_table, table_counts
 
 
@@ -64,9 +64,16 @@ def load_silver(
         return merged.drop("action")
 
     with stored(newest, "delta") as delta:
-        update_snapshot(spark, base, known[-1], known[-1] + 1, delta, merge, key)
+
+        def update() -> None:
+            last = versions(spark, base)[-1]
+            update_snapshot(spark, base, last, last + 1, delta, merge, key)
+            done.append(last + 1)
+
+        done: list[int] = []
+        with_retries(update)
     # of the buckets that were touched; the records of the others were not delivered
-    return LoadResult(known[-1] + 1, report, merge_stats(counted[0]))
+    return LoadResult(done[0], report, merge_stats(counted[-1]))
 
 
 GOLD_TABLES = {

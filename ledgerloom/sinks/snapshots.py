@@ -7,24 +7,39 @@ and a new version that names the others where they are; their files stay as they
 version counts once Spark has committed it (its ``_SUCCESS`` marker), so a lost job leaves
 the table as it was.
 
-A version written for a micro-batch carries the stream's and the batch's name; only a
-repeat of that batch replaces it. Other writers fail if the number is taken. Where a table
-format with row-level MERGE is at hand, use ``merge_into_table``.
+A number is claimed before its version is written, so of several writers that started from
+the same version one goes on and the others fail with ``FileExistsError``; they start again
+from the newest version (``with_retries``). A version written for a micro-batch carries the
+stream's and the batch's name; only a repeat of that batch replaces it. A claim that led to no
+version is given up after ``STALE_SECONDS``.
+
+There are as many buckets as the table's bytes ask for (``BUCKET_BYTES`` each, ``LEAST_BUCKETS``
+at least), so the tasks of a load grow with the table; when buckets have grown to twice that,
+the next merge deals the whole table anew, with room to grow. Where a table format with
+row-level MERGE is at hand, use ``merge_into_table``.
 """
 
 from __future__ import annotations
 
 import re
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from py4j.protocol import Py4JJavaError
+
 from ledgerloom.operators.cdc import _taken
+from ledgerloom.operators.sizing import measured_bytes
 
-BUCKETS = 64
+BUCKET_BYTES = 256 << 20
+LEAST_BUCKETS = 64
+# Plans without statistics claim to be about this large.
+_UNKNOWN_BYTES = 1 << 60
+STALE_SECONDS = 3_600
 _FOLDER = re.compile(r"version=(\d+)(?:\.([\w-]+)\.(\d+))?/")
 
 
@@ -86,28 +101,86 @@ def _write_buckets(df: DataFrame, base: str, key: str | None, buckets: int) -> d
         df.write.parquet(f"{root}/bucket=0")
         return {0: f"{root}/bucket=0"}
     placed = df.withColumn("bucket", bucket_of(key, buckets))
-    placed.repartition("bucket").write.partitionBy("bucket").parquet(root)
+    # few buckets need no more tasks than the session's
+    dealt = placed.repartition("bucket") if buckets <= LEAST_BUCKETS else placed.repartition(buckets, "bucket")
+    dealt.write.partitionBy("bucket").parquet(root)
     files, pattern = _file_system(spark, f"{root}/bucket=*")
     names = [s.getPath().getName() for s in files.globStatus(pattern) or []]
     return {int(n.removeprefix("bucket=")): f"{root}/{n}" for n in names}
 
 
-def _publish(df: DataFrame, base: str, version: int, folders: dict[int, str | None], stream: str | None, batch: int | None) -> None:
+def _claim(spark: SparkSession, base: str, version: int, owner: str) -> None:
+    """Takes the number, or fails if another writer has it."""
+    files, path = _file_system(spark, f"{base}/claims/{version:09d}")
+    try:
+        out = files.create(path, False)
+    except Py4JJavaError:
+        if not files.exists(path):
+            raise
+        age = time.time() - files.getFileStatus(path).getModificationTime() / 1000
+        taken = version in versions(spark, base)
+        into = files.open(path)
+        holder = bytes(into.readAllBytes()).decode()
+        into.close()
+        if holder != owner and (taken or age < STALE_SECONDS):
+            raise FileExistsError(f"version {version} of {base} is taken") from None
+        out = files.create(path, True)
+    out.write(bytearray(owner.encode()))
+    out.close()
+
+
+def _publish(df: DataFrame, base: str, version: int, folders: dict[int, str | None], stream: str | None, batch: int | None, parent: int | None) -> None:
     spark = df.sparkSession
     schema = df._jdf.schema().toDDL()
     rows = spark.createDataFrame([(b, p, schema) for b, p in sorted(folders.items())], "bucket int, path string, schema string")
     name = f"version={version:09d}" + (f".{stream}.{batch}" if stream is not None else "")
-    if stream is None and version in versions(spark, base):
-        raise FileExistsError(f"version {version} of {base} is taken")
+    _claim(spark, base, version, uuid.uuid4().hex if stream is None else f"{stream}.{batch}")
+    newer = [v.number for v in committed(spark, base) if v.number > (parent or 0) and (stream is None or (v.stream, v.batch) != (stream, batch))]
+    if newer:
+        raise FileExistsError(f"version {newer[0]} of {base} came after version {parent}")
     # a repeat of the same micro-batch replaces its own version only
     rows.coalesce(1).write.mode("errorifexists" if stream is None else "overwrite").parquet(f"{base}/{name}")
 
 
-def write_snapshot(df: DataFrame, base: str, version: int, key: str | None = None, buckets: int = BUCKETS, stream: str | None = None, batch: int | None = None) -> None:
-    """Writes a whole snapshot, by buckets of ``key`` if one is given."""
+def with_retries(write: Callable[[], None], times: int = 5) -> None:
+    """Runs a write that starts from the newest version; again if another writer was faster."""
+    for left in range(times - 1, -1, -1):
+        try:
+            return write()
+        except FileExistsError:
+            if not left:
+                raise
+
+
+def buckets_for(size: float) -> int:
+    return max(LEAST_BUCKETS, -(-int(size) // BUCKET_BYTES))
+
+
+def expected_bytes(df: DataFrame) -> int:
+    """What Catalyst knows of the rows' bytes; they are counted only where it knows nothing."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known if known < _UNKNOWN_BYTES else measured_bytes(df)
+
+
+def stored_bytes(spark: SparkSession, folders: Sequence[str]) -> int:
+    """Bytes of the files in the folders."""
+    total = 0
+    for folder in folders:
+        files, path = _file_system(spark, folder)
+        total += files.getContentSummary(path).getLength()
+    return total
+
+
+def write_snapshot(df: DataFrame, base: str, version: int, key: str | None = None, buckets: int | None = None, stream: str | None = None, batch: int | None = None, parent: int | None = None) -> None:
+    """Writes a whole snapshot, by buckets of ``key`` if one is given.
+
+    ``parent``: the version it was made from.
+    """
+    if buckets is None:
+        buckets = buckets_for(expected_bytes(df)) if key else 1
     folders: dict[int, str | None] = dict.fromkeys(range(buckets if key else 1))
     folders.update(_write_buckets(df, base, key, buckets))
-    _publish(df, base, version, folders, stream, batch)
+    _publish(df, base, version, folders, stream, batch, version - 1 if parent is None else parent)
 
 
 def update_snapshot(spark: SparkSession, base: str, from_version: int, version: int, delta: DataFrame, merge, key: str, stream: str | None = None, batch: int | None = None) -> None:
@@ -118,15 +191,18 @@ def update_snapshot(spark: SparkSession, base: str, from_version: int, version:
     """
     path = {v.number: v for v in committed(spark, base)}[from_version].path
     folders, _ = _manifest(spark, path)
-    if len(folders) == 1 and BUCKETS != 1:  # a table that was written without a key
-        write_snapshot(merge(read_snapshot(spark, base, from_version), delta), base, version, key, stream=stream, batch=batch)
+    size = stored_bytes(spark, [f for f in folders.values() if f])
+    # a table that was written without a key, or has outgrown its buckets
+    if len(folders) == 1 or size > 2 * BUCKET_BYTES * len(folders):
+        buckets = buckets_for(2 * size)
+        write_snapshot(merge(read_snapshot(spark, base, from_version), delta), base, version, key, buckets, stream, batch, from_version)
         return
     rows = delta.select(bucket_of(key, len(folders)).alias("bucket")).distinct().collect()  # at most one per bucket
     touched = sorted(r["bucket"] for r in rows)
     merged = merge(read_snapshot(spark, base, from_version, touched), delta)
     # a merge may leave nothing in a bucket
     folders.update({**dict.fromkeys(touched), **_write_buckets(merged, base, key, len(folders))})
-    _publish(merged, base, version, folders, stream, batch)
+    _publish(merged, base, version, folders, stream, batch, from_version)
 
 
 def drop_old_versions(spark: SparkSession, base: str, keep: int = 2) -> int:

@@ -10,10 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.operators.cdc import merge_changes, with_order
 from ledgerloom.operators.dedupe import NEWEST_FIRST, dedupe_latest
 from ledgerloom.session import stored
-from ledgerloom.sinks.snapshots import committed, drop_old_versions, update_snapshot, write_snapshot
+from ledgerloom.sinks.snapshots import committed, drop_old_versions, update_snapshot, with_retries, write_snapshot
 
 
-def _stream_name(batch: DataFrame) -> str:
+def stream_name(batch: DataFrame) -> str:
     """The query's lasting id; a lost checkpoint makes a new one."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
@@ -33,31 +33,34 @@ def merge_batch(
     A micro-batch is merged into the newest version, whoever wrote it, and its own version
     carries the stream's and the batch's name. If Spark runs a batch again, it starts from
     the version before its own and replaces that one, so its changes count once. Only
-    buckets with changes are rewritten; ``keep`` removes all but so many versions.
+    buckets with changes are rewritten; if another writer was faster, the batch is merged into
+    what that one has written. ``keep`` removes all but so many versions.
     ``prepare`` maps the raw batch to silver columns plus those of ``newest_first``.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        spark, stream = batch.sparkSession, _stream_name(batch)
+        # read for its buckets and by the merge, so it is computed once and measured on disk
+        with stored(dedupe_latest(prepare(batch), key, newest_first), "delta") as delta:
+            with_retries(lambda: merge_once(delta, stream_name(batch), batch_id))
+        if keep is not None:
+            drop_old_versions(batch.sparkSession, base, max(2, keep))
+
+    def merge_once(delta: DataFrame, stream: str, batch_id: int) -> None:
+        spark = delta.sparkSession
         known = committed(spark, base)
         own = [v for v in known if (v.stream, v.batch) == (stream, batch_id)]
         if own and own[-1] != known[-1]:
             return  # done, and others have gone on from it
         before = [v.number for v in known if not own or v.number < own[-1].number]
         version = own[-1].number if own else (before[-1] + 1 if before else 1)
-        newest = dedupe_latest(prepare(batch), key, newest_first)
         if not before:
-            write_snapshot(newest, base, version, key, stream=stream, batch=batch_id)
+            write_snapshot(delta, base, version, key, stream=stream, batch=batch_id)
             return
-        # read for its buckets and by the merge, so it is computed once and measured on disk
-        with stored(newest, "delta") as delta:
-            update_snapshot(
-                spark, base, before[-1], version, delta,
-                lambda target, rows: merge_changes(*with_order(target, rows, order_by), key, update_columns, order_by, strategy),
-                key, stream, batch_id,
-            )
-        if keep is not None:
-            drop_old_versions(spark, base, max(2, keep))
+        update_snapshot(
+            spark, base, before[-1], version, delta,
+            lambda target, rows: merge_changes(*with_order(target, rows, order_by), key, update_columns, order_by, strategy),
+            key, stream, batch_id,
+        )
 
     return fold
 

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.operators.normalise import normalise_stream
 from ledgerloom.operators.quality import STREAM_DROP_RULES, STREAM_WARN_RULES, expect, quarantine
 from ledgerloom.session import stored
+from ledgerloom.streaming.merge import stream_name
 
 
 def stream_silver(
@@ -49,18 +50,21 @@ def write_with_expectations(
 ) -> StreamingQuery:
     """The stream's clean rows, the rows that a drop rule sets aside, and counts per batch.
 
-    All three are written by batch id, so a repeated batch replaces its own rows, and the
-    counts of every batch are kept: rule, ``failed_rows`` and ``rows_in``.
+    All three are written by the stream's lasting id and the batch's, so a repeated batch
+    replaces its own rows and no other's, whoever else writes there: a second stream, or one
+    that starts again without its checkpoint. The counts of every batch are kept: rule,
+    ``failed_rows`` and ``rows_in``.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
+        own = f"stream={stream_name(batch)}/batch={batch_id}"
         with stored(normalise_stream(batch), "expected") as rows:
             kept, broken = quarantine(rows, drop)
-            kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-            broken.write.mode("overwrite").parquet(f"{set_aside}/batch={batch_id}")
+            kept.write.mode("overwrite").parquet(f"{path}/{own}")
+            broken.write.mode("overwrite").parquet(f"{set_aside}/{own}")
             failed = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.count_if(~r.holds).alias("failed_rows")) for r in (*drop, *warn)])
             found = rows.agg(F.count(F.lit(1)).alias("rows_in"), failed.alias("failed")).select("rows_in", F.inline("failed"))
-            found.write.mode("overwrite").parquet(f"{counts}/batch={batch_id}")
+            found.write.mode("overwrite").parquet(f"{counts}/{own}")
 
     return bronze.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
