@@ -1,24 +1,28 @@
-"""Toxicity by nearest labelled examples under exact weighted TF-IDF cosine.
+"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 1. Labelled rows: of each label at most ``examples`` ids, those of the smallest hashes; then
-   their distinct texts, at most ``examples`` of each label. This is the documented bound of
-   what is fitted; the share of each label is counted over all labelled rows.
-2. Terms: words and their beginnings of ``PREFIXES`` bytes, all those of the examples. None
-   is left out: how far a term tells the labels apart only adds to its weight, and a term
-   that tells nothing keeps ``BASE_WEIGHT`` of its TF-IDF.
-3. Document frequencies are counted over all documents in one pass over their whole texts.
-4. The examples' unit vectors stand in an inverted index: postings of the rarer terms, a
-   dense matrix of those that over ``DENSE_SHARE`` of the examples have. A text is held
-   against all examples in single precision; those that can be among the nearest within
-   the error of that (``MARGIN``) are scored again exactly, so the k nearest are exact
-   (ties to the earlier example).
-5. The neighbours' labels are voted by cosine, each example for the labelled rows that it
-   stands for, together with ``PRIOR_VOTES`` votes of the label's overall share. A
-   logistic curve fitted on the examples' own votes, each without its own id, turns votes into
-   probabilities. The neighbours are given as evidence.
-
-Texts are read twice and nothing of their size is written. The index grows with the
-examples' texts; the driver and every task hold it.
+   their distinct texts, at most ``examples`` of each label, and of these, label by label in
+   turn, as many as have ``POSTINGS`` distinct terms together. These are the documented
+   bounds of what is fitted; the share of each label is counted over all labelled rows.
+2. Terms are all words of the examples. Document frequencies are counted over all documents
+   in one pass over their whole texts.
+3. The examples' unit vectors stand in a block-max inverted index: examples in blocks of
+   ``BLOCK``, similar ones together; a term's postings by block, each block with the term's
+   largest weight in it. A text's bound for a block is the sum of those maxima. Blocks are
+   read by descending bounds until none left can reach the k-th best cosine; the others are
+   skipped. The postings of terms that over ``DENSE_SHARE`` of the examples have would be no
+   shorter than a matrix; they stand as one, and its product with many texts at once
+   is part of the bounds, in single precision. What is within the error of that (``MARGIN``)
+   is scored again, so the k nearest are exact (ties to the earlier example).
+4. The neighbours vote for their labels, each for the labelled rows that it stands for. The
+   weight of a vote is the part of the cosine that comes from terms telling the labels
+   apart (by ``TELLING`` at least), and ``PLAIN`` of the fourth power of the whole cosine; there are ``PRIOR_VOTES``
+   of the label's overall share besides. A logistic curve fitted on the examples' own votes,
+   each without its own id, turns votes into probabilities. The neighbours are given as
+   evidence.
+
+Texts are read twice and nothing of their size is written. The tasks get the index as a
+broadcast of at most ``POSTINGS`` postings.
 
 Defined results: a null or empty text, or one that shares no term with any example, gets the
 score of the overall share; rows without a label or of null id are no examples; several
@@ -26,7 +30,8 @@ labels of one document each count, the same label of it once; rows of the same i
 are one example, different texts of one id are several; no document is held against
 examples of its own id, as those were not when the curve was fitted; without both labels among the
 examples every score is the overall share (0 without labels); rows of the same id are
-scored one by one; an empty table gives no rows.
+scored one by one; an empty table gives no rows; other columns are not used, whatever they
+are called.
 """
 
 from __future__ import annotations
@@ -39,19 +44,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import wordscan as ws
-from ledgerloom.llm.tables import Shared, small, table, tasks_for, text_batches
+from ledgerloom.llm.tables import Shared, table, text_batches, without_texts
 from ledgerloom.session import written
 
 EXAMPLES = 4096
-PREFIXES = (4, 5, 6)
-BASE_WEIGHT = 0.2
+POSTINGS = 4_000_000
 HALF_CHI2 = 40.0
-DENSE_SHARE = 0.1
+TELLING = 0.01
+BLOCK = 32
+FIRST_BLOCKS = 24
+DENSE_SHARE = 0.06
 DENSE_TERMS = 2048
-MARGIN = 2e-4
+MARGIN = 1e-5
 TOGETHER = 64
-NEIGHBOURS = 15
-PRIOR_VOTES = 0.25
+VOTES_TASK = 1024
+NEIGHBOURS = 50
+PRIOR_VOTES = 0.02
+PLAIN = 0.1
 
 _U = np.uint64
 # letters a-z, digits and whatever isn't ASCII make up words
@@ -64,14 +73,7 @@ def _terms(texts: pa.Array):
     for first, _, data, starts in ws.blocks(texts):
         data = ws.LOWER[data]
         begins, ends = ws.runs(_INSIDE[data], starts)
-        row = np.searchsorted(starts, begins, "right") - 1
-        found, rows = [ws.hashes(data, begins, ends)], [row]
-        for size in PREFIXES:
-            long = ends - begins >= size
-            cut = ws.hashes(data, begins[long], begins[long] + size)
-            found.append(ws.mix(cut + _U(size)))
-            rows.append(row[long])
-        yield first, np.concatenate(found), np.concatenate(rows)
+        yield first, ws.hashes(data, begins, ends), np.searchsorted(starts, begins, "right") - 1
 
 
 class Vocabulary:
@@ -118,63 +120,133 @@ def _bags_of_examples(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], ws.lists(np.concatenate(keys).view(np.int64), sizes), ws.lists(np.concatenate(counts), sizes)], names=["doc_id", "label", "text_hash", "terms", "counts"])
 
 
+def together(ends: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """An order of the vectors in which those that share terms stand near each other."""
+    some = np.flatnonzero(ends[:-1] < ends[1:])
+    keys = np.zeros((2, len(ends) - 1), _U)
+    for k, key in enumerate(keys):
+        key[some] = np.minimum.reduceat(ws.mix(terms.astype(_U) * _U(2) + _U(k + 1)), ends[some]) if len(some) else 0
+    return np.lexsort((np.arange(len(ends) - 1), keys[1], keys[0]))
+
+
 class Examples:
-    """An inverted index of labelled unit vectors."""
+    """A block-max inverted index of labelled unit vectors.
+
+    ``read`` and ``blocks`` count the blocks read so far and those there were to read;
+    ``telling``: how far each term tells the labels apart.
+    """
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, stands_for: np.ndarray, share: float, n_terms: int):
+    def __init__(self, places: np.ndarray, terms: np.ndarray, weights: np.ndarray, labels: np.ndarray, stands_for: np.ndarray, share: float, n_terms: int, telling: np.ndarray | None = None, order: np.ndarray | None = None):
+        """``places``, ``terms`` and ``weights``: all postings by term, then by place; ``order``: the
+        example at each place, its own number if not given."""
         self.labels, self.stands_for, self.share = labels, stands_for, share
-        sizes = np.array([len(t) for t, _ in vectors], np.int64)
-        self.ends = np.r_[0, np.cumsum(sizes)]
-        self.terms = np.concatenate([t.astype(np.int32) for t, _ in vectors] or [np.zeros(0, np.int32)])
-        self.weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-        example = np.repeat(np.arange(len(vectors), dtype=np.int32), sizes)
-        have = np.bincount(self.terms, minlength=n_terms)
+        self.telling = np.zeros(n_terms) if telling is None else telling
+        n = len(labels)
+        self.order = np.arange(n) if order is None else order
+        self.place = np.argsort(self.order)
+        self.n_blocks = -(-n // BLOCK)
+        have = np.bincount(terms, minlength=n_terms)
         often = np.argsort(-have, kind="stable")[:DENSE_TERMS]
-        often = often[have[often] > DENSE_SHARE * len(vectors)]
+        often = often[have[often] > DENSE_SHARE * n]
         self.column = np.full(n_terms, -1, np.int32)
         self.column[often] = np.arange(len(often))
-        column = self.column[self.terms]
-        self.dense = np.zeros((len(often), len(vectors)), np.float32)
-        self.dense[column[column >= 0], example[column >= 0]] = self.weights[column >= 0]
-        rare = np.flatnonzero(column < 0)
-        rare = rare[np.argsort(self.terms[rare], kind="stable")]
-        self.example, self.weight = example[rare], self.weights[rare].astype(np.float32)
-        self.begin = np.r_[0, np.cumsum(np.where(self.column < 0, have, 0))]
+        column = self.column[terms]
+        rare, common = np.flatnonzero(column < 0), np.flatnonzero(column >= 0)
+        self.exact = np.zeros((self.n_blocks * BLOCK, len(often)))
+        self.exact[places[common], column[common]] = weights[common]
+        self.dense = np.ascontiguousarray(self.exact.T, np.float32)
+        self.at, self.weight, of = places[rare], weights[rare], terms[rare]
+        # the postings of a term in a block, and the largest weight among them, rounded up
+        block = self.at // BLOCK
+        new = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (of[1:] != of[:-1])]) if len(rare) else np.zeros(0, np.int64)
+        self.entry_block, self.entry_begin = block[new].astype(np.int32), new.astype(np.int32)
+        self.entry_size = np.diff(np.r_[new, len(rare)]).astype(np.int32)
+        self.entry_most = np.nextafter(np.maximum.reduceat(self.weight, new).astype(np.float32), np.float32(2)) if len(rare) else np.zeros(0, np.float32)
+        self.begin = np.r_[0, np.cumsum(np.bincount(of[new], minlength=n_terms))]
+        # the postings of the terms that tell the labels apart, for the votes
+        apart = np.flatnonzero(self.telling[terms] >= TELLING)
+        self.told = self.order[places[apart]]
+        self.told_weight = weights[apart] * self.telling[terms[apart]]
+        self.told_begin = np.r_[0, np.cumsum(np.bincount(terms[apart], minlength=n_terms))]
         self.n_terms, self.slope, self.offset = n_terms, 1.0, 0.0
+        self.read = self.blocks = 0
+
+    @classmethod
+    def of(cls, vectors: list[tuple[np.ndarray, np.ndarray]], *args, **options) -> Examples:
+        """An index of (terms, weights), one pair for each example."""
+        ends = np.r_[0, np.cumsum([len(t) for t, _ in vectors])].astype(np.int64)
+        terms, weights = (np.concatenate([v[k] for v in vectors] or [np.zeros(0)]) for k in (0, 1))
+        terms = terms.astype(np.int32)
+        order = together(ends, terms)
+        places = np.repeat(np.argsort(order), np.diff(ends))
+        by_term = np.lexsort((places, terms))
+        return cls(places[by_term], terms[by_term], weights[by_term], *args, order=order, **options)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosine above 0, and the cosines."""
-        return next(self.nearest_of(np.r_[0, len(terms)], terms, weights, k, [[without] if without >= 0 else []]))
+        return next(self.nearest_of(np.r_[0, len(terms)], terms, weights, k, [[without] if without >= 0 else []]))[:2]
 
     def nearest_of(self, ends: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, without=None):
-        """``nearest`` of many vectors, end to end; vector i lies from ``ends[i]`` to ``ends[i + 1]``
-        and is not held against the examples ``without[i]``."""
-        n, whole = len(self.labels), np.zeros(self.n_terms)
+        """``nearest`` of many vectors, end to end, with the part of each cosine that tells the
+        labels apart; vector i lies from ``ends[i]`` to ``ends[i + 1]`` and is not held against
+        the examples ``without[i]``."""
         column = self.column[terms]
         for a in range(0, len(ends) - 1, TOGETHER):
             b = min(len(ends) - 1, a + TOGETHER)
             inside = np.flatnonzero(column[ends[a] : ends[b]] >= 0) + ends[a]
-            asked = np.zeros((b - a, len(self.dense)), np.float32)
+            asked = np.zeros((b - a, len(self.dense)))
             asked[np.searchsorted(ends[a : b + 1], inside, "right") - 1, column[inside]] = weights[inside]
-            cosines = asked @ self.dense
+            about = asked.astype(np.float32) @ self.dense
             for i in range(a, b):
                 own, w = terms[ends[i] : ends[i + 1]], weights[ends[i] : ends[i + 1]]
                 rare = column[ends[i] : ends[i + 1]] < 0
-                x, counts = self.begin[own[rare]], self.begin[own[rare] + 1] - self.begin[own[rare]]
-                at = ws.ragged(x, counts)
-                about = cosines[i - a] + np.bincount(self.example[at], self.weight[at] * np.repeat(w[rare], counts), n)
-                if without is not None and len(without[i]):
-                    about[without[i]] = 0
-                least = np.partition(about, n - k)[n - k] if n > k else 0.0
-                found = np.flatnonzero((about > 0) & (about >= least - MARGIN))
-                whole[own] = w
-                exact = np.array([whole[self.terms[x:y]] @ self.weights[x:y] for x, y in zip(self.ends[found], self.ends[found + 1])]).round(12)
-                whole[own] = 0
-                order = np.lexsort((found, -exact))[:k]
-                yield found[order], exact[order]
-
-    def vote(self, found: np.ndarray, cosines: np.ndarray) -> float:
-        weight = cosines**2 * self.stands_for[found]
+                places = self.place[without[i]] if without is not None and len(without[i]) else []
+                found, exact = self._read(about[i - a], asked[i - a], own[rare], w[rare], k, places)
+                counts = self.told_begin[own + 1] - self.told_begin[own]
+                told = ws.ragged(self.told_begin[own], counts)
+                telling = np.bincount(self.told[told], self.told_weight[told] * np.repeat(w, counts), len(self.labels))[found]
+                yield found, exact, telling
+
+    def _read(self, about: np.ndarray, asked: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, without) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest examples and their cosines. ``about`` holds the part of the frequent
+        terms ``asked`` in single precision; that of ``terms`` is read block by block."""
+        counts = self.begin[terms + 1] - self.begin[terms]
+        entries, weight = ws.ragged(self.begin[terms], counts), np.repeat(weights.astype(np.float32), counts)
+        owner = np.repeat(np.arange(len(terms), dtype=np.int32), counts)
+        blocks = self.entry_block[entries]
+        bounds = about.reshape(-1, BLOCK).max(axis=1) + np.bincount(blocks, self.entry_most[entries] * weight, self.n_blocks)
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]  # a block of bound 0 shares no term
+        seen, rare = np.zeros(self.n_blocks, bool), np.zeros(len(about))
+        least, done, step = 0.0, 0, FIRST_BLOCKS
+        while done < len(order):
+            now = order[done : done + step]
+            now = now[bounds[now] >= least - MARGIN]
+            if not len(now):
+                break
+            chosen = np.zeros(self.n_blocks, bool)
+            chosen[now] = True
+            mine = np.flatnonzero(chosen[blocks])
+            hit, of = entries[mine], owner[mine]
+            sizes = self.entry_size[hit]
+            postings = ws.ragged(self.entry_begin[hit], sizes)
+            rare += np.bincount(self.at[postings], self.weight[postings] * np.repeat(weights[of], sizes), len(rare))
+            seen |= chosen
+            held = about + rare
+            held[without] = 0
+            some = held.reshape(-1, BLOCK)[seen].ravel()
+            least = np.partition(some, len(some) - k)[len(some) - k] if len(some) > k else 0.0
+            done, step = done + len(now), 8 * step
+        self.read, self.blocks = self.read + done, self.blocks + self.n_blocks
+        if not done:
+            return np.zeros(0, np.int64), np.zeros(0)
+        at = np.flatnonzero(np.repeat(seen, BLOCK) & (held > 0) & (held >= least - MARGIN))
+        found, exact = self.order[at], (rare[at] + self.exact[at] @ asked).round(12)
+        first = np.lexsort((found, -exact))[:k]
+        return found[first], exact[first]
+
+    def vote(self, found: np.ndarray, cosines: np.ndarray, telling: np.ndarray) -> float:
+        weight = (telling + PLAIN * cosines**4) * self.stands_for[found]
         weight = weight / (self.stands_for[found].mean() if len(found) else 1.0)
         return float((weight @ self.labels[found] + PRIOR_VOTES * self.share) / (weight.sum() + PRIOR_VOTES))
 
@@ -233,23 +305,29 @@ def _docs_with(vocabulary):
 
 
 class Model:
-    """What the tasks build the index from: it travels packed, a tenth of the index."""
+    """What the tasks build the index from, packed; examples stand in the order of the blocks."""
 
-    def __init__(self, rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, weight: np.ndarray, labels: np.ndarray, stands_for: np.ndarray, share: float):
-        # terms of a text stand in order, so their steps are small
-        self.packed = [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (np.diff(rows, prepend=0), np.diff(terms, prepend=0), counts)]
-        self.weight, self.labels, self.stands_for, self.share = weight, labels, stands_for, share
+    def __init__(self, places: np.ndarray, terms: np.ndarray, counts: np.ndarray, weight: np.ndarray, labels: np.ndarray, stands_for: np.ndarray, share: float, telling: np.ndarray):
+        # postings by term, then by place
+        self.have = np.bincount(terms, minlength=len(weight)).astype(np.int32)
+        self.packed = [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (places, counts)]
+        self.weight, self.labels, self.stands_for, self.share, self.telling = weight, labels, stands_for, share, telling
         self.slope, self.offset = 1.0, 0.0
 
+    def postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, terms and weights, by term."""
+        places, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
+        terms = np.repeat(np.arange(len(self.have), dtype=np.int32), self.have)
+        return places, terms, unit_vectors(places, terms, counts, self.weight, len(self.labels))
+
     def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ends of the examples' vectors, their terms and weights."""
-        rows, terms, counts = (np.frombuffer(zlib.decompress(x), np.int32) for x in self.packed)
-        rows, terms = np.cumsum(rows), np.cumsum(terms)
-        return np.searchsorted(rows, np.arange(len(self.labels) + 1)), terms, unit_vectors(rows, terms, counts, self.weight, len(self.labels))
+        places, terms, weights = self.postings()
+        order = np.argsort(places, kind="stable")
+        return np.r_[0, np.cumsum(np.bincount(places, minlength=len(self.labels)))], terms[order], weights[order]
 
     def index(self) -> Examples:
-        ends, terms, weights = self.vectors()
-        index = Examples([(terms[a:b], weights[a:b]) for a, b in zip(ends, ends[1:])], self.labels, self.stands_for, self.share, len(self.weight))
+        index = Examples(*self.postings(), self.labels, self.stands_for, self.share, len(self.weight), self.telling)
         index.slope, index.offset = self.slope, self.offset
         return index
 
@@ -267,8 +345,9 @@ def _score(vocabulary, model, example_ids, k: int):
             for rows, terms, counts in known.bags(batch.column(2)) if len(examples.labels) else ():
                 some, rows = np.unique(rows, return_inverse=True)
                 weights = unit_vectors(rows, terms, counts, weights_of, len(some))
-                for i, (found, cosines) in zip(some, examples.nearest_of(np.searchsorted(rows, np.arange(len(some) + 1)), terms, weights, k, [without[i] for i in some])):
-                    scores[i] = examples.probability(np.array([examples.vote(found, cosines)]))[0]
+                nearest = examples.nearest_of(np.searchsorted(rows, np.arange(len(some) + 1)), terms, weights, k, [without[i] for i in some])
+                for i, (found, cosines, telling) in zip(some, nearest):
+                    scores[i] = examples.probability(np.array([examples.vote(found, cosines, telling)]))[0]
                     sizes[i] = len(found)
                     near.append((found, cosines))
             found, cosines = (np.concatenate(x) for x in zip(*near))
@@ -298,29 +377,45 @@ def _own_votes(model, example_ids, k: int):
 
 
 def label_weight(ones: np.ndarray, zeros: np.ndarray, n_ones: int, n_zeros: int) -> np.ndarray:
-    """A weight above 0 of each term, from the examples of either label that have it."""
+    """How far each term tells the labels apart, from the examples of either label that have it."""
     a, b, n = ones.astype(np.float64), zeros.astype(np.float64), float(n_ones + n_zeros)
     apart = np.abs(np.log((a + 0.5) / (n_ones + 1.0)) - np.log((b + 0.5) / (n_zeros + 1.0)))
     chi2 = n * (a * n_zeros - b * n_ones) ** 2 / (float(max(n_ones, 1)) * max(n_zeros, 1) * (a + b) * np.maximum(n - a - b, 1e-9))
-    return BASE_WEIGHT + apart * (chi2 / (chi2 + HALF_CHI2)) ** 2
+    return apart * (chi2 / (chi2 + HALF_CHI2)) ** 2
 
 
-def choose_examples(own: DataFrame, known: DataFrame, examples: int) -> DataFrame:
-    """doc_id, label, text_hash and text of the examples, at most ``examples`` of each label."""
+def _first(df: DataFrame, most: int, *order: str) -> DataFrame:
+    """At most ``most`` rows of each label, by a hash. What goes to the task of a label is cut
+    down to about twice that before, however many rows the label has."""
+    counts = F.broadcast(df.groupBy("label").agg(F.count(F.lit(1)).alias("rows")))  # two rows
+    hashed = df.withColumn("hash", F.xxhash64(*order)).join(counts, "label")
+    within = F.pmod("hash", F.lit(1 << 30)) < F.greatest(F.lit(2.0 * most + 64), F.lit(0.0)) / F.col("rows") * (1 << 30)
+    by_hash = Window.partitionBy("label").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash", *order)
+    return hashed.filter(within).withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= most).select(df.columns)
 
-    def first(df, *order):
-        by_hash = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", *order)
-        return df.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= examples).drop("rank")
 
-    chosen = F.broadcast(first(known.distinct()))
-    pairs = own.select("doc_id", "text_hash").join(chosen, "doc_id").distinct()
+def choose_examples(own: DataFrame, known: DataFrame, examples: int) -> DataFrame:
+    """doc_id, label, text_hash and text of the examples, at most ``examples`` of each label."""
     # at most 2 * examples rows of three numbers
-    kept = F.broadcast(written(first(pairs, "text_hash"), "chosen"))
+    chosen = F.broadcast(written(_first(known.distinct(), examples, "doc_id"), "labelled"))
+    pairs = written(own.select("doc_id", "text_hash").join(chosen, "doc_id").distinct(), "labelled-texts")
+    kept = F.broadcast(written(_first(pairs, examples, "doc_id", "text_hash"), "chosen"))
     same = own.join(kept, ["doc_id", "text_hash"]).select("doc_id", "label", "text_hash", "text")
     return same.groupBy("doc_id", "label", "text_hash").agg(F.first("text").alias("text"))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = EXAMPLES, neighbours: int = NEIGHBOURS) -> DataFrame:
+def _within(label: np.ndarray, sizes: np.ndarray, most: int) -> np.ndarray:
+    """The rows that fit into ``most`` terms, taken from both labels in turn."""
+    turn = np.empty(len(label), np.int64)
+    for one in (0, 1):
+        at = np.flatnonzero(label == one)
+        turn[at] = np.arange(len(at))
+    order = np.lexsort((label, turn))
+    fits = np.cumsum(sizes[order]) <= most
+    return np.sort(order[fits])
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", examples: int = EXAMPLES, neighbours: int = NEIGHBOURS, postings: int = POSTINGS) -> DataFrame:
     """Per document: ``id_col``, ``text_hash``, ``score`` (0 to 1) and ``evidence``, the nearest
     examples. ``labels``: the rows (``id_col``, ``label_col`` 0 or 1) to learn from."""
     spark = docs.sparkSession
@@ -332,17 +427,25 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     with text_batches(spark):
         texts = written(choose_examples(own, known, examples).mapInArrow(_bags_of_examples, "doc_id long, label int, text_hash long, terms array<long>, counts array<int>"), "examples")
-    # at most 2 * examples rows
-    near = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash", "label").toArrow()
-    label, ids = near["label"].to_numpy().astype(np.int64), near["doc_id"].to_numpy()
-    sizes = np.bincount(label, minlength=2)
-    bags = near["terms"].combine_chunks()
-    rows = np.repeat(np.arange(len(label)), bags.value_lengths().to_numpy().astype(np.int64)) if len(label) else np.zeros(0, np.int64)
-    terms = bags.flatten().to_numpy().view(_U) if len(label) else np.zeros(0, _U)
-    counts = near["counts"].combine_chunks().flatten().to_numpy() if len(label) else np.zeros(0, np.int64)
-    if sizes.min() == 0:  # nothing to tell apart
-        label, ids, rows, terms, counts = (x[:0] for x in (label, ids, rows, terms, counts))
-    del near, bags
+    # at most 2 * examples rows of four numbers; then the terms of those that fit, at most `postings`
+    order = (F.xxhash64("doc_id"), "doc_id", "text_hash", "label")
+    sized = texts.select("doc_id", "label", "text_hash", F.size("terms").alias("size")).orderBy(*order).toArrow()
+    label, ids, sizes = (sized[x].to_numpy().astype(np.int64) for x in ("label", "doc_id", "size"))
+    fits = _within(label, sizes, postings)
+    if len(fits) < len(label):
+        numbers = pa.Table.from_pydict({"doc_id": ids[fits], "label": label[fits].astype(np.int32), "text_hash": sized["text_hash"].to_numpy()[fits]})
+        texts = texts.join(F.broadcast(spark.createDataFrame(numbers)), ["doc_id", "label", "text_hash"], "left_semi")
+    label, ids, sizes = label[fits], ids[fits], sizes[fits]
+    by_label = np.bincount(label, minlength=2)
+    if by_label.min() == 0:  # nothing to tell apart
+        label, ids, sizes = label[:0], ids[:0], sizes[:0]
+        terms, counts = np.zeros(0, _U), np.zeros(0, np.int32)
+    else:
+        near = texts.orderBy(*order).select("terms", "counts").toArrow()
+        terms = near["terms"].combine_chunks().flatten().to_numpy().view(_U)
+        counts = near["counts"].combine_chunks().flatten().to_numpy()
+        del near
+    rows = np.repeat(np.arange(len(label), dtype=np.int32), sizes)
     hashes = np.unique(terms)
     terms = np.searchsorted(hashes, terms).astype(np.int32)
     vocabulary = Shared(spark, Vocabulary(hashes))
@@ -353,18 +456,24 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     n_docs, docs_with = int(n[at < 0].sum()), np.zeros(len(hashes))
     docs_with[at[at >= 0]] = n[at >= 0]
     ones = np.bincount(terms[label[rows] == 1], minlength=len(hashes))
-    weight = label_weight(ones, np.bincount(terms, minlength=len(hashes)) - ones, *(int(x) for x in sizes[::-1]))
-    weight *= np.log((1 + n_docs) / (1 + docs_with)) + 1
-
-    # terms of a text in order, as a search wants them
-    order = np.argsort(rows * max(1, len(hashes)) + terms)
-    stands_for = np.array([totals[x] / sizes[x] for x in label], np.float64)
-    model = Model(rows, terms[order], counts[order], weight, label.astype(np.float64), stands_for, share)
-    del rows, terms, counts, order
+    telling = label_weight(ones, np.bincount(terms, minlength=len(hashes)) - ones, *(int(x) for x in by_label[::-1]))
+    weight = np.log((1 + n_docs) / (1 + docs_with)) + 1
+
+    # similar examples stand together, and their postings by term
+    ends = np.r_[0, np.cumsum(sizes)]
+    order = together(ends, terms)
+    label, ids = label[order], ids[order]
+    places = np.argsort(order).astype(np.int32)[rows]
+    by_term = np.lexsort((places, terms))
+    stands_for = np.array([totals[x] / by_label[x] for x in label], np.float64)
+    model = Model(places[by_term], terms[by_term], counts[by_term], weight, label.astype(np.float64), stands_for, share, telling)
+    del rows, places, terms, counts, by_term
     if len(label):
-        asked = spark.range(0, len(label), 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        # every task builds the index first
+        asked = spark.range(0, len(label), 1, -(-len(label) // VOTES_TASK))
         votes = asked.mapInArrow(_own_votes(Shared(spark, model), Shared(spark, ids), neighbours), "example long, vote double").toArrow().sort_by("example")
-        curve = Examples([], model.labels, stands_for, share, 0)
+        none = np.zeros(0, np.int32)
+        curve = Examples(none, none, none, model.labels, stands_for, share, 0)
         curve.calibrate(votes["vote"].to_numpy())
         model.slope, model.offset = float(curve.slope), float(curve.offset)
     shared = vocabulary, Shared(spark, model), Shared(spark, ids)
@@ -379,10 +488,7 @@ def _fold(id_col: str, folds: int) -> Column:
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5, **options) -> DataFrame:
     """``docs`` without those of a score of ``least`` or more, all columns kept."""
     bad = score_toxicity(docs, labels, id_col, text_col, **options).filter(F.col("score") >= least)
-    bad = bad.select(F.col(id_col).alias("__bad_id"), F.col("text_hash").alias("__bad_hash"))
-    bad = written(bad.distinct(), "toxic")
-    same = docs[id_col].eqNullSafe(F.col("__bad_id")) & (F.xxhash64(docs[text_col]) == F.col("__bad_hash"))
-    return docs.join(small(bad), same, "left_anti")
+    return without_texts(docs, bad.select(F.col(f"`{id_col}`").alias("id"), "text_hash"), id_col, text_col)
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
