@@ -3,10 +3,12 @@
 Words of both sides are hashed, k-grams of hashes combined, and of every window of
 consecutive k-grams those of the smallest hash are kept as fingerprints (all of them in a
 tie). With ``k + w - 1`` equal to the passage length, every shared passage shares a
-fingerprint at the same place. Documents' fingerprints meet the items' in a join, each hit
-is extended over the words around it, and word by word equality decides. Items shorter
-than a passage are one passage themselves; they are looked up by their whole length, one
-length at a time, as far as such items exist.
+fingerprint. A document's different fingerprints meet an item's in a join, and a hit is
+extended to all passages that the two share: the passages of documents with hits are joined
+with those of the items, each different one once, so a word repeated ever so often on both
+sides makes no more rows than the document has words. Equality of the words decides. Items
+shorter than a passage are one passage themselves; they are looked up by their whole length,
+one length at a time, as far as such items exist.
 
 The documents are read twice: once for their fingerprints, once for the words of those
 that have a hit. The items' side of each join is broadcast where it is measured to be
@@ -117,13 +119,19 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str, passage: int) -> Da
     return words.withColumn("length", F.least(F.size("words"), F.lit(passage)))
 
 
+def _passages(words: Column, length: Column) -> Column:
+    """Every ``length`` consecutive words; none of fewer words."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - length + 1, F.lit(1)))
+    return F.when(F.size(words) >= length, F.transform(starts, lambda i: F.slice(words, i, length))).otherwise(F.array().cast("array<array<string>>"))
+
+
 def _lookup(docs: DataFrame, items: DataFrame, passage: int, gram: int, length: int) -> tuple[DataFrame, DataFrame]:
     """Printed documents (an array ``prints``) and items (rows) for passages of ``length`` words."""
     own = items.filter(F.col("length") == length).select("item", _hashed(F.col("words")).alias("hashed"))
     hashed = F.col("hashed")
     prints = fingerprints(hashed, passage, gram) if length == passage else grams(hashed, length)
     docs, own = docs.withColumn("prints", prints).drop("hashed"), own.withColumn("prints", prints)
-    rows = own.select("item", F.posexplode("prints").alias("item_at", "print")).filter("print is not null")
+    rows = own.select("item", F.explode(F.array_distinct("prints")).alias("print")).filter("print is not null")
     return docs, rows
 
 
@@ -140,35 +148,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, passage: int = PAS
     for length in [passage, *sorted(short)]:
         printed, rows = _lookup(hashed, items, passage, gram, length)
         rows = rows.withColumn("is_print", F.lit(True))
-        # the last row of a document stands for the document itself and meets no item
-        marked = F.concat("prints", F.array(F.lit(None).cast("long")))
-        taken = F.when(F.col("n_words") < length, 0).otherwise(F.col("n_words") - (gram if length == passage else length) + 1)
-        spread = printed.select("doc_id", "text_hash", "n_words", F.posexplode(marked).alias("doc_at", "print")).withColumn("whole", F.col("doc_at") == taken)
-        spread = spread.filter("print is not null or whole").select(
-            "doc_id", "text_hash", "n_words", "doc_at", "whole",
-            F.coalesce("print", F.xxhash64("text_hash", "doc_id")).alias("print"),
-        )
+        # each different print of a document, and a row that stands for the document itself
+        different = F.transform(F.array_compact(F.array_distinct("prints")), lambda h: F.struct(h.alias("print"), F.lit(False).alias("whole")))
+        itself = F.struct(F.xxhash64("text_hash", "doc_id").alias("print"), F.lit(True).alias("whole"))
+        spread = printed.select("doc_id", "text_hash", "n_words", F.inline(F.concat(different, F.array(itself))))
         met = spread.join(small(rows), (spread["print"] == rows["print"]) & (spread["whole"] != rows["is_print"]), "left")
-        hits = met.filter("item is not null or whole").select("doc_id", "text_hash", "n_words", "whole", "doc_at", "item", "item_at", F.lit(length).alias("length"))
+        hits = met.filter("item is not null or whole").select("doc_id", "text_hash", "n_words", "whole", "item", F.lit(length).alias("length"))
         found.append(written(hits, "hits"))
     whole = found[0].filter("whole").select("doc_id", "text_hash", "n_words")
     hits = reduce(DataFrame.union, found).filter("item is not null")
 
-    # the words around each hit, by document, then word by word against the item's
-    before = F.when(F.col("length") == passage, F.least(F.lit(passage - gram), "doc_at", "item_at")).otherwise(0)
-    hits = hits.select("doc_id", "text_hash", F.struct("item", "length", (F.col("item_at") - before).alias("item_at"), (F.col("doc_at") - before).alias("doc_at"), (before + F.col("length")).alias("span")).alias("hit"))
-    by_doc = hits.groupBy("doc_id", "text_hash").agg(F.collect_set("hit").alias("hits"))
-    held = by_doc.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "hits")
+    # the passages of documents with hits, of the lengths of the items that they hit
+    by_doc = hits.groupBy("doc_id", "text_hash").agg(F.collect_set("length").alias("lengths"))  # at most `passage` of them
+    held = by_doc.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "lengths")
     same_row = keyed["doc_id"].eqNullSafe(held["hit_id"]) & (keyed["text_hash"] == held["hit_hash"])
-    around = keyed.join(small(held), same_row).select("doc_id", "text_hash", F.explode(F.transform("hits", lambda h: h.withField("words", F.slice("words", h["doc_at"] + 1, h["span"])))).alias("hit"))
-    candidates = around.select("doc_id", "text_hash", "hit.*").withColumnRenamed("words", "doc_words")
-    known = items.select("item", "words")
-    against = candidates.join(small(known), "item").withColumn("item_words", F.slice("words", F.col("item_at") + 1, F.col("span")))
-    equal = F.zip_with("doc_words", "item_words", lambda a, b: a.isNotNull() & b.isNotNull() & (a == b))
-    against = against.select("doc_id", "text_hash", "item", "doc_at", "length", equal.alias("equal"))
-    offsets = F.sequence(F.lit(0), F.greatest(F.size("equal") - F.col("length"), F.lit(0)))
-    starts = F.filter(offsets, lambda i: F.forall(F.slice("equal", i + 1, F.col("length")), lambda e: e) & (F.size("equal") >= F.col("length")))
-    passages = against.select("doc_id", "text_hash", "item", "length", F.explode(F.transform(starts, lambda i: i + F.col("doc_at"))).alias("start")).distinct()
+    near = keyed.join(small(held), same_row).select("doc_id", "text_hash", "words", F.explode("lengths").alias("length"))
+    places = near.select("doc_id", "text_hash", "length", F.posexplode(_passages(F.col("words"), F.col("length"))).alias("start", "words"))
+    of_items = items.select("item", "length", F.explode(F.array_distinct(_passages(F.col("words"), F.col("length")))).alias("words"))
+    passages = places.join(small(of_items), ["length", "words"]).select("doc_id", "text_hash", "item", "length", "start").distinct()
 
     order = Window.partitionBy("doc_id", "text_hash").orderBy("start", "length", "item").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("length")

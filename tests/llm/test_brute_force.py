@@ -61,7 +61,7 @@ def _contamination(docs, items):
 def test_contamination(spark, odd_docs):
     base = [f"w{i}" for i in range(120)]
     items = [(1, " ".join(base[40:70])), (2, " ".join(base[3:15])), (3, "Two"), (4, None), (5, ""), (None, " ".join(base[90:110])), (11, " ".join(base[40:70])), (12, "...")]
-    docs = odd_docs.filter("doc_id is null or doc_id <> 6")
+    docs = odd_docs  # a very long text among them
     found = decontaminate.find_contamination(docs, spark.createDataFrame(items, "item_id long, text string"))
     got = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found.collect())
     assert got == _contamination(_rows(docs), items)
@@ -75,6 +75,19 @@ def test_repeated_words_and_overlaps(spark):
     assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found.collect()) == _contamination(_rows(docs), items)
 
 
+def test_words_repeated_ever_so_often(spark):
+    """A word, a pair and a stretch of words repeated on both sides: rows as many as words."""
+    import time
+
+    texts = ["la " * 50_000, "la lu " * 20_000, "x " + "a b c d e f g h i j k l m n o " * 3_000, "la " * 12]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, "la " * 30_000), (2, "lu la " * 9_000), (3, "a b c d e f g h i j k l m n o " * 40)], "item_id long, text string")
+    began = time.monotonic()
+    found = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.find_contamination(docs, items).collect()}
+    assert found == {0: (50_000, 50_000, ["1"]), 1: (40_000, 40_000, ["2"]), 2: (45_001, 45_000, ["3"]), 3: (12, 0, [])}
+    assert time.monotonic() - began < 60
+
+
 def test_contamination_of_nothing(spark, odd_docs, no_docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_contamination(no_docs, empty).count() == 0
