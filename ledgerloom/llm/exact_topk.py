@@ -149,7 +149,7 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str =
     usable = f"`{id_col}` is not null and size(`{vector_col}`) > 0 and forall(`{vector_col}`, x -> x is not null)"
 
     def rows(df):
-        return df.filter(usable).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<int>").alias("vector"), F.size(vector_col).alias("dims"))
+        return df.filter(usable).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<int>").alias("vector"), F.size(f"`{vector_col}`").alias("dims"))
 
     candidates, queries = rows(candidates), rows(queries)
     n, n_queries = candidates.count(), queries.count()

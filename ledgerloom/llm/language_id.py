@@ -7,8 +7,8 @@ very long ones are just more windows. Windows of many documents go through the n
 together, one step per position.
 
 The network is trained by backpropagation through time on the driver, on a bounded sample:
-per language at most ``DOCS`` documents, the first in order of a hash of the id, and of
-each at most ``WINDOWS_PER_DOC`` windows spread over it.
+per language at most ``DOCS`` different documents (id and text), the first in order of a hash
+of these, and of each at most ``WINDOWS_PER_DOC`` windows spread over it.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so is
 every text if nothing is known to learn from; documents without a language or of null id
@@ -20,11 +20,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import wordscan as ws
-from ledgerloom.llm.tables import Shared, small, table
+from ledgerloom.llm.tables import Shared, first_of_each, small, table
 from ledgerloom.session import written
 
 WINDOW = 96
@@ -227,11 +227,11 @@ def _blank(texts: pa.Array):
 def train_language_id(known: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", docs: int = DOCS, per_doc: int = WINDOWS_PER_DOC, steps: int = STEPS, hidden: int = HIDDEN) -> tuple[Network | None, list[str]]:
     """A network and its languages, learnt from a bounded sample of ``known``."""
     usable = known.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").alias("text")).filter("id is not null and lang is not null and text is not null").filter(F.col("text").rlike("\\p{L}"))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     # ids first: whole texts are read for the chosen documents only
-    ranked = usable.select("id", "lang").withColumn("rank", F.row_number().over(by_hash))
-    chosen = written(ranked.filter(F.col("rank") <= docs).select("id", "lang"), "language-sample")
-    texts = usable.join(small(chosen), ["id", "lang"]).select("lang", "text")
+    numbered = usable.withColumn("text_hash", F.xxhash64("text"))
+    chosen = written(first_of_each(numbered.select("id", "lang", "text_hash").distinct(), "lang", docs, "id", "text_hash"), "language-sample")
+    same = numbered.join(small(chosen), ["id", "lang", "text_hash"])
+    texts = same.groupBy("id", "lang", "text_hash").agg(F.first("text").alias("text")).select("lang", "text")
     rows = texts.mapInArrow(_sample_windows(WINDOW, per_doc), "lang string, piece binary").orderBy("lang", F.xxhash64("piece"), "piece").toArrow()
     languages = sorted(set(rows["lang"].to_pylist()))
     if not languages:

@@ -213,8 +213,8 @@ def remove_repeated_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_
     """
     own = ("n_words", "n_removed", "spans")
     docs = docs.drop(*own)
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    keyed = docs.select(key.alias("doc_id"), F.col(text_col).alias("text"))
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID))
+    keyed = docs.select(key.alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     chars = keyed.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_buckets = tasks_for(docs, chars, BUCKET_CHARS)
     with text_batches(docs.sparkSession):
@@ -224,7 +224,7 @@ def remove_repeated_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_
         hits = written(gathered, "repeats")
     # the other columns travel as one struct, under names that can't clash
     rest = [c for c in docs.columns if c != text_col]
-    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__rest"), F.col(text_col).alias("__text"), key.alias("__key"))
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("__rest"), F.col(f"`{text_col}`").alias("__text"), key.alias("__key"))
     joined = carried.join(hits, F.col("__key") == hits["doc_id"], "left").select("__rest", "__text", "__hits")
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([joined.schema["__rest"], T.StructField("__text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", span)])

@@ -161,7 +161,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     """
     spark = docs.sparkSession
     uri = folder if "://" in folder else f"file://{folder}"
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     tie = F.xxhash64("text")
     ordered = docs.repartitionByRange(tasks_for(docs, chars, SHARD_CHARS), "doc_id", tie).sortWithinPartitions("doc_id", tie)

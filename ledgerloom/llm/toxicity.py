@@ -40,11 +40,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import wordscan as ws
-from ledgerloom.llm.tables import Shared, table, text_batches, without_texts
+from ledgerloom.llm.tables import Shared, first_of_each, table, text_batches, without_texts
 from ledgerloom.session import written
 
 EXAMPLES = 4096
@@ -384,22 +384,12 @@ def label_weight(ones: np.ndarray, zeros: np.ndarray, n_ones: int, n_zeros: int)
     return apart * (chi2 / (chi2 + HALF_CHI2)) ** 2
 
 
-def _first(df: DataFrame, most: int, *order: str) -> DataFrame:
-    """At most ``most`` rows of each label, by a hash. What goes to the task of a label is cut
-    down to about twice that before, however many rows the label has."""
-    counts = F.broadcast(df.groupBy("label").agg(F.count(F.lit(1)).alias("rows")))  # two rows
-    hashed = df.withColumn("hash", F.xxhash64(*order)).join(counts, "label")
-    within = F.pmod("hash", F.lit(1 << 30)) < F.greatest(F.lit(2.0 * most + 64), F.lit(0.0)) / F.col("rows") * (1 << 30)
-    by_hash = Window.partitionBy("label").orderBy(F.pmod("hash", F.lit(1 << 30)), "hash", *order)
-    return hashed.filter(within).withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= most).select(df.columns)
-
-
 def choose_examples(own: DataFrame, known: DataFrame, examples: int) -> DataFrame:
     """doc_id, label, text_hash and text of the examples, at most ``examples`` of each label."""
     # at most 2 * examples rows of three numbers
-    chosen = F.broadcast(written(_first(known.distinct(), examples, "doc_id"), "labelled"))
+    chosen = F.broadcast(written(first_of_each(known.distinct(), "label", examples, "doc_id"), "labelled"))
     pairs = written(own.select("doc_id", "text_hash").join(chosen, "doc_id").distinct(), "labelled-texts")
-    kept = F.broadcast(written(_first(pairs, examples, "doc_id", "text_hash"), "chosen"))
+    kept = F.broadcast(written(first_of_each(pairs, "label", examples, "doc_id", "text_hash"), "chosen"))
     same = own.join(kept, ["doc_id", "text_hash"]).select("doc_id", "label", "text_hash", "text")
     return same.groupBy("doc_id", "label", "text_hash").agg(F.first("text").alias("text"))
 

@@ -319,6 +319,20 @@ def test_texts_without_removals_stay_as_they_are(spark):
 # -- op7 ---------------------------------------------------------------------
 
 
+def test_a_hot_id_breaks_no_bound(spark):
+    """One id with very many rows: the sample holds different documents only."""
+    rows = [(1, f"un texte {i % 9}", "fr") for i in range(20_000)] + [(i, f"a text {i}", "en") for i in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    real = language_id.Network.train
+    language_id.Network.train = lambda self, windows, labels, *a, **k: seen.append(np.bincount(labels))
+    try:
+        language_id.train_language_id(docs, docs=5, per_doc=2)
+    finally:
+        language_id.Network.train = real
+    assert seen[0].tolist() == [5, 5]
+
+
 def test_language_id(spark, small_dir, odd_docs, no_docs):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
     known = docs.filter("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2")
