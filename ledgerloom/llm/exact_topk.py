@@ -2,23 +2,30 @@
 
 Candidates are taken in blocks. A block has a list for every dimension, sorted by that
 component; a query with a positive weight reads it from its upper end, one with a negative
-weight from its lower end (no random access). After a reading round every candidate has a
-lower bound (what is read of it, and the far end of every list where it is not yet read)
-and an upper bound (the list's reading position there). The k-th largest lower bound, or
-the k-th score from earlier blocks, is the score to reach. A query stops in a block as
-soon as few candidates' upper bounds reach it; only for those the rest is resolved to
-final scores. All queries of a block are read at once: the bounds of a round are two
-matrix products, since an unread component counts as the reading position in the one
-bound and as the list's end in the other.
+weight from its lower end (no random access). Every query takes the lists by |its component| x
+the list's spread, ``LISTS`` of them at a step: the new ones are read to half their depth,
+those of the step before to their ends. After each step every candidate has
+
+* an upper bound: the sum of what is read of it, of the reading position where it is not yet
+  met, of the far best end of unread lists; or, if that is less, the exact part and the
+  product of the lengths of what is left of the query and of the candidate;
+* a lower bound in the same way, from the lists' worst ends.
+
+The k-th largest lower bound, or the k-th score from earlier blocks, is the score to reach.
+Candidates whose upper bounds don't reach it are out; a query stops in a block as soon as few
+are left (``FEW`` times k), and only for those the rest is resolved to final scores. ``Reader``
+counts the entries read and those there are.
 
 Rows are dealt by (query block, candidate group): a task holds one query block and one
 candidate block at a time, however large its group is, and gives k rows per query. The k
 best of all groups are a window rank. Nothing is broadcast or gathered.
 
 Defined results: rows with a null id take no part, nor do null or empty vectors or such
-with null components; vectors of different lengths are not compared; a candidate of the
+with null components, or components of ``MOST_COMPONENT`` in size or more, whose products would
+not fit a score; vectors of different lengths are not compared; a candidate of the
 query's own id is left out; rows of the same id each count; ties go to the smaller id; an
-empty table gives no rows; other columns are not used.
+empty table gives no rows; other columns are not used. Sums of products from 2**53 on are
+taken in whole numbers of any size, without bounds.
 """
 
 from __future__ import annotations
@@ -33,72 +40,84 @@ from ledgerloom.llm.tables import table
 
 QUERY_ROWS = 1024
 BLOCK_ROWS = 2048
-ROUNDS = (0.25, 0.6)
+LISTS = 8
+FEW = 4
+MOST_COMPONENT = 1 << 27
 _FOUND = "query_id long, found_id long, score long"
 
 
 class Reader:
     """The k best candidates so far of one block of queries."""
 
-    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, rounds=ROUNDS):
-        self.ids, self.queries, self.k, self.rounds = ids, queries, k, rounds
-        self.best = [(np.zeros(0, np.int64), np.zeros(0)) for _ in ids]
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, lists: int = LISTS):
+        self.ids, self.queries, self.k, self.lists = ids, queries, k, lists
+        self.best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
         self.least = np.full(len(ids), -np.inf)
+        self.entries = self.entries_read = 0
 
-    def _resolve(self, q: int, ids: np.ndarray, candidates: np.ndarray, open_: np.ndarray) -> None:
-        rows = np.flatnonzero(open_)
-        found = np.r_[self.best[q][0], ids[rows]]
-        scores = np.r_[self.best[q][1], candidates[rows] @ self.queries[q]]
+    def _keep(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        found, scores = np.r_[self.best[q][0], ids], np.r_[self.best[q][1], scores.astype(np.int64)]
         order = np.lexsort((found, -scores))[: self.k]
         self.best[q] = found[order], scores[order]
         if len(order) == self.k:
             self.least[q] = scores[order[-1]]
 
     def read(self, ids: np.ndarray, candidates: np.ndarray) -> None:
-        n, k = len(ids), self.k
-        lists = np.sort(candidates, axis=0)
-        low, high = lists[0], lists[-1]
-        largest = np.abs(self.queries).max() * np.abs(candidates).max() * candidates.shape[1]
-        # sums of whole numbers below 2**24 are exact in 32 bits
-        kind = np.float32 if largest < 1 << 24 else np.float64
-        active = np.arange(len(self.ids))
-        for share in self.rounds:
-            if not len(active) or n <= 4 * k:
-                break
-            depth = int(share * (n - 1))
-            up, down = lists[n - 1 - depth], lists[depth]
-            weights = np.hstack([np.maximum(self.queries[active], 0), np.minimum(self.queries[active], 0)]).astype(kind)
-            upper = weights @ np.hstack([np.maximum(candidates, up), np.minimum(candidates, down)]).T.astype(kind)
-            lower = weights @ np.hstack([np.where(candidates >= up, candidates, low), np.where(candidates <= down, candidates, high)]).T.astype(kind)
-            # rows of the query's own id, however many, take no part
-            own = self.ids[active][:, None] == ids
-            lower[own] = -np.inf
-            reach = np.maximum(np.partition(lower, n - k, axis=1)[:, n - k], self.least[active])
-            open_ = (upper >= reach[:, None]) & ~own
-            few = open_.sum(1) <= 8 * k
-            for i in np.flatnonzero(few):
-                self._resolve(active[i], ids, candidates, open_[i])
-            active = active[~few]
-        # lists read to their ends: every bound is the final score
-        for a in range(0, len(active), 256):
-            part = active[a : a + 256]
-            scores = self.queries[part].astype(kind) @ candidates.T.astype(kind)
-            reach, own = self.least[part], self.ids[part][:, None] == ids
-            scores[own] = -np.inf
-            if n > k:
-                reach = np.maximum(np.partition(scores, n - k, axis=1)[:, n - k], reach)
-            open_ = (scores >= reach[:, None]) & ~own
-            for i in np.flatnonzero(open_.any(1)):
-                self._resolve(part[i], ids, candidates, open_[i])
+        n, dims = candidates.shape
+        columns = np.ascontiguousarray(candidates.T)
+        in_order = np.sort(columns, axis=1)
+        low, high, middle = in_order[:, 0], in_order[:, -1], (in_order[:, (n - 1) // 2], in_order[:, n - 1 - (n - 1) // 2])
+        squares = columns * columns
+        whole = np.abs(self.queries).max(initial=0) * np.abs(candidates).max(initial=0) * dims < 1 << 53
+        for q, (own, query) in enumerate(zip(self.ids, self.queries)):
+            mine = ids != own  # rows of the query's own id, however many, take no part
+            self.entries += n * dims
+            if not whole:
+                self.entries_read += n * dims
+                exact = candidates[mine].astype(np.int64).astype(object) @ query.astype(np.int64).astype(object)
+                self._keep(q, ids[mine], exact.astype(np.int64))
+                continue
+            # the best and the worst entry of each list, and the one at half its depth
+            best, worst = np.maximum(query * high, query * low), np.minimum(query * high, query * low)
+            half = np.where(query > 0, query * middle[1], query * middle[0])
+            order = np.argsort(-np.abs(query) * (high - low), kind="stable")
+            rest_best, rest_worst = (np.r_[np.cumsum(x[order][::-1])[::-1], 0] for x in (best, worst))
+            rest_length = np.sqrt(np.r_[np.cumsum((query[order] ** 2)[::-1])[::-1], 0])
+            rows = np.flatnonzero(mine)
+            exact, left = np.zeros(len(rows)), squares[:, rows].sum(0)
+            done = 0
+            while len(rows) > FEW * self.k and done < dims:
+                now = order[done : done + self.lists]
+                part = columns[np.ix_(now, rows)] * query[now][:, None]
+                met = part >= half[now][:, None]
+                self.entries_read += int(met.sum())
+                after = min(dims, done + self.lists)
+                # not met in the upper half: at most the reading position, at least the worst end
+                upper = np.where(met, part, half[now][:, None]).sum(0) + rest_best[after]
+                lower = np.where(met, part, worst[now][:, None]).sum(0) + rest_worst[after]
+                length = rest_length[done] * np.sqrt(np.maximum(left, 0)) * (1 + 1e-9) + 1e-6
+                upper, lower = exact + np.minimum(upper, length), exact + np.maximum(lower, -length)
+                reach = max(self.least[q], np.partition(lower, len(lower) - self.k)[len(lower) - self.k])
+                open_ = upper >= reach
+                rows, exact, left, part, met = rows[open_], exact[open_], left[open_], part[:, open_], met[:, open_]
+                if len(rows) > FEW * self.k:
+                    # to the lists' ends; only candidates that are still open are looked at
+                    self.entries_read += int((~met).sum())
+                    exact, left, done = exact + part.sum(0), left - squares[np.ix_(now, rows)].sum(0), after
+            rest = order[done:]
+            if len(rest):
+                exact = exact + query[rest] @ columns[np.ix_(rest, rows)]
+                self.entries_read += len(rest) * len(rows)
+            self._keep(q, ids[rows], exact)
 
     def found(self) -> pa.RecordBatch:
         counts = [len(ids) for ids, _ in self.best]
         ids = np.concatenate([ids for ids, _ in self.best])
-        scores = np.concatenate([s for _, s in self.best]).astype(np.int64)
+        scores = np.concatenate([s for _, s in self.best])
         return pa.RecordBatch.from_arrays([pa.array(np.repeat(self.ids, counts)), pa.array(ids), pa.array(scores)], names=["query_id", "found_id", "score"])
 
 
-def _search(k: int, rounds):
+def _search(k: int, lists: int):
     """Rows come ordered by (dims, query block, group), queries before candidates."""
 
     @ws.released
@@ -110,7 +129,7 @@ def _search(k: int, rounds):
             if not queries or not held:
                 return
             if reader is None:
-                reader = Reader(np.concatenate([q[0] for q in queries]), np.vstack([q[1] for q in queries]), k, rounds)
+                reader = Reader(np.concatenate([q[0] for q in queries]), np.vstack([q[1] for q in queries]), k, lists)
             ids, rows = np.concatenate([h[0] for h in held]), np.vstack([h[1] for h in held])
             for a in range(0, len(ids), BLOCK_ROWS):
                 reader.read(ids[a : a + BLOCK_ROWS], rows[a : a + BLOCK_ROWS])
@@ -140,16 +159,16 @@ def _search(k: int, rounds):
     return search
 
 
-def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "vector", rounds=ROUNDS) -> DataFrame:
+def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "vector", lists: int = LISTS) -> DataFrame:
     """Each query's ``k`` highest inner products: query_id, rank, ``id_col``, score.
 
-    Both frames hold ``id_col`` and ``vector_col``, an array of whole numbers (a row's sum
-    of products below 2**53).
+    Both frames hold ``id_col`` and ``vector_col``, an array of whole numbers below
+    ``MOST_COMPONENT`` in size.
     """
-    usable = f"`{id_col}` is not null and size(`{vector_col}`) > 0 and forall(`{vector_col}`, x -> x is not null)"
+    usable = f"`{id_col}` is not null and size(`{vector_col}`) > 0 and forall(`{vector_col}`, x -> x is not null and abs(x) < {MOST_COMPONENT})"
 
     def rows(df):
-        return df.filter(usable).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<int>").alias("vector"), F.size(f"`{vector_col}`").alias("dims"))
+        return df.filter(usable).select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<bigint>").alias("vector"), F.size(f"`{vector_col}`").alias("dims"))
 
     candidates, queries = rows(candidates), rows(queries)
     n, n_queries = candidates.count(), queries.count()
@@ -163,16 +182,17 @@ def exact_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str =
         candidates.select("dims", every(query_blocks).alias("block"), F.pmod(spread, F.lit(groups)).cast("int").alias("group"), F.lit(1).alias("side"), "id", "vector")
     )
     dealt = sides.repartition(max(tasks, query_blocks * groups), "dims", "block", "group").sortWithinPartitions("dims", "block", "group", "side")
-    found = dealt.mapInArrow(_search(k, rounds), _FOUND)
+    found = dealt.mapInArrow(_search(k, lists), _FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "found_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", F.col("found_id").alias(id_col), "score")
 
 
 def whole_numbers(vectors: DataFrame, scale: int, id_col: str, vector_col: str) -> DataFrame:
-    """``vector``: floor(scale * x) of every component; null if a component is null or not finite."""
+    """``vector``: floor(scale * x) of every component; null if a component is null or not
+    finite, or if one would be ``MOST_COMPONENT`` in size or more."""
     x = F.col(f"`{vector_col}`")
-    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.when(finite, F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("int"))).alias("vector"))
+    usable = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double") * scale) < MOST_COMPONENT - 1))
+    return vectors.select(F.col(f"`{id_col}`").alias("vec_id"), F.when(usable, F.transform(x, lambda v: F.floor(v.cast("double") * scale))).alias("vector"))
 
 
 def op4_exact_topk(spark, d):
