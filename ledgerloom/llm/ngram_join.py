@@ -28,9 +28,10 @@ Steps, each over all rows:
    time.
 4. Components of the links. A long list whose members are all in one component is done.
    Of others, all members outside the list's largest component are compared by bitmap with
-   all members of other components, in bounded pieces. Of each member and component the
-   first ``4`` possible partners are verified and components joined; lists in which there
-   were more, and none of those given has linked, are taken again with ``64 ...`` of them.
+   each other, list by list, and with that component, once for all its lists, in bounded
+   pieces. Of each member and component the first ``4`` possible partners are verified and
+   components joined; lists in which there were more, and none of those given has linked, are
+   taken again with ``64 ...`` of them.
 
 Classes are named by a 64-bit hash of their set; with n different sets about
 n**2 / 2**65 of them are expected to share a name.
@@ -121,7 +122,7 @@ def may_link(bits: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray,
 
 def _scan(width: int, n_buckets: int):
     """Per text its size and class; per chunk and bucket the tokens and their counts."""
-    names = ["doc_id", "n", "class", "bits", "bucket", "tokens", "counts"]
+    names = ["doc_id", "text_hash", "n", "class", "bits", "bucket", "tokens", "counts"]
     map_type = pa.list_(pa.int64())
 
     def summed(sets):
@@ -131,7 +132,7 @@ def _scan(width: int, n_buckets: int):
         some = np.flatnonzero(per_bucket)
         none = pa.nulls(len(some), pa.int64())
         low = (tokens & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(some), map_type), pa.array(some.astype(np.int32)), ws.lists(low, per_bucket[some]), ws.lists(np.minimum(counts, 32767).astype(np.int16), per_bucket[some])], names=names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(some), map_type), pa.array(some.astype(np.int32)), ws.lists(low, per_bucket[some]), ws.lists(np.minimum(counts, 32767).astype(np.int16), per_bucket[some])], names=names)
 
     @ws.released
     def scan(batches):
@@ -140,7 +141,7 @@ def _scan(width: int, n_buckets: int):
             for first, last, sets in shingle_sets(batch.column(1), width):
                 classes = [class_of(s) if len(s) else None for s in sets]
                 n = last - first
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.array([bitmap(s) for s in sets], map_type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int16()))], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array([len(s) for s in sets], pa.int64()), pa.array(classes, pa.int64()), pa.array([bitmap(s) for s in sets], map_type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int16()))], names=names)
                 for c, s in zip(classes, sets):
                     if c is not None and c not in seen:
                         seen.add(c)
@@ -452,41 +453,76 @@ def _compare_across(threshold: tuple[int, int], most: int):
     return compare
 
 
-def _across(lists: DataFrame, labels: DataFrame, named: DataFrame, threshold: tuple[int, int], most: int) -> DataFrame:
-    """Possible pairs of members of different components, of lists that have more than one."""
-    members = lists.select("key", F.explode("classes").alias("class"))
-
-    def with_labels(rows: DataFrame) -> DataFrame:
-        return rows.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
-
-    counts = with_labels(members).groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("in_largest")).filter(F.col("all") > F.col("in_largest"))
-    chunks = F.ceil((F.col("all") - F.col("in_largest")) / OUTSIDE_PIECE).cast("int")
-    parts = F.ceil(F.col("all") / LIST_PIECE).cast("int")
-    sized = mixed.select("key", "largest", chunks.alias("chunks"), parts.alias("parts"))
-    # mixed lists are picked before their members are spread out
-    picked = lists.join(small(sized), "key").select("key", "largest", "chunks", "parts", F.explode("classes").alias("class"))
-    mapped = with_labels(picked).join(named.select("class", "n", "bits"), "class")
+@ws.released
+def _count_labels(batches):
+    """How many classes of each label a batch has of each key."""
+    for batch in batches:
+        held = batch.column(1)
+        if isinstance(held, pa.ChunkedArray):
+            held = held.combine_chunks()
+        labels = np.repeat(batch.column(0).to_numpy(), held.value_lengths().to_numpy())
+        pairs, counts = np.unique(np.stack([labels, held.flatten().to_numpy()], axis=1), axis=0, return_counts=True)
+        yield pa.RecordBatch.from_pydict({"label": pairs[:, 0], "key": pairs[:, 1], "n": counts})
+
+
+def _pieces(outside: DataFrame, listed: DataFrame) -> DataFrame:
+    """Rows (key, class, label, n, bits) of both sides, dealt so that all of a key meet in
+    bounded pieces: a chunk of ``outside`` before a part of ``listed``."""
+    sizes = outside.groupBy("key").agg(F.ceil(F.count("*") / OUTSIDE_PIECE).cast("int").alias("chunks"))
+    sizes = sizes.join(listed.groupBy("key").agg(F.ceil(F.count("*") / LIST_PIECE).cast("int").alias("parts")), "key")
+    sizes = small(written(sizes, "pieces"))
     spread, each = F.xxhash64("class"), (lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
     columns = ("key", "chunk", "part", "side", "class", "label", "n", "bits")
-    outside = mapped.filter("label <> largest").withColumn("chunk", F.pmod(spread, "chunks").cast("int")).withColumn("part", each("parts")).withColumn("side", F.lit(0))
-    listed = mapped.withColumn("part", F.pmod(spread, "parts").cast("int")).withColumn("chunk", each("chunks")).withColumn("side", F.lit(1))
-    rows = outside.select(*columns).union(listed.select(*columns))
-    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(n, "key", "chunk", "part").sortWithinPartitions("key", "chunk", "part", "side")
-    return dealt.mapInArrow(_compare_across(threshold, most), "key long, a long, b long, more boolean")
+    first = outside.join(sizes, "key").withColumn("chunk", F.pmod(spread, "chunks").cast("int")).withColumn("part", each("parts")).withColumn("side", F.lit(0))
+    second = listed.join(sizes, "key").withColumn("part", F.pmod(spread, "parts").cast("int")).withColumn("chunk", each("chunks")).withColumn("side", F.lit(1))
+    rows = first.select(*columns).union(second.select(*columns))
+    n = int(outside.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "key", "chunk", "part").sortWithinPartitions("key", "chunk", "part", "side")
+
+
+def _across(keyed: DataFrame, open_keys: DataFrame | None, labels: DataFrame, named: DataFrame, threshold: tuple[int, int], most: int) -> tuple[DataFrame, DataFrame]:
+    """Possible pairs of members of different components, of lists that have more than one.
+
+    ``keyed``: every class with the keys of its lists. A list's members outside its largest
+    component are compared with each other, and with that component as a whole: its members
+    are met once, not list by list. Gives the pairs, and each list's key and largest component.
+    """
+    mapped = written(keyed.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class")), "labelled")
+    counts = mapped.select("label", "keys").mapInArrow(_count_labels, "label long, key long, n long").groupBy("key", "label").agg(F.sum("n").alias("n"))
+    if open_keys is not None:
+        counts = counts.join(small(open_keys), "key", "left_semi")
+    counts = written(counts, "label-counts")
+    largest = written(counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.count("*").alias("labels")).filter("labels > 1").select("key", "largest"), "largest")
+    minor = counts.alias("c").join(largest.alias("l"), (F.col("c.key") == F.col("l.key")) & (F.col("c.label") != F.col("l.largest"))).select("c.key", "c.label", "largest")
+    wanted = minor.groupBy("label").agg(F.collect_set("key").alias("minor_keys"))
+    inner = mapped.join(wanted, "label").select("class", "label", F.explode(F.array_intersect("keys", "minor_keys")).alias("key"))
+    about = named.select("class", "n", "bits")
+    outside = written(inner.join(small(largest), "key").join(about, "class"), "outside")
+
+    # with the largest component of their list as a whole
+    against = outside.dropDuplicates(["class", "largest"]).select(F.col("largest").alias("key"), "class", "label", "n", "bits")
+    whole = mapped.select("class", "label").join(small(against.select(F.col("key").alias("label")).distinct()), "label", "left_semi").join(about, "class")
+    whole = whole.select(F.col("label").alias("key"), "class", "label", "n", "bits")
+    # and with the other members outside it
+    several = minor.groupBy("key").agg(F.count("*").alias("minors")).filter("minors > 1").select("key")
+    inside = outside.select("key", "class", "label", "n", "bits").join(small(several), "key", "left_semi")
+    schema = "key long, a long, b long, more boolean"
+    with_largest = _pieces(against, whole).mapInArrow(_compare_across(threshold, most), schema).withColumn("whole", F.lit(True))
+    among = _pieces(inside, inside).mapInArrow(_compare_across(threshold, most), schema).withColumn("whole", F.lit(False))
+    return with_largest.union(among), largest
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: ``id_col``, ``n_shingles`` and ``component_id``, the smallest id that links
-    reach. ``threshold``: a fraction, as two whole numbers."""
+    """Per document: ``id_col``, ``n_shingles``, ``component_id``, the smallest id that links
+    reach, and ``text_hash``. ``threshold``: a fraction, as two whole numbers."""
     spark = docs.sparkSession
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    hashed = own.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     with text_batches(spark):
         chars = own.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
         n_buckets = tasks_for(docs, chars, BUCKET_CHARS)
-        scanned = written(own.mapInArrow(_scan(width, n_buckets), "doc_id long, n long, class long, bits array<long>, bucket int, tokens array<int>, counts array<short>"), "shingles")
-        sized = scanned.filter("tokens is null").select("doc_id", "n", "class")
+        scanned = written(hashed.mapInArrow(_scan(width, n_buckets), "doc_id long, text_hash long, n long, class long, bits array<long>, bucket int, tokens array<int>, counts array<short>"), "shingles")
+        sized = scanned.filter("tokens is null").select("doc_id", "text_hash", "n", "class")
         named = written(scanned.filter("tokens is null").filter("class is not null and doc_id is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
 
         chunks = scanned.filter("tokens is not null").select("bucket", "tokens", "counts")
@@ -503,21 +539,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
         tried = written(possible(pairs, named, threshold), "possible")
         links = written(verified(tried, named, own, width, threshold), "links")
         labels, most = components(links), 4
-        lists = paired.filter("key is not null").select("key", "classes")
-        while not lists.isEmpty():
-            across = written(_across(lists, labels, named, threshold, most), "across")
+        members = paired.filter("key is not null").select("key", F.explode("classes").alias("class"))
+        # as many keys as a text's prefix has at most
+        keyed = written(members.groupBy("class").agg(F.collect_set("key").alias("keys")), "keyed")
+        open_keys = None
+        while not keyed.isEmpty() and (open_keys is None or not open_keys.isEmpty()):
+            found, largest = _across(keyed, open_keys, labels, named, threshold, most)
+            across = written(found, "across")
             new = written(across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "untried")
             if not new.isEmpty():
                 tried = tried.union(new)
                 links = links.union(written(verified(new, named, own, width, threshold), "links"))
                 labels = components(links)
             # where all possible partners were given, or one of them has linked, nothing is left
-            cut = across.filter("more").select("key", "a", "b")
+            cut = across.filter("more").select("key", "a", "b", "whole")
             for side in ("a", "b"):
-                found = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
-                cut = cut.join(found, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
-            left = cut.filter("label_a <> label_b").select("key").distinct()
-            lists, most = written(lists.join(left, "key", "left_semi"), "lists-left"), most * 16
+                label = labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+                cut = cut.join(label, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+            left = written(cut.filter("label_a <> label_b").select("key", "whole").distinct(), "left")
+            by_whole = largest.join(left.filter("whole").select(F.col("key").alias("largest")), "largest", "left_semi").select("key")
+            open_keys, most = written(left.filter("not whole").select("key").union(by_whole).distinct(), "open-keys"), most * 16
         frequent.unpersist()
 
     least = named.join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn("label", F.coalesce("label", "class"))
@@ -525,8 +566,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     by_class = least.join(smallest, "label").select("class", "component_id")
     result = sized.join(by_class, "class", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return result.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return result.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), "text_hash")
 
 
 def op3_ngram_join(spark, d):
-    return near_duplicates(table(spark, d, "documents"))
+    return near_duplicates(table(spark, d, "documents")).drop("text_hash")
