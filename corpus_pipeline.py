@@ -1,8 +1,12 @@
 """From raw documents to token ids, in stages that are each written and read again.
 
 Every stage takes all that the one before kept and returns the columns of ``documents``
-(the last one: ids). Documents are told apart by ``doc_id``; null texts stay until the
-last stage, where they have no ids.
+(the last one: ids). Documents are told apart by ``doc_id`` and text.
+
+Defined results: null and empty texts and rows of null id stay until the last stage, where a
+text without pieces has no ids; of rows of the same id and text one is left by the second stage;
+ties go to the smaller id; an empty table gives no rows. Stages use the columns of
+``documents`` only.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, ngram_join, piece_transducer, substring_dedup, toxicity
-from ledgerloom.llm.tables import small, table
+from ledgerloom.llm.tables import table, without_texts
 from ledgerloom.session import written
 
 
@@ -21,10 +25,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates the document of the smallest id stays."""
-    groups = ngram_join.near_duplicates(docs)
-    later = groups.filter(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(small(written(later, "later")), "doc_id", "left_anti").select(docs.columns)
+    """Of every group of near duplicates the document of the smallest id stays.
+
+    Rows of an id are told apart by their texts; of rows of the same id and text that has
+    words one stays.
+    """
+    groups = written(ngram_join.near_duplicates(docs), "groups")
+    later = groups.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("id"), "text_hash")
+    kept = without_texts(docs, later)
+    again = groups.filter("n_shingles > 0").groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows")).filter("rows > 1")
+    again = written(again.select(F.col("doc_id").alias("id"), "text_hash"), "repeated")
+    if again.isEmpty():
+        return kept
+    repeated = without_texts(kept, again, how="left_semi").dropDuplicates(["doc_id", "text"])
+    return without_texts(kept, again).unionByName(repeated)
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
