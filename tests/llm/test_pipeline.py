@@ -37,3 +37,24 @@ def test_an_empty_table(spark, small_dir):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, small_dir), name)
     assert docs.count() == 0
+
+
+def test_repeated_rows_and_ids(spark, small_dir):
+    """A copied row of an id takes none of its other texts along; of equal rows one stays."""
+    base = " ".join(f"w{i}" for i in range(120))
+    rows = [(1, base), (2, base), (2, "another text of the same id"), (2, "another text of the same id"), (3, base + " end"), (3, None), (3, None), (None, base), (None, base), (4, "")]
+    docs = spark.createDataFrame([(i, t, "x", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, small_dir)
+    assert left.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert got == sorted([(1, base), (2, "another text of the same id"), (3, None), (3, None), (None, base), (4, "")], key=str)
+
+
+def test_other_columns_may_clash(spark, small_dir):
+    """Columns named like those that the stages make."""
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").limit(20)
+    clashing = docs.withColumns({c: F.lit(7) for c in ("id", "text_hash", "bad_id", "bad_hash", "n_words", "class", "__bad_id")})
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        left = stage(spark, clashing, small_dir)
+        assert left.columns == clashing.columns
+        left.count()
