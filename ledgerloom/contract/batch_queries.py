@@ -21,8 +21,8 @@ from ledgerloom.fixed_values import (
     SILVER_COLUMNS,
     WIDE_UPDATE_COLUMNS,
 )
-from ledgerloom.functions import fingerprint
-from ledgerloom.operators import cdc, gold, incremental, quality, search
+from ledgerloom.functions import clipped, fingerprint
+from ledgerloom.operators import cdc, gold, incremental, keywords, quality, search, trigrams
 from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise, normalise_stream, unparsed_counts
 
@@ -314,6 +314,46 @@ def keyword_regex(spark, d):
     )
 
 
+def _by_index(spark, d, keyword, mode="literal"):
+    base = scratch_path(spark, "trigrams")
+    silver = silver_view(spark, d).select("nct_id", *search.TEXT_COLUMNS)
+    trigrams.write_index(silver, base)
+    return trigrams.index_search(spark, base, keyword, mode=mode).select("nct_id", "conditions")
+
+
+def keyword_index(spark, d):
+    """The rows of ``keyword_search``, by posting lists."""
+    return _by_index(spark, d, "Red Widget")
+
+
+def keyword_index_regex(spark, d):
+    """The rows of ``keyword_regex``, by posting lists."""
+    return _by_index(spark, d, "(red|blue) (widget|ring)", "regex")
+
+
+def term_counts(spark, d):
+    """Every occurrence of every part name, and of each of their words, in all texts of a record."""
+    part = spark.read.parquet(f"{d}/part.parquet").select("p_name")
+    words = part.select(F.explode(F.split("p_name", " ")).alias("term"))
+    terms = part.select(F.col("p_name").alias("term")).union(words)
+    places = [spark.read.parquet(f"{d}/{t}.parquet").select(F.col(c).alias("term")) for t, c in (("nation", "n_name"), ("region", "r_name"))]
+    return keywords.count_terms(silver_view(spark, d), terms.union(places[0]).union(places[1]))
+
+
+def condition_labels(spark, d):
+    """Records per label, from joined texts whose labels have commas inside."""
+    part = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", F.concat("p_name", F.lit(", type "), F.col("p_partkey") % 3).alias("label"))
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_partkey")
+    per_order = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("label")), ", ").alias("conditions"))
+    cut = keywords.split_known(per_order, part)
+    return cut.select(F.explode("label_list").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("trial_count"))
+
+
+def summary_preview(spark, d):
+    """Summaries cut at load, NULL as an empty text."""
+    return silver_view(spark, d).select("nct_id", clipped("brief_summary", 300).alias("summary"))
+
+
 def keyword_fallback(spark, d):
     silver = silver_view(spark, d)
     out = None
@@ -423,6 +463,11 @@ QUERIES: dict[str, Query] = {
     "facet_search": facet_search,
     "keyword_search": keyword_search,
     "keyword_regex": keyword_regex,
+    "keyword_index": keyword_index,
+    "keyword_index_regex": keyword_index_regex,
+    "term_counts": term_counts,
+    "condition_labels": condition_labels,
+    "summary_preview": summary_preview,
     "keyword_fallback": keyword_fallback,
     "any_keyword": any_keyword,
     "facet_values": facet_values,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +23,11 @@ from ledgerloom.sources.pages import (
     read_terms,
     with_ingest_metadata,
 )
-from ledgerloom.sources.tables import scan_path
+from ledgerloom.sinks.tables import refresh_named_table, refresh_table
+from ledgerloom.sources.tables import create_namespaces, preview, scan_path, scan_table, table_exists
 from ledgerloom.streaming.bronze import evolve_schema, fit, stream_bronze
 from ledgerloom.streaming.merge import stream_merge
-from ledgerloom.streaming.silver import run_to_end, stream_silver, write_stream, write_with_expectations
+from ledgerloom.streaming.silver import refresh_after, run_to_end, stream_silver, write_stream, write_with_expectations
 
 FLAT = (
     "nct_id",
@@ -63,7 +66,7 @@ def page_flatten(spark, d):
 def page_terms(spark, d):
     """Pages landed per search term, all terms in one read."""
     path = scratch_path(spark, "term-pages")
-    study_pages(trial_view(spark, d, summary=False)).drop("page").write.partitionBy(
+    study_pages(trial_view(spark, d)).drop("page").write.partitionBy(
         "query_term"
     ).json(path)
     terms = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -79,7 +82,7 @@ def condition_arrays(spark, d):
     """Analytics straight from the label arrays, no splitting of text."""
     flat = flatten_studies(
         explode_pages(
-            study_pages(trial_view(spark, d, summary=False)).select(
+            study_pages(trial_view(spark, d)).select(
                 "query_term", F.transform("studies", lambda s: F.to_json(s)).alias("studies")
             )
         ),
@@ -151,23 +154,43 @@ def _flat_json(raw: DataFrame) -> DataFrame:
     return raw.select(*FLAT, "ingestion_ts", "source")
 
 
-def _streamed_silver(spark, d, **parts):
-    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "stream-silver")
-    _land_json(_flat_json(trial_view(spark, d, **parts)), landing)
+def _streaming_silver(spark, d, out):
+    landing = scratch_path(spark, "landing")
+    _land_json(_flat_json(trial_view(spark, d)), landing)
     stream = stream_silver(stream_bronze(spark, landing, raw_schema()))
-    run_to_end(write_stream(stream, out, scratch_path(spark, "checkpoint")))
-    return spark.read.parquet(out)
+    return write_stream(stream, out, scratch_path(spark, "checkpoint"))
 
 
 def stream_silver_query(spark, d):
-    out = as_text(_streamed_silver(spark, d)).drop("_silver_ts")
+    path = scratch_path(spark, "stream-silver")
+    run_to_end(_streaming_silver(spark, d, path))
+    out = as_text(spark.read.parquet(path)).drop("_silver_ts")
     return out.withColumn("ingestion_ts", F.date_format("ingestion_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
 def stream_gold(spark, d):
-    """Summary recomputed from the table a stream has written."""
-    silver = _streamed_silver(spark, d, conditions=False, summary=False)
-    return gold.status_summary(silver, duration=None, rounded=False)
+    """Summary tables recomputed from the table that a stream writes, once it has ended."""
+    silver, gold_base = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-gold")
+    refresh_after(
+        _streaming_silver(spark, d, silver),
+        lambda: spark.read.parquet(silver),
+        {"trial_status_summary": lambda df: gold.status_summary(df, duration=None, rounded=False)},
+        lambda df, name: refresh_table(df, f"{gold_base}/{name}"),
+    )
+    return spark.read.parquet(f"{gold_base}/trial_status_summary")
+
+
+def named_tables(spark, d):
+    """Namespaces made, a table written under a name, found, previewed and scanned."""
+    name = f"bronze_{uuid.uuid4().hex}"
+    create_namespaces(spark, (name,))
+    try:
+        refresh_named_table(trial_view(spark, d), f"{name}.trials")
+        facts = table_exists(spark, f"{name}.trials"), table_exists(spark, f"{name}.missing"), preview(scan_table(spark, f"{name}.trials"), ["nct_id"], 3).count()
+        totals = scan_table(spark, f"{name}.trials").agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.length("brief_summary")).alias("summary_chars"))
+        return written(totals.select(F.lit(facts[0]).alias("found"), F.lit(facts[1]).alias("found_missing"), F.lit(facts[2]).alias("previewed"), "row_count", "summary_chars"), "named-tables")
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
 
 
 def _stream_in(spark, base, *deliveries):
@@ -242,9 +265,10 @@ def stream_type_widening(spark, d):
     first, second = raw_days(spark, d)
     approx = F.when(F.col("query_term") == "BUILDING", F.concat("enrollment_count", F.lit(" approx")))
     kept = None
+    text_count = F.coalesce(approx, F.col("enrollment_count").cast("string"))
     for raw in (
-        first.select("nct_id", "enrollment_count", F.struct("query_term").alias("site")),
-        second.select("nct_id", F.coalesce(approx, F.col("enrollment_count").cast("string")).alias("enrollment_count"), F.struct("query_term", "study_type").alias("site")),
+        first.withColumn("site", F.struct("query_term")).drop("query_term"),
+        second.withColumn("enrollment_count", text_count).withColumn("site", F.struct("query_term", "study_type")).drop("query_term"),
     ):
         _land_json(raw, landing)
         schema = evolve_schema(spark, landing, location)
@@ -256,6 +280,7 @@ def stream_type_widening(spark, d):
         F.sum("enrollment_count").alias("total_enrollment"),
         F.count(F.element_at("_rescued", "enrollment_count")).alias("rescued"),
         F.count("site.study_type").alias("with_study_type"),
+        F.sum(F.length("brief_summary")).alias("summary_chars"),
     )
 
 
@@ -263,11 +288,8 @@ def stream_schema_widening(spark, d):
     """A second delivery brings a new field; rows of the first read NULL in it."""
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "widened")
     stored, checkpoint = scratch_path(spark, "schema"), scratch_path(spark, "checkpoint")
-    first, second = raw_days(spark, d, conditions=False, summary=False)
-    for raw in (
-        first.select("nct_id", "query_term", "enrollment_count"),
-        second.select("nct_id", "query_term", "enrollment_count", F.upper("study_type").alias("registry_note")),
-    ):
+    first, second = raw_days(spark, d)
+    for raw in (first, second.withColumn("registry_note", F.upper("study_type"))):
         _land_json(raw, landing)
         schema = evolve_schema(spark, landing, stored)
         run_to_end(write_stream(stream_bronze(spark, landing, schema), out, checkpoint))
@@ -278,6 +300,8 @@ def stream_schema_widening(spark, d):
             F.count(F.lit(1)).alias("row_count"),
             F.sum("enrollment_count").alias("total_enrollment"),
             F.count("_source_file").alias("with_source_file"),
+            F.sum(F.length("conditions")).alias("condition_chars"),
+            F.sum(F.length("brief_summary")).alias("summary_chars"),
         )
     )
 
@@ -291,6 +315,7 @@ QUERIES = {
     "gold_refresh": gold_refresh,
     "stream_silver": stream_silver_query,
     "stream_gold": stream_gold,
+    "named_tables": named_tables,
     "stream_cdc": stream_cdc,
     "stream_cdc_existing": stream_cdc_existing,
     "stream_expectation_counts": stream_expectation_counts,

@@ -352,6 +352,20 @@ ORACLE: dict[str, str] = {
     "keyword_search": f"{SILVER} select nct_id, conditions from silver where {_hit('red widget', _TEXTS)}",
     "keyword_regex": f"""{SILVER} select nct_id, conditions from silver
         where {' or '.join(f"coalesce(regexp_matches({c}, '(red|blue) (widget|ring)', 'i'), false)" for c in _TEXTS)}""",
+    "keyword_index": f"{SILVER} select nct_id, conditions from silver where {_hit('red widget', _TEXTS)}",
+    "keyword_index_regex": f"""{SILVER} select nct_id, conditions from silver
+        where {' or '.join(f"coalesce(regexp_matches({c}, '(red|blue) (widget|ring)', 'i'), false)" for c in _TEXTS)}""",
+    "term_counts": f"""{SILVER}, terms as (
+          select lower(p_name) as term from part union select lower(unnest(string_split(p_name, ' '))) from part
+          union select lower(n_name) from nation union select lower(r_name) from region),
+        texts as (select nct_id, lower(brief_title) as text from silver union all select nct_id, lower(conditions) from silver
+          union all select nct_id, lower(brief_summary) from silver)
+        select nct_id, term, cast(sum((length(text) - length(replace(text, term, ''))) / length(term)) as bigint) as occurrences
+        from texts, terms where contains(text, term) group by 1, 2""",
+    "condition_labels": """select label, count(*) as trial_count from (
+          select distinct l_orderkey, p_name || ', type ' || (p_partkey % 3) as label
+          from lineitem join part on l_partkey = p_partkey) group by 1""",
+    "summary_preview": f"{SILVER} select nct_id, substr(coalesce(brief_summary, ''), 1, 300) as summary from silver",
     "keyword_fallback": f"""{SILVER} {' union all '.join(
         _FALLBACK_PART.format(name=n, hit=_hit(k, _TEXTS))
         for n, k in (('hit', 'red widget'), ('miss', 'no such words anywhere')))}""",

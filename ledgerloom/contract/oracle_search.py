@@ -192,20 +192,25 @@ ORACLE: dict[str, str] = {
     "stream_expectation_counts": f"{RAW}, landed as (select * from trial), {_EXPECTED}",
     "stream_restart_counts": f"{BOTH_RAW}, landed as (select * from day_1 union all select * from day_2), {_EXPECTED}",
     "stream_type_widening": f"""{BOTH_RAW}, landed as (
-          select query_term, enrollment_count, false as late from day_1
-          union all select query_term, enrollment_count, true from day_2)
+          select query_term, enrollment_count, brief_summary, false as late from day_1
+          union all select query_term, enrollment_count, brief_summary, true from day_2)
         select query_term, count(*) as row_count,
           cast(sum(enrollment_count) filter (where not (late and query_term = 'BUILDING')) as bigint) as total_enrollment,
           count(enrollment_count) filter (where late and query_term = 'BUILDING') as rescued,
-          count(*) filter (where late) as with_study_type from landed group by 1""",
+          count(*) filter (where late) as with_study_type, cast(sum(length(brief_summary)) as bigint) as summary_chars
+        from landed group by 1""",
+    "named_tables": f"""{RAW} select true as found, false as found_missing, 3 as previewed, count(*) as row_count,
+        cast(sum(length(brief_summary)) as bigint) as summary_chars from trial""",
     "page_quarantine": f"""{RAW}, pages as (
           select query_term, floor(cast(substr(nct_id, 4) as bigint) / 1000) as page, count(*) as studies from trial group by all)
         select query_term, cast(coalesce(sum(studies) filter (where page % 3 <> 0), 0) as bigint) as studies_read,
           count(*) filter (where page % 3 = 0) as broken_pages from pages group by 1""",
     "stream_schema_widening": f"""{BOTH_RAW} select * from (
         select cast(null as varchar) as registry_note, count(*) as row_count,
-          cast(sum(enrollment_count) as bigint) as total_enrollment, count(*) as with_source_file from day_1
-        union all select upper(study_type), count(*), cast(sum(enrollment_count) as bigint), count(*)
+          cast(sum(enrollment_count) as bigint) as total_enrollment, count(*) as with_source_file,
+          cast(sum(length(conditions)) as bigint) as condition_chars, cast(sum(length(brief_summary)) as bigint) as summary_chars from day_1
+        union all select upper(study_type), count(*), cast(sum(enrollment_count) as bigint), count(*),
+          cast(sum(length(conditions)) as bigint), cast(sum(length(brief_summary)) as bigint)
           from day_2 group by 1)""",
     "search_texts": f"""{SILVER}, {_CORPUS} select nct_id,
         coalesce(brief_title, '') || ' | ' || coalesce(conditions, '') || ' | ' || coalesce(phase, '') || ' | ' ||
