@@ -275,8 +275,12 @@ class Examples:
 
 def unit_vectors(rows: np.ndarray, terms: np.ndarray, counts: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """The weights of the terms of ``n`` texts, each text's of length 1."""
-    weights = (1 + np.log(counts)) * weight[terms]
-    return weights / np.sqrt(np.bincount(rows, weights**2, n))[rows]
+    # in place: the index is built of millions of them
+    weights = np.log(counts)
+    weights += 1
+    weights *= weight[terms]
+    weights /= np.sqrt(np.bincount(rows, weights * weights, n))[rows]
+    return weights
 
 
 def same_id(ids: pa.Array, example_ids: np.ndarray) -> list[np.ndarray]:
@@ -320,14 +324,8 @@ class Model:
         terms = np.repeat(np.arange(len(self.have), dtype=np.int32), self.have)
         return places, terms, unit_vectors(places, terms, counts, self.weight, len(self.labels))
 
-    def vectors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ends of the examples' vectors, their terms and weights."""
-        places, terms, weights = self.postings()
-        order = np.argsort(places, kind="stable")
-        return np.r_[0, np.cumsum(np.bincount(places, minlength=len(self.labels)))], terms[order], weights[order]
-
-    def index(self) -> Examples:
-        index = Examples(*self.postings(), self.labels, self.stands_for, self.share, len(self.weight), self.telling)
+    def index(self, postings: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> Examples:
+        index = Examples(*(postings or self.postings()), self.labels, self.stands_for, self.share, len(self.weight), self.telling)
         index.slope, index.offset = self.slope, self.offset
         return index
 
@@ -359,18 +357,23 @@ def _score(vocabulary, model, example_ids, k: int):
 
 
 def _own_votes(model, example_ids, k: int):
-    """Each example's vote without its own id."""
+    """Each example's vote without its own id; a task has a run of examples."""
 
     @ws.released
     def vote(batches):
         index, ids = None, example_ids.value
         for batch in batches:
-            if index is None:
-                index, (ends, terms, weights) = model.value.index(), model.value.vectors()
             at = batch.column(0).to_numpy()
-            sizes = ends[at + 1] - ends[at]
-            own = ws.ragged(ends[at], sizes)
-            found = index.nearest_of(np.r_[0, np.cumsum(sizes)], terms[own], weights[own], k, same_id(pa.array(ids[at]), ids))
+            if not len(at):
+                continue
+            if index is None:
+                built = model.value
+                places, terms, weights = built.postings()
+                index = built.index((places, terms, weights))
+            mine = np.flatnonzero((places >= at[0]) & (places <= at[-1]))
+            mine = mine[np.argsort(places[mine], kind="stable")]  # by example, then by term
+            sizes = np.bincount(places[mine] - at[0], minlength=len(at))
+            found = index.nearest_of(np.r_[0, np.cumsum(sizes)], terms[mine], weights[mine], k, same_id(pa.array(ids[at]), ids))
             yield pa.RecordBatch.from_pydict({"example": at, "vote": np.array([index.vote(*x) if len(x[0]) else index.share for x in found])})
 
     return vote
