@@ -34,7 +34,7 @@ TITLE_PRESENT = "brief_title is not null"
 TITLE_LONG_ENOUGH = "brief_title is not null and length(brief_title) > 5"
 STATUS_KNOWN = f"overall_status in ({_STATUS_LIST})"
 ENROLLMENT_SIGN = "enrollment_count is null or enrollment_count >= 0"
-DATES_IN_ORDER = "start_date is null or completion_date is null or start_date <= completion_date"
+DATES_IN_ORDER = "start_date is null or completion_date is null or completion_date >= start_date"
 
 SILVER_RULES = (
     Rule("nct_id_not_null", ID_PRESENT, True, "records are joined and merged on the id"),
