@@ -22,7 +22,7 @@ from ledgerloom.fixed_values import (
     WIDE_UPDATE_COLUMNS,
 )
 from ledgerloom.functions import clipped, fingerprint
-from ledgerloom.operators import cdc, gold, incremental, keywords, quality, search, trigrams
+from ledgerloom.operators import cdc, gold, incremental, keywords, quality, search, sketches, trigrams
 from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise, normalise_stream, unparsed_counts
 
@@ -418,7 +418,34 @@ def incremental_kpis(spark, d):
     return _kept_up(spark, d, incremental.KPIS)
 
 
+def profile_by_sketches(spark, d):
+    """Two loads profiled from stored sketches, held against exact counts of all their rows."""
+    path, texts, numbers = scratch_path(spark, "sketches"), ["overall_status", "lead_sponsor"], ["enrollment_count"]
+    days = silver_days(spark, d)
+    for day, df in zip((DAY_1, DAY_2), days):
+        sketches.load_sketches(df, texts, numbers, day).write.mode("append").parquet(path)
+    found = written(sketches.sketch_profile(sketches.merge_sketches(spark.read.parquet(path))), "profile")
+    every = days[0].select(*texts, *numbers).union(days[1].select(*texts, *numbers))
+    exact = sketches.exact_profile(every, texts, numbers)
+    median = found.filter("quantiles is not null").select("column_name", F.col("quantiles")[1].alias("q"))
+    value = F.col("enrollment_count")
+    ranks = every.filter(value.isNotNull()).join(F.broadcast(median)).groupBy("column_name").agg(  # one row of one column
+        ((F.avg((value < F.col("q")).cast("double")) <= 0.52) & (F.avg((value <= F.col("q")).cast("double")) >= 0.48)).alias("median_close")
+    )
+    both = found.alias("f").join(exact.alias("e"), "column_name").join(ranks, "column_name", "left")
+    return both.select(
+        "column_name",
+        "f.row_count",
+        "f.nulls",
+        (F.abs(F.col("f.distinct_values") / F.col("e.distinct_values") - 1) < 0.05).alias("distinct_close"),
+        "median_close",
+        # values of few kinds are all tracked, so their counts are exact
+        F.when(F.col("column_name") == "overall_status", F.col("f.top_values")[0]["count"] == F.col("e.top_values")[0]["count"]).alias("top_exact"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "profile_by_sketches": profile_by_sketches,
     "incremental_status": incremental_status,
     "incremental_leaderboard": incremental_leaderboard,
     "incremental_conditions": incremental_conditions,

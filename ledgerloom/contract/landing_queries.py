@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.contract.batch_queries import as_text
 from ledgerloom.contract.views import DAY_1, DAY_2, raw_days, study_pages, trial_view
 from ledgerloom.operators import gold
+from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise
 from ledgerloom.plans.medallion import load_silver, refresh_gold
 from ledgerloom.session import scratch_path, written
@@ -26,6 +27,7 @@ from ledgerloom.sources.pages import (
 from ledgerloom.sinks.tables import refresh_named_table, refresh_table
 from ledgerloom.sources.tables import create_namespaces, preview, scan_path, scan_table, table_exists
 from ledgerloom.streaming.bronze import evolve_schema, fit, stream_bronze
+from ledgerloom.streaming.latest import latest_changes, rocksdb_state
 from ledgerloom.streaming.merge import stream_merge
 from ledgerloom.streaming.silver import refresh_after, run_to_end, stream_silver, write_stream, write_with_expectations
 
@@ -212,6 +214,22 @@ def stream_cdc(spark, d):
     return _stream_in(spark, scratch_path(spark, "stream-merge"), *raw_days(spark, d))
 
 
+def stream_latest(spark, d):
+    """The newest copy per key, followed by the changes that a stateful stream puts out; the second
+    delivery comes first."""
+    landing, out, checkpoint = (scratch_path(spark, x) for x in ("landing", "latest", "checkpoint"))
+    with rocksdb_state(spark):
+        for raw in reversed(raw_days(spark, d)):
+            _land_json(_flat_json(raw), landing)
+            bronze = stream_bronze(spark, landing, raw_schema())
+            clean = normalise(bronze, F.col("ingestion_ts").cast("timestamp"), carry=("ingestion_ts",))
+            run_to_end(write_stream(latest_changes(clean), out, checkpoint))
+    rows = spark.read.parquet(out)
+    newest = dedupe_latest(rows.filter(F.col("_change").isin("new", "changed")))
+    late = rows.filter("_change = 'late'").select("nct_id", F.lit(True).alias("had_late")).distinct()
+    return newest.join(late, "nct_id", "left").select("nct_id", "_record_hash", F.coalesce("had_late", F.lit(False)).alias("had_late"), F.length("brief_summary").alias("summary_chars"))
+
+
 def stream_cdc_existing(spark, d):
     """A batch load makes the table; a stream that starts on it brings the second delivery."""
     base = scratch_path(spark, "stream-merge")
@@ -318,6 +336,7 @@ QUERIES = {
     "named_tables": named_tables,
     "stream_cdc": stream_cdc,
     "stream_cdc_existing": stream_cdc_existing,
+    "stream_latest": stream_latest,
     "stream_expectation_counts": stream_expectation_counts,
     "stream_restart_counts": stream_restart_counts,
     "stream_type_widening": stream_type_widening,

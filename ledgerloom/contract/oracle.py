@@ -286,6 +286,12 @@ ORACLE: dict[str, str] = {
         order by total_trials desc, lead_sponsor limit 10""",
     "condition_analytics": f"{SILVER} {_CONDITIONS}",
     "yearly_trend": f"{SILVER} {_YEARS}",
+    "profile_by_sketches": f"""{BOTH}, every as (select overall_status, lead_sponsor, enrollment_count from old
+          union all select overall_status, lead_sponsor, enrollment_count from fresh)
+        select 'overall_status' as column_name, count(*) as row_count, count(*) filter (where overall_status is null) as nulls,
+          true as distinct_close, cast(null as boolean) as median_close, true as top_exact from every
+        union all select 'lead_sponsor', count(*), count(*) filter (where lead_sponsor is null), true, null, null from every
+        union all select 'enrollment_count', count(*), count(*) filter (where enrollment_count is null), true, true, null from every""",
     "incremental_status": f"{_UP_TO_DATE} {_STATUS}",
     "incremental_leaderboard": f"{_UP_TO_DATE} {_BOARD}",
     "incremental_conditions": f"{_UP_TO_DATE} {_CONDITIONS}",

@@ -189,6 +189,11 @@ ORACLE: dict[str, str] = {
         count(distinct lead_sponsor) as unique_sponsors from silver group by all""",
     "stream_cdc": _MERGED,
     "stream_cdc_existing": _MERGED,
+    "stream_latest": f"""{BOTH} select coalesce(f.nct_id, o.nct_id) as nct_id,
+        case when f.nct_id is null then o._record_hash else f._record_hash end as _record_hash,
+        f.nct_id is not null and o.nct_id is not null as had_late,
+        cast(length(case when f.nct_id is null then o.brief_summary else f.brief_summary end) as integer) as summary_chars
+        from fresh f full outer join old o on f.nct_id = o.nct_id""",
     "stream_expectation_counts": f"{RAW}, landed as (select * from trial), {_EXPECTED}",
     "stream_restart_counts": f"{BOTH_RAW}, landed as (select * from day_1 union all select * from day_2), {_EXPECTED}",
     "stream_type_widening": f"""{BOTH_RAW}, landed as (
