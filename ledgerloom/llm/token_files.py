@@ -12,7 +12,8 @@ names the files that count.
 
 Encoding is that of the tokenizers library. Texts are cut where the tokenizer itself
 always cuts (white space; in plain words also between letters, digits and the rest), and
-each different piece is encoded once by the library while it is in a bounded cache.
+each different piece is encoded once by the library while it is in a bounded cache. A tokenizer
+that cuts in other ways is refused.
 
 Defined results: a null text is an empty one and consists of the end id alone; documents
 of the same id stand in order of a hash of their texts; null ids come first; an empty table gives
@@ -71,6 +72,18 @@ def _pieces(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.where(plain, ws.LOWER[data], data), begins, ends
 
 
+def check_tokenizer(path: str) -> None:
+    """Raises for a tokenizer that cuts texts in another way than ``_pieces`` does."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        held = json.load(f)
+    kinds = {k: [x["type"] for x in (held.get(k) or {}).get(parts, [])] for k, parts in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))}
+    split = next((x for x in (held.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"), {})
+    if kinds != {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]} or (split.get("behavior"), split.get("invert")) != ("Removed", True):
+        raise ValueError(f"{path}: only tokenizers that lower-case and split at words, white space dropped, are covered")
+
+
 class Encoder:
     """Encodes Arrow text batches with a file of the tokenizers library."""
 
@@ -159,6 +172,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     Returns the table of shards with ``first_doc`` and ``first_token``, the prefix sums,
     also kept as Parquet in ``folder``/shards.
     """
+    check_tokenizer(tokenizer)
     spark = docs.sparkSession
     uri = folder if "://" in folder else f"file://{folder}"
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

@@ -300,6 +300,12 @@ def test_token_files_of_hard_texts(spark):
     _check_files(spark, spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def test_tokenizers_that_cut_in_other_ways_are_refused(spark, odd_docs):
+    with pytest.raises(ValueError, match="lower-case"):
+        token_files.write_token_files(odd_docs, scratch_path(spark, "refused"), public_tokenizers.path("byte_bpe_50k.json"), 50256)
+    token_files.check_tokenizer(BPE)
+
+
 # -- op6 ---------------------------------------------------------------------
 
 
