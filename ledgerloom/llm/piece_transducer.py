@@ -533,7 +533,7 @@ def decode_pieces(encoded: DataFrame, model_path: str, ids_col: str = "ids", tex
 
 
 def op9_sentencepiece(spark, d):
-    """Ids of every whole text, and whether they decode to the text."""
+    """Ids of every whole text, and whether they decode to the normalised text."""
     import public_tokenizers
 
     docs = table(spark, d, "documents").select("doc_id", "text")
