@@ -17,11 +17,16 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from re import _constants as sre
 from re import _parser as sre_parser
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +35,11 @@ from ledgerloom.operators.search import TEXT_COLUMNS, keyword_search
 from ledgerloom.operators.sizing import fits_broadcast
 from ledgerloom.session import written
 
+register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_RECORDS = 100_000
+# Characters whose grams are listed at once.
+RUN_CHARS = 2_000_000
 SHARDS = 64
 SIZE = 3
 NUMBER, BLOCK = "_number", "_block"
@@ -103,9 +112,60 @@ def _flat(needed: Needed) -> list[str]:
 # -- writing --------------------------------------------------------------------------
 
 
-def text_grams(text: Column) -> Column:
-    """The different grams of a lower-cased text, in one pass over it."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"(?s)(?=(.{{{SIZE}}}))"), F.lit(1)))
+def _code_points(column: pa.Array) -> np.ndarray:
+    wide = column.cast(pa.large_string())
+    ends = np.frombuffer(wide.buffers()[1], np.int64)[wide.offset : wide.offset + len(wide) + 1]
+    data = wide.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes() if ends[-1] > ends[0] else b""
+    return np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
+
+
+def _lists_of(texts: Sequence[pa.Array], numbers: np.ndarray) -> pa.RecordBatch | None:
+    """(gram, numbers): the posting lists of some records, from their lower-cased texts."""
+    points, record = [], []
+    for column in texts:
+        points.append(_code_points(column.fill_null("")))
+        record.append(np.repeat(np.arange(len(column)), pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)))
+    # a column's texts stand one after the other: a gram lies within one record of one column
+    place = np.concatenate([r + len(numbers) * i for i, r in enumerate(record)])
+    points = np.concatenate(points)
+    used = np.zeros(int(points.max(initial=0)) + 1, bool)
+    used[points] = True
+    alphabet, letters = np.flatnonzero(used), (np.cumsum(used) - 1)[points]
+    inside = np.flatnonzero(place[: 1 - SIZE] == place[SIZE - 1 :]) if len(place) >= SIZE else np.zeros(0, np.int64)
+    if not len(inside):
+        return None
+    gram = (letters[inside] * len(alphabet) + letters[inside + 1]) * len(alphabet) + letters[inside + 2]
+    if len(alphabet) ** SIZE * len(numbers) >= 1 << 62:
+        kinds, gram = np.unique(gram, return_inverse=True)
+    else:
+        kinds = None
+    found = np.sort(gram * len(numbers) + place[inside] % len(numbers))
+    found = found[np.r_[True, found[1:] != found[:-1]]]
+    gram, row = found // len(numbers), found % len(numbers)
+    heads = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+    own = gram[heads] if kinds is None else kinds[gram[heads]]
+    spelt = np.stack([own // len(alphabet) ** 2, own // len(alphabet) % len(alphabet), own % len(alphabet)], axis=1)
+    joined = alphabet[spelt].astype(np.uint32).tobytes().decode("utf-32-le")
+    names = [joined[i : i + SIZE] for i in range(0, len(joined), SIZE)]
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[heads, len(row)].astype(np.int32)), pa.array(numbers[row], pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), lists], names=["gram", "numbers"])
+
+
+def posting_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, block, numbers) of each run of records of one block, of about ``RUN_CHARS``."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block, numbers = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        texts = [batch.column(i) for i in range(2, batch.num_columns)]
+        chars = np.cumsum(sum(pc.fill_null(pc.utf8_length(t), 0).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts))
+        run = (chars - 1) // RUN_CHARS
+        heads = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (block[1:] != block[:-1])])
+        for start, end in zip(heads, [*heads[1:], batch.num_rows]):
+            lists = _lists_of([t.slice(start, end - start) for t in texts], numbers[start:end])
+            if lists is not None:
+                own = pa.array(np.full(lists.num_rows, block[start], np.int32))
+                yield pa.RecordBatch.from_arrays([lists.column(0), own, lists.column(1)], names=["gram", BLOCK, "numbers"])
 
 
 def _write(df: DataFrame, base: str, columns: Sequence[str], block_records: int, first_block: int) -> None:
@@ -119,10 +179,10 @@ def _write(df: DataFrame, base: str, columns: Sequence[str], block_records: int,
     dealt = placed.repartition(BLOCK).withColumn(NUMBER, F.monotonically_increasing_id())
     dealt.write.mode("append").partitionBy(BLOCK).parquet(records)
     stored = spark.read.schema(dealt.schema).parquet(records).filter(F.col(BLOCK) >= first_block)
-    every = F.flatten(F.array(*[F.coalesce(text_grams(F.col(c)), F.array().cast("array<string>")) for c in columns]))
-    rows = stored.select(BLOCK, NUMBER, F.explode(F.array_distinct(every)).alias("gram"))
+    lowered = stored.select(BLOCK, NUMBER, *[F.lower(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)])
+    parts = lowered.mapInArrow(posting_parts, f"gram string, {BLOCK} int, numbers array<bigint>")
     # a list holds at most the records of a block
-    posted = rows.groupBy("gram", BLOCK).agg(F.sort_array(F.collect_list(NUMBER)).alias("numbers"))
+    posted = parts.groupBy("gram", BLOCK).agg(F.sort_array(F.flatten(F.collect_list("numbers"))).alias("numbers"))
     posted = posted.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(SHARDS)).cast("int"))
     posted.repartitionByRange("shard", "gram").sortWithinPartitions("shard", "gram").write.mode("append").partitionBy("shard").parquet(lists)
 

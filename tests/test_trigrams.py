@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,3 +118,29 @@ def test_fewest_labels(pieces, known):
 
     got = keywords.fewest(pieces, known, ", ")
     assert got in ways(pieces) and len(got) == min(map(len, ways(pieces)))
+
+
+def test_a_run_of_records_gives_one_list_per_gram():
+    texts = ["red widget", None, "Stra\u00dfe \U0001f600\U0001f601x", "", "wi", "red widget red"] * 20
+    titles = ["dget", "a\x00bc", None, "\U0001f600\U0001f601x", "", "q"] * 20
+    numbers = list(range(1 << 40, (1 << 40) + 120))
+    blocks = [0] * 70 + [1] * 50
+    whole = pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array(numbers), pa.array(texts), pa.array(titles)], names=["b", "n", "t0", "t1"])
+    found = [r for part in trigrams.posting_parts(iter([whole.slice(0, 0), whole.slice(3)])) for r in part.to_pylist()]
+    want = {}
+    for block, number, *columns in list(zip(blocks, numbers, texts, titles))[3:]:
+        for gram in {g for c in columns if c for g in (c[i : i + 3] for i in range(len(c) - 2))}:
+            want.setdefault((gram, block), []).append(number)
+    assert {(r["gram"], r["_block"]): r["numbers"] for r in found} == want
+    assert len(found) == len(want)
+
+
+def test_records_cut_into_runs_have_all_their_grams(monkeypatch):
+    monkeypatch.setattr(trigrams, "RUN_CHARS", 7)
+    texts = ["abcd", "abc", "xbcde" * 9, None, "abcab"]
+    batch = pa.RecordBatch.from_arrays([pa.array([2] * 5, pa.int32()), pa.array(range(5)), pa.array(texts)], names=["b", "n", "t0"])
+    found = {}
+    for part in trigrams.posting_parts(iter([batch])):
+        for r in part.to_pylist():
+            found.setdefault(r["gram"], set()).update(r["numbers"])
+    assert found == {g: {k for k, t in enumerate(texts) if t and g in t} for t in texts if t for g in trigrams.grams_of(t)}
