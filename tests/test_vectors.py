@@ -161,3 +161,30 @@ def test_index_files_are_bounded(spark, data):
     stored = spark.read.parquet(path)
     shards = stored.select("table_no", "shard").distinct().count()
     assert len(stored.inputFiles()) == shards and stored.count() == index.count()
+
+
+def test_few_pairs_are_scored_in_full(monkeypatch):
+    rng = np.random.default_rng(3)
+    items, queries = rng.normal(size=(30_000, 24)), rng.normal(size=(700, 24))
+    items[20_000:20_050] = items[5]  # equal vectors rank by id
+    items[7] = 0
+    items[9] = np.nan
+    queries[0], queries[1] = items[5], 0
+    unit, asked = vec._unit_rows(items), vec._unit_rows(queries)
+    ids = rng.permutation(30_000)
+    full = []
+    add = vec._Best.add
+    monkeypatch.setattr(vec._Best, "add", lambda self, q, score, those: (full.append(len(q)), add(self, q, score, those))[1])
+    best = vec._Best(10)
+    block = vec._Block(np.arange(700), asked)
+    for at in range(0, 30_000, 9_000):
+        vec._score_all(best, block, unit[at : at + 9_000], ids[at : at + 9_000])
+    best.compact()
+    scores = np.round(asked @ unit.T, 10) + 0.0
+    scores[:, 9] = -np.inf
+    for q in range(700):
+        want = np.lexsort((ids, -scores[q]))[:10]
+        assert best.id[best.q == q].tolist() == ids[want].tolist()
+        np.testing.assert_allclose(best.score[best.q == q], scores[q][want], atol=2e-10)
+    # the zero query ties with all; the others meet few in full
+    assert sum(full) < 30_000 + 700 * 200
