@@ -27,6 +27,8 @@ MOST_CELLS = 2_048
 ROUNDS = 8
 # Rows of a distance matrix at a time.
 STEP = 4_096
+# Queries whose distances from all centres a task holds at once.
+QUERY_ROWS = 512
 
 
 def bounded_sample(items: DataFrame, item_id: str = "id", vector: str = "embedding", most: int = SAMPLE_VECTORS) -> tuple[np.ndarray, int]:
@@ -84,6 +86,13 @@ def cells_for(n: int, sample: int, most: int = MOST_CELLS) -> int:
     return int(max(1, min(most, round(n**0.5), sample // 16 or 1)))
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``QUERY_ROWS``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, QUERY_ROWS):
+            yield batch.slice(at, QUERY_ROWS)
+
+
 def task_of_cells(work):
     """A ``mapInArrow`` function that gives ``work`` the batch's ids and unit vectors."""
 

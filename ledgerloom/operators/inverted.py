@@ -47,6 +47,8 @@ PART_DIMS = 4
 # Queries of the sample that visits and depth are measured with.
 MEASURED = 512
 MOST_DEPTH = 1_000
+# Hits by code that a task holds at once; queries of more are searched in turns.
+HELD_HITS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -156,6 +158,20 @@ def _score_lists(best: _Best, unit: np.ndarray, qs: np.ndarray, coded: np.ndarra
         best.add_scores(np.round(unit[qs] @ coded[a : a + step].T, PLACES) + 0.0, ids[a : a + step], qs)
 
 
+def _gathered(batches, most: int):
+    """The rows in tables of about ``most``."""
+    held, n = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= most:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _code_matrix(column) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -209,7 +225,7 @@ def _by_scan(queries, codes, lists, visits, depth, head, block_queries, chunk_ve
     query_ids, unit = asked.column("query_id"), _unit_rows(_matrix(asked.column("embedding")))
     wanted: dict[int, np.ndarray] = {}
     if len(unit):
-        near = lists.order(unit)[:, :visits]
+        near = np.concatenate([lists.order(unit[a : a + cells.QUERY_ROWS])[:, :visits] for a in range(0, len(unit), cells.QUERY_ROWS)])
         order = np.argsort(near, axis=None, kind="stable")
         flat = near.ravel()[order]
         heads = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
@@ -220,33 +236,33 @@ def _by_scan(queries, codes, lists, visits, depth, head, block_queries, chunk_ve
 
     def scan(batches):
         own, unit, wanted, names = shared.value
-        best, id_type, cell_of = _Best(depth), None, {}
-        for batch in batches:
-            id_type = batch.schema.field("id").type
-            if not batch.num_rows:
-                continue
-            cell, ids = batch.column("cell").to_numpy(), batch.column("id").to_numpy(zero_copy_only=False)
-            coded = own.decoded(cell, _code_matrix(batch.column("code")))
+        step = max(1, HELD_HITS // depth)
+        for held in _gathered(batches, chunk_vectors):
+            # rows in order of id, so that their numbers rank like the ids
+            ids = held.column("id").to_numpy()
+            by_id = np.argsort(ids, kind="stable")
+            ids, cell, codes = ids[by_id], held.column("cell").to_numpy()[by_id], _code_matrix(held.column("code"))[by_id]
             order = np.argsort(cell, kind="stable")
             heads = np.flatnonzero(np.r_[True, np.diff(cell[order]) != 0])
-            for a, b in zip(heads, [*heads[1:], len(order)]):
-                qs, rows = wanted.get(int(cell[order[a]])), order[a:b]
-                if qs is not None:
-                    _score_lists(best, unit, qs, coded[rows], ids[rows])
-            best.compact()
-            kept = set(best.id.tolist())
-            cell_of = {i: c for i, c in cell_of.items() if i in kept}
-            for i, c in zip(ids.tolist(), cell.tolist()):
-                if i in kept:  # an id may stand in several cells
-                    cell_of.setdefault(i, set()).add(c)
-        if id_type is not None:
-            best.compact()
-            found = [(names[q], i, s, c) for q, i, s in zip(best.q, best.id.tolist(), best.score) for c in cell_of[i]]
-            query, item, score, cell = zip(*found) if found else ([],) * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query, query_type), pa.array(item, id_type), pa.array(score, pa.float64()), pa.array(cell, pa.int32())],
-                names=["query_id", "id", "cosine", "cell"],
-            )
+            for first in range(0, len(unit), step):
+                best = _Best(depth)
+                for a, b in zip(heads, [*heads[1:], len(order)]):
+                    rows = order[a:b]
+                    qs = wanted.get(int(cell[rows[0]]), np.zeros(0, np.int64))
+                    qs = qs[np.searchsorted(qs, first) : np.searchsorted(qs, first + step)]
+                    if len(qs):
+                        _score_lists(best, unit, qs, own.decoded(cell[rows], codes[rows]), rows)
+                best.compact()
+                row = best.id.astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([names[q] for q in best.q], query_type),
+                        pa.array(ids[row].tolist(), held.schema.field("id").type),
+                        pa.array(best.score, pa.float64()),
+                        pa.array(cell[row], pa.int32()),
+                    ],
+                    names=["query_id", "id", "cosine", "cell"],
+                )
 
     # read from the folders of these cells only; at most as many as there are centres
     return codes.filter(F.col("cell").isin(sorted(wanted))).mapInArrow(scan, _hit_schema(queries, codes))
@@ -256,7 +272,7 @@ def _by_pieces(queries, codes, lists, visits, depth, head, block_queries, chunk_
     shared = queries.sparkSession.sparkContext.broadcast(lists)
 
     def visit(batches):
-        for batch in batches:
+        for batch in cells.small(batches):
             batch = _complete(batch, "query_id")
             if not batch.num_rows:
                 continue

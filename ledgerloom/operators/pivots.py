@@ -105,7 +105,7 @@ def visits(queries: DataFrame, bounds: Bounds, k: int, reached: bool) -> DataFra
 
     def work(batches):
         own = shared.value
-        for batch in batches:
+        for batch in cells.small(batches):
             batch = _complete(batch, "query_id")
             if not batch.num_rows or not len(own.number):
                 continue

@@ -141,3 +141,13 @@ def test_a_hot_cell_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set(setting, before)
     assert len(list((tmp_path / "hot" / "cell=0").glob("*.parquet"))) > 3
+
+
+def test_a_task_holds_a_bounded_number_of_hits(stored, queries, monkeypatch):
+    lists, coded = stored
+    whole = inverted.ivf_top_k(queries, coded, lists)
+    want = {(r["query_id"], r["id"], r["rank"]) for r in whole.collect()}
+    monkeypatch.setattr(inverted, "HELD_HITS", 3 * lists.depth)
+    monkeypatch.setattr(cells, "QUERY_ROWS", 7)
+    again = inverted.ivf_top_k(queries, coded, lists, chunk_vectors=150)
+    assert {(r["query_id"], r["id"], r["rank"]) for r in again.collect()} == want
