@@ -25,6 +25,7 @@ from ledgerloom.functions import clipped, fingerprint
 from ledgerloom.operators import cdc, gold, incremental, keywords, quality, search, sketches, trigrams
 from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise, normalise_stream, unparsed_counts
+from ledgerloom.operators.sizing import fits_broadcast
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,13 +273,17 @@ def cdc_change_feed(spark, d):
 
 def cdc_merge_late(spark, d):
     """The first delivery, the same again two days on, then a changed one of the day between."""
-    raw, _ = raw_days(spark, d)
+    raw = written(raw_days(spark, d)[0], "first-delivery")
+    small = fits_broadcast(normalise(raw, DAY_1, carry=("ingestion_ts",)))
+    if not small:
+        # dealt by key before the three are made of it, so merges need not deal each anew
+        raw = raw.repartition("nct_id")
     late = raw.withColumn("overall_status", F.lit("withdrawn"))
     table = None
     for rows, day in ((raw, DAY_1), (raw, "2024-01-03 00:00:00"), (late, DAY_2)):
         arrived = rows.withColumn("ingestion_ts", F.lit(day))
-        delta = written(normalise(arrived, day, carry=("ingestion_ts",)), "late-delta")
-        table = delta if table is None else cdc.merge_changes(table, delta, order_by="ingestion_ts")
+        delta = normalise(arrived, day, carry=("ingestion_ts",))
+        table = delta if table is None else cdc.merge_changes(table, delta, order_by="ingestion_ts", strategy="broadcast" if small else "shuffle")
     return as_text(table).withColumn("ingestion_ts", F.col("ingestion_ts").cast("string"))
 
 

@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import WIDE_UPDATE_COLUMNS
+from ledgerloom.contract import batch_queries
 from ledgerloom.operators import cdc
 from ledgerloom.operators.sizing import fits_broadcast, measured_bytes
 from ledgerloom.operators.normalise import normalise
 from ledgerloom.sinks.snapshots import drop_old_versions, read_snapshot, versions, write_snapshot
-from ledgerloom.session import scratch_path
+from ledgerloom.session import scratch_path, written
 from ledgerloom.streaming.merge import merge_batch
 from ledgerloom.plans.medallion import load_silver, refresh_gold
 from ledgerloom.operators.quality import QualityGateError
@@ -202,3 +203,27 @@ def test_unfinished_snapshot_does_not_count(spark):
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/version=000000002/part-0.parquet")
     path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
     assert versions(spark, base) == [1] and read_snapshot(spark, base).count() == 3
+
+
+def test_three_deliveries_are_stored_and_dealt_once(spark, monkeypatch):
+    key = F.when(F.col("id") < 40, F.concat(F.lit("NCT"), F.lpad(F.col("id").cast("string"), 8, "0")))
+    texts = ("phase", "study_type", "conditions", "brief_summary", "lead_sponsor", "query_term", "source")
+    dates = ("start_date", "completion_date", "last_update_date")
+    raw = spark.range(43).select(
+        key.alias("nct_id"),
+        F.lit("a title").alias("brief_title"),
+        F.lit("recruiting").alias("overall_status"),
+        F.col("id").alias("enrollment_count"),
+        F.lit("2024-01-01 00:00:00").alias("ingestion_ts"),
+        *[F.lit(c).alias(c) for c in texts],
+        *[F.lit("1999-01-02").alias(c) for c in dates],
+    )
+    names = []
+    monkeypatch.setattr(batch_queries, "raw_days", lambda *_: (raw, None))
+    monkeypatch.setattr(batch_queries, "written", lambda df, name: (names.append(name), written(df, name))[1])
+    want = sorted(map(str, batch_queries.cdc_merge_late(spark, "").collect()))
+    assert names == ["first-delivery"] and len(want) == 40 + 3 * 3
+    monkeypatch.setattr(batch_queries, "fits_broadcast", lambda *_: False, raising=False)
+    late = batch_queries.cdc_merge_late(spark, "")
+    assert sorted(map(str, late.collect())) == want
+    assert "ReusedExchange" in late._jdf.queryExecution().executedPlan().toString()
