@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,35 @@ def test_few_pairs_are_scored_in_full(monkeypatch):
         np.testing.assert_allclose(best.score[best.q == q], scores[q][want], atol=2e-10)
     # the zero query ties with all; the others meet few in full
     assert sum(full) < 30_000 + 700 * 200
+
+
+def test_ids_are_sorted_once_a_piece():
+    compared = []
+
+    class Id(str):
+        def __lt__(self, other):
+            compared.append(1)
+            return str.__lt__(self, other)
+
+    rng = np.random.default_rng(4)
+    unit, asked = vec._unit_rows(rng.normal(size=(5_000, 8))), vec._unit_rows(rng.normal(size=(600, 8)))
+    unit[4_000:4_020] = unit[3]  # equal vectors rank by id
+    asked[0] = unit[3]
+    ids = np.array([Id(f"n{i:05}") for i in rng.permutation(5_000)], dtype=object)
+    best = vec._Best(10)
+    vec._score_all(best, vec._Block(np.arange(600), asked), unit, ids)
+    sorts = len(compared)
+    best.compact()
+    assert sorts < 2 * 5_000 * np.log2(5_000)
+    scores = np.round(asked @ unit.T, 10) + 0.0
+    for q in range(600):
+        want = sorted(range(5_000), key=lambda i: (-scores[q, i], str(ids[i])))[:10]
+        assert best.id[best.q == q].tolist() == [ids[i] for i in want]
+
+
+def test_short_vectors_go_in_larger_pieces():
+    def head(width):
+        return pa.table({"embedding": pa.array([[0.0] * width], pa.list_(pa.float32()))})
+
+    assert vec._piece_sizes(head(64), vec.BLOCK_QUERIES) == (131_072, 262_144)
+    assert vec._piece_sizes(head(1_024), vec.BLOCK_QUERIES) == (vec.BLOCK_QUERIES, vec.CHUNK_VECTORS)
