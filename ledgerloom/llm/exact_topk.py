@@ -4,7 +4,9 @@ Candidates are taken in blocks. A block has a list for every dimension, sorted b
 component; a query with a positive weight reads it from its upper end, one with a negative
 weight from its lower end (no random access). Every query takes the lists by |its component| x
 the list's spread, ``LISTS`` of them at a step: the new ones are read to half their depth,
-those of the step before to their ends. After each step every candidate has
+those of the step before to their ends. Many queries go on together, as products of matrices,
+until most candidates are out; the next ones read as many lists before they ask for bounds.
+After each such step every candidate has
 
 * an upper bound: the sum of what is read of it, of the reading position where it is not yet
   met, of the far best end of unread lists; or, if that is less, the exact part and the
@@ -42,18 +44,44 @@ QUERY_ROWS = 1024
 BLOCK_ROWS = 2048
 LISTS = 8
 FEW = 4
+# Queries that go on together, as products of matrices, until a step leaves each ALONE candidates of a
+# block; the next ones read as many lists before they ask, a step less if it left under ALONE_EARLY.
+TOGETHER = 64
+ALONE, ALONE_EARLY = 400, 40
 MOST_COMPONENT = 1 << 27
 _FOUND = "query_id long, found_id long, score long"
 
 
+class Block:
+    """Candidates by rows and by lists, and the lists as far as they are read to half their depth."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        n = len(rows)
+        self.ids, self.rows, self.columns = ids, rows, np.ascontiguousarray(rows.T)
+        in_order = np.sort(self.columns, axis=1)
+        self.low, self.high = in_order[:, 0], in_order[:, -1]
+        self.middle = in_order[:, (n - 1) // 2], in_order[:, n - 1 - (n - 1) // 2]
+        self.squares = self.columns * self.columns
+        # from the upper end for positive weights, from the lower for negative ones: what is not
+        # met stands for the reading position, or for the worst end
+        lower_half, upper_half = (x[:, None] for x in self.middle)
+        top, bottom = self.columns >= upper_half, self.columns <= lower_half
+        self.tops = np.maximum(self.columns, upper_half), np.where(top, self.columns, self.low[:, None])
+        self.bottoms = np.minimum(self.columns, lower_half), np.where(bottom, self.columns, self.high[:, None])
+        self.met = top.sum(1), bottom.sum(1)
+
+
 class Reader:
-    """The k best candidates so far of one block of queries."""
+    """The k best candidates so far of one block of queries.
+
+    ``straight``: the steps that are read before the bounds are first asked.
+    """
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, lists: int = LISTS):
         self.ids, self.queries, self.k, self.lists = ids, queries, k, lists
         self.best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
         self.least = np.full(len(ids), -np.inf)
-        self.entries = self.entries_read = 0
+        self.entries = self.entries_read = self.straight = 0
 
     def _keep(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
         found, scores = np.r_[self.best[q][0], ids], np.r_[self.best[q][1], scores.astype(np.int64)]
@@ -64,51 +92,96 @@ class Reader:
 
     def read(self, ids: np.ndarray, candidates: np.ndarray) -> None:
         n, dims = candidates.shape
-        columns = np.ascontiguousarray(candidates.T)
-        in_order = np.sort(columns, axis=1)
-        low, high, middle = in_order[:, 0], in_order[:, -1], (in_order[:, (n - 1) // 2], in_order[:, n - 1 - (n - 1) // 2])
-        squares = columns * columns
         whole = np.abs(self.queries).max(initial=0) * np.abs(candidates).max(initial=0) * dims < 1 << 53
-        for q, (own, query) in enumerate(zip(self.ids, self.queries)):
-            mine = ids != own  # rows of the query's own id, however many, take no part
-            self.entries += n * dims
-            if not whole:
-                self.entries_read += n * dims
-                exact = candidates[mine].astype(np.int64).astype(object) @ query.astype(np.int64).astype(object)
-                self._keep(q, ids[mine], exact.astype(np.int64))
-                continue
-            # the best and the worst entry of each list, and the one at half its depth
-            best, worst = np.maximum(query * high, query * low), np.minimum(query * high, query * low)
-            half = np.where(query > 0, query * middle[1], query * middle[0])
-            order = np.argsort(-np.abs(query) * (high - low), kind="stable")
-            rest_best, rest_worst = (np.r_[np.cumsum(x[order][::-1])[::-1], 0] for x in (best, worst))
-            rest_length = np.sqrt(np.r_[np.cumsum((query[order] ** 2)[::-1])[::-1], 0])
-            rows = np.flatnonzero(mine)
-            exact, left = np.zeros(len(rows)), squares[:, rows].sum(0)
-            done = 0
-            while len(rows) > FEW * self.k and done < dims:
-                now = order[done : done + self.lists]
-                part = columns[np.ix_(now, rows)] * query[now][:, None]
-                met = part >= half[now][:, None]
-                self.entries_read += int(met.sum())
-                after = min(dims, done + self.lists)
-                # not met in the upper half: at most the reading position, at least the worst end
-                upper = np.where(met, part, half[now][:, None]).sum(0) + rest_best[after]
-                lower = np.where(met, part, worst[now][:, None]).sum(0) + rest_worst[after]
-                length = rest_length[done] * np.sqrt(np.maximum(left, 0)) * (1 + 1e-9) + 1e-6
-                upper, lower = exact + np.minimum(upper, length), exact + np.maximum(lower, -length)
-                reach = max(self.least[q], np.partition(lower, len(lower) - self.k)[len(lower) - self.k])
-                open_ = upper >= reach
-                rows, exact, left, part, met = rows[open_], exact[open_], left[open_], part[:, open_], met[:, open_]
-                if len(rows) > FEW * self.k:
-                    # to the lists' ends; only candidates that are still open are looked at
-                    self.entries_read += int((~met).sum())
-                    exact, left, done = exact + part.sum(0), left - squares[np.ix_(now, rows)].sum(0), after
-            rest = order[done:]
-            if len(rest):
-                exact = exact + query[rest] @ columns[np.ix_(rest, rows)]
+        if not whole or n <= FEW * self.k:
+            for q, (own, query) in enumerate(zip(self.ids, self.queries)):
+                mine = ids != own  # rows of the query's own id, however many, take no part
+                scores = candidates[mine] @ query if whole else candidates[mine].astype(np.int64).astype(object) @ query.astype(np.int64).astype(object)
+                self._keep(q, ids[mine], scores.astype(np.int64))
+            self.entries += len(self.ids) * n * dims
+            self.entries_read += len(self.ids) * n * dims
+            return
+        block = Block(ids, candidates)
+        for a in range(0, len(self.ids), TOGETHER):
+            self._read_together(block, a, min(len(self.ids), a + TOGETHER))
+
+    def _read_together(self, block: Block, a: int, b: int) -> None:
+        """The queries from ``a`` to ``b`` together until few candidates are open, then one by one."""
+        own, queries, n, dims = self.ids[a:b], self.queries[a:b], *block.rows.shape
+        # the best and the worst entry of each list
+        ends = queries * block.high, queries * block.low
+        order = np.argsort(-np.abs(queries) * (block.high - block.low), axis=1, kind="stable")
+        rest_best, rest_worst, rest_square = (
+            np.pad(np.cumsum(np.take_along_axis(x, order, 1)[:, ::-1], axis=1)[:, ::-1], ((0, 0), (0, 1))) for x in (np.maximum(*ends), np.minimum(*ends), queries**2)
+        )
+        rest_length = np.sqrt(rest_square)
+        place = np.argsort(order, axis=1, kind="stable")
+        mine = block.ids != own[:, None]  # rows of the query's own id, however many, take no part
+        # whole steps whose bounds left much open to the queries before are read without asking
+        last = (dims - 1) // self.lists
+        self.straight = max(0, min(self.straight, last))
+        while True:
+            done, after = self.straight * self.lists, min(dims, (self.straight + 1) * self.lists)
+            is_read, is_new = (place < done).astype(np.float64), (place >= done) & (place < after)
+            exact = (queries * is_read) @ block.columns
+            left = block.squares.sum(0) - is_read @ block.squares
+            up, down = np.maximum(queries * is_new, 0), np.minimum(queries * is_new, 0)
+            # not met in the upper half: at most the reading position, at least the worst end
+            upper = up @ block.tops[0] + down @ block.bottoms[0] + rest_best[:, after, None]
+            lower = up @ block.tops[1] + down @ block.bottoms[1] + rest_worst[:, after, None]
+            length = rest_length[:, done, None] * np.sqrt(np.maximum(left, 0)) * (1 + 1e-9) + 1e-6
+            upper, lower = exact + np.minimum(upper, length), exact + np.maximum(lower, -length)
+            lower[~mine] = -np.inf
+            reach = np.maximum(self.least[a:b], np.partition(lower, n - self.k, axis=1)[:, n - self.k])
+            open_ = (upper >= reach[:, None]) & mine
+            each = open_.sum() / len(queries)
+            if each <= ALONE or self.straight == last:
+                break
+            self.straight += 1
+        self.straight -= int(each < ALONE_EARLY)
+        self.entries += len(queries) * n * dims
+        self.entries_read += int(mine.sum()) * done + int((is_new * np.where(queries < 0, block.met[1], block.met[0])).sum())
+        for i in range(len(queries)):
+            rows = np.flatnonzero(open_[i])
+            query, row_exact, row_left, at = queries[i], exact[i, rows], left[i, rows], done
+            rests = rest_best[i], rest_worst[i], rest_length[i]
+            if len(rows) > FEW * self.k:
+                # to the lists' ends; only candidates that are still open are looked at
+                now = order[i, done:after]
+                part = block.rows[np.ix_(rows, now)]
+                self.entries_read += int((np.where(query[now] < 0, part > block.middle[0][now], part < block.middle[1][now])).sum())
+                row_exact, row_left, at = row_exact + part @ query[now], row_left - (part * part).sum(1), after
+            rows, row_exact, at = self._narrow(block, a + i, order[i], rests, rows, row_exact, row_left, at)
+            rest = order[i, at:]
+            if len(rest) and len(rows):
+                row_exact = row_exact + block.rows[np.ix_(rows, rest)] @ query[rest]
                 self.entries_read += len(rest) * len(rows)
-            self._keep(q, ids[rows], exact)
+            if len(rows):
+                self._keep(a + i, block.ids[rows], row_exact)
+
+    def _narrow(self, block: Block, q: int, order: np.ndarray, rests, rows: np.ndarray, exact: np.ndarray, left: np.ndarray, done: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Step by step the lists of one query from ``done`` on, for candidates that are open."""
+        query, dims, (rest_best, rest_worst, rest_length) = self.queries[q], len(order), rests
+        while len(rows) > FEW * self.k and done < dims:
+            now = order[done : done + self.lists]
+            values = block.rows[np.ix_(rows, now)]
+            part = values * query[now]
+            half = np.where(query[now] > 0, query[now] * block.middle[1][now], query[now] * block.middle[0][now])
+            worst = np.minimum(query[now] * block.high[now], query[now] * block.low[now])
+            met = part >= half
+            self.entries_read += int(met.sum())
+            after = min(dims, done + self.lists)
+            upper = np.where(met, part, half).sum(1) + rest_best[after]
+            lower = np.where(met, part, worst).sum(1) + rest_worst[after]
+            length = rest_length[done] * np.sqrt(np.maximum(left, 0)) * (1 + 1e-9) + 1e-6
+            upper, lower = exact + np.minimum(upper, length), exact + np.maximum(lower, -length)
+            reach = max(self.least[q], np.partition(lower, len(lower) - self.k)[len(lower) - self.k])
+            open_ = upper >= reach
+            rows, exact, left, values, part, met = rows[open_], exact[open_], left[open_], values[open_], part[open_], met[open_]
+            if len(rows) > FEW * self.k:
+                self.entries_read += int((~met).sum())
+                exact, left, done = exact + part.sum(1), left - (values * values).sum(1), after
+        return rows, exact, done
 
     def found(self) -> pa.RecordBatch:
         counts = [len(ids) for ids, _ in self.best]

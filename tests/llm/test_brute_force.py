@@ -225,6 +225,22 @@ def test_bounds_lose_nothing(lists):
         assert found.tolist() == [i for _, i in want]
 
 
+def test_most_candidates_are_shut_out_for_many_queries_at_once(monkeypatch):
+    """Random vectors, whose bounds close late: a query goes on alone with the few that are left."""
+    rng = np.random.default_rng(5)
+    rows = rng.integers(-60, 60, (6000, 32)).astype(float)
+    ids, alone = np.arange(6000) // 2, []  # every id twice
+    narrow = exact_topk.Reader._narrow
+    monkeypatch.setattr(exact_topk.Reader, "_narrow", lambda *x: alone.append(len(x[5])) or narrow(*x))
+    reader = exact_topk.Reader(ids[::40], rows[::40], 7)
+    for a in range(0, 6000, 2000):
+        reader.read(ids[a : a + 2000], rows[a : a + 2000])
+    assert len(alone) == 3 * 150 and sum(alone) <= 150 * 3 * exact_topk.ALONE
+    for q, x, (found, scores) in zip(ids[::40], rows[::40], reader.best):
+        want = sorted((-int(s), i) for i, s in zip(ids.tolist(), rows @ x) if i != q)[:7]
+        assert list(zip((-scores).tolist(), found.tolist())) == want
+
+
 @pytest.mark.parametrize("path", ["sf0.001", "sf0.1"])
 def test_lists_are_not_read_to_their_ends_on_the_given_vectors(path):
     import duckdb
