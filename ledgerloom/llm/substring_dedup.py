@@ -45,24 +45,29 @@ def _windows_of(texts: pa.Array, window: int):
         yield first, last, data, starts, begins, before, counts, places, word
 
 
-def _first_and_later(hashes, docs):
-    """Ordered by hash and document: which rows are of the hash's smallest document, which of a
-    larger one, and which repeat the row before."""
-    order = np.lexsort((docs, hashes))
-    h, d = hashes[order], docs[order]
-    new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
-    least = d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(h) else d
-    again = np.r_[False, (h[1:] == h[:-1]) & (d[1:] == d[:-1])] if len(h) else new
-    return order, new, (d > least) & ~again
+def _order(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Puts hashes, documents and any further columns in order of hash and document, one by one in
+    place of the old ones; then which rows are the first of their hash, and which of a larger
+    document than the hash's smallest without repeating the row before."""
+    order = np.lexsort((columns[1], columns[0]))
+    for i in range(len(columns)):
+        columns[i] = columns[i][order]
+    h, d = columns[:2]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    later = np.zeros(len(h), bool)
+    later[1:] = ~new[1:] & (d[1:] != d[:-1])
+    return new, later
 
 
 def _part(docs: np.ndarray, n: int) -> np.ndarray:
     return (ws.mix(docs.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
 
 
-def _by_key(keys, docs, hashes, n: int, flagged: bool) -> pa.RecordBatch:
-    """One row per key: its documents, how many hashes each has there, and the hashes."""
-    ids, counts, flat, per_key, per_row = ws.grouped(keys, docs, hashes, n)
+def _by_key(columns: list[np.ndarray], n: int, flagged: bool) -> pa.RecordBatch:
+    """Of hashes, documents and keys, which are taken out of the list, one row per key: its
+    documents, how many hashes each has there, and the hashes."""
+    ids, counts, flat, per_key, per_row = ws.grouped_from(columns, n)
     some = per_key > 0
     return pa.RecordBatch.from_arrays(
         [pa.array(np.flatnonzero(some).astype(np.int32)), pa.array(np.full(some.sum(), flagged)), ws.lists(ids, per_key[some]), ws.lists(counts, per_key[some]), ws.lists(flat.view(np.int64), per_row[some])],
@@ -74,13 +79,17 @@ def _deal(window: int, n_buckets: int):
     """A task's windows by bucket; those already known to repeat are flagged."""
 
     def rows(held):
-        hashes, other, docs = (np.concatenate(x) for x in zip(*held))
-        order, new, later = _first_and_later(hashes, docs)
-        keep, known = order[new], order[later]
-        bucket = (other[keep] % np.uint64(n_buckets)).astype(np.int64)
-        yield _by_key(bucket, docs[keep], hashes[keep], n_buckets, flagged=False)
-        if len(known):
-            yield _by_key(_part(docs[known], n_buckets), docs[known], hashes[known], n_buckets, flagged=True)
+        # each column is let go as soon as the next one is made of it
+        columns = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        new, later = _order(columns)
+        known = [x[later] for x in columns[:2]]
+        for i in range(len(columns)):
+            columns[i] = columns[i][new]
+        columns.append((columns.pop() % np.uint64(n_buckets)).astype(np.int32))
+        yield _by_key(columns, n_buckets, flagged=False)
+        if len(known[1]):
+            yield _by_key([*known, _part(known[1], n_buckets)], n_buckets, flagged=True)
 
     @ws.released
     def deal(batches):
@@ -90,11 +99,12 @@ def _deal(window: int, n_buckets: int):
             for first, last, _, _, _, before, counts, places, word in _windows_of(batch.column(1), window):
                 if not len(places):
                     continue
-                held.append((ws.window_hashes(word, window, 1)[places], ws.window_hashes(word, window, 2)[places], np.repeat(ids[first:last], counts)))
+                held.append((ws.window_hashes(word, window, 1)[places], np.repeat(ids[first:last], counts), ws.window_hashes(word, window, 2)[places]))
                 size += len(places)
+                del places, word
                 if size >= CHUNK_WINDOWS:
                     yield from rows(held)
-                    held, size = [], 0
+                    size = 0
         if held:
             yield from rows(held)
 
@@ -108,27 +118,34 @@ def _row(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _each_key(batches, use):
-    """``use(hashes, docs)`` for each key; rows come ordered by it."""
+    """``use([hashes, docs])`` for each key; rows come ordered by it."""
     held, current = [], None
+
+    def taken():
+        columns = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
+        return columns
+
     for batch in batches:
         for i, key in enumerate(batch.column(0).to_pylist()):
             if key != current and held:
-                yield from use(*(np.concatenate(x) for x in zip(*held)))
-                held = []
+                yield from use(taken())
             current = key
             held.append(_row(batch, i))
     if held:
-        yield from use(*(np.concatenate(x) for x in zip(*held)))
+        yield from use(taken())
 
 
 def _find_repeats(n_parts: int):
     """Per bucket the windows of all but the first document, dealt to parts by document."""
 
-    def repeats(hashes, docs):
-        order, _, later = _first_and_later(hashes, docs)
-        found = order[later]
-        if len(found):
-            yield _by_key(_part(docs[found], n_parts), docs[found], hashes[found], n_parts, flagged=True)
+    def repeats(columns):
+        _, later = _order(columns)
+        for i in range(len(columns)):
+            columns[i] = columns[i][later]
+        if len(columns[1]):
+            columns.append(_part(columns[1], n_parts))
+            yield _by_key(columns, n_parts, flagged=True)
 
     @ws.released
     def find(batches):
@@ -154,8 +171,9 @@ def _find_repeats(n_parts: int):
 def _gather(batches):
     """Per part, ordered by it: one row per document with all its repeated windows."""
 
-    def rows(hashes, docs):
-        ids, counts, flat, _, _ = ws.grouped(np.zeros(len(docs), np.int64), docs, hashes, 1)
+    def rows(columns):
+        columns.append(np.zeros(len(columns[1]), np.int8))
+        ids, counts, flat, _, _ = ws.grouped_from(columns, 1)
         yield pa.RecordBatch.from_arrays([pa.array(ids), ws.lists(flat.view(np.int64), counts)], names=["doc_id", "__hits"])
 
     yield from _each_key(batches, rows)

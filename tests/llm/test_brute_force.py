@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from ledgerloom.llm import (
@@ -365,6 +367,25 @@ def test_texts_without_removals_stay_as_they_are(spark):
     assert {r.doc_id: r.text for r in found} == {1: " a\n\nb  c ", 2: "d e", 3: "x\n y z "}
 
 
+def test_windows_are_dealt_in_a_few_columns_of_memory():
+    """Ids and both hashes of a window take 24 bytes; ordering and dealing them may take twice as much again."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 400)) for _ in range(2200)]
+    texts += texts[:300]  # of larger ids
+    batch = pa.RecordBatch.from_pydict({"doc_id": np.arange(len(texts)), "text": texts})
+    deal = substring_dedup._deal(50, 7)
+    list(deal(iter([batch.slice(0, 5)])))  # powers are made once
+    windows = len(texts) * 351
+    tracemalloc.start()
+    try:
+        dealt = sum(len(out.column(4).values) for out in deal(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert dealt == windows  # those of the last 300 texts are known to repeat
+    assert peak < 100 * windows
+
+
 # -- op7 ---------------------------------------------------------------------
 
 
