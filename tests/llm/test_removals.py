@@ -59,3 +59,28 @@ def test_blocks_are_skipped_on_the_given_table(spark, small_dir):
         assert np.allclose(cosines, every[every > 0], atol=1e-9)
     assert 0 < index.read < index.blocks
     print(f"read {index.read} of {index.blocks} blocks")
+
+
+def test_memory_of_the_vote_task():
+    """Per example, frequent terms take four bytes each; the packed postings and those of the others are not held."""
+    n, frequent, rare = 2048, 256, 20_000
+    rng = np.random.default_rng(5)
+    terms = [np.unique(np.r_[rng.integers(0, frequent, 40), frequent + rng.integers(0, rare, 100)]) for _ in range(n)]
+    places, terms = np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in terms]), np.concatenate(terms).astype(np.int32)
+    by_term = np.lexsort((places, terms))
+    labels = np.arange(n) % 2.0
+    model = toxicity.Model(places[by_term], terms[by_term], np.ones(len(terms), np.int32), np.ones(frequent + rare), labels, np.ones(n), 0.5, np.zeros(frequent + rare))
+    weights = 1 / np.sqrt(np.bincount(places))[places]
+    matrix = np.zeros((n, frequent + rare))
+    matrix[places, terms] = weights
+    asked = np.arange(100, 150)
+    index, (sizes, own, own_weights) = model.index(asked)
+    assert len(index.dense) == frequent and not model.packed
+    assert sizes.tolist() == np.bincount(places)[asked].tolist() and own.tolist() == terms[(places >= 100) & (places < 150)].tolist()
+    held = sum(x.nbytes for x in vars(index).values() if isinstance(x, np.ndarray))
+    assert held < 4 * n * frequent + 32 * len(terms) + 32 * (frequent + rare)
+    found, cosines, _ = next(index.nearest_of(np.r_[0, np.cumsum(sizes)], own, own_weights, 10, [[i] for i in asked]))
+    truth = (matrix @ matrix[100]).round(12)
+    truth[100] = 0
+    best = np.lexsort((np.arange(n), -truth))[:10]
+    assert found.tolist() == best.tolist() and np.allclose(cosines, truth[best], atol=1e-11)
