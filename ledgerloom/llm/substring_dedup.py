@@ -30,6 +30,8 @@ from ledgerloom.session import written
 
 CHUNK_WINDOWS = 1_000_000
 BUCKET_CHARS = 12 << 20
+# a bucket is sorted in pieces of about so many windows
+PIECE_WINDOWS = 1 << 18
 NULL_ID = (1 << 63) - 1
 
 _DEALT = "bucket int, flagged boolean, doc_ids array<long>, counts array<int>, hashes array<long>"
@@ -111,38 +113,49 @@ def _deal(window: int, n_buckets: int):
     return deal
 
 
-def _row(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of a row and the document of each."""
+def _row(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of a row, its documents, and how many hashes each has."""
     docs, counts, hashes = (batch.column(j)[i].values.to_numpy() for j in (2, 3, 4))
-    return hashes.view(np.uint64), np.repeat(docs, counts)
+    return hashes.view(np.uint64), docs, counts
 
 
 def _each_key(batches, use):
-    """``use([hashes, docs])`` for each key; rows come ordered by it."""
+    """``use(rows)`` for each key, its rows as ``_row`` gives them, which it empties; rows come ordered by key."""
     held, current = [], None
-
-    def taken():
-        columns = [np.concatenate(x) for x in zip(*held)]
-        held.clear()
-        return columns
-
     for batch in batches:
         for i, key in enumerate(batch.column(0).to_pylist()):
             if key != current and held:
-                yield from use(taken())
+                yield from use(held)
             current = key
             held.append(_row(batch, i))
     if held:
-        yield from use(taken())
+        yield from use(held)
+
+
+def _pieces(rows: list, most: int):
+    """Hashes and the document of each, by ranges of the hash, ascending, of about ``most`` each."""
+    bits = np.uint64((max(1, -(-sum(len(h) for h, _, _ in rows) // most)) - 1).bit_length())
+    for piece in range(1 << int(bits)):
+        held = []
+        for h, docs, counts in rows:
+            mine = np.flatnonzero(h >> (np.uint64(64) - bits) == piece) if bits else slice(None)
+            held.append((h[mine], np.repeat(docs, counts)[mine]))
+        columns = [np.concatenate(x) for x in zip(*held)]
+        del held
+        yield columns
 
 
 def _find_repeats(n_parts: int):
     """Per bucket the windows of all but the first document, dealt to parts by document."""
 
-    def repeats(columns):
-        _, later = _order(columns)
-        for i in range(len(columns)):
-            columns[i] = columns[i][later]
+    def repeats(rows):
+        found = []
+        for columns in _pieces(rows, PIECE_WINDOWS):
+            _, later = _order(columns)
+            found.append([x[later] for x in columns])
+        rows.clear()
+        columns = [np.concatenate(x) for x in zip(*found)]
+        found.clear()
         if len(columns[1]):
             columns.append(_part(columns[1], n_parts))
             yield _by_key(columns, n_parts, flagged=True)
@@ -171,7 +184,9 @@ def _find_repeats(n_parts: int):
 def _gather(batches):
     """Per part, ordered by it: one row per document with all its repeated windows."""
 
-    def rows(columns):
+    def rows(held):
+        columns = [np.concatenate(x) for x in zip(*((h, np.repeat(docs, counts)) for h, docs, counts in held))]
+        held.clear()
         columns.append(np.zeros(len(columns[1]), np.int8))
         ids, counts, flat, _, _ = ws.grouped_from(columns, 1)
         yield pa.RecordBatch.from_arrays([pa.array(ids), ws.lists(flat.view(np.int64), counts)], names=["doc_id", "__hits"])

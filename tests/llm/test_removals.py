@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, toxicity
+from ledgerloom.llm import decontaminate, substring_dedup, toxicity
 from ledgerloom.llm.tables import without_texts
 
 COLUMNS = ["my.id", "the text", "bad_id", "BAD_HASH", "__bad_id", "text_hash", "id"]
@@ -84,3 +87,24 @@ def test_memory_of_the_vote_task():
     truth[100] = 0
     best = np.lexsort((np.arange(n), -truth))[:10]
     assert found.tolist() == best.tolist() and np.allclose(cosines, truth[best], atol=1e-11)
+
+
+def test_buckets_are_sorted_in_pieces(monkeypatch):
+    """Finding repeats takes less than 12 bytes a window beyond its rows, and pieces change no result."""
+    n_docs, each = 400, 1000
+    rng = np.random.default_rng(7)
+    hashes = rng.integers(0, 1 << 62, (n_docs, each)) * 4 + 1
+    hashes[1::2, :50] = hashes[::2, :50]  # every second document repeats some of the one before
+    rows = [pa.RecordBatch.from_pydict({"bucket": pa.array([0], pa.int32()), "flagged": [False], "doc_ids": [[i]], "counts": pa.array([[each]], pa.list_(pa.int32())), "hashes": [hashes[i]]}) for i in range(n_docs)]
+    found = {}
+    for most in (1 << 30, 1 << 14):
+        monkeypatch.setattr(substring_dedup, "PIECE_WINDOWS", most)
+        tracemalloc.start()
+        batches = list(substring_dedup._find_repeats(4)(iter(rows)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        found[most] = [b.to_pydict() for b in batches]
+    assert peak < 12 * n_docs * each
+    assert found[1 << 14] == found[1 << 30]
+    dealt = sorted((d, n) for part in found[1 << 14] for ids, counts in zip(part["doc_ids"], part["counts"]) for d, n in zip(ids, counts))
+    assert dealt == [(i, 50) for i in range(1, n_docs, 2)]
