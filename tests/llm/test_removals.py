@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, substring_dedup, toxicity
-from ledgerloom.llm.tables import without_texts
+from ledgerloom.llm.tables import BATCH_SETTING, without_texts
 
 COLUMNS = ["my.id", "the text", "bad_id", "BAD_HASH", "__bad_id", "text_hash", "id"]
 
@@ -108,3 +108,13 @@ def test_buckets_are_sorted_in_pieces(monkeypatch):
     assert found[1 << 14] == found[1 << 30]
     dealt = sorted((d, n) for part in found[1 << 14] for ids, counts in zip(part["doc_ids"], part["counts"]) for d, n in zip(ids, counts))
     assert dealt == [(i, 50) for i in range(1, n_docs, 2)]
+
+
+def test_texts_are_scored_in_small_batches(spark, clashing, monkeypatch):
+    """What goes to a task at once is bounded by bytes of texts while documents are dropped."""
+    seen, kept = [], toxicity.without_texts
+    monkeypatch.setattr(toxicity, "without_texts", lambda *args: (seen.append(spark.conf.get(BATCH_SETTING)), kept(*args))[1])
+    before = spark.conf.get(BATCH_SETTING)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "`my.id` long, toxic int")
+    assert toxicity.drop_toxic(clashing, labels, "my.id", "the text").columns == COLUMNS
+    assert seen == [str(8 << 20)] and spark.conf.get(BATCH_SETTING) == before
