@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.contract.batch_queries import as_text
-from ledgerloom.contract.views import DAY_1, DAY_2, raw_days, study_pages, trial_view
+from ledgerloom.contract.views import DAY_1, DAY_2, raw_days, stored_raw_days, study_pages, trial_view
 from ledgerloom.operators import gold
 from ledgerloom.operators.dedupe import dedupe_latest
 from ledgerloom.operators.normalise import normalise
 from ledgerloom.plans.medallion import load_silver, refresh_gold
-from ledgerloom.session import scratch_path, written
+from ledgerloom.session import scratch_path, shuffles_dropped, written
 from ledgerloom.sinks.bronze import land_bronze, since
 from ledgerloom.sinks.snapshots import read_snapshot
 from ledgerloom.sources.pages import (
@@ -49,7 +49,8 @@ FLAT = (
 
 
 def _land_json(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("append").option("compression", "gzip").json(path)
 
 
 def page_flatten(spark, d):
@@ -119,11 +120,12 @@ def bronze_append(spark, d):
 def _two_loads(spark, d):
     bronze, base = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     seen = None
-    for raw, ts in zip(raw_days(spark, d), (DAY_1, DAY_2)):
-        land_bronze(_with_raw(raw), bronze)
-        # each load reads what has arrived since the one before
-        load_silver(since(scan_path(spark, bronze), seen), base, ts)
-        seen = ts
+    with stored_raw_days(spark, d) as days:
+        for raw, ts in zip(days, (DAY_1, DAY_2)):
+            land_bronze(_with_raw(raw), bronze)
+            # each load reads what has arrived since the one before
+            load_silver(since(scan_path(spark, bronze), seen), base, ts)
+            seen = ts
     return read_snapshot(spark, base)
 
 
@@ -211,15 +213,16 @@ def _stream_in(spark, base, *deliveries):
 
 def stream_cdc(spark, d):
     """Two deliveries through the stream."""
-    return _stream_in(spark, scratch_path(spark, "stream-merge"), *raw_days(spark, d))
+    with stored_raw_days(spark, d) as days:
+        return _stream_in(spark, scratch_path(spark, "stream-merge"), *days)
 
 
 def stream_latest(spark, d):
     """The newest copy per key, followed by the changes that a stateful stream puts out; the second
     delivery comes first."""
     landing, out, checkpoint = (scratch_path(spark, x) for x in ("landing", "latest", "checkpoint"))
-    with rocksdb_state(spark):
-        for raw in reversed(raw_days(spark, d)):
+    with rocksdb_state(spark), stored_raw_days(spark, d) as days:
+        for raw in reversed(days):
             _land_json(_flat_json(raw), landing)
             bronze = stream_bronze(spark, landing, raw_schema())
             clean = normalise(bronze, F.col("ingestion_ts").cast("timestamp"), carry=("ingestion_ts",))
@@ -233,9 +236,9 @@ def stream_latest(spark, d):
 def stream_cdc_existing(spark, d):
     """A batch load makes the table; a stream that starts on it brings the second delivery."""
     base = scratch_path(spark, "stream-merge")
-    first, second = raw_days(spark, d)
-    load_silver(written(first, "first-delivery"), base, DAY_1)
-    return _stream_in(spark, base, second)
+    with stored_raw_days(spark, d) as (first, second):
+        load_silver(first, base, DAY_1)
+        return _stream_in(spark, base, second)
 
 
 def _with_flaws(raw: DataFrame) -> DataFrame:
@@ -268,11 +271,12 @@ def stream_expectation_counts(spark, d):
 def stream_restart_counts(spark, d):
     """Two streams without a common checkpoint write to the same outputs, a delivery each."""
     out, counts, aside = (scratch_path(spark, x) for x in ("expected", "counts", "set-aside"))
-    for raw in raw_days(spark, d):
-        landing = scratch_path(spark, "landing")
-        _land_json(_flat_json(_with_flaws(raw)), landing)
-        bronze = stream_bronze(spark, landing, raw_schema())
-        run_to_end(write_with_expectations(bronze, out, scratch_path(spark, "checkpoint"), counts, aside))
+    with stored_raw_days(spark, d) as days:
+        for raw in days:
+            landing = scratch_path(spark, "landing")
+            _land_json(_flat_json(_with_flaws(raw)), landing)
+            bronze = stream_bronze(spark, landing, raw_schema())
+            run_to_end(write_with_expectations(bronze, out, scratch_path(spark, "checkpoint"), counts, aside))
     return _expectations_met(spark, out, counts, aside)
 
 
@@ -280,18 +284,18 @@ def stream_type_widening(spark, d):
     """A count that comes as text, and a field within a struct, in the second delivery."""
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "widened")
     location, checkpoint = scratch_path(spark, "schema"), scratch_path(spark, "checkpoint")
-    first, second = raw_days(spark, d)
     approx = F.when(F.col("query_term") == "BUILDING", F.concat("enrollment_count", F.lit(" approx")))
     kept = None
     text_count = F.coalesce(approx, F.col("enrollment_count").cast("string"))
-    for raw in (
-        first.withColumn("site", F.struct("query_term")).drop("query_term"),
-        second.withColumn("enrollment_count", text_count).withColumn("site", F.struct("query_term", "study_type")).drop("query_term"),
-    ):
-        _land_json(raw, landing)
-        schema = evolve_schema(spark, landing, location)
-        kept = kept or schema
-        run_to_end(write_stream(fit(stream_bronze(spark, landing, schema), kept), out, checkpoint))
+    with stored_raw_days(spark, d) as (first, second):
+        for raw in (
+            first.withColumn("site", F.struct("query_term")).drop("query_term"),
+            second.withColumn("enrollment_count", text_count).withColumn("site", F.struct("query_term", "study_type")).drop("query_term"),
+        ):
+            _land_json(raw, landing)
+            schema = evolve_schema(spark, landing, location)
+            kept = kept or schema
+            run_to_end(write_stream(fit(stream_bronze(spark, landing, schema), kept), out, checkpoint))
     stored = scan_path(spark, out, merge_schema=True)
     return stored.groupBy(F.col("site.query_term").alias("query_term")).agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -306,11 +310,11 @@ def stream_schema_widening(spark, d):
     """A second delivery brings a new field; rows of the first read NULL in it."""
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "widened")
     stored, checkpoint = scratch_path(spark, "schema"), scratch_path(spark, "checkpoint")
-    first, second = raw_days(spark, d)
-    for raw in (first, second.withColumn("registry_note", F.upper("study_type"))):
-        _land_json(raw, landing)
-        schema = evolve_schema(spark, landing, stored)
-        run_to_end(write_stream(stream_bronze(spark, landing, schema), out, checkpoint))
+    with stored_raw_days(spark, d) as (first, second):
+        for raw in (first, second.withColumn("registry_note", F.upper("study_type"))):
+            _land_json(raw, landing)
+            schema = evolve_schema(spark, landing, stored)
+            run_to_end(write_stream(stream_bronze(spark, landing, schema), out, checkpoint))
     return (
         scan_path(spark, out, merge_schema=True)
         .groupBy("registry_note")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.fixed_values import RAW_COLUMNS
 from ledgerloom.functions import date_of, timestamp_of
+from ledgerloom.session import write_table
 
 
 def with_ingestion_date(df: DataFrame) -> DataFrame:
@@ -25,9 +26,7 @@ def land_bronze(df: DataFrame, path: str, mode: str = "append") -> bool:
     if df.isEmpty():
         return False
     extra = [c for c in df.columns if c not in RAW_COLUMNS]
-    with_ingestion_date(df.select(*RAW_COLUMNS, *extra)).write.mode(mode).partitionBy(
-        "ingestion_date"
-    ).parquet(path)
+    write_table(with_ingestion_date(df.select(*RAW_COLUMNS, *extra)), path, mode, ["ingestion_date"])
     return True
 
 

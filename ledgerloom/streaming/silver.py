@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators.normalise import normalise_stream
 from ledgerloom.operators.quality import STREAM_DROP_RULES, STREAM_WARN_RULES, expect, quarantine
-from ledgerloom.session import stored
+from ledgerloom.session import COMPRESSION, stored, write_table
 from ledgerloom.streaming.merge import stream_name
 
 
@@ -32,6 +32,7 @@ def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Appends what has landed since the last run, then stops (for scheduled runs)."""
     return (
         df.writeStream.format("parquet")
+        .option("compression", COMPRESSION)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .outputMode("append")
@@ -60,11 +61,11 @@ def write_with_expectations(
         own = f"stream={stream_name(batch)}/batch={batch_id}"
         with stored(normalise_stream(batch), "expected") as rows:
             kept, broken = quarantine(rows, drop)
-            kept.write.mode("overwrite").parquet(f"{path}/{own}")
-            broken.write.mode("overwrite").parquet(f"{set_aside}/{own}")
+            write_table(kept, f"{path}/{own}", "overwrite")
+            write_table(broken, f"{set_aside}/{own}", "overwrite")
             failed = F.array(*[F.struct(F.lit(r.name).alias("rule"), F.count_if(~r.holds).alias("failed_rows")) for r in (*drop, *warn)])
             found = rows.agg(F.count(F.lit(1)).alias("rows_in"), failed.alias("failed")).select("rows_in", F.inline("failed"))
-            found.write.mode("overwrite").parquet(f"{counts}/{own}")
+            write_table(found, f"{counts}/{own}", "overwrite")
 
     return bronze.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
