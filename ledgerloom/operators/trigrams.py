@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators.search import TEXT_COLUMNS, keyword_search
 from ledgerloom.operators.sizing import fits_broadcast
-from ledgerloom.session import written
+from ledgerloom.session import shuffles_dropped, write_table, written
 
 register_pickle_by_value(sys.modules[__name__])
 
@@ -41,6 +41,8 @@ BLOCK_RECORDS = 100_000
 # Characters whose grams are listed at once.
 RUN_CHARS = 2_000_000
 SHARDS = 64
+# Blocks whose lists of a shard one task writes.
+SPAN_BLOCKS = 64
 SIZE = 3
 NUMBER, BLOCK = "_number", "_block"
 
@@ -171,20 +173,23 @@ def posting_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _write(df: DataFrame, base: str, columns: Sequence[str], block_records: int, first_block: int) -> None:
     spark = df.sparkSession
     records, lists = f"{base}/records", f"{base}/grams"
-    n = df.count()
+    with shuffles_dropped(spark):
+        n = df.count()
     blocks = max(1, -(-n // block_records))
     # by place, not by content: rows repeated ever so often fill all blocks alike
     spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
     placed = df.withColumn(BLOCK, spread.cast("int") + first_block)
     dealt = placed.repartition(BLOCK).withColumn(NUMBER, F.monotonically_increasing_id())
-    dealt.write.mode("append").partitionBy(BLOCK).parquet(records)
+    write_table(dealt, records, "append", [BLOCK])
     stored = spark.read.schema(dealt.schema).parquet(records).filter(F.col(BLOCK) >= first_block)
     lowered = stored.select(BLOCK, NUMBER, *[F.lower(F.col(c)).alias(f"t{i}") for i, c in enumerate(columns)])
     parts = lowered.mapInArrow(posting_parts, f"gram string, {BLOCK} int, numbers array<bigint>")
+    # dealt once: a shard's lists of some blocks are made, sorted and written by one task
+    dealing = {"shard": F.pmod(F.xxhash64("gram"), F.lit(SHARDS)).cast("int"), "_span": F.floor((F.col(BLOCK) - first_block) / SPAN_BLOCKS)}
+    dealt_parts = parts.withColumns(dealing).repartition(SHARDS * -(-blocks // SPAN_BLOCKS), "shard", "_span")
     # a list holds at most the records of a block
-    posted = parts.groupBy("gram", BLOCK).agg(F.sort_array(F.flatten(F.collect_list("numbers"))).alias("numbers"))
-    posted = posted.withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(SHARDS)).cast("int"))
-    posted.repartitionByRange("shard", "gram").sortWithinPartitions("shard", "gram").write.mode("append").partitionBy("shard").parquet(lists)
+    posted = dealt_parts.groupBy("shard", "_span", "gram", BLOCK).agg(F.sort_array(F.flatten(F.collect_list("numbers"))).alias("numbers"))
+    write_table(posted.drop("_span").sortWithinPartitions("shard", "gram"), lists, "append", ["shard"])
 
 
 def write_index(df: DataFrame, base: str, columns: Sequence[str] = TEXT_COLUMNS, block_records: int = BLOCK_RECORDS) -> None:
