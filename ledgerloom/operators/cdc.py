@@ -26,6 +26,13 @@ def _side(df: DataFrame, name) -> DataFrame:
     return df.select(*[F.col(c).alias(name(c)) for c in df.columns], F.lit(True).alias(name("")))
 
 
+def chosen_strategy(strategy: str, delta: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> str:
+    """What ``auto`` stands for with this delta."""
+    if strategy != "auto":
+        return strategy
+    return "broadcast" if fits_broadcast(delta, broadcast_bytes) else "shuffle"
+
+
 def pair_changes(
     target: DataFrame,
     delta: DataFrame,
@@ -47,8 +54,7 @@ def pair_changes(
     broadcast left join, and only keys that match travel to find the inserts.
     strategy 'auto': measures the delta and broadcasts it only within the limit.
     """
-    if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(delta, broadcast_bytes) else "shuffle"
+    strategy = chosen_strategy(strategy, delta, broadcast_bytes)
     old, new = _side(target.filter(F.col(key).isNotNull()), _old), _side(delta.filter(F.col(key).isNotNull()), _new)
     same_key = F.col(_old(key)) == F.col(_new(key))
     if strategy == "shuffle":

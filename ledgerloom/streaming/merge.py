@@ -7,10 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.cdc import merge_changes, with_order
+from ledgerloom.operators.cdc import chosen_strategy, merge_changes, with_order
 from ledgerloom.operators.dedupe import NEWEST_FIRST, dedupe_latest
-from ledgerloom.session import stored
-from ledgerloom.sinks.snapshots import committed, drop_old_versions, update_snapshot, with_retries, write_snapshot
+from ledgerloom.sinks.snapshots import committed, drop_old_versions, stored_delta, update_snapshot, with_retries, write_snapshot
 
 
 def stream_name(batch: DataFrame) -> str:
@@ -39,13 +38,26 @@ def merge_batch(
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        # read for its buckets and by the merge, so it is computed once and measured on disk
-        with stored(dedupe_latest(prepare(batch), key, newest_first), "delta") as delta:
-            with_retries(lambda: merge_once(delta, stream_name(batch), batch_id))
+        newest = dedupe_latest(prepare(batch), key, newest_first)
+        if not begun(newest, stream_name(batch), batch_id):
+            # read for its buckets and by the merge, so it is computed once and measured on disk
+            with stored_delta(newest, key) as delta:
+                how = chosen_strategy(strategy, delta)
+                with_retries(lambda: merge_once(delta, stream_name(batch), batch_id, how))
         if keep is not None:
             drop_old_versions(batch.sparkSession, base, max(2, keep))
 
-    def merge_once(delta: DataFrame, stream: str, batch_id: int) -> None:
+    def begun(newest: DataFrame, stream: str, batch_id: int) -> bool:
+        """Whether the batch is the table's first version, which needs no merge."""
+        if committed(newest.sparkSession, base):
+            return False
+        try:
+            write_snapshot(newest, base, 1, key, stream=stream, batch=batch_id, dealt=True)
+        except FileExistsError:
+            return False
+        return True
+
+    def merge_once(delta: DataFrame, stream: str, batch_id: int, how: str) -> None:
         spark = delta.sparkSession
         known = committed(spark, base)
         own = [v for v in known if (v.stream, v.batch) == (stream, batch_id)]
@@ -58,8 +70,8 @@ def merge_batch(
             return
         update_snapshot(
             spark, base, before[-1], version, delta,
-            lambda target, rows: merge_changes(*with_order(target, rows, order_by), key, update_columns, order_by, strategy),
-            key, stream, batch_id,
+            lambda target, rows: merge_changes(*with_order(target, rows, order_by), key, update_columns, order_by, how),
+            key, stream, batch_id, how == "shuffle",
         )
 
     return fold
