@@ -145,19 +145,18 @@ def test_a_merge_in_rounds_is_that_of_one(spark, monkeypatch):
     first = [record(f"NCT{i}", ingestion_ts=T1) for i in range(150)] + [record(None, ingestion_ts=T1)]
     second = [record(f"NCT{i}", "COMPLETED" if i % 2 else "RECRUITING", ingestion_ts=T2) for i in range(100, 250)] + [record(None, "COMPLETED", ingestion_ts=T2)]
     found = {}
-    for most in (1, 1 << 40):
-        for strategy in ("shuffle", "broadcast"):
-            monkeypatch.setattr(snapshots, "MERGE_BYTES", most)
-            base, merges = scratch_path(spark, "test-rounds"), []
-            real = snapshots._rounds
-            monkeypatch.setattr(snapshots, "_rounds", lambda *a: (merges.append(len(real(*a))), real(*a))[1])
-            load_silver(raw(spark, *first), base, T1, rules=KNOWN)
-            result = load_silver(raw(spark, *second), base, T2, rules=KNOWN, strategy=strategy)
-            monkeypatch.setattr(snapshots, "_rounds", real)
-            assert merges == ([8] if most == 1 else [1])
-            found[most, strategy] = sorted(map(str, read_snapshot(spark, base).collect())), {r.action: r.row_count for r in result.stats.collect()}
-    assert len({str(x) for x in found.values()}) == 1
+    monkeypatch.setattr(snapshots, "LEAST_BUCKETS", 8)
+    real = snapshots._rounds
+    for most, strategy in ((1, "shuffle"), (1 << 40, "shuffle"), (1, "broadcast")):
+        monkeypatch.setattr(snapshots, "MERGE_BYTES", most)
+        base, merges = scratch_path(spark, "test-rounds"), []
+        monkeypatch.setattr(snapshots, "_rounds", lambda *a: (merges.append(len(real(*a))), real(*a))[1])
+        load_silver(raw(spark, *first), base, T1, rules=KNOWN)
+        result = load_silver(raw(spark, *second), base, T2, rules=KNOWN, strategy=strategy)
+        assert merges == ([8] if most == 1 else [1])
+        found[most, strategy] = sorted(map(str, read_snapshot(spark, base).collect())), {r.action: r.row_count for r in result.stats.collect()}
     rows, stats = found[1, "shuffle"]
+    assert all(x == (rows, stats) for x in found.values())
     assert len(rows) == 252 and stats["inserted"] == 101 and stats["updated"] == 25 and stats["unchanged"] == 25
 
 
